@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decimals import DECIMAL, java_trim
+from .decimals import java_trim
 
 
 def payload_text(payload: Column) -> Column:
@@ -33,36 +33,39 @@ def elements(variant: Column, name: str) -> Column:
     return F.try_variant_get(variant, f"$.{name}", "array<variant>")
 
 
-def text(variant: Column, name: str) -> Column:
-    """The field when it is a JSON string, else NULL (numbers are not coerced)."""
-    return F.when(kind(field(variant, name)) == "STRING",
-                  F.try_variant_get(variant, f"$.{name}", "string"))
+def pull(variant: Column, names: list[str]) -> Column:
+    """Several fields of an object in one pass, each still a VARIANT (NULL for a non-object)."""
+    return F.try_variant_get(variant, "$", "struct<" + ",".join(f"{n}:variant" for n in names) + ">")
 
 
-def as_text(variant: Column, name: str) -> Column:
-    """The field as text whatever scalar it is; empty for containers, NULL when absent or null."""
-    k = kind(field(variant, name))
+def text_of(value: Column) -> Column:
+    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def any_text_of(value: Column) -> Column:
+    k = kind(value)
     return (
         F.when(k.isNull() | (k == "VOID"), F.lit(None).cast("string"))
         .when(k.startswith("OBJECT") | k.startswith("ARRAY"), F.lit(""))
-        .otherwise(F.try_variant_get(variant, f"$.{name}", "string"))
+        .otherwise(F.try_variant_get(value, "$", "string"))
     )
 
 
+def text(variant: Column, name: str) -> Column:
+    """The field when it is a JSON string, else NULL (numbers are not coerced)."""
+    return text_of(field(variant, name))
+
+
+def as_text(variant: Column, name: str) -> Column:
+    """The field as text whatever scalar it is; empty for containers, NULL when absent or null."""
+    return any_text_of(field(variant, name))
+
+
 def is_number(k: Column) -> Column:
     return k.isin("BIGINT", "DOUBLE", "FLOAT") | k.startswith("DECIMAL")
 
 
-def number(variant: Column, name: str) -> Column:
-    """``struct(value decimal(38,18), sign, shown)`` of a number or a numeric string.
-
-    ``sign`` comes from the unrounded number, so a size far below 1e-18 is still positive.
-    """
-    k = kind(field(variant, name))
-    raw = F.try_variant_get(variant, f"$.{name}", "string")
-    usable = F.when(is_number(k), raw).when(k == "STRING", java_trim(raw))
-    return F.struct(
-        usable.try_cast(DECIMAL).alias("value"),
-        F.signum(usable.try_cast("double")).alias("sign"),
-        usable.alias("shown"),
-    )
+def number(value: Column, k: Column) -> Column:
+    """Text of a VARIANT number or numeric string (trimmed) whose :func:`kind` is ``k``, else NULL."""
+    raw = F.try_variant_get(value, "$", "string")
+    return F.when(is_number(k), raw).when(k == "STRING", java_trim(raw))

@@ -174,6 +174,13 @@ def multi_window_candles(trades: DataFrame, specs: Sequence[WindowSpec] = MULTI_
     return finalise(candles, F.col("grace_ms"), scope)
 
 
+def partial_candles(windowed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mergeable candles: the fold plus the log positions ``first_order`` and ``last_order``."""
+    return _foldable(windowed).groupBy(*keys).agg(
+        *fold_aggregates("copies" in windowed.columns), F.min(_ORDER).alias("first_order"),
+        F.max(_ORDER).alias("last_order"))
+
+
 def sharded_candles(windowed: DataFrame, shards: int = 16) -> DataFrame:
     """The same candles in two levels: per (window, shard), then merged.
 
@@ -181,17 +188,12 @@ def sharded_candles(windowed: DataFrame, shards: int = 16) -> DataFrame:
     Open and close merge by their log positions.
     """
     keys = [*KEYS, "window", "window_start", "window_end"]
-    copies = "copies" in windowed.columns
     shard = F.pmod(F.xxhash64(*POSITION), F.lit(shards))
-    partial = (
-        _foldable(windowed).withColumn("__shard", shard)
-        .groupBy(*keys, "__shard")
-        .agg(*fold_aggregates(copies), F.min(_ORDER).alias("__first"), F.max(_ORDER).alias("__last"))
-    )
-    return merge_candles(partial, keys, F.col("__first"), F.col("__last"))
+    partial = partial_candles(windowed.withColumn("__shard", shard), [*keys, "__shard"])
+    return merge_candles(partial, keys, F.col("first_order"), F.col("last_order"))
 
 
-def merge_candles(parts: DataFrame, keys: Sequence[str], first: Column, last: Column) -> DataFrame:
+def merge_candles(parts: DataFrame, keys: Sequence[str], first: Column, last: Column, *extra: Column) -> DataFrame:
     """Merge partial candles; ``first``/``last`` order the parts that hold open and close."""
     sums = ("volume", "quote_volume", "buy_volume", "sell_volume")
     counts = ("trade_count", "input_trade_count")
@@ -201,7 +203,7 @@ def merge_candles(parts: DataFrame, keys: Sequence[str], first: Column, last: Co
         *[F.when(F.count(c) == F.count("*"), F.try_sum(c)).cast(decimals.DECIMAL).alias(c) for c in sums],
         *[F.sum(c).alias(c) for c in counts],
         F.max_by("trace_id", last).alias("trace_id"),
-        F.max("last_event_time").alias("last_event_time"),
+        F.max("last_event_time").alias("last_event_time"), *extra,
     )
     return merged.withColumn("vwap", decimals.safe_div(F.col("quote_volume"), F.col("volume")))
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, json
-from ..functions.decimals import is_blank
-from ..functions.keys import SEPARATOR, canonical_instrument, instrument_key
+from ..functions.decimals import DECIMAL, is_blank
+from ..functions.keys import SEPARATOR, canonical_instrument
 from ..functions.times import parse_exchange_time, resolve_event_time
 from ..schemas import RAW_TRADES, SCHEMA_VERSION
 
@@ -21,6 +21,7 @@ TRADE, INVALID, DEAD = "trade", "invalid", "dead"
 SIDE_WORDS = {"buy": "BUY", "b": "BUY", "sell": "SELL", "s": "SELL"}
 TRADE_CHANNEL = "trade"
 UNFIT = "price or qty does not fit decimal(38,18)"
+_SYMBOL_GUARD = 4  # place of the last symbol guard below
 
 
 def side_of(word: Column) -> Column:
@@ -31,11 +32,6 @@ def side_of(word: Column) -> Column:
     return picked
 
 
-def _fault(reason: str, detail: Column | str) -> Column:
-    return F.struct(F.lit(reason).alias("reason"),
-                    (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"))
-
-
 def normalize_frames(envelopes: DataFrame, processor_version: str, exchange: str = "KRAKEN",
                      topic: str = RAW_TRADES, max_bytes: int | None = None) -> DataFrame:
     """Raw envelopes to one row per trade or per rejected frame, with a ``route``.
@@ -67,64 +63,88 @@ def explode_frames(envelopes: DataFrame, max_bytes: int | None = None) -> DataFr
         "ordinal", F.coalesce("ordinal", F.lit(0)))
 
 
+_FIELDS = ["symbol", "side", "price", "qty", "timestamp", "trade_id"]
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out exactly once per row.
+
+    A filter on a plain projection is pushed below it and repeats its expressions; it
+    cannot pass a generator. Used between the heavy steps only.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def derive_outcomes(items: DataFrame, processor_version: str, exchange: str, topic: str) -> DataFrame:
-    item = F.col("item")
-    fields = items.withColumns({
-        "symbol": json.text(item, "symbol"), "wire_side": json.text(item, "side"),
-        "wire_price": json.number(item, "price"), "wire_qty": json.number(item, "qty"),
-        "wire_time": json.text(item, "timestamp"), "wire_id": json.as_text(item, "trade_id"),
-    }).drop("item").withColumns({
-        "parsed_instrument": canonical_instrument(F.col("symbol")), "parsed_side": side_of(F.col("wire_side")),
-    })
-
-    price, qty = F.col("wire_price"), F.col("wire_qty")
+    wire = items.withColumn("wire", json.pull(F.col("item"), _FIELDS)).drop("item")
+    w = F.col("wire")
+    texts = _once(
+        wire,
+        symbol=json.text_of(w["symbol"]), wire_side=json.text_of(w["side"]), wire_time=json.text_of(w["timestamp"]),
+        wire_id=json.any_text_of(w["trade_id"]), price_text=json.number(w["price"], json.kind(w["price"])),
+        qty_text=json.number(w["qty"], json.kind(w["qty"])),
+    ).drop("wire")
+    values = _once(
+        texts,
+        no_symbol=is_blank(F.col("symbol")), parsed_instrument=canonical_instrument(F.col("symbol")),
+        parsed_side=side_of(F.col("wire_side")),
+        price_value=F.col("price_text").try_cast(DECIMAL), qty_value=F.col("qty_text").try_cast(DECIMAL),
+        # Signs come from the unrounded numbers: a size far below 1e-18 is still positive.
+        price_sign=F.signum(F.col("price_text").try_cast("double")),
+        qty_sign=F.signum(F.col("qty_text").try_cast("double")),
+        exchange_time=parse_exchange_time(F.col("wire_time")))
+
     unusable = F.concat(F.lit("unusable symbol '"), F.col("symbol"),
                         F.lit("': instrument must not contain '" + SEPARATOR + "': '"), F.col("symbol"), F.lit("'"))
-    fault = (
-        F.when(F.col("oversize"), _fault("SCHEMA_INVALID", "frame exceeds the size limit"))
-        .when(F.col("wire_channel").isNull() | (F.col("wire_channel") != TRADE_CHANNEL),
-              _fault("UNKNOWN_TYPE", F.concat(F.lit("channel="), F.coalesce("wire_channel", F.lit("null")))))
-        .when(~F.col("has_data"), _fault("SCHEMA_INVALID", "trade frame has no data array"))
-        .when(is_blank(F.col("symbol")), _fault("SCHEMA_INVALID", F.concat(
-            F.lit("trade at index "), F.col("ordinal").cast("string"), F.lit(" has no symbol"))))
-        .when(F.col("parsed_instrument").isNull(), _fault("SCHEMA_INVALID", unusable))
-        .when(F.col("parsed_side").isNull(), _fault("SCHEMA_INVALID", F.concat(
-            F.lit("unknown side '"), F.coalesce("wire_side", F.lit("null")), F.lit("'"))))
-        .when(price["sign"].isNull() | qty["sign"].isNull(),
-              _fault("SCHEMA_INVALID", "price or qty missing or not numeric"))
-        .when((qty["sign"] <= 0) | (price["sign"] <= 0), _fault("IMPOSSIBLE_STATE", F.concat(
-            F.lit("non-positive price or quantity: "), price["shown"], F.lit(" @ "), qty["shown"])))
-        .when(price["value"].isNull() | qty["value"].isNull(), _fault("SCHEMA_INVALID", UNFIT))
-    )
-    judged = fields.withColumn("fault", fault).withColumn(
-        "route",
-        F.when(F.col("is_object") & F.col("fault").isNull(), TRADE)
-        .when((F.col("is_object") | F.col("oversize")) & F.col("fault").isNotNull(), INVALID)
-        .otherwise(DEAD))
-    # A symbol counts as known once it is usable; frame faults come before that.
-    known = (F.col("route") == TRADE) | (
-        F.col("has_data") & (F.col("wire_channel") == TRADE_CHANNEL) & ~F.col("oversize"))
-    timed = judged.withColumns({
-        "reason": F.when(F.col("route") == INVALID, F.col("fault.reason")),
-        "detail": F.when(F.col("route") == INVALID, F.col("fault.detail")),
-        "payload_instrument": F.when(known, F.col("parsed_instrument")),
-        "resolved": resolve_event_time(parse_exchange_time(F.col("wire_time")), F.col("received_at")),
-        "price": F.when(F.col("route") == TRADE, price["value"]),
-        "quantity": F.when(F.col("route") == TRADE, qty["value"]),
-        "side": F.when(F.col("route") == TRADE, F.col("parsed_side")),
-    })
-    wire_id = F.col("wire_id")
-    identified = timed.withColumn("trade_id", F.when(F.col("route") == TRADE, ids.trade_id(
-        wire_id, instrument=F.col("payload_instrument"), event_time=F.col("resolved.event_time"),
-        price=F.col("price"), quantity=F.col("quantity"), side=F.col("side"), ordinal=F.col("ordinal"))))
-
-    key = F.concat(F.lit(exchange + SEPARATOR), F.col("payload_instrument"))
-    return identified.select(
+    # Guards in contract order: condition, reason, detail.
+    guards = [
+        (F.col("oversize"), "SCHEMA_INVALID", "frame exceeds the size limit"),
+        (F.col("wire_channel").isNull() | (F.col("wire_channel") != TRADE_CHANNEL), "UNKNOWN_TYPE",
+         F.concat(F.lit("channel="), F.coalesce("wire_channel", F.lit("null")))),
+        (~F.col("has_data"), "SCHEMA_INVALID", "trade frame has no data array"),
+        (F.col("no_symbol"), "SCHEMA_INVALID",
+         F.concat(F.lit("trade at index "), F.col("ordinal").cast("string"), F.lit(" has no symbol"))),
+        (F.col("parsed_instrument").isNull(), "SCHEMA_INVALID", unusable),
+        (F.col("parsed_side").isNull(), "SCHEMA_INVALID",
+         F.concat(F.lit("unknown side '"), F.coalesce("wire_side", F.lit("null")), F.lit("'"))),
+        (F.col("price_sign").isNull() | F.col("qty_sign").isNull(), "SCHEMA_INVALID",
+         "price or qty missing or not numeric"),
+        ((F.col("qty_sign") <= 0) | (F.col("price_sign") <= 0), "IMPOSSIBLE_STATE",
+         F.concat(F.lit("non-positive price or quantity: "), "price_text", F.lit(" @ "), "qty_text")),
+        (F.col("price_value").isNull() | F.col("qty_value").isNull(), "SCHEMA_INVALID", UNFIT),
+    ]
+    guard = F.lit(len(guards))
+    for place, (condition, _, _) in reversed(list(enumerate(guards))):
+        guard = F.when(condition, place).otherwise(guard)
+    # Text that is no JSON object has no fault to name, unless it was too large to look at.
+    dead = ~F.col("is_object") & ~F.col("oversize")
+    judged = _once(values, guard=F.when(~dead, guard))
+
+    reason, detail = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for place, (_, name, words) in enumerate(guards):
+        reason = F.when(F.col("guard") == place, F.lit(name)).otherwise(reason)
+        detail = F.when(F.col("guard") == place, F.lit(words) if isinstance(words, str) else words).otherwise(detail)
+    ok = F.col("guard") == len(guards)
+    # The payload names a usable instrument once the guards up to the symbol have passed.
+    instrument = F.when(F.col("guard") > _SYMBOL_GUARD, F.col("parsed_instrument"))
+    resolved = resolve_event_time(F.col("exchange_time"), F.col("received_at"))
+    known = judged.select(
         *[F.col(c) for c in items.columns if c not in
           ("oversize", "is_object", "wire_channel", "has_data", "ordinal", "item")],
-        "ordinal", "route", "reason", "detail", "payload_instrument", "trade_id", "price", "quantity", "side",
-        F.col("resolved.event_time").alias("event_time"),
-        F.col("resolved.source").alias("event_time_source"),
+        "ordinal", "wire_id",
+        F.when(ok, TRADE).when(F.col("guard").isNotNull(), INVALID).otherwise(DEAD).alias("route"),
+        reason.alias("reason"), detail.alias("detail"), instrument.alias("payload_instrument"),
+        F.when(ok, F.col("price_value")).alias("price"), F.when(ok, F.col("qty_value")).alias("quantity"),
+        F.when(ok, F.col("parsed_side")).alias("side"),
+        resolved["event_time"].alias("event_time"), resolved["source"].alias("event_time_source"))
+    trade_id = ids.trade_id(
+        F.col("wire_id"), instrument=F.col("payload_instrument"), event_time=F.col("event_time"),
+        price=F.col("price"), quantity=F.col("quantity"), side=F.col("side"), ordinal=F.col("ordinal"))
+    key = F.concat(F.lit(exchange + SEPARATOR), F.col("payload_instrument"))
+    return known.select(
+        *[c for c in known.columns if c != "wire_id"],
+        F.when(F.col("route") == TRADE, trade_id).alias("trade_id"),
         F.coalesce(F.when(F.col("route") != DEAD, key), F.col("record_key")).alias("output_key"),
         F.lit(exchange).alias("trade_exchange"), F.lit(topic).alias("original_topic"),
         F.lit(processor_version).alias("processor_version"))
@@ -132,9 +152,8 @@ def derive_outcomes(items: DataFrame, processor_version: str, exchange: str, top
 
 def trades(routed: DataFrame) -> DataFrame:
     """The ``trade`` branch in the columns of :data:`tickweave.schemas.TRADES`."""
-    key = instrument_key(F.col("trade_exchange"), F.col("payload_instrument"))
     return routed.where(F.col("route") == TRADE).select(
-        ids.trade_event_id(key, F.col("trade_id")).alias("event_id"),
+        ids.trade_event_id(F.col("output_key"), F.col("trade_id")).alias("event_id"),
         F.col("trade_exchange").alias("exchange"), F.col("payload_instrument").alias("instrument"),
         "event_time", F.col("received_at").alias("ingestion_time"),
         # Wall-clock time would differ between replays, so trades carry none.
