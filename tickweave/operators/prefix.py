@@ -21,9 +21,9 @@ _CARRY, _CHUNK = "__carry", "__chunk"
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``kind`` is max, sum or last; ``source`` a column of the input.
+    """One running value: ``kind`` is max, sum, first or last; ``source`` a column of the input.
 
-    ``before`` leaves the current row out. ``last`` skips NULLs.
+    ``before`` leaves the current row out. ``first`` and ``last`` skip NULLs.
     """
 
     kind: str
@@ -47,6 +47,7 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         "sum": lambda c: F.sum(c),
         # min_by/max_by skip rows whose ordering value is NULL, so NULL sources drop out.
         "last": lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), summary_order)),
+        "first": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), summary_order)),
     }
     needed = {(v.kind, v.source) for v in values.values()}
     if len({s for _, s in needed}) != len(needed):
@@ -61,6 +62,7 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         "max": lambda c: F.max(c).over(over_chunks),
         "sum": lambda c: F.sum(c).over(over_chunks),
         "last": lambda c: F.last(c, ignorenulls=True).over(over_chunks),
+        "first": lambda c: F.first(c, ignorenulls=True).over(over_chunks),
     }
     carry = chunks.select(
         *scope, _CHUNK, *[combine[kind_of[s]](s).cast(df.schema[s].dataType).alias(s) for s in sorted(sources)],
@@ -75,6 +77,7 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         "max": lambda c, w: F.max(c).over(w),
         "sum": lambda c, w: F.sum(c).over(w),
         "last": lambda c, w: F.last(c, ignorenulls=True).over(w),
+        "first": lambda c, w: F.first(c, ignorenulls=True).over(w),
     }
     return (
         rows.withColumn(_CARRY, F.lit(1))
@@ -85,8 +88,9 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
     )
 
 
-def offset_chunk(offset: str = "src_offset", rows: int = CHUNK_ROWS) -> Column:
-    return F.expr(f"`{offset}` div {rows}")
+def offset_chunk(offset: str = "src_offset", rows: int = CHUNK_ROWS, partition: str = "src_partition") -> Column:
+    """Chunk of a log position; it follows ``(partition, offset)`` order, as positions do."""
+    return F.struct(F.col(partition), F.expr(f"`{offset}` div {rows}").alias("block"))
 
 
 def trailing(df: DataFrame, scope: Sequence[str], at_ms: str, span_ms: int, values: dict[str, Column],

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decimals, ids, keys, times
 from ..functions.times import naive
-from ..operators import alerts, candles, compare, dedupe, frames, normalize, quality, rolling, serving
+from ..operators import alerts, book, candles, compare, dedupe, frames, normalize, quality, rolling, serving
 from ..session import configure
 from ..sources import logs, tables
 from . import oracle as sql
@@ -905,3 +905,123 @@ def _(spark, sf):
     health = serving.instrument_health(normalize.trades(outcomes), normalize.invalid_events(outcomes),
                                        F.lit("2024-01-31").cast("timestamp"), 1_800_000)
     return health.select("instrument", "trades", "rejected", when_at("last_seen"), "state")
+
+
+# ---------------------------------------------------------------- order books
+
+BOOK = f"WITH {sql.BOOK}"
+BOOK_LIMITS = {"stale_ms": sql.STALE_MS, "resync_ms": sql.RESYNC_MS}
+
+
+def book_states(spark: SparkSession, sf: str) -> DataFrame:
+    return book.reconstruct(views.book_messages(spark, sf), book.plain_digits(2, 3), **BOOK_LIMITS)
+
+
+@query("parse_book", f"""{BOOK} SELECT n AS src_offset, CASE WHEN n % 50 = 0 THEN 'dead' WHEN n % 53 = 0 THEN 'invalid' ELSE 'book' END AS route,
+  CASE WHEN n % 50 = 0 THEN NULL WHEN snap THEN 'SNAPSHOT' ELSE 'UPDATE' END AS type,
+  CASE WHEN n % 50 = 0 OR n % 53 = 0 THEN NULL ELSE upper(instrument) END AS instrument,
+  CASE WHEN n % 50 = 0 THEN 0 WHEN snap THEN 4 ELSE 1 END AS levels,
+  CASE WHEN n % 50 = 0 THEN NULL WHEN bad THEN CAST(-1 AS BIGINT) END AS checksum FROM msgs""")
+def _(spark, sf):
+    parsed = book.parse_book(views.book_frames(spark, sf))
+    return parsed.select("src_offset", "route", "type", "instrument",
+                         (F.size("bids") + F.size("asks")).alias("levels"), "checksum")
+
+
+@query("union_book_events", f"""{BOOK} SELECT CASE WHEN snap THEN 'SNAPSHOT' ELSE 'UPDATE' END AS type, count(*) AS messages FROM msgs GROUP BY 1""")
+def _(spark, sf):
+    messages = views.book_messages(spark, sf)
+    both = book.union_book_events(messages.where("type = 'SNAPSHOT'").drop("sequence"), messages.where("type = 'UPDATE'"))
+    return both.groupBy("type").agg(F.count("*").alias("messages"))
+
+
+@query("idempotent_update", """WITH m AS (SELECT event_id AS n, event_type, event_id - CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END AS seq FROM events),
+  r AS (SELECT *, max(seq) OVER (PARTITION BY event_type ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM m)
+  SELECT n AS src_offset, seq AS sequence FROM r WHERE seen IS NULL OR seq > seen""")
+def _(spark, sf):
+    back = F.when(F.col("src_offset") % 10 == 0, 40).otherwise(0)
+    numbered = views.book_messages(spark, sf).withColumn("sequence", F.col("src_offset") - back)
+    return book.idempotent_updates(numbered).select("src_offset", "sequence")
+
+
+@query("apply_deltas", f"{BOOK} SELECT n AS src_offset, CAST(bid AS DECIMAL(38,2)) AS best_bid, CAST(ask AS DECIMAL(38,2)) AS best_ask, CAST(bid_depth AS DECIMAL(38,2)) AS bid_depth, CAST(ask_depth AS DECIMAL(38,2)) AS ask_depth FROM tops")
+def _(spark, sf):
+    return book.book_metrics(book_states(spark, sf)).select(
+        "src_offset", dec2("best_bid"), dec2("best_ask"), dec2("bid_depth"), dec2("ask_depth"))
+
+
+@query("checksum_verify", f"{BOOK} SELECT n AS src_offset, false AS checksum_verified FROM msgs WHERE bad")
+def _(spark, sf):
+    return book_states(spark, sf).where("checksum IS NOT NULL").select("src_offset", "checksum_verified")
+
+
+@query("book_fsm", f"{BOOK} SELECT n AS src_offset, instrument, book_state FROM states")
+def _(spark, sf):
+    return book_states(spark, sf).select("src_offset", "instrument", "book_state")
+
+
+@query("book_metrics", f"""{BOOK} SELECT n AS src_offset, instrument, {sql.half_up('bid + ask', '2')} AS mid_price, CAST(ask - bid AS DECIMAL(38,2)) AS spread,
+  {sql.half_up('(ask - bid) * 20000', 'bid + ask')} AS spread_bps, {sql.half_up('bid * ask_qty + ask * bid_qty', 'bid_qty + ask_qty')} AS weighted_mid,
+  {sql.half_up('bid_depth - ask_depth', 'bid_depth + ask_depth')} AS imbalance FROM tops WHERE bid IS NOT NULL AND ask IS NOT NULL""")
+def _(spark, sf):
+    metrics = book.book_metrics(book_states(spark, sf)).where("mid_price IS NOT NULL")
+    return metrics.select("src_offset", "instrument", ratio("mid_price"), dec2("spread"), ratio("spread_bps"),
+                          ratio("weighted_mid"), ratio("imbalance"))
+
+
+@query("resync_requests", f"{BOOK} SELECT instrument, ts AS requested_at, book_state FROM states WHERE broke")
+def _(spark, sf):
+    return book.resync_requests(book_states(spark, sf)).select("instrument", when_at("requested_at"), "book_state")
+
+
+@query("book_quarantine", f"{BOOK} SELECT instrument, 'CHECKSUM_MISMATCH' AS reason, 'BOOK_APPLY' AS stage, concat('t-', n) AS trace_id FROM states WHERE broke AND first_kind <> 'LONG'")
+def _(spark, sf):
+    return book.book_quarantine(book_states(spark, sf), VERSION).select("instrument", "reason", "stage", "trace_id")
+
+
+@query("book_transitions")
+def _(spark, sf):
+    moves = book.transitions(book_states(spark, sf), **BOOK_LIMITS)
+    return moves.groupBy("instrument", "from_state", "to_state").agg(F.count("*").alias("moves"))
+
+
+NEWEST = f"""{BOOK}, newest AS (SELECT * FROM states WHERE n IN (SELECT max(n) FROM states GROUP BY instrument)),
+  aged AS (SELECT *, epoch_ms(TIMESTAMP '2024-01-31 01:00:00') - epoch_us(ts) // 1000 AS silent FROM newest),
+  now AS (SELECT instrument, n, ts, CASE WHEN book_state <> 'LIVE' THEN book_state WHEN silent > {sql.RESYNC_MS} THEN 'RESYNCHRONISING'
+    WHEN silent > {sql.STALE_MS} THEN 'STALE' ELSE 'LIVE' END AS book_state FROM aged)"""
+
+
+def books_now(spark: SparkSession, sf: str) -> DataFrame:
+    return book.book_current(book_states(spark, sf), F.lit("2024-01-31 01:00:00").cast("timestamp"), **BOOK_LIMITS)
+
+
+@query("book_current", f"{NEWEST} SELECT instrument, book_state, ts AS event_time FROM now")
+def _(spark, sf):
+    return books_now(spark, sf).select("instrument", "book_state", when_at("event_time"))
+
+
+@query("spread_imbalance_now", f"""{NEWEST} SELECT w.instrument, w.book_state, CASE WHEN w.book_state = 'LIVE' THEN CAST(t.ask - t.bid AS DECIMAL(38,2)) END AS spread,
+  CASE WHEN w.book_state = 'LIVE' THEN {sql.half_up('t.bid_depth - t.ask_depth', 't.bid_depth + t.ask_depth')} END AS imbalance, w.ts AS as_of
+  FROM now w LEFT JOIN tops t USING (n)""")
+def _(spark, sf):
+    return serving.spread_imbalance_now(books_now(spark, sf)).select(
+        "instrument", "book_state", dec2("spread"), ratio("imbalance"), when_at("as_of"))
+
+
+@query("alert_stale_book", f"""{BOOK}, g AS (SELECT instrument, epoch_us(ts) // 1000 AS t, lag(epoch_us(ts) // 1000) OVER (PARTITION BY instrument ORDER BY epoch_us(ts) // 1000) AS p
+    FROM (SELECT DISTINCT instrument, date_trunc('millisecond', ts) AS ts FROM msgs))
+  SELECT instrument, concat('STALE_BOOK:KRAKEN|', upper(instrument), ':', CAST(p AS VARCHAR)) AS dedupe_key, CAST(t - p AS VARCHAR) AS silent_ms
+  FROM g WHERE t - p > {sql.STALE_MS}""")
+def _(spark, sf):
+    gaps = rolling.inter_trade_gaps(views.book_messages(spark, sf), sql.STALE_MS)
+    return alerts.alert_stale_book(gaps, sql.STALE_MS, VERSION).select(
+        "instrument", "dedupe_key", F.col("details")["silent_ms"].alias("silent_ms"))
+
+
+@query("alert_liquidity_drop", f"""{BOOK}, d AS (SELECT instrument, epoch_us(ts) // 1000 AS at_ms, CAST(last(bid_depth + ask_depth ORDER BY n) AS DOUBLE) AS depth
+    FROM tops JOIN msgs USING (n, instrument) GROUP BY 1, 2),
+  m AS (SELECT *, avg(depth) OVER (PARTITION BY instrument ORDER BY at_ms RANGE BETWEEN 21600000 PRECEDING AND 1 PRECEDING) AS mean_depth FROM d)
+  SELECT instrument, at_ms, CAST(depth AS BIGINT) AS depth, round(mean_depth, 5) AS mean_depth FROM m WHERE depth <= mean_depth * 0.7""")
+def _(spark, sf):
+    dropped = alerts.depth_drops(book.book_metrics(book_states(spark, sf)), 6 * HOUR_MS, 0.7)
+    return dropped.select("instrument", "at_ms", F.col("depth").cast("bigint").alias("depth"), dbl("mean_depth", "mean_depth", 5))

@@ -115,3 +115,57 @@ trades AS (
         CAST(CAST(quantity AS DECIMAL(38,18)) AS VARCHAR), ':', side, ':', CAST(ordinal AS VARCHAR))
       ELSE CAST(event_id AS VARCHAR) END AS trade_id
   FROM expected WHERE route = 'trade')"""
+
+
+def half_up(numerator: str, denominator: str, decimals: int = 6) -> str:
+    """Quotient of whole numbers, halves away from zero, as a double."""
+    n, d = f"CAST({numerator} AS HUGEINT)", f"CAST({denominator} AS HUGEINT)"
+    return (f"CASE WHEN {d} = 0 THEN 0.0 ELSE sign({n}) * CAST((abs({n}) * {2 * 10 ** decimals} + {d}) // (2 * {d}) AS DOUBLE)"
+            f" / {10 ** decimals} END")
+
+
+STALE_MS, RESYNC_MS = 3_600_000, 10_800_000
+
+# Book messages of the events, and the state each leaves its book in.
+BOOK = f"""msgs AS (
+  SELECT event_id AS n, event_type AS instrument, ts, event_id % 211 = 0 AS snap, user_id % 40 AS shift,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         event_id % 401 = 0 OR event_id % 633 = 0 AS bad FROM events),
+numbered AS (
+  SELECT *, sum(CASE WHEN snap THEN 1 ELSE 0 END) OVER log AS epoch,
+         epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER log AS gap_ms
+  FROM msgs WINDOW log AS (PARTITION BY instrument ORDER BY n)),
+broken AS (
+  SELECT *, CASE WHEN snap AND bad THEN 'SNAP' WHEN NOT snap AND gap_ms > {RESYNC_MS} THEN 'LONG' WHEN bad THEN 'FAULT' END AS brk
+  FROM numbered),
+firsts AS (
+  SELECT *, min(CASE WHEN brk IS NOT NULL THEN n END) OVER (PARTITION BY instrument, epoch) AS first_n,
+         epoch - coalesce(max(CASE WHEN snap AND NOT bad THEN epoch END) OVER (
+           PARTITION BY instrument ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tries FROM broken),
+kinds AS (
+  SELECT *, max(CASE WHEN n = first_n THEN brk END) OVER (PARTITION BY instrument, epoch) AS first_kind FROM firsts),
+states AS (
+  SELECT *, CASE WHEN epoch = 0 THEN 'UNINITIALISED' WHEN first_n IS NULL OR n < first_n THEN 'LIVE'
+    WHEN first_kind = 'SNAP' AND tries < 3 THEN 'LOADING_SNAPSHOT'
+    WHEN n > first_n OR first_kind = 'LONG' THEN 'RESYNCHRONISING' ELSE 'INVALID' END AS book_state,
+    epoch > 0 AND n = first_n AS broke FROM kinds),
+changes AS (
+  SELECT n, instrument, epoch, 'BID' AS side, 50 + shift AS price, 1 + k % 9 AS qty, 0 AS place FROM numbered WHERE snap
+  UNION ALL SELECT n, instrument, epoch, 'BID', 45, 3, 1 FROM numbered WHERE snap
+  UNION ALL SELECT n, instrument, epoch, 'ASK', 110 + shift, 1 + k % 9, 0 FROM numbered WHERE snap
+  UNION ALL SELECT n, instrument, epoch, 'ASK', 155, 3, 1 FROM numbered WHERE snap
+  UNION ALL SELECT n, instrument, epoch, CASE WHEN n % 2 = 0 THEN 'BID' ELSE 'ASK' END,
+    CASE WHEN n % 2 = 0 THEN 50 ELSE 110 END + shift, k % 10, 0 FROM numbered WHERE NOT snap),
+held AS (
+  SELECT s.n, s.instrument, c.side, c.price, c.qty, row_number() OVER (
+    PARTITION BY s.n, c.side, c.price ORDER BY c.n DESC, c.place DESC) AS age
+  FROM states s JOIN changes c ON s.instrument = c.instrument AND s.epoch = c.epoch AND c.n <= s.n
+  WHERE s.book_state = 'LIVE'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n, side ORDER BY CASE WHEN side = 'BID' THEN -price ELSE price END) AS level
+  FROM held WHERE age = 1 AND qty <> 0),
+tops AS (
+  SELECT n, instrument, max(price) FILTER (WHERE side = 'BID') AS bid, min(price) FILTER (WHERE side = 'ASK') AS ask,
+    max(qty) FILTER (WHERE side = 'BID' AND level = 1) AS bid_qty, max(qty) FILTER (WHERE side = 'ASK' AND level = 1) AS ask_qty,
+    coalesce(sum(qty) FILTER (WHERE side = 'BID' AND level <= 10), 0) AS bid_depth,
+    coalesce(sum(qty) FILTER (WHERE side = 'ASK' AND level <= 10), 0) AS ask_depth FROM ranked GROUP BY 1, 2)"""

@@ -132,3 +132,46 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("json").alias("payload_encoding"), F.concat(F.lit("t-"), event_id).alias("trace_id"),
         F.lit(1).alias("schema_version"), F.lit("KRAKEN|IN").alias("record_key"), F.lit(0).alias("src_partition"),
         F.col("event_id").alias("src_offset"))
+
+
+def book_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """One book message per event: snapshots every 211th, some checksums wrong, the rest absent."""
+    event_id, shift = F.col("event_id"), F.col("user_id") % 40
+    k = F.get_json_object("props", "$.k").cast("int")
+    snapshot = event_id % 211 == 0
+    buy = event_id % 2 == 0
+
+    def level(price: Column, quantity: Column) -> Column:
+        return F.struct(price.cast(DECIMAL).alias("price"), quantity.cast(DECIMAL).alias("quantity"))
+    none = F.array().cast("array<struct<price:decimal(38,18),quantity:decimal(38,18)>>")
+
+    def side(own: Column, base_price: int, deep_price: int) -> Column:
+        return (F.when(snapshot, F.array(level(shift + base_price, 1 + k % 9), level(F.lit(deep_price), F.lit(3))))
+                .when(own, F.array(level(shift + base_price, k % 10))).otherwise(none))
+    at = F.col("ts").cast("timestamp")
+    return table(spark, sf, "events").select(
+        F.lit(EXCHANGE).alias("exchange"), F.col("event_type").alias("instrument"),
+        F.when(snapshot, "SNAPSHOT").otherwise("UPDATE").alias("type"), at.alias("event_time"),
+        (at + F.expr("INTERVAL 50 MILLISECONDS")).alias("ingestion_time"), side(buy, 50, 45).alias("bids"),
+        side(~buy, 110, 155).alias("asks"),
+        F.when((event_id % 401 == 0) | (event_id % 633 == 0), -1).cast("long").alias("checksum"),
+        F.lit(None).cast("long").alias("sequence"), F.concat(F.lit("t-"), event_id.cast("string")).alias("trace_id"),
+        F.lit(0).alias("src_partition"), event_id.alias("src_offset"), F.lit(0).alias("ordinal"))
+
+
+def book_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """``book_messages`` as raw exchange JSON, every 50th frame cut off and every 53rd without a symbol."""
+    event_id = F.col("src_offset")
+    data = F.to_json(F.struct(
+        F.when(event_id % 53 != 0, F.col("instrument")).alias("symbol"), *[
+            F.transform(name, lambda level: F.struct(level["price"].alias("price"), level["quantity"].alias("qty"))).alias(name)
+            for name in ("bids", "asks")], "checksum",
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp")))
+    text = F.concat(F.lit('{"channel":"book","type":"'), F.lower("type"), F.lit('","data":['), data, F.lit("]}"))
+    cut = F.when(event_id % 50 == 0, F.substring(text, 1, 40)).otherwise(text)
+    return book_messages(spark, sf).select(
+        F.concat(F.lit("b-"), event_id.cast("string")).alias("event_id"), "exchange", F.lit("book").alias("channel"),
+        F.lit(None).cast("string").alias("instrument"), F.date_trunc("MILLISECOND", "ingestion_time").alias("received_at"),
+        F.lit("c0").alias("source_connection_id"), event_id.alias("ingest_sequence"), cut.cast("binary").alias("payload"),
+        F.lit("json").alias("payload_encoding"), "trace_id", F.lit(1).alias("schema_version"),
+        F.lit(None).cast("string").alias("record_key"), "src_partition", "src_offset")

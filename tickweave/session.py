@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime SQL settings. All can be changed on a live session.
 RUNTIME_CONF = {
@@ -51,3 +52,15 @@ def shared_root(spark: SparkSession) -> str:
     root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", root)
     return root
+
+
+def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write an intermediate result used several times to the shared folder and read it back.
+
+    Unlike a cache it survives lost executors, and unlike a checkpoint it keeps column pruning.
+    Without ``folder`` a new one is taken, the caller's to expire as with Spark's own
+    checkpoints; with it, ``folder/name`` is overwritten.
+    """
+    path = f"{folder}/{name}" if folder else f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
