@@ -979,7 +979,14 @@ def _(spark, sf):
     return book.book_quarantine(book_states(spark, sf), VERSION).select("instrument", "reason", "stage", "trace_id")
 
 
-@query("book_transitions")
+@query("book_transitions", f"""{BOOK}, prior AS (SELECT *, coalesce(lag(CASE WHEN book_state = 'INVALID' THEN 'RESYNCHRONISING' ELSE book_state END)
+    OVER (PARTITION BY instrument ORDER BY n), 'UNINITIALISED') AS was FROM states),
+  arrived AS (SELECT *, CASE WHEN was <> 'LIVE' THEN was WHEN gap_ms > {sql.RESYNC_MS} THEN 'RESYNCHRONISING' WHEN gap_ms > {sql.STALE_MS} THEN 'STALE' ELSE was END AS came FROM prior),
+  moves AS (SELECT instrument, 'LIVE' AS from_state, 'STALE' AS to_state FROM prior WHERE was = 'LIVE' AND gap_ms > {sql.STALE_MS}
+    UNION ALL SELECT instrument, 'STALE', 'RESYNCHRONISING' FROM prior WHERE was = 'LIVE' AND gap_ms > {sql.RESYNC_MS}
+    UNION ALL SELECT instrument, came, book_state FROM arrived WHERE came <> book_state
+    UNION ALL SELECT instrument, 'INVALID', 'RESYNCHRONISING' FROM states WHERE book_state = 'INVALID')
+  SELECT instrument, from_state, to_state, count(*) AS moves FROM moves GROUP BY 1, 2, 3""")
 def _(spark, sf):
     moves = book.transitions(book_states(spark, sf), **BOOK_LIMITS)
     return moves.groupBy("instrument", "from_state", "to_state").agg(F.count("*").alias("moves"))

@@ -124,7 +124,7 @@ def half_up(numerator: str, denominator: str, decimals: int = 6) -> str:
             f" / {10 ** decimals} END")
 
 
-STALE_MS, RESYNC_MS = 3_600_000, 10_800_000
+STALE_MS, RESYNC_MS = 3_600_000, 7_200_000
 
 # Book messages of the events, and the state each leaves its book in.
 BOOK = f"""msgs AS (
