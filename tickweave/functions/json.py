@@ -38,12 +38,13 @@ def pull(variant: Column, names: list[str]) -> Column:
     return F.try_variant_get(variant, "$", "struct<" + ",".join(f"{n}:variant" for n in names) + ">")
 
 
-def text_of(value: Column) -> Column:
-    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def text_of(value: Column, k: Column | None = None) -> Column:
+    """The VARIANT when it is a JSON string, else NULL; ``k`` is its kind where already known."""
+    return F.when((kind(value) if k is None else k) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-def any_text_of(value: Column) -> Column:
-    k = kind(value)
+def any_text_of(value: Column, k: Column | None = None) -> Column:
+    k = kind(value) if k is None else k
     return (
         F.when(k.isNull() | (k == "VOID"), F.lit(None).cast("string"))
         .when(k.startswith("OBJECT") | k.startswith("ARRAY"), F.lit(""))

@@ -63,11 +63,11 @@ def assign_windows(trades: DataFrame, specs: Sequence[WindowSpec]) -> DataFrame:
 def with_stream_time(trades: DataFrame, scope: Sequence[str] = KEYS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add ``stream_time``: the highest event time seen so far in the scope's log, this row included.
 
-    ``scope`` is what shares one clock: ``("src_partition",)`` as in a partitioned log, or the
+    Also adds ``scope_clock``, the stream time at the log's end. ``scope`` is what shares one clock: ``("src_partition",)`` as in a partitioned log, or the
     instrument when each is read on its own.
     """
     return running(trades, scope, offset_chunk(rows=chunk_rows), POSITION,
-                   {"stream_time": Running("max", "event_time")})
+                   {"stream_time": Running("max", "event_time")}, {"scope_clock": "event_time"})
 
 
 def is_late(window_end: Column, grace_ms: int | Column, stream_time: Column) -> Column:
@@ -127,7 +127,8 @@ def fold_candles(trades: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
     Trades with a ``copies`` column (from deduplication) keep the pre-dedupe count.
     """
     keys = [*KEYS, "window", "window_start", "window_end", *[k for k in extra_keys if k not in KEYS]]
-    folded = _foldable(trades).groupBy(*keys).agg(*fold_aggregates("copies" in trades.columns))
+    clock = [F.max("scope_clock").alias("scope_clock")] if "scope_clock" in trades.columns else []
+    folded = _foldable(trades).groupBy(*keys).agg(*fold_aggregates("copies" in trades.columns), *clock)
     return folded.withColumn("vwap", decimals.safe_div(F.col("quote_volume"), F.col("volume")))
 
 
@@ -140,15 +141,16 @@ def empty_fold(rows: DataFrame) -> DataFrame:
 def finalise(candles: DataFrame, grace_ms: int | Column, scope: Sequence[str] = KEYS) -> DataFrame:
     """Add ``is_final``: the scope's stream time has reached ``window_end + grace``.
 
-    The row with the highest event time is never late, so the scope clock is the maximum
-    over its candles and the trades need no second pass.
+    Candles folded from rows with stream time already hold their ``scope_clock``. Otherwise
+    the clock is the maximum over the scope's candles: the row with the highest event time is
+    never late.
     """
-    clock = candles.groupBy(*scope).agg(F.max("last_event_time").alias("__clock"))
-    return (
-        candles.join(clock, list(scope))
-        .withColumn("is_final", is_late(F.col("window_end"), grace_ms, F.col("__clock")))
-        .drop("__clock")
-    )
+    if "scope_clock" in candles.columns:
+        timed = candles
+    else:
+        clock = candles.groupBy(*scope).agg(F.max("last_event_time").alias("scope_clock"))
+        timed = candles.join(clock, list(scope))
+    return timed.withColumn("is_final", is_late(F.col("window_end"), grace_ms, F.col("scope_clock"))).drop("scope_clock")
 
 
 def batch_candles(trades: DataFrame, spec: WindowSpec = DEFAULT_WINDOW, scope: Sequence[str] = KEYS,

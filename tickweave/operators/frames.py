@@ -9,6 +9,7 @@ from ..functions import json
 from ..functions.ids import uuid3
 from ..functions.keys import SEPARATOR, canonical_instrument
 from ..schemas import DEAD_LETTER, RAW_BOOK, RAW_TRADES, SCHEMA_VERSION
+from .columns import once
 
 # Fixed values.
 CHANNEL_TYPES = {"trade": "TRADE_DATA", "book": "BOOK_DATA", "heartbeat": "HEARTBEAT", "status": "STATUS"}
@@ -22,26 +23,27 @@ def classify_frames(frames: DataFrame, payload: str = "payload") -> DataFrame:
     A ``method`` field wins over ``channel`` because replies to our own requests carry both;
     only the first element's symbol is read. Connection ids stay text: they exceed a long.
     """
-    source = frames.withColumn("__root", json.parse_object(json.payload_text(F.col(payload))))
     root = F.col("__root")
-    method, channel = json.as_text(root, "method"), json.text(root, "channel")
+    source = (frames.withColumn("__text", json.payload_text(F.col(payload)))
+              .withColumn("__root", json.parse_object(F.col("__text"))).drop("__text"))
     first = F.get(json.elements(root, "data"), F.lit(0))
-    named = source.withColumns({"__method": method, "__channel": channel, "__first": first})
+    opened = once(source, __method=json.as_text(root, "method"), __channel=json.text(root, "channel"),
+                  __first=json.pull(first, ["symbol", "connection_id"]), __object=root.isNotNull()).drop("__root")
 
     kind = F.lit(UNKNOWN)
     for name, label in CHANNEL_TYPES.items():
         kind = F.when(F.col("__channel") == name, label).otherwise(kind)
-    typed = named.withColumn(
+    typed = opened.withColumn(
         "frame_type",
-        F.when(root.isNull(), MALFORMED).when(F.col("__method").isNotNull(), ACK)
+        F.when(~F.col("__object"), MALFORMED).when(F.col("__method").isNotNull(), ACK)
         .when(F.col("__channel").isNull(), UNKNOWN).otherwise(kind))
     channelled = F.col("frame_type").isin("TRADE_DATA", "BOOK_DATA", UNKNOWN) & F.col("__channel").isNotNull()
     return typed.withColumns({
         "frame_channel": F.when(F.col("frame_type") == ACK, F.col("__method"))
                           .when(F.col("frame_type") != MALFORMED, F.col("__channel")),
-        "symbol": F.when(channelled, json.text(F.col("__first"), "symbol")),
-        "connection_id": F.when(F.col("frame_type") == "STATUS", json.as_text(F.col("__first"), "connection_id")),
-    }).drop("__root", "__method", "__channel", "__first")
+        "symbol": F.when(channelled, json.text_of(F.col("__first.symbol"))),
+        "connection_id": F.when(F.col("frame_type") == "STATUS", json.any_text_of(F.col("__first.connection_id"))),
+    }).drop("__method", "__channel", "__first", "__object")
 
 
 def symbol_lookup(frames: DataFrame, registry: DataFrame, symbol: str = "symbol") -> DataFrame:

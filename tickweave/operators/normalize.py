@@ -14,6 +14,7 @@ from ..functions.decimals import DECIMAL, is_blank
 from ..functions.keys import SEPARATOR, canonical_instrument
 from ..functions.times import parse_exchange_time, resolve_event_time
 from ..schemas import RAW_TRADES, SCHEMA_VERSION
+from .columns import once
 
 TRADE, INVALID, DEAD = "trade", "invalid", "dead"
 
@@ -46,8 +47,10 @@ def normalize_frames(envelopes: DataFrame, processor_version: str, exchange: str
 def explode_frames(envelopes: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Parse each payload and give every element of ``data`` its own row and ordinal."""
     oversize = F.length("payload") > max_bytes if max_bytes else F.lit(False)
-    text = F.when(~oversize, json.payload_text(F.col("payload")))
-    parsed = envelopes.withColumn("oversize", oversize).withColumn("root", json.parse_object(text))
+    # Text and root are columns of their own: each is used twice and should be made once.
+    parsed = (envelopes.withColumn("oversize", oversize)
+              .withColumn("text", F.when(~F.col("oversize"), json.payload_text(F.col("payload"))))
+              .withColumn("root", json.parse_object(F.col("text"))).drop("text"))
     framed = parsed.select(
         "*",
         F.col("root").isNotNull().alias("is_object"),
@@ -66,26 +69,17 @@ def explode_frames(envelopes: DataFrame, max_bytes: int | None = None) -> DataFr
 _FIELDS = ["symbol", "side", "price", "qty", "timestamp", "trade_id"]
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are worked out exactly once per row.
-
-    A filter on a plain projection is pushed below it and repeats its expressions; it
-    cannot pass a generator. Used between the heavy steps only.
-    """
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
 def derive_outcomes(items: DataFrame, processor_version: str, exchange: str, topic: str) -> DataFrame:
     wire = items.withColumn("wire", json.pull(F.col("item"), _FIELDS)).drop("item")
-    w = F.col("wire")
-    texts = _once(
-        wire,
-        symbol=json.text_of(w["symbol"]), wire_side=json.text_of(w["side"]), wire_time=json.text_of(w["timestamp"]),
-        wire_id=json.any_text_of(w["trade_id"]), price_text=json.number(w["price"], json.kind(w["price"])),
-        qty_text=json.number(w["qty"], json.kind(w["qty"])),
-    ).drop("wire")
-    values = _once(
+    w, k = F.col("wire"), F.col("kinds")
+    kinds = wire.withColumn("kinds", F.struct(*[json.kind(w[name]).alias(name) for name in _FIELDS]))
+    texts = once(
+        kinds,
+        symbol=json.text_of(w["symbol"], k["symbol"]), wire_side=json.text_of(w["side"], k["side"]),
+        wire_time=json.text_of(w["timestamp"], k["timestamp"]), wire_id=json.any_text_of(w["trade_id"], k["trade_id"]),
+        price_text=json.number(w["price"], k["price"]), qty_text=json.number(w["qty"], k["qty"]),
+    ).drop("wire", "kinds")
+    values = once(
         texts,
         no_symbol=is_blank(F.col("symbol")), parsed_instrument=canonical_instrument(F.col("symbol")),
         parsed_side=side_of(F.col("wire_side")),
@@ -119,7 +113,7 @@ def derive_outcomes(items: DataFrame, processor_version: str, exchange: str, top
         guard = F.when(condition, place).otherwise(guard)
     # Text that is no JSON object has no fault to name, unless it was too large to look at.
     dead = ~F.col("is_object") & ~F.col("oversize")
-    judged = _once(values, guard=F.when(~dead, guard))
+    judged = once(values, guard=F.when(~dead, guard))
 
     reason, detail = F.lit(None).cast("string"), F.lit(None).cast("string")
     for place, (_, name, words) in enumerate(guards):

@@ -470,7 +470,7 @@ def _(spark, sf):
 def _(spark, sf):
     # One beat per instrument, a day and a grace after its last trade, closes every window.
     base = views.base(spark, sf)
-    folded = candles.fold_candles(candles.mark_late(base, DAILY).where(~F.col("late")))
+    folded = candles.fold_candles(candles.mark_late(base, DAILY).where(~F.col("late"))).drop("scope_clock")
     beats = base.groupBy("exchange", "instrument").agg((F.max("event_time") + F.expr("INTERVAL 26 HOURS")).alias("last_event_time"))
     beaten = folded.unionByName(beats, allowMissingColumns=True)
     return shown(candles.finalise(beaten, HOUR_MS).where("window IS NOT NULL"), "is_final")

@@ -13,6 +13,7 @@ from ..functions.keys import KEYS
 from ..operators import candles, dedupe, normalize
 from ..operators.candles import DEFAULT_WINDOW, WindowSpec
 from ..schemas import DEAD_LETTER, DERIVED_CANDLES, INVALID_EVENTS, NORMALIZED_TRADES, RAW_ENVELOPE
+from ..session import materialise
 
 
 class ExchangeAdapter(Protocol):
@@ -38,17 +39,26 @@ class Outputs:
 
 def derive(envelopes: DataFrame, processor_version: str, spec: WindowSpec = DEFAULT_WINDOW,
            scope: Sequence[str] = KEYS, processing_time: Column | None = None, deduplicate: bool = True,
-           adapter: ExchangeAdapter | None = None) -> Outputs:
+           adapter: ExchangeAdapter | None = None, store: str | None = None) -> Outputs:
     """Everything derived from a bounded raw log.
 
-    Two full shuffles, however large the log: trades by dedupe key, then by (scope, chunk of
-    the log) for stream time. Candles shuffle only their partial aggregates.
+    Two full shuffles, however large the log: by (scope, chunk of the log) for stream time,
+    then by dedupe key. Candles shuffle only their partial aggregates. With ``store``, the
+    routed rows are written below it first and the candles read them back, so frames are
+    parsed once; without, the outputs stay lazy.
+
+    Stream time is taken before deduplication: a copy never moves the clock, because the
+    first row already has.
     """
     routed = (adapter.normalize(envelopes, processor_version) if adapter
               else normalize.normalize_frames(envelopes, processor_version))
+    if store:
+        routed = materialise(routed, "routed", store)
     trades = normalize.trades(routed)
-    counted = dedupe.dedupe_trades(trades) if deduplicate else trades
-    marked = candles.mark_late(counted, spec, scope)
+    timed = candles.with_stream_time(trades, scope)
+    counted = dedupe.dedupe_trades(timed) if deduplicate else timed
+    windowed = candles.assign_window(counted, spec)
+    marked = windowed.withColumn("late", candles.is_late(F.col("window_end"), spec.grace_ms, F.col("stream_time")))
     folded = candles.finalise(candles.fold_candles(marked.where(~F.col("late")), scope), spec.grace_ms, scope)
     clock = F.lit(None).cast("timestamp") if processing_time is None else processing_time
     stamped = candles.stamp_candles(folded, processor_version, clock)

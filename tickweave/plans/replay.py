@@ -33,7 +33,8 @@ def replay_range(raw: DataFrame, root: str, version: int, processor_version: str
     ``bounds`` are those of :func:`tickweave.sources.logs.scan_offset_range`. Pass the version
     recorded on an alert to reproduce that alert, with its same id.
     """
-    outputs = derive(scan_offset_range(raw, **bounds), processor_version, spec)
+    work = f"{root}/work.v{version}"
+    outputs = derive(scan_offset_range(raw, **bounds), processor_version, spec, store=work)
     streams = dict(outputs.streams)
     if large_trade is not None:
         streams[ALERTS] = alerts.dedupe_alerts(alerts.alert_large_trade(outputs.trades, large_trade, processor_version))
