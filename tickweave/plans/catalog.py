@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import decimals, ids, keys, times
 from ..functions.times import naive
 from ..operators import alerts, book, candles, compare, dedupe, frames, normalize, quality, rolling, serving
-from ..session import configure
+from ..session import configure, materialise, shared_root
 from ..sources import logs, tables
+from ..streaming import candles as candle_stream
+from ..streaming import sinks
 from . import oracle as sql
 from . import views
 
@@ -1032,3 +1035,57 @@ def _(spark, sf):
 def _(spark, sf):
     dropped = alerts.depth_drops(book.book_metrics(book_states(spark, sf)), 6 * HOUR_MS, 0.7)
     return dropped.select("instrument", "at_ms", F.col("depth").cast("bigint").alias("depth"), dbl("mean_depth", "mean_depth", 5))
+
+
+# ---------------------------------------------------------------- streams
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def streamed_candles(spark: SparkSession, sf: str, runs: int = 3) -> candle_stream.ExactCandles:
+    """The tape as a file stream that grows between runs; each run resumes from its checkpoint."""
+    base = materialise(views.base(spark, sf).drop("dup"), "tape")
+    folder = work_folder(spark, "stream")
+    job = candle_stream.ExactCandles(f"{folder}/out", DAILY, processor_version=VERSION)
+    end = base.agg(F.max("src_offset") + 1).collect()[0][0]
+    for run in range(runs):
+        arrived = F.col("src_offset").between(end * run // runs, end * (run + 1) // runs - 1)
+        base.where(arrived).write.parquet(f"{folder}/in/{run}")
+        source = spark.readStream.schema(base.schema).parquet(f"{folder}/in/*")
+        job.start(source, f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
+@query("stream_final_candles", f"{FINALS} SELECT {sql.CANDLE_COLUMNS} FROM finality WHERE is_final")
+def _(spark, sf):
+    return shown(streamed_candles(spark, sf).finals(spark))
+
+
+@query("stream_late_events", f"{BASE}, {sql.marked()} SELECT instrument, concat('t-', trade_id) AS trace_id FROM marked WHERE late")
+def _(spark, sf):
+    return streamed_candles(spark, sf).late(spark).select("instrument", "trace_id")
+
+
+@query("write_routed_streams", f"""{EXPECTED} SELECT CASE route WHEN 'trade' THEN 'normalized.trades' WHEN 'invalid' THEN 'invalid.events' ELSE 'dead-letter' END AS stream,
+  count(*) AS "rows" FROM expected GROUP BY 1""")
+def _(spark, sf):
+    source = views.frames(spark, sf)
+    folder = work_folder(spark, "routed")
+    source.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(source.schema).parquet(f"{folder}/in")
+    sinks.start_normalizer(stream, f"{folder}/out", f"{folder}/checkpoint", VERSION, availableNow=True).awaitTermination()
+    parts = [spark.read.parquet(f"{folder}/out/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("stream"), "rows")
+             for name in ("normalized.trades", "invalid.events", "dead-letter")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("idempotent_write", f"{BASE} SELECT {TRADE_COLUMNS} FROM base")
+def _(spark, sf):
+    rows = views.base(spark, sf)
+    root = work_folder(spark, "store")
+    # Delivered, delivered again under a new batch, and that batch retried.
+    for batch in (0, 1, 1):
+        tables.write_batch(rows, tables.TRADES_TABLE, root, batch, rebalance=True)
+    stored = tables.read_table(spark, tables.TRADES_TABLE, root)
+    return trade_shown(tables.read_final(stored, tables.TRADES_TABLE.key, tie_break=["batch"]))
