@@ -82,14 +82,15 @@ def mark_late(trades: DataFrame, spec: WindowSpec = DEFAULT_WINDOW, scope: Seque
     return timed.withColumn("late", is_late(F.col("window_end"), spec.grace_ms, F.col("stream_time")))
 
 
-def _foldable(trades: DataFrame) -> DataFrame:
+def foldable(trades: DataFrame) -> DataFrame:
+    """Trades with their log order and notional, as :func:`fold_aggregates` needs them."""
     source = trades if "trace_id" in trades.columns else trades.withColumn("trace_id", F.lit(""))
     return source.withColumns({
         _ORDER: log_order(), _NOTIONAL: decimals.exact_mul(F.col("price"), F.col("quantity"))})
 
 
 def fold_aggregates(copies: bool = False) -> list[Column]:
-    """The candle's aggregates over rows from :func:`_foldable`.
+    """The candle's aggregates over rows from :func:`foldable`.
 
     A sum that does not fit 38 digits is NULL (storage rejects it) instead of failing the job.
     """
@@ -128,13 +129,13 @@ def fold_candles(trades: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame
     """
     keys = [*KEYS, "window", "window_start", "window_end", *[k for k in extra_keys if k not in KEYS]]
     clock = [F.max("scope_clock").alias("scope_clock")] if "scope_clock" in trades.columns else []
-    folded = _foldable(trades).groupBy(*keys).agg(*fold_aggregates("copies" in trades.columns), *clock)
+    folded = foldable(trades).groupBy(*keys).agg(*fold_aggregates("copies" in trades.columns), *clock)
     return folded.withColumn("vwap", decimals.safe_div(F.col("quote_volume"), F.col("volume")))
 
 
 def empty_fold(rows: DataFrame) -> DataFrame:
     """The identity candle: the same aggregates over no rows, all zero, still stampable."""
-    folded = _foldable(rows.where(F.lit(False))).agg(*fold_aggregates())
+    folded = foldable(rows.where(F.lit(False))).agg(*fold_aggregates())
     return folded.withColumn("vwap", decimals.safe_div(F.col("quote_volume"), F.col("volume")))
 
 
@@ -178,7 +179,7 @@ def multi_window_candles(trades: DataFrame, specs: Sequence[WindowSpec] = MULTI_
 
 def partial_candles(windowed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mergeable candles: the fold plus the log positions ``first_order`` and ``last_order``."""
-    return _foldable(windowed).groupBy(*keys).agg(
+    return foldable(windowed).groupBy(*keys).agg(
         *fold_aggregates("copies" in windowed.columns), F.min(_ORDER).alias("first_order"),
         F.max(_ORDER).alias("last_order"))
 

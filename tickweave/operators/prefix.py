@@ -32,11 +32,11 @@ class Running:
 
 
 def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[str],
-            values: dict[str, Running], highest: dict[str, str] | None = None) -> DataFrame:
+            values: dict[str, Running], whole: dict[str, str] | None = None) -> DataFrame:
     """Add running values per ``scope`` in ``order``; ``chunk`` must not decrease along it.
 
-    ``highest`` adds the maximum over the whole scope, by result name and source column; it
-    rides on the same carry-ins, so it costs no further pass.
+    ``whole`` adds the maximum or sum over the whole scope, by result name and a source that
+    has a running maximum or sum; it rides on the same carry-ins, so it costs no further pass.
 
     One partial aggregate summarises each chunk, a window over those few summary rows makes
     the carry-in of every chunk, and the carry-ins join the data as rows that sort first.
@@ -53,8 +53,9 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         "first": lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), summary_order)),
     }
     needed = {(v.kind, v.source) for v in values.values()}
-    if len({s for _, s in needed}) != len(needed) or set((highest or {}).values()) - {s for k, s in needed if k == "max"}:
-        raise ValueError("use one running kind per source column, max for highest")
+    whole = whole or {}
+    if len({s for _, s in needed}) != len(needed) or set(whole.values()) - {s for k, s in needed if k in ("max", "sum")}:
+        raise ValueError("use one running kind per source column, max or sum for whole")
     kind_of = {s: k for k, s in needed}
 
     chunks = rows.groupBy(*scope, _CHUNK).agg(
@@ -67,11 +68,12 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         "last": lambda c: F.last(c, ignorenulls=True).over(over_chunks),
         "first": lambda c: F.first(c, ignorenulls=True).over(over_chunks),
     }
-    highest = highest or {}
-    whole = Window.partitionBy(*scope)
+    all_chunks = Window.partitionBy(*scope)
     carry = chunks.select(
         *scope, _CHUNK, *[combine[kind_of[s]](s).cast(df.schema[s].dataType).alias(s) for s in sorted(sources)],
-        *[F.max(s).over(whole).alias(f"__highest_{name}") for name, s in highest.items()], F.lit(0).alias(_CARRY))
+        *[(F.max(s) if kind_of[s] == "max" else F.sum(s)).over(all_chunks).alias(f"__whole_{name}")
+          for name, s in whole.items()],
+        F.lit(0).alias(_CARRY))
 
     window = Window.partitionBy(*scope, _CHUNK).orderBy(_CARRY, *order)
     frame = {
@@ -88,9 +90,9 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         rows.withColumn(_CARRY, F.lit(1))
         .unionByName(carry, allowMissingColumns=True)
         .select("*", *[pick[v.kind](v.source, frame[v.before]).alias(name) for name, v in values.items()],
-                *[F.max(f"__highest_{name}").over(frame[False]).alias(name) for name in highest])
+                *[F.max(f"__whole_{name}").over(frame[False]).alias(name) for name in whole])
         .where(F.col(_CARRY) == 1)
-        .drop(_CARRY, _CHUNK, *[f"__highest_{name}" for name in highest])
+        .drop(_CARRY, _CHUNK, *[f"__whole_{name}" for name in whole])
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import KEYS
 from ..functions.times import FROM_INGESTION, window_start
+from .prefix import Running, running
 
 
 def trades_by_instrument(trades: DataFrame) -> DataFrame:
@@ -39,21 +40,35 @@ def sink_counts(judged: DataFrame, table: str) -> DataFrame:
 
 
 def batch_percentiles(batch_log: DataFrame) -> DataFrame:
-    """Batch-size and flush-time percentiles per table from a log of written batches."""
-    return batch_log.groupBy("table_name").agg(
-        F.sum("rows").alias("rows_written"),
-        F.percentile_approx("rows", [0.5, 0.95]).alias("batch_rows"),
-        F.percentile_approx("flush_ms", [0.5, 0.95, 0.99]).alias("flush_ms"))
-
-
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column, points: Sequence[float]) -> DataFrame:
-    """Interpolated percentiles of an integer measure.
-
-    Values are counted first, so the percentile's state grows with distinct values, not rows.
+    """Rows written, and batch-size and flush-time percentiles per table, from the sink's log."""
+    stored = batch_log.where("verdict = 'store'")
+    sizes = exact_percentiles(stored, ["table_name"], F.col("rows"), [0.5, 0.95]).select(
+        "table_name", F.col("percentiles").alias("batch_rows"), F.col("observations").alias("batches"))
+    times = exact_percentiles(stored, ["table_name"], F.col("flush_ms"), [0.5, 0.95, 0.99]).select(
+        "table_name", F.col("percentiles").alias("flush_ms"))
+    written = stored.groupBy("table_name").agg(F.sum("rows").alias("rows_written"))
+    return sizes.join(times, "table_name").join(written, "table_name")
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column, points: Sequence[float],
+                      chunk: int = 65_536) -> DataFrame:
+    """Interpolated percentiles of a whole-number measure.
+
+    Values are counted, the counts get running totals in chunks of the value range, and each
+    percentile picks the one or two values its rank falls on: no task holds a distribution.
     """
-    counted = df.groupBy(*keys, value.alias("__value")).agg(F.count("*").alias("__n"))
-    return counted.groupBy(*keys).agg(
-        F.percentile("__value", list(points), F.col("__n")).alias("percentiles"), F.sum("__n").alias("observations"))
+    counted = df.groupBy(*keys, value.cast("long").alias("value")).agg(F.count("*").alias("n")).where("value IS NOT NULL")
+    ranked = running(counted, keys, F.expr(f"value div {chunk}"), ["value"], {"upto": Running("sum", "n")}, {"total": "n"})
+    place = [(F.lit(float(p)) * (F.col("total") - 1)) for p in points]
+
+    def at(rank: Column) -> Column:
+        held = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+        return F.max(F.when(held, F.col("value"))).cast("double")
+    ends = [c for i, rank in enumerate(place) for c in (
+        at(F.floor(rank)).alias(f"lo{i}"), at(F.ceil(rank)).alias(f"hi{i}"), F.max(rank - F.floor(rank)).alias(f"part{i}"))]
+    picked = ranked.groupBy(*keys).agg(*ends, F.max("total").alias("observations"))
+    values = [F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}") for i in range(len(points))]
+    return picked.select(*keys, F.array(*values).alias("percentiles"), "observations")
 
 
 def latency_percentiles(final_candles: DataFrame) -> DataFrame:

@@ -586,6 +586,24 @@ def _(spark, sf):
     return quality.sink_counts(tables.validate_for_storage(awkward_rows(spark, sf), tables.TRADES_TABLE), "trades")
 
 
+BATCH_LOG = f"""{BASE}, log AS (SELECT instrument AS table_name, {sql.window_start('event_time', sql.HOUR_US)} AS step, count(*) AS n,
+  CAST(sum(qty) AS BIGINT) AS flush_ms FROM base GROUP BY 1, 2)"""
+
+
+@query("sink_batch_percentiles", f"""{BATCH_LOG} SELECT table_name, round(quantile_cont(n, 0.5), 4) AS rows_p50, round(quantile_cont(n, 0.95), 4) AS rows_p95,
+  round(quantile_cont(flush_ms, 0.5), 4) AS flush_p50, round(quantile_cont(flush_ms, 0.95), 4) AS flush_p95, round(quantile_cont(flush_ms, 0.99), 4) AS flush_p99,
+  count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows_written FROM log GROUP BY 1""")
+def _(spark, sf):
+    # Hourly batches per instrument stand for a sink's log.
+    hour = times.window_start(F.col("event_time"), HOUR_MS).alias("step")
+    log = views.base(spark, sf).groupBy(F.col("instrument").alias("table_name"), hour).agg(
+        F.lit("store").alias("verdict"), F.count("*").alias("rows"), F.sum("quantity").cast("bigint").alias("flush_ms"))
+    p = quality.batch_percentiles(log)
+    return p.select("table_name", dbl(F.col("batch_rows")[0], "rows_p50", 4), dbl(F.col("batch_rows")[1], "rows_p95", 4),
+                    dbl(F.col("flush_ms")[0], "flush_p50", 4), dbl(F.col("flush_ms")[1], "flush_p95", 4),
+                    dbl(F.col("flush_ms")[2], "flush_p99", 4), "batches", "rows_written")
+
+
 @query("drop_provisional", f"""{FINALS} SELECT CASE WHEN is_final THEN 'store' ELSE 'skip' END AS verdict,
   CASE WHEN NOT is_final THEN 'provisional' END AS reason, count(*) AS candles FROM finality GROUP BY 1, 2""")
 def _(spark, sf):

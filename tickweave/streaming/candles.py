@@ -32,7 +32,7 @@ def event_clock(rows: DataFrame, column: str = "event_time", fallback: str = "in
 def native_candles(trades: DataFrame, spec: WindowSpec = DEFAULT_WINDOW) -> DataFrame:
     """Windowed aggregate under a watermark: append mode gives finals, update mode provisionals."""
     graced = trades.withWatermark("event_time", f"{spec.grace_ms} milliseconds")
-    folded = ops._foldable(graced).groupBy(*KEYS, F.window("event_time", f"{spec.size_ms} milliseconds").alias("w")).agg(
+    folded = ops.foldable(graced).groupBy(*KEYS, F.window("event_time", f"{spec.size_ms} milliseconds").alias("w")).agg(
         *ops.fold_aggregates())
     return folded.select(
         *KEYS, F.lit(spec.name).alias("window"), F.col("w.start").alias("window_start"),

@@ -6,6 +6,8 @@ batch again, and every writer overwrites its own batch folder, so nothing is los
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +44,14 @@ def start_normalizer(envelopes: DataFrame, root: str, checkpoint: str, processor
 
 
 def write_stored(rows: DataFrame, batch_id: int, table: TableSpec, root: str) -> None:
-    """Store a micro-batch and log its verdict counts beside it."""
+    """Store a micro-batch and log its verdict counts and flush time beside it."""
+    started = time.perf_counter()
     write_batch(rows, table, root, batch_id)
+    flush_ms = int((time.perf_counter() - started) * 1000)
     counts = validate_for_storage(rows, table).groupBy("verdict", "reason").agg(F.count("*").alias("rows"))
-    counts.withColumn("table_name", F.lit(table.name)).withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode(
-        "overwrite").parquet(f"{root}/{table.name}.log/batch={batch_id}")
+    (counts.select(F.lit(table.name).alias("table_name"), "verdict", "reason", "rows", F.lit(flush_ms).alias("flush_ms"),
+                   F.current_timestamp().alias("written_at"))
+        .write.mode("overwrite").parquet(f"{root}/{table.name}.log/batch={batch_id}"))
 
 
 def start_sink(rows: DataFrame, table: TableSpec, root: str, checkpoint: str, **trigger) -> StreamingQuery:
