@@ -12,8 +12,6 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Callable
 
-import pyarrow as pa
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,29 +152,51 @@ def opening_levels(numbered: DataFrame) -> DataFrame:
                         F.explode(F.sequence(F.col("chunk") + 1, until)).alias("chunk"))
 
 
-class LevelBook:
-    """Price levels of one side, sorted, with the best first in :meth:`top`."""
+def _rebuilder(kept: list[str], position: tuple[str, ...], depth: int) -> Callable:
+    """The per-chunk rebuild. Its helper lives inside so that it travels to the workers by
+    value: executors need pyarrow, not this package."""
+    import pyarrow as pa
+
+    class Side:
+        """Price levels of one side in price order."""
+
+        def __init__(self, best_is_high):
+            self.best_is_high, self.quantities, self.prices = best_is_high, {}, []
 
-    def __init__(self, best_is_high: bool):
-        self.best_is_high = best_is_high
-        self.quantities, self.prices = {}, []
+        def set(self, price, quantity):
+            if quantity == 0:
+                if self.quantities.pop(price, None) is not None:
+                    del self.prices[bisect_left(self.prices, price)]
+            else:
+                if price not in self.quantities:
+                    insort(self.prices, price)
+                self.quantities[price] = quantity
 
-    def set(self, price, quantity) -> None:
-        if quantity == 0:
-            if self.quantities.pop(price, None) is not None:
-                del self.prices[bisect_left(self.prices, price)]
-        else:
-            if price not in self.quantities:
-                insort(self.prices, price)
-            self.quantities[price] = quantity
+        def top(self):
+            best = self.prices[-depth:][::-1] if self.best_is_high else self.prices[:depth]
+            return [{"price": p, "quantity": self.quantities[p]} for p in best]
 
-    def clear(self) -> None:
-        self.quantities.clear()
-        self.prices.clear()
+    def rebuild(chunk: pa.Table) -> pa.Table:
+        chunk = chunk.sort_by([(c, "ascending") for c in position])
+        sides = (Side(True), Side(False))
+        tops, negative, real = ([], []), [], []
+        for kind, *changed in zip(chunk["type"].to_pylist(), chunk["bids"].to_pylist(), chunk["asks"].to_pylist()):
+            if kind in (SNAPSHOT, RESET):
+                sides = (Side(True), Side(False))
+            for side, levels in zip(sides, changed):
+                for level in levels or ():
+                    side.set(level["price"], level["quantity"])
+            real.append(kind != _OPENING)
+            if real[-1]:
+                negative.append(any(level["quantity"] < 0 for levels in changed for level in levels or ()))
+                for top, side in zip(tops, sides):
+                    top.append(side.top())
+        rows = chunk.filter(pa.array(real))
+        levels = chunk.schema.field("bids").type
+        return pa.table({**{c: rows[c] for c in kept}, "book_bids": pa.array(tops[0], levels),
+                         "book_asks": pa.array(tops[1], levels), "negative": pa.array(negative, pa.bool_())})
 
-    def top(self, depth: int) -> list[dict]:
-        best = self.prices[-depth:][::-1] if self.best_is_high else self.prices[:depth]
-        return [{"price": p, "quantity": self.quantities[p]} for p in best]
+    return rebuild
 
 
 def closing_levels(numbered: DataFrame) -> DataFrame:
@@ -204,28 +224,8 @@ def apply_deltas(numbered: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame
           for side, name in (("BID", "bids"), ("ASK", "asks"))]).select(
         "*", F.lit(_OPENING).alias("type"), *[F.lit(-1).cast(fields[c].dataType).alias(c) for c in POSITION])
 
-    def rebuild(chunk: pa.Table) -> pa.Table:
-        chunk = chunk.sort_by([(c, "ascending") for c in POSITION])
-        sides = (LevelBook(True), LevelBook(False))
-        tops, negative, real = ([], []), [], []
-        for kind, *changed in zip(chunk["type"].to_pylist(), chunk["bids"].to_pylist(), chunk["asks"].to_pylist()):
-            if kind in (SNAPSHOT, RESET):
-                for side in sides:
-                    side.clear()
-            for side, levels in zip(sides, changed):
-                for level in levels or ():
-                    side.set(level["price"], level["quantity"])
-            real.append(kind != _OPENING)
-            if real[-1]:
-                negative.append(any(level["quantity"] < 0 for levels in changed for level in levels or ()))
-                for top, side in zip(tops, sides):
-                    top.append(side.top(depth))
-        rows = chunk.filter(pa.array(real))
-        levels = chunk.schema.field("bids").type
-        return pa.table({**{c: rows[c] for c in kept}, "book_bids": pa.array(tops[0], levels),
-                         "book_asks": pa.array(tops[1], levels), "negative": pa.array(negative, pa.bool_())})
-
-    return numbered.unionByName(opening, allowMissingColumns=True).groupBy(*_SCOPE).applyInArrow(rebuild, out)
+    return numbered.unionByName(opening, allowMissingColumns=True).groupBy(*_SCOPE).applyInArrow(
+        _rebuilder(kept, POSITION, depth), out)
 
 
 # ---------------------------------------------------------------- checksum

@@ -99,8 +99,7 @@ def fold_aggregates(copies: bool = False) -> list[Column]:
     rows = F.count("*")
 
     def total(value: Column) -> Column:
-        fits = F.when(F.count(value) == rows, F.try_sum(value))
-        return F.when(rows == 0, zero).otherwise(fits).cast(decimals.DECIMAL)
+        return F.when(rows == 0, zero).otherwise(F.try_sum(value)).cast(decimals.DECIMAL)
 
     def side_total(side: str) -> Column:
         return total(F.when(F.col("side") == side, quantity).otherwise(zero))
@@ -111,7 +110,8 @@ def fold_aggregates(copies: bool = False) -> list[Column]:
         F.coalesce(F.min(price), zero).alias("low"),
         F.coalesce(F.max_by(price, order), zero).alias("close"),
         total(quantity).alias("volume"),
-        total(F.col(_NOTIONAL)).alias("quote_volume"),
+        # A product that overflowed is NULL; it must not drop out of the sum.
+        F.when(F.count(_NOTIONAL) == rows, total(F.col(_NOTIONAL))).alias("quote_volume"),
         side_total("BUY").alias("buy_volume"),
         side_total("SELL").alias("sell_volume"),
         rows.alias("trade_count"),

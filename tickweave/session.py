@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.decimalOperations.allowPrecisionLoss": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytecodes; past that, Spark's split projections
+    # are faster than one interpreted whole-stage method (wide decimal and parsing stages).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # State larger than the heap has to live on disk, not in a JVM map.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
