@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tickweave.llm import bpe, curves, packing, quality_rules, sharding, tokens
+from tickweave.llm import bpe, curves, html, jaccard, lm, packing, quality_classifier, quality_rules, sharding, tokens
 
 QUERIES = {
     "op1_ann_curves": curves.op1_ann_curves,
+    "op2_jaccard_join": jaccard.op2_jaccard_join,
+    "op3_html_extraction": html.op3_html_extraction,
     "op4_bpe": bpe.op4_bpe,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_counts": tokens.op6_token_counts,
+    "op7_lm_scoring": lm.op7_lm_scoring,
     "op8_sharding": sharding.op8_sharding,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_packing": packing.op10_packing,
 }
 ORACLES: dict[str, str] = {}
