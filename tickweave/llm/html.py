@@ -143,8 +143,14 @@ def _features(page: Page) -> np.ndarray:
     return x
 
 
+def _edge_kinds(page: Page) -> np.ndarray:
+    """1 for nodes whose name or tag speaks against the article, 2 for those where it speaks for it, else 0."""
+    return np.array([1 if against or tag in ("nav", "menu", "header", "footer", "aside", "form", "dialog") else 2 if good or tag in ("article", "main") else 0
+                     for tag, against, good in zip(page.tag, page.against, page.good, strict=True)])
+
+
 class Model:
-    """Weights of the node potentials; edge potentials by (names of the child for or against or neither, parent's state, child's state)."""
+    """Weights of the node potentials; edge potentials by (kind of the child, parent's state, child's state)."""
 
     def __init__(self, weights: np.ndarray, edges: np.ndarray):
         self.weights, self.edges = weights, edges
@@ -156,7 +162,7 @@ class Model:
         parent = np.concatenate([np.where(np.array(p.parent) < 0, -1, np.array(p.parent) + b) for p, b in zip(pages, base, strict=True)])
         value = np.concatenate([_features(p) for p in pages]) @ self.weights
         own = np.stack([-value / 2, value / 2], 1)
-        names = np.concatenate([np.array(p.against) + 2 * np.array(p.good) for p in pages])
+        names = np.concatenate([_edge_kinds(p) for p in pages])
         edge = self.edges[names]  # node, parent's state, own state
         levels = [np.flatnonzero(parent < 0)]
         order = np.argsort(parent, kind="stable")
@@ -195,19 +201,20 @@ def _labels(page: Page) -> np.ndarray:
 
 
 @cache
-def train(copies: int = 12, seed: int = 1, steps: int = 400, rate: float = 0.5, decay: float = 2e-4) -> Model:
+def train(copies: int = 12, seed: int = 1, steps: int = 12, decay: float = 0.3) -> Model:
     """Node weights by logistic regression and edge potentials from counted pairs of states, on the labelled pages."""
     pages = [Page(s) for s in labelled_pages(copies, seed)]
     x, y = np.concatenate([_features(p) for p in pages]), np.concatenate([_labels(p) for p in pages]).astype(float)
     w = np.zeros(_WIDTH)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-x @ w))
-        w -= rate * (x.T @ (p - y) / len(y) * 10 + decay * w)
+        # Newton's step of the regularised likelihood.
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + decay * np.eye(_WIDTH), x.T @ (p - y) + decay * w)
     counts = np.full((3, 2, 2), 0.5)
     for page in pages:
-        state = _labels(page)
+        state, kinds = _labels(page), _edge_kinds(page)
         for i in range(1, len(page.tag)):
-            counts[int(page.against[i]) + 2 * int(page.good[i]), state[page.parent[i]], state[i]] += 1
+            counts[kinds[i], state[page.parent[i]], state[i]] += 1
     # What the pair says beyond the child alone, whose own potential holds that already.
     joint = counts / counts.sum((1, 2), keepdims=True)
     return Model(w, np.log(joint / (joint.sum(2, keepdims=True) * joint.sum(1, keepdims=True))))
