@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Pre-tokenizer pattern of the byte-level vocabulary files (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words a task keeps encoded before it starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 _NONE = np.iinfo(np.int64).max
 
 
