@@ -25,9 +25,11 @@ from tickweave.session import materialise
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
 #: Texts whose frequent shingles are put last in the common order, and the most shingles that are.
-SAMPLE_TEXTS, MOST_FREQUENT = 4000, 200_000
+SAMPLE_TEXTS, MOST_FREQUENT = 16_000, 400_000
 #: Blocks of columns in which overlaps are counted, and bits of a column's number that name it in the candidate search.
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
+#: Most bits of the filter that keeps unwanted texts out of a pass. Beyond it more texts pass, and the joins drop them.
+FILTER_BITS = 1 << 27
 
 
 def _distinct(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,34 +90,84 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: in
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, row long, prefix array<long>")
 
 
-def incidence(docs: DataFrame, words: int = WORDS, blocks: int = COLUMN_BLOCKS) -> DataFrame:
-    """``row, block, grams``: the matrix rows of the texts of ``docs``, cut into blocks of columns."""
+def _filter_key(row: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return mix(row.view(np.uint64) ^ mix(doc_id.view(np.uint64)))
+
+
+def row_filter(wanted: DataFrame) -> np.ndarray:
+    """Bits set at two places for each ``row, doc_id`` of ``wanted``: 16 bits a row, :data:`FILTER_BITS` at most."""
+    bits = 1 << 20
+    while bits < min(FILTER_BITS, 16 * wanted.count()):
+        bits *= 2
+
+    def place(frames):
+        for frame in frames:
+            key = _filter_key(frame["row"].to_numpy(np.int64), frame["doc_id"].to_numpy(np.int64))
+            at = np.concatenate([key % np.uint64(bits), (key >> np.uint64(32)) % np.uint64(bits)]).astype(np.int64)
+            yield pd.DataFrame({"word": at // 32, "bit": np.int64(1) << (at % 32)})
+
+    words = wanted.select("row", "doc_id").mapInPandas(place, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: int = COLUMN_BLOCKS) -> DataFrame:
+    """``row, block, grams``: the matrix rows named by ``wanted`` (``row, doc_id``), cut into blocks of columns, in one pass over the texts
+    without a shuffle. Some others may come along, and a row may come from several tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(row_filter(wanted))
 
     def run(frames):
+        seen: set[int] = set()
+        bits = sent.value
+        size = np.uint64(32 * len(bits))
         for frame in frames:
-            for _, texts in buffers(frame["text"]):
+            for start, texts in buffers(frame["text"]):
                 row, hashes = _distinct(texts, words)
-                block = (hashes % np.uint64(blocks)).astype(np.int64)
-                cell = row * blocks + block
-                order = np.argsort(cell, kind="stable")
-                ends = np.searchsorted(cell[order], np.arange(len(texts) * blocks), side="right")
-                values = hashes[order].view(np.int64)
                 names = _row_hash(row, hashes, len(texts))[0]
-                yield pd.DataFrame({"row": np.repeat(names, blocks), "block": np.tile(np.arange(blocks), len(texts)),
-                                    "grams": np.split(values, ends[:-1]) if len(texts) else []})
+                key = _filter_key(names, frame["doc_id"].to_numpy(np.int64)[start : start + len(texts)])
+                passed = np.ones(len(texts), bool)
+                for at in (key % size, (key >> np.uint64(32)) % size):
+                    passed &= (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & 1 > 0
+                for i in np.flatnonzero(passed):
+                    passed[i] = int(names[i]) not in seen
+                    seen.add(int(names[i]))
+                stay = passed[row]
+                row, hashes = row[stay], hashes[stay]
+                cell = row * blocks + (hashes % np.uint64(blocks)).astype(np.int64)
+                order = np.argsort(cell, kind="stable")
+                cells, first = np.unique(cell[order], return_index=True)
+                if len(cells):
+                    yield pd.DataFrame({"row": names[cells // blocks], "block": cells % blocks, "grams": np.split(hashes[order].view(np.int64), first[1:])})
+
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .mapInPandas(run, "row long, block int, grams array<long>")
 
-    return docs.select("text").mapInPandas(run, "row long, block int, grams array<long>").where(F.size("grams") > 0)
 
+def possible(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``a, b, n_a, n_b`` whose overlap on the shared first columns leaves the similarity within reach.
 
-def links(pairs: DataFrame, matrix: DataFrame, sizes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs ``a, b`` that reach the similarity. Sizes decide first which pairs can."""
-    sized = pairs.join(sizes.select(F.col("row").alias("a"), F.col("n").alias("n_a")), "a") \
-        .join(sizes.select(F.col("row").alias("b"), F.col("n").alias("n_b")), "b") \
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    product = sized.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
+    Up to the last shared column the overlap is known; behind it each row has so many columns left. Sizes and
+    this bound decide before any whole row is looked at.
+    """
+    left = members.select(F.col("row").alias("a"), "column", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
+    right = members.select(F.col("row").alias("b"), "column", F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    counted = pairs.join(left, "a").join(right, ["b", "column"]).where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
+        .groupBy("a", "b").agg(F.count("*").alias("k"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"),
+                               F.min(F.col("n_a") - F.col("pos_a") - 1).alias("rest_a"), F.min(F.col("n_b") - F.col("pos_b") - 1).alias("rest_b"))
+    most = F.col("k") + F.least("rest_a", "rest_b")
+    return counted.where(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b")
+
+
+def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    matrix = materialise(incidence(docs, nodes.join(ends, "row").select("row", F.col("first").alias("doc_id")), words), "matrix")
+    product = pairs.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
         .join(matrix.select(F.col("row").alias("b"), "block", F.col("grams").alias("right")), ["b", "block"]) \
-        .select("a", "b", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
-    both = product.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), (F.max("n_a") + F.max("n_b")).alias("n"))
+        .select("a", "b", "block", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
+    both = product.groupBy("a", "b", "block").agg(F.max("overlap").alias("overlap"), (F.max("n_a") + F.max("n_b")).alias("n")) \
+        .groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.max("n").alias("n"))
     return both.where(100 * F.col("overlap") >= percent * (F.col("n") - F.col("overlap"))).select("a", "b")
 
 
@@ -151,20 +203,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles")
     nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     nodes = materialise(nodes, "nodes")
-    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.explode("prefix").alias("column"))
-    # Columns of at least two different rows.
-    shared = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "shared")
-    members = materialise(cells.join(shared, "column").select("column", "row", "n", "low", "high").distinct(), "members")
-    stars = materialise(members.select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre")
-                        .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct(), "stars")
-    wanted = nodes.join(members.select("row").distinct(), "row", "left_semi").select(F.col("first").alias("doc_id"))
-    # One text for each row that shares a column with another.
-    texts = narrow.withColumn("doc_id", F.col("doc_id").cast("long")).join(wanted, "doc_id", "left_semi")
-    matrix = materialise(incidence(texts, words).dropDuplicates(["row", "block"]), "matrix")
-    linked = materialise(links(stars, matrix, nodes, percent), "links")
+    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.posexplode("prefix").alias("pos", "column"))
+    shared = materialise(cells.groupBy("column").count().where("count > 1").select("column"), "shared")
+    members = materialise(cells.join(shared, "column").select("column", "row", "n", "pos").distinct(), "members")
+    # Columns of at least two different rows, with the two that the others meet first.
+    centres = materialise(members.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres")
+    members = members.join(centres.select("column"), "column", "left_semi")
+    stars = members.join(centres, "column").select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
+        .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
+    stars = materialise(possible(stars, members, percent), "stars")
+    linked = materialise(links(narrow, nodes, stars, words, percent), "links")
     roots = components(linked)
     # Columns that still hold different components: every pair between two of them, by component, never within one.
-    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", F.coalesce("root", "row").alias("root")), "labelled")
+    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", "pos", F.coalesce("root", "row").alias("root")), "labelled")
     mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("column")
     open_rows = materialise(labelled.join(mixed, "column", "left_semi"), "open")
     groups = open_rows.select("column", "root").distinct()
@@ -174,8 +225,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     right = open_rows.select("column", F.col("root").alias("root_b"), F.col("row").alias("y"), F.col("n").alias("n_y"))
     rest = crossing.join(left, ["column", "root_a"]).join(right, ["column", "root_b"]) \
         .where(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) \
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = materialise(links(materialise(rest, "rest"), matrix, nodes, percent), "links")
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = materialise(possible(rest, open_rows, percent), "rest")
+    more = materialise(links(narrow, nodes, rest, words, percent), "links")
     if not more.isEmpty():
         roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
     named = nodes.join(roots, "row", "left").select("row", "first", F.coalesce("root", "row").alias("root"))
