@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.words import buffers, hash_words, mix, shingle_hashes
-from tickweave.session import materialise
+from tickweave.session import materialise as _materialise
 
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
@@ -32,6 +32,17 @@ COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 FILTER_BITS = 1 << 27
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Store a table in the shared folder and let go of the shuffle files that made it: what follows reads the table alone."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return _materialise(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def _distinct(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Row number and hash of the distinct shingles of each text, by row and then hash."""
     hashes, counts = shingle_hashes(*hash_words(texts), words)
@@ -159,6 +170,17 @@ def possible(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> Da
     return counted.where(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b")
 
 
+def _hubs(pairs: DataFrame) -> DataFrame:
+    """Of the pairs, for each row the one with the partner that has most pairs (ties: the smallest)."""
+    ends = pairs.select("a", "b", F.explode(F.array(F.struct(F.col("a").alias("row"), F.col("b").alias("other")),
+                                                    F.struct(F.col("b").alias("row"), F.col("a").alias("other")))).alias("e")).select("e.*")
+    degree = ends.groupBy("row").agg(F.count("*").alias("degree"))
+    best = ends.join(degree.select(F.col("row").alias("other"), "degree"), "other") \
+        .groupBy("row").agg(F.max(F.struct("degree", (-F.col("other")).alias("minus"))).alias("m")).select("row", (-F.col("m.minus")).alias("other"))
+    chosen = best.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
+    return pairs.join(chosen, ["a", "b"])
+
+
 def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
@@ -211,7 +233,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     members = members.join(centres.select("column"), "column", "left_semi")
     stars = members.join(centres, "column").select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
         .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
-    stars = materialise(possible(stars, members, percent), "stars")
+    stars = materialise(_hubs(materialise(possible(stars, members, percent), "possible")), "stars")
     linked = materialise(links(narrow, nodes, stars, words, percent), "links")
     roots = components(linked)
     # Columns that still hold different components: every pair between two of them, by component, never within one.
