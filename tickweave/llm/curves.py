@@ -134,7 +134,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     fitted = np.array([r.v for r in sample.toLocalIterator()], float).reshape(-1, size)
     if not len(fitted):
         fitted = np.zeros((1, size))
-    ranges = max(LEAST_RANGES, -(-n // range_rows))
+    # Few vectors have few ranges, so that a window holds more than k of them.
+    ranges = max(1, min(LEAST_RANGES, n // (4 * k + 4)), -(-n // range_rows))
     curves = Orderings(fitted, ranges, seed, orderings, axes, bits)
     side = max(1, int(np.ceil(reach * ranges)))
     # Queries of ``group`` ranges are met together, so that neither side of a meeting grows with the table.

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.words import buffers, hash_words, mix, shingle_hashes
-from tickweave.session import materialise as _materialise
+from tickweave.session import materialise
 
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
@@ -32,17 +32,6 @@ COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 FILTER_BITS = 1 << 27
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Store a table in the shared folder and let go of the shuffle files that made it: what follows reads the table alone."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, "false")
-    conf.set(key, "true")
-    try:
-        return _materialise(df, name)
-    finally:
-        conf.set(key, before)
-
-
 def _distinct(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Row number and hash of the distinct shingles of each text, by row and then hash."""
     hashes, counts = shingle_hashes(*hash_words(texts), words)
@@ -221,6 +210,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shingle. Rows with a null id come back with a null component and link nothing. Rows that repeat an id stay rows of their own;
     an empty table gives an empty result.
     """
+    conf, key = docs.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    # Each step reads stored tables alone, so the shuffle files that made them can go at once.
+    conf.set(key, "true")
+    try:
+        return _near_duplicates(docs, words, percent)
+    finally:
+        conf.set(key, before)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     narrow = docs.select("doc_id", "text")
     rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles")
     nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
