@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions import ids
 from ..functions.decimals import exact_mul
 from ..functions.keys import KEYS, instrument_key
 from .dedupe import first_per_key
-from .prefix import trailing
+from .prefix import Running, running, trailing
 
 # Fixed values.
 LARGE_TRADE, VOLUME_SPIKE, STALE_BOOK, LIQUIDITY_DROP = "LARGE_TRADE", "VOLUME_SPIKE", "STALE_BOOK", "LIQUIDITY_DROP"
@@ -37,13 +39,16 @@ def large_trades(trades: DataFrame, threshold) -> DataFrame:
         F.col("notional") >= F.lit(threshold))
 
 
-def large_trades_percentile(trades: DataFrame, percentile: float = 0.99, accuracy: int = 10_000) -> DataFrame:
-    """Trades above their instrument's notional percentile.
+def large_trades_percentile(trades: DataFrame, percentile: float = 0.99, chunk: int = 1024) -> DataFrame:
+    """Trades above their instrument's notional percentile: the smallest value that the share ``percentile`` of the trades does not exceed.
 
-    The percentile sketch merges map-side and its size depends on ``accuracy`` only.
+    Exact at any size. Equal values are counted, and the counts get running totals in chunks of the value range, so no task
+    holds an instrument's trades.
     """
     valued = trades.withColumn("notional", exact_mul(F.col("price"), F.col("quantity")))
-    limits = valued.groupBy(*KEYS).agg(F.percentile_approx("notional", percentile, accuracy).alias("threshold"))
+    counted = valued.where("notional IS NOT NULL").groupBy(*KEYS, "notional").agg(F.count("*").alias("n"))
+    ranked = running(counted, list(KEYS), F.floor(F.col("notional") / chunk).cast("long"), ["notional"], {"upto": Running("sum", "n")}, {"total": "n"})
+    limits = ranked.where(F.col("upto") >= F.col("total") * F.lit(Decimal(str(percentile)))).groupBy(*KEYS).agg(F.min("notional").alias("threshold"))
     return valued.join(limits, list(KEYS)).where(F.col("notional") > F.col("threshold"))
 
 

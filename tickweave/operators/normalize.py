@@ -46,7 +46,7 @@ def normalize_frames(envelopes: DataFrame, processor_version: str, exchange: str
 
 def explode_frames(envelopes: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Parse each payload and give every element of ``data`` its own row and ordinal."""
-    oversize = F.length("payload") > max_bytes if max_bytes else F.lit(False)
+    oversize = F.length("payload") > max_bytes if max_bytes is not None else F.lit(False)
     # Text and root are columns of their own: each is used twice and should be made once.
     parsed = (envelopes.withColumn("oversize", oversize)
               .withColumn("text", F.when(~F.col("oversize"), json.payload_text(F.col("payload"))))

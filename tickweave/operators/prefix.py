@@ -110,8 +110,9 @@ def trailing(df: DataFrame, scope: Sequence[str], at_ms: str, span_ms: int, valu
     holds at most ``bucket_ms + span_ms`` rows whatever the trade rate.
     """
     width = max(bucket_ms or 8 * span_ms, span_ms)
-    bucket = F.expr(f"`{at_ms}` div {width}")
-    edge = F.expr(f"`{at_ms}` % {width}") >= F.lit(width - span_ms)
+    # Floor division, so that buckets before 1970 also run forward.
+    bucket = F.expr(f"(`{at_ms}` - pmod(`{at_ms}`, {width})) div {width}")
+    edge = F.expr(f"pmod(`{at_ms}`, {width})") >= F.lit(width - span_ms)
     spread = df.withColumn("__own", bucket).withColumn(
         "__bucket", F.explode(F.when(edge, F.array(F.col("__own"), F.col("__own") + 1))
                               .otherwise(F.array(F.col("__own")))))

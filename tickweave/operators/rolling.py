@@ -65,13 +65,15 @@ def inter_trade_gaps(trades: DataFrame, threshold_ms: int, chunk_ms: int = 24 *
 def ingest_gaps(envelopes: DataFrame, chunk: int = 65_536) -> DataFrame:
     """Missing ingest sequence numbers inside each connection.
 
-    A sequence restarts at zero on a new connection, so connections are never compared.
+    A sequence starts at zero on a new connection, so connections are never compared and a first number above
+    zero is a loss at the head, after sequence -1.
     Redelivered frames collapse first.
     """
     seen = envelopes.groupBy("source_connection_id", "ingest_sequence").agg(F.count("*").alias("n"))
     seen = seen.withColumn("seen", F.col("ingest_sequence"))
     linked = running(seen, ["source_connection_id"], F.expr(f"ingest_sequence div {chunk}"), ["ingest_sequence"],
                      {"previous": Running("max", "seen", before=True)})
+    linked = linked.withColumn("previous", F.coalesce("previous", F.lit(-1).cast("long")))
     return linked.select(
         "source_connection_id", F.col("previous").alias("after_sequence"),
         F.col("ingest_sequence").alias("next_sequence"),

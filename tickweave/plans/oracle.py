@@ -78,7 +78,7 @@ EXPECTED = """coded AS (
          CAST(json_extract_string(props, '$.k') AS DECIMAL(18,0)) AS qty,
          CASE WHEN user_id % 2 = 0 THEN 'BUY' ELSE 'SELL' END AS side, date_trunc('millisecond', ts) AS ts_ms,
          date_trunc('millisecond', ts + INTERVAL 50 MILLISECONDS) AS received_at
-  FROM events WHERE event_id % 97 <> 0),
+  FROM events),
 items AS (
   SELECT *, 0 AS ordinal FROM coded UNION ALL
   SELECT event_id, event_type, user_id, ts, code, price, qty, CASE WHEN side = 'BUY' THEN 'SELL' ELSE 'BUY' END,

@@ -17,8 +17,8 @@ from ..operators import normalize
 from ..schemas import DEAD_LETTER, INVALID_EVENTS, NORMALIZED_TRADES, RAW_ENVELOPE
 from ..sources.tables import TableSpec, validate_for_storage, write_batch
 
-# The sink's batching limits.
-TRADE_BATCH_ROWS, CANDLE_BATCH_ROWS, FLUSH_INTERVAL = 5_000, 500, "2 seconds"
+# Fixed value: the sink's batching limit.
+FLUSH_INTERVAL = "2 seconds"
 
 
 def write_routed(envelopes: DataFrame, batch_id: int, root: str, processor_version: str) -> None:
