@@ -138,3 +138,13 @@ def test_pipeline(spark):
     assert {r.doc_id for r in placed.collect()} == set(kept)
     used = placed.groupBy("bin").agg(F.sum("piece_tokens").alias("n")).agg(F.max("n")).first()[0]
     assert used <= 2048
+
+
+def test_parities_never_differ_in_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(5)
+    for size, other, shared in [(1, 1, 0), (1, 1, 1), (60, 70, 55), (90, 120, 88), (500, 660, 495), (500, 500, 430), (3000, 3000, 0), (64, 65, 64)]:
+        pool = rng.integers(0, 1 << 63, size + other - shared).astype(np.uint64)
+        a, b = np.sort(pool[:size]), np.sort(pool[size - shared:])
+        x, y = jaccard._parities(np.repeat([0, 1], [size, other]), np.concatenate([a, b]), np.array([size, other]))
+        assert jaccard._unlike([x, y, x], [y, x, x]).tolist()[2] == 0
+        assert max(jaccard._unlike([x, y], [y, x])) <= size + other - 2 * shared

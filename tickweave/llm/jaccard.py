@@ -2,8 +2,10 @@
 
 A text's row holds its distinct word shingles. Two rows can only reach the similarity if they share one of their first
 ``n - ceil(t n) + 1`` shingles in any order common to all rows, so only these columns are multiplied: the ones
-that occur in at least two different rows name the cells of the product that can be large enough. For those cells the
-overlap counts are accumulated over blocks of columns, and cells below the bound from the two row sizes go.
+that occur in at least two different rows name the cells of the product that can be large enough. Cells go whose row sizes are
+too far apart, and those whose rows surely differ in more shingles than the sizes allow: each row has a bit for every few shingles,
+the parity of how many fall there, and as many bits as two rows differ in, so many shingles at least do they. For the cells left,
+overlap counts are accumulated over blocks of columns and held against the bound from the two sizes.
 
 Groups of near copies do not fill a square of the product. Each column first meets only two of its rows, those with the
 smallest and the largest number; linked rows become one component. Then all cells between *different* components that share
@@ -67,8 +69,29 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS, texts: int = SAMPLE_T
     return grams[order], found["count"].to_numpy(np.int64)[order]
 
 
+def _parities(row: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each text, in bits, whether the number of its shingles that fall on a place is odd: a power of two of places, one for each shingle or more."""
+    places = np.where(sizes > 0, np.int64(1) << np.ceil(np.log2(np.maximum(sizes, 64))).astype(np.int64), 0)
+    ends = np.cumsum(places)
+    at = (ends - places)[row] + (hashes & (places[row] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=int(places.sum())) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - p) // 8 : e // 8] for e, p in zip(ends.tolist(), places.tolist(), strict=True)]
+
+
+def _unlike(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Bits in which each pair of parities differs, the longer one folded to the length of the shorter: no more than shingles that only one row has."""
+    sizes = np.array([[len(x), len(y)] for x, y in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
+    out = np.zeros(len(sizes), np.int64)
+    for a, b in np.unique(sizes, axis=0).tolist():
+        these, least = np.flatnonzero((sizes[:, 0] == a) & (sizes[:, 1] == b)), min(a, b)
+        folded = [np.bitwise_xor.reduce(np.frombuffer(b"".join([side[i] for i in these]), np.uint64).reshape(len(these), -1, least // 8), axis=1)
+                  for side in (left, right)]
+        out[these] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n`` (size of the row), ``row`` (a hash of the whole row, equal for equal ones) and ``prefix`` (its first columns)."""
+    """``doc_id, n`` (size of the row), ``row`` (a hash of the whole row, equal for equal ones), ``prefix`` (its first columns) and ``parities``."""
 
     def run(frames):
         grams, level = frequent
@@ -85,51 +108,49 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: in
                 columns = (hashes[placed] >> np.uint64(64 - COLUMN_BITS)).view(np.int64)
                 length = np.where(sizes > 0, sizes - (percent * sizes + 99) // 100 + 1, 0)
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start : start + len(texts)], "n": sizes, "row": whole,
-                                    "prefix": [columns[e - s : e - s + k] for e, s, k in zip(ends, sizes, length, strict=True)]})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, row long, prefix array<long>")
-
+                                    "prefix": [columns[e - s : e - s + k] for e, s, k in zip(ends, sizes, length, strict=True)],
+                                    "parities": _parities(row, hashes, sizes)})
 
-def _filter_key(row: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
-    return mix(row.view(np.uint64) ^ mix(doc_id.view(np.uint64)))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, row long, prefix array<long>, parities binary")
 
 
-def row_filter(wanted: DataFrame) -> np.ndarray:
-    """Bits set at two places for each ``row, doc_id`` of ``wanted``: 16 bits a row, :data:`FILTER_BITS` at most."""
+def id_filter(wanted: DataFrame) -> np.ndarray:
+    """Bits set at two places for each ``doc_id`` of ``wanted``: 16 bits a row, :data:`FILTER_BITS` at most."""
     bits = 1 << 20
     while bits < min(FILTER_BITS, 16 * wanted.count()):
         bits *= 2
 
     def place(frames):
         for frame in frames:
-            key = _filter_key(frame["row"].to_numpy(np.int64), frame["doc_id"].to_numpy(np.int64))
+            key = mix(frame["doc_id"].to_numpy(np.int64).view(np.uint64))
             at = np.concatenate([key % np.uint64(bits), (key >> np.uint64(32)) % np.uint64(bits)]).astype(np.int64)
             yield pd.DataFrame({"word": at // 32, "bit": np.int64(1) << (at % 32)})
 
-    words = wanted.select("row", "doc_id").mapInPandas(place, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
+    words = wanted.select("doc_id").mapInPandas(place, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()
     out = np.zeros(bits // 32, np.uint32)
     out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
     return out
 
 
 def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: int = COLUMN_BLOCKS) -> DataFrame:
-    """``row, block, grams``: the matrix rows named by ``wanted`` (``row, doc_id``), cut into blocks of columns, in one pass over the texts
-    without a shuffle. Some others may come along, and a row may come from several tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast(row_filter(wanted))
+    """``row, block, grams``: the matrix rows of the documents named by ``wanted`` (``doc_id``), cut into blocks of columns, in one pass over
+    the texts without a shuffle. Some others may come along, and a row may come from several tasks."""
+    sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def run(frames):
         seen: set[int] = set()
         bits = sent.value
         size = np.uint64(32 * len(bits))
         for frame in frames:
-            for start, texts in buffers(frame["text"]):
+            key = mix(frame["doc_id"].to_numpy(np.int64).view(np.uint64))
+            asked = np.ones(len(frame), bool)
+            for at in (key % size, (key >> np.uint64(32)) % size):
+                asked &= (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & 1 > 0
+            for _, texts in buffers(frame["text"][asked]):
                 row, hashes = _distinct(texts, words)
                 names = _row_hash(row, hashes, len(texts))[0]
-                key = _filter_key(names, frame["doc_id"].to_numpy(np.int64)[start : start + len(texts)])
                 passed = np.ones(len(texts), bool)
-                for at in (key % size, (key >> np.uint64(32)) % size):
-                    passed &= (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & 1 > 0
-                for i in np.flatnonzero(passed):
+                for i in range(len(texts)):
                     passed[i] = int(names[i]) not in seen
                     seen.add(int(names[i]))
                 stay = passed[row]
@@ -144,19 +165,19 @@ def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: in
         .mapInPandas(run, "row long, block int, grams array<long>")
 
 
-def possible(pairs: DataFrame, members: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs ``a, b, n_a, n_b`` whose overlap on the shared first columns leaves the similarity within reach.
+def possible(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b, n_a, n_b`` of the pairs whose sizes and parities leave the similarity within reach: it is surely missed by the others."""
 
-    Up to the last shared column the overlap is known; behind it each row has so many columns left. Sizes and
-    this bound decide before any whole row is looked at.
-    """
-    left = members.select(F.col("row").alias("a"), "column", F.col("n").alias("n_a"), F.col("pos").alias("pos_a"))
-    right = members.select(F.col("row").alias("b"), "column", F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
-    counted = pairs.join(left, "a").join(right, ["b", "column"]).where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
-        .groupBy("a", "b").agg(F.count("*").alias("k"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"),
-                               F.min(F.col("n_a") - F.col("pos_a") - 1).alias("rest_a"), F.min(F.col("n_b") - F.col("pos_b") - 1).alias("rest_b"))
-    most = F.col("k") + F.least("rest_a", "rest_b")
-    return counted.where(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b")
+    def run(frames):
+        for frame in frames:
+            total = (frame["n_a"] + frame["n_b"]).to_numpy(np.int64)
+            # Least overlap that reaches the similarity, and so the most shingles that only one of the two may have.
+            most = total - 2 * -(-percent * total // (100 + percent))
+            yield frame[_unlike(frame["parities_a"].tolist(), frame["parities_b"].tolist()) <= most][["a", "b", "n_a", "n_b"]]
+
+    left, right = (nodes.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("parities").alias(f"parities_{x}")) for x in "ab")
+    return pairs.join(left, "a").join(right, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
+        .select("a", "b", "n_a", "n_b", "parities_a", "parities_b").mapInPandas(run, "a long, b long, n_a long, n_b long")
 
 
 def _hubs(pairs: DataFrame) -> DataFrame:
@@ -173,7 +194,7 @@ def _hubs(pairs: DataFrame) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    matrix = materialise(incidence(docs, nodes.join(ends, "row").select("row", F.col("first").alias("doc_id")), words), "matrix")
+    matrix = materialise(incidence(docs, nodes.join(ends, "row").select(F.col("first").alias("doc_id")), words), "matrix")
     product = pairs.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
         .join(matrix.select(F.col("row").alias("b"), "block", F.col("grams").alias("right")), ["b", "block"]) \
         .select("a", "b", "block", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
@@ -223,21 +244,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     narrow = docs.select("doc_id", "text")
     rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles")
-    nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
+    nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("parities").alias("parities"))
     nodes = materialise(nodes, "nodes")
-    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.posexplode("prefix").alias("pos", "column"))
-    shared = materialise(cells.groupBy("column").count().where("count > 1").select("column"), "shared")
-    members = materialise(cells.join(shared, "column").select("column", "row", "n", "pos").distinct(), "members")
+    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.explode("prefix").alias("column"))
     # Columns of at least two different rows, with the two that the others meet first.
-    centres = materialise(members.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres")
-    members = members.join(centres.select("column"), "column", "left_semi")
-    stars = members.join(centres, "column").select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
+    centres = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres")
+    members = materialise(cells.join(centres, "column").select("column", "row", "n", "low", "high").distinct(), "members")
+    stars = members.select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
         .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
-    stars = materialise(_hubs(materialise(possible(stars, members, percent), "possible")), "stars")
+    stars = materialise(_hubs(materialise(possible(stars, nodes, percent), "possible")), "stars")
     linked = materialise(links(narrow, nodes, stars, words, percent), "links")
     roots = components(linked)
     # Columns that still hold different components: every pair between two of them, by component, never within one.
-    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", "pos", F.coalesce("root", "row").alias("root")), "labelled")
+    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", F.coalesce("root", "row").alias("root")), "labelled")
     mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("column")
     open_rows = materialise(labelled.join(mixed, "column", "left_semi"), "open")
     groups = open_rows.select("column", "root").distinct()
@@ -248,7 +268,7 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     rest = crossing.join(left, ["column", "root_a"]).join(right, ["column", "root_b"]) \
         .where(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) \
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    rest = materialise(possible(rest, open_rows, percent), "rest")
+    rest = materialise(possible(rest, nodes, percent), "rest")
     more = materialise(links(narrow, nodes, rest, words, percent), "links")
     if not more.isEmpty():
         roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
