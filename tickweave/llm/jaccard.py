@@ -16,13 +16,15 @@ cost, never the result.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm.words import buffers, hash_words, mix, shingle_hashes
-from tickweave.session import materialise
+from tickweave.session import materialise, shared_root
 
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
@@ -191,10 +193,13 @@ def _hubs(pairs: DataFrame) -> DataFrame:
     return pairs.join(chosen, ["a", "b"])
 
 
-def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns."""
+def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, folder: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns.
+
+    The matrix rows they need stay in ``folder``, as the table ``matrix``, for as long as the result is wanted.
+    """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    matrix = materialise(incidence(docs, nodes.join(ends, "row").select(F.col("first").alias("doc_id")), words), "matrix")
+    matrix = materialise(incidence(docs, nodes.join(ends, "row").select(F.col("first").alias("doc_id")), words), "matrix", folder)
     product = pairs.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
         .join(matrix.select(F.col("row").alias("b"), "block", F.col("grams").alias("right")), ["b", "block"]) \
         .select("a", "b", "block", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
@@ -224,6 +229,13 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("row"), F.col("v").alias("root")).distinct())
 
 
+def _discard(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete stored tables that no later step reads."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the smallest id that links lead to.
 
@@ -242,24 +254,31 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    narrow = docs.select("doc_id", "text")
-    rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles")
+    spark, narrow = docs.sparkSession, docs.select("doc_id", "text")
+    folder = f"{shared_root(spark)}/near-duplicates-{uuid.uuid4().hex}"
+    rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles", folder)
     nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(
         F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("parities").alias("parities"))
-    nodes = materialise(nodes, "nodes")
+    nodes = materialise(nodes, "nodes", folder)
     cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.explode("prefix").alias("column"))
     # Columns of at least two different rows, with the two that the others meet first.
-    centres = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres")
-    members = materialise(cells.join(centres, "column").select("column", "row", "n", "low", "high").distinct(), "members")
+    centres = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres", folder)
+    members = materialise(cells.join(centres, "column").select("column", "row", "n", "low", "high").distinct(), "members", folder)
+    # The first columns are most of what is stored; what comes later goes by these rows alone.
+    rows = materialise(rows.select("doc_id", "n", "row"), "rows", folder)
+    _discard(spark, folder, "profiles", "centres")
     stars = members.select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
         .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
-    stars = materialise(_hubs(materialise(possible(stars, nodes, percent), "possible")), "stars")
-    linked = materialise(links(narrow, nodes, stars, words, percent), "links")
+    stars = materialise(_hubs(materialise(possible(stars, nodes, percent), "possible", folder)), "stars", folder)
+    linked = materialise(links(narrow, nodes, stars, folder, words, percent), "links", folder)
+    _discard(spark, folder, "matrix")
     roots = components(linked)
     # Columns that still hold different components: every pair between two of them, by component, never within one.
-    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", F.coalesce("root", "row").alias("root")), "labelled")
+    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", F.coalesce("root", "row").alias("root")), "labelled", folder)
+    _discard(spark, folder, "members")
     mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("column")
-    open_rows = materialise(labelled.join(mixed, "column", "left_semi"), "open")
+    open_rows = materialise(labelled.join(mixed, "column", "left_semi"), "open", folder)
+    _discard(spark, folder, "labelled")
     groups = open_rows.select("column", "root").distinct()
     crossing = groups.select("column", F.col("root").alias("root_a")).join(groups.select("column", F.col("root").alias("root_b")), "column") \
         .where("root_a < root_b")
@@ -268,13 +287,14 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     rest = crossing.join(left, ["column", "root_a"]).join(right, ["column", "root_b"]) \
         .where(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) \
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    rest = materialise(possible(rest, nodes, percent), "rest")
-    more = materialise(links(narrow, nodes, rest, words, percent), "links")
+    rest = materialise(possible(rest, nodes, percent), "rest", folder)
+    more = materialise(links(narrow, nodes, rest, folder, words, percent), "more", folder)
+    _discard(spark, folder, "matrix")
     if not more.isEmpty():
         roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
     named = nodes.join(roots, "row", "left").select("row", "first", F.coalesce("root", "row").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    owner = materialise(named.join(smallest, "root").select("row", "component_id"), "owner")
+    owner = materialise(named.join(smallest, "root").select("row", "component_id"), "owner", folder)
     return rows.join(owner, "row", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
