@@ -168,62 +168,68 @@ def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: in
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``a, b, n_a, n_b`` of the pairs whose sizes and parities leave the similarity within reach: it is surely missed by the others."""
+    """``a, b``, their sizes and their ``first`` ids, of the pairs whose sizes and parities leave the similarity within reach: the others surely miss it."""
+    kept = ["a", "b", "n_a", "n_b", "first_a", "first_b"]
 
     def run(frames):
         for frame in frames:
             total = (frame["n_a"] + frame["n_b"]).to_numpy(np.int64)
             # Least overlap that reaches the similarity, and so the most shingles that only one of the two may have.
             most = total - 2 * -(-percent * total // (100 + percent))
-            yield frame[_unlike(frame["parities_a"].tolist(), frame["parities_b"].tolist()) <= most][["a", "b", "n_a", "n_b"]]
+            yield frame[_unlike(frame["parities_a"].tolist(), frame["parities_b"].tolist()) <= most][kept]
 
-    left, right = (nodes.select(F.col("row").alias(x), F.col("n").alias(f"n_{x}"), F.col("parities").alias(f"parities_{x}")) for x in "ab")
+    left, right = (nodes.select(F.col("row").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "first", "parities"))) for x in "ab")
     return pairs.join(left, "a").join(right, "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) \
-        .select("a", "b", "n_a", "n_b", "parities_a", "parities_b").mapInPandas(run, "a long, b long, n_a long, n_b long")
+        .select(*kept, "parities_a", "parities_b").mapInPandas(run, ", ".join(f"{c} long" for c in kept))
 
 
 def _hubs(pairs: DataFrame) -> DataFrame:
     """Of the pairs, for each row the one with the partner that has most pairs (ties: the smallest)."""
-    ends = pairs.select("a", "b", F.explode(F.array(F.struct(F.col("a").alias("row"), F.col("b").alias("other")),
-                                                    F.struct(F.col("b").alias("row"), F.col("a").alias("other")))).alias("e")).select("e.*")
-    degree = ends.groupBy("row").agg(F.count("*").alias("degree"))
-    best = ends.join(degree.select(F.col("row").alias("other"), "degree"), "other") \
-        .groupBy("row").agg(F.max(F.struct("degree", (-F.col("other")).alias("minus"))).alias("m")).select("row", (-F.col("m.minus")).alias("other"))
-    chosen = best.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
-    return pairs.join(chosen, ["a", "b"])
-
-
-def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, folder: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Pairs ``a, b`` of ``pairs`` (``a, b, n_a, n_b``) that reach the similarity: overlaps are summed over the blocks of columns.
+    own, other = (("a", "n_a", "first_a"), ("b", "n_b", "first_b")), (("b", "n_b", "first_b"), ("a", "n_a", "first_a"))
+    ends = pairs.select(F.explode(F.array(*(
+        F.struct(*(F.col(c).alias(f"{side}_{name}") for side, columns in (("own", x), ("other", y)) for name, c in zip(("row", "n", "first"), columns, strict=True)))
+        for x, y in (own, other)))).alias("e")).select("e.*")
+    degree = ends.groupBy("own_row").agg(F.count("*").alias("degree")).select(F.col("own_row").alias("other_row"), "degree")
+    # The pair travels with its degree, so that it need not be looked up again.
+    best = ends.join(degree, "other_row").groupBy("own_row").agg(
+        F.max(F.struct("degree", (-F.col("other_row")).alias("minus"), "own_n", "own_first", "other_n", "other_first")).alias("m")) \
+        .select("own_row", (-F.col("m.minus")).alias("other_row"), "m.*")
+    up = F.col("own_row") < F.col("other_row")
+    return best.select(F.least("own_row", "other_row").alias("a"), F.greatest("own_row", "other_row").alias("b"),
+                       *(F.when(up == (x == "a"), F.col(f"own_{c}")).otherwise(F.col(f"other_{c}")).alias(f"{c}_{x}") for c in ("n", "first") for x in "ab")).distinct()
+
+
+def links(docs: DataFrame, pairs: DataFrame, folder: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``a, b`` of ``pairs`` (columns of :func:`possible`) that reach the similarity: overlaps are summed over the blocks of columns.
 
     The matrix rows they need stay in ``folder``, as the table ``matrix``, for as long as the result is wanted.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    matrix = materialise(incidence(docs, nodes.join(ends, "row").select(F.col("first").alias("doc_id")), words), "matrix", folder)
+    ends = pairs.select(F.explode(F.array("first_a", "first_b")).alias("doc_id")).distinct()
+    matrix = materialise(incidence(docs, ends, words), "matrix", folder)
     product = pairs.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
         .join(matrix.select(F.col("row").alias("b"), "block", F.col("grams").alias("right")), ["b", "block"]) \
         .select("a", "b", "block", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
-    both = product.groupBy("a", "b", "block").agg(F.max("overlap").alias("overlap"), (F.max("n_a") + F.max("n_b")).alias("n")) \
-        .groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.max("n").alias("n"))
+    # A row that came from several tasks brings a block's overlap several times: the largest counts, once.
+    parts = [F.coalesce(F.max(F.when(F.col("block") == k, F.col("overlap"))), F.lit(0)) for k in range(COLUMN_BLOCKS)]
+    both = product.groupBy("a", "b").agg(sum(parts[1:], parts[0]).alias("overlap"), (F.max("n_a") + F.max("n_b")).alias("n"))
     return both.where(100 * F.col("overlap") >= percent * (F.col("n") - F.col("overlap"))).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``row, root`` of every row with a link: root is the smallest row of its component. Alternating stars, stored after each round."""
-    spark = edges.sparkSession
-    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # Larger neighbours move to the smallest one.
-        large = materialise(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        # Larger neighbours move to the smallest one: no more edges than before, so that repeated ones can wait.
+        large = materialise(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         # Smaller neighbours, and the row itself, move to the smallest of them.
         edges = materialise(large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
                             .where("u <> v").distinct(), "edges")
-        facts = edges.groupBy("u").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()
-        chained = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-        if not chained and (facts["n"] or 1) == 1:
+        # Done when no row has two smaller neighbours, or a smaller and a larger one.
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("row"), F.lit(1).alias("up")), F.struct(F.col("v").alias("row"), F.lit(0).alias("up")))).alias("e"))
+        if ends.groupBy("e.row").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("least")).where("up > 1 or up = 1 and least = 0").isEmpty():
             break
     return edges.select(F.col("u").alias("row"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("row"), F.col("v").alias("root")).distinct())
@@ -270,7 +276,7 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     stars = members.select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
         .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
     stars = materialise(_hubs(materialise(possible(stars, nodes, percent), "possible", folder)), "stars", folder)
-    linked = materialise(links(narrow, nodes, stars, folder, words, percent), "links", folder)
+    linked = materialise(links(narrow, stars, folder, words, percent), "links", folder)
     _discard(spark, folder, "matrix")
     roots = components(linked)
     # Columns that still hold different components: every pair between two of them, by component, never within one.
@@ -288,10 +294,11 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
         .where(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) \
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     rest = materialise(possible(rest, nodes, percent), "rest", folder)
-    more = materialise(links(narrow, nodes, rest, folder, words, percent), "more", folder)
-    _discard(spark, folder, "matrix")
-    if not more.isEmpty():
-        roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
+    if not rest.isEmpty():
+        more = materialise(links(narrow, rest, folder, words, percent), "more", folder)
+        _discard(spark, folder, "matrix")
+        if not more.isEmpty():
+            roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
     named = nodes.join(roots, "row", "left").select("row", "first", F.coalesce("root", "row").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     owner = materialise(named.join(smallest, "root").select("row", "component_id"), "owner", folder)
