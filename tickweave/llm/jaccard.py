@@ -10,8 +10,8 @@ overlap counts are accumulated over blocks of columns and held against the bound
 Groups of near copies do not fill a square of the product. Each column first meets only two of its rows, those with the
 smallest and the largest number; linked rows become one component. Then all cells between *different* components that share
 such a column are worked out too, so that no component is missed, and cells inside a component, which could join nothing, are not.
-Equal rows are one row throughout. The common order puts shingles that a sample finds frequent last; it decides the
-cost, never the result.
+Equal rows are one row throughout. The common order puts frequent shingles last; it decides the cost, never the
+result.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from tickweave.session import materialise, shared_root
 
 #: Words of a shingle; least similarity in percent.
 WORDS, PERCENT = 5, 75
-#: Texts whose frequent shingles are put last in the common order, and the most shingles that are.
-SAMPLE_TEXTS, MOST_FREQUENT = 16_000, 400_000
+#: Texts of the sample for frequent shingles; most shingles that it, and the count over all texts after it, each put last in the common
+#: order; and the number of texts from which all count alike when they are chosen.
+SAMPLE_TEXTS, MOST_FREQUENT, LEVELS = 16_000, 400_000, 1024
 #: Blocks of columns in which overlaps are counted, and bits of a column's number that name it in the candidate search.
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 #: Most bits of the filter that keeps unwanted texts out of a pass. Beyond it more texts pass, and the joins drop them.
@@ -54,8 +55,29 @@ def _row_hash(row: np.ndarray, hashes: np.ndarray, texts: int) -> tuple[np.ndarr
     return mix(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64)).view(np.int64), sizes
 
 
-def frequent_shingles(docs: DataFrame, words: int = WORDS, texts: int = SAMPLE_TEXTS, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least three texts of a bounded sample, sorted, with their number of texts there. Only the order of columns uses it."""
+def _prefix_lengths(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Number of first columns of which two rows that reach the similarity share one."""
+    return np.where(sizes > 0, sizes - (percent * sizes + 99) // 100 + 1, 0)
+
+
+def _in_order(row: np.ndarray, hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Positions of the shingles by row and common order: how frequent they are, then hash."""
+    grams, level = frequent
+    order = np.zeros(len(hashes), np.int64)
+    if len(grams):
+        at = np.minimum(np.searchsorted(grams, hashes), len(grams) - 1)
+        order = np.where(grams[at] == hashes, level[at], 0)
+    return np.lexsort((hashes, order, row))
+
+
+def _sorted_counts(found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    grams = found["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], found["count"].to_numpy(np.int64)[order]
+
+
+def sampled_shingles(docs: DataFrame, words: int = WORDS, texts: int = SAMPLE_TEXTS, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in at least three texts of a bounded sample, sorted, with their number of texts as it would be in all rows."""
     rows = docs.count()
     share = min(1 << 20, int((1 << 20) * texts / max(rows, 1)) + 1)
     sample = docs.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 20)) < share).select("text").limit(2 * texts)
@@ -66,9 +88,39 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS, texts: int = SAMPLE_T
                 yield pd.DataFrame({"gram": _distinct(run, words)[1].view(np.int64)})
 
     found = sample.mapInPandas(count, "gram long").groupBy("gram").count().where("count >= 3").orderBy(F.desc("count"), "gram").limit(most).toPandas()
-    grams = found["gram"].to_numpy(np.int64).view(np.uint64)
+    grams, counts = _sorted_counts(found)
+    return grams, counts * (1 << 20) // share
+
+
+def frequent_shingles(docs: DataFrame, folder: str, words: int = WORDS, percent: int = PERCENT, most: int = MOST_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, with their number of texts. Only the order of columns uses them.
+
+    A sample finds those that are frequent anywhere. Of the others, those that then come first in some text are counted over
+    all texts; equally frequent ones are in or out together, down to three texts and ``most`` shingles.
+    """
+    sampled = sampled_shingles(docs, words, most=most)
+
+    def first(frames):
+        for frame in frames:
+            for _, run in buffers(frame["text"]):
+                row, hashes = _distinct(run, words)
+                sizes = np.bincount(row, minlength=len(run))
+                place = np.arange(len(row)) - (np.cumsum(sizes) - sizes)[row]
+                grams = hashes[_in_order(row, hashes, sampled)][place < _prefix_lengths(sizes, percent)[row]]
+                yield pd.DataFrame({"gram": grams[~np.isin(grams, sampled[0])].view(np.int64)})
+
+    counts = materialise(docs.select("text").mapInPandas(first, "gram long").groupBy("gram").count().where("count >= 3"), "counts", folder)
+    level = F.least("count", F.lit(LEVELS))
+    least, total = LEVELS, 0
+    for at, grams in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("grams")).collect(), reverse=True):
+        total += grams
+        if total > most:
+            break
+        least = at
+    counted = _sorted_counts(counts.where(F.col("count") >= least).limit(most).toPandas())
+    grams, level = (np.concatenate(both) for both in zip(sampled, counted, strict=True))
     order = np.argsort(grams)
-    return grams[order], found["count"].to_numpy(np.int64)[order]
+    return grams[order], level[order]
 
 
 def _parities(row: np.ndarray, hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -96,19 +148,14 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: in
     """``doc_id, n`` (size of the row), ``row`` (a hash of the whole row, equal for equal ones), ``prefix`` (its first columns) and ``parities``."""
 
     def run(frames):
-        grams, level = frequent
         for frame in frames:
             for start, texts in buffers(frame["text"]):
                 row, hashes = _distinct(texts, words)
                 whole, sizes = _row_hash(row, hashes, len(texts))
                 ends = np.cumsum(sizes)
-                order = np.zeros(len(hashes), np.int64)
-                if len(grams):
-                    at = np.minimum(np.searchsorted(grams, hashes), len(grams) - 1)
-                    order = np.where(grams[at] == hashes, level[at], 0)
-                placed = np.lexsort((hashes, order, row))
+                placed = _in_order(row, hashes, frequent)
                 columns = (hashes[placed] >> np.uint64(64 - COLUMN_BITS)).view(np.int64)
-                length = np.where(sizes > 0, sizes - (percent * sizes + 99) // 100 + 1, 0)
+                length = _prefix_lengths(sizes, percent)
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start : start + len(texts)], "n": sizes, "row": whole,
                                     "prefix": [columns[e - s : e - s + k] for e, s, k in zip(ends, sizes, length, strict=True)],
                                     "parities": _parities(row, hashes, sizes)})
@@ -262,7 +309,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark, narrow = docs.sparkSession, docs.select("doc_id", "text")
     folder = f"{shared_root(spark)}/near-duplicates-{uuid.uuid4().hex}"
-    rows = materialise(profiles(narrow, frequent_shingles(narrow, words), words, percent), "profiles", folder)
+    rows = materialise(profiles(narrow, frequent_shingles(narrow, folder, words, percent), words, percent), "profiles", folder)
+    _discard(spark, folder, "counts")
     nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(
         F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("parities").alias("parities"))
     nodes = materialise(nodes, "nodes", folder)
