@@ -173,3 +173,10 @@ def test_trace_walk_and_alert_rules(spark):
     assert alerts.dedupe_alerts(twice).count() == 1
     assert alerts.active_alerts(twice, F.lit(at(700)).cast("timestamp"), 200_000).count() == 1
     assert alerts.active_alerts(twice, F.lit(at(900)).cast("timestamp"), 200_000).count() == 0
+
+
+def test_lineage_shows_orphans(spark):
+    derived = spark.createDataFrame([("t1", "e1"), ("t2", "gone"), ("t3", None)], "trade_id string, source_event_id string")
+    sources = spark.createDataFrame([("e1", "x1", "c0", 4)], "event_id string, trace_id string, source_connection_id string, ingest_sequence long")
+    got = {r.trade_id: (r.source_trace_id, r.orphan) for r in serving.lineage(derived, sources).collect()}
+    assert got == {"t1": ("x1", False), "t2": (None, True), "t3": (None, True)}

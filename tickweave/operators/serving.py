@@ -75,10 +75,10 @@ def instrument_health(trades: DataFrame, invalid: DataFrame, as_of: Column, stal
 
 
 def lineage(derived: DataFrame, sources: DataFrame) -> DataFrame:
-    """Derived rows with their source envelope, by ``source_event_id``."""
+    """Derived rows with their source envelope, by ``source_event_id``; ``orphan`` marks those whose envelope is not in ``sources``."""
     origin = sources.select(F.col("event_id").alias("source_event_id"), F.col("trace_id").alias("source_trace_id"),
-                            F.col("source_connection_id"), F.col("ingest_sequence"))
-    return derived.join(origin, "source_event_id")
+                            F.col("source_connection_id"), F.col("ingest_sequence"), F.lit(False).alias("orphan"))
+    return derived.join(origin, "source_event_id", "left").withColumn("orphan", F.coalesce("orphan", F.lit(True)))
 
 
 def trace_walk(trace_id: str, **stages: DataFrame) -> DataFrame:
