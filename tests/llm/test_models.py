@@ -84,6 +84,17 @@ def test_html_rows(spark):
     assert html.main_text(html.train(), [deep]) in (["word " * 49 + "word"], [""])
 
 
+def test_html_takes_every_block_tag():
+    model, long = html.train(), "many words of a paragraph that belongs to the article and says something at length. " * 4
+    for tag in sorted(html.BLOCKS):
+        # Bare, and within an article between two of its paragraphs.
+        html.main_text(model, [f"<{tag}>some text</{tag}>"])
+        text = html.main_text(model, [f"<body><article><h1>Head</h1><p>{long}</p><{tag}>inner words</{tag}><p>{long}</p></article></body>"])[0]
+        assert text.startswith("Head many words")
+        if tag in ("address", "details", "summary"):
+            assert "inner words" in text, tag
+
+
 def brute(texts):
     sets, parent = {}, {}
     for i, t in texts.items():

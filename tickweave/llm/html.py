@@ -33,9 +33,9 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}), "body": ({"head"}, {"html"})}
 KINDS = [{"nav", "menu"}, {"header", "hgroup"}, {"footer"}, {"aside"}, {"form", "fieldset", "dialog", "legend"}, {"article"}, {"main"}, {"section"},
-         {"h1", "h2"}, {"h3", "h4", "h5", "h6"}, {"p"}, {"ul", "ol", "dl"}, {"li", "dt", "dd"}, {"table", "tbody", "thead", "tfoot", "tr"},
-         {"td", "th"}, {"div", "center"}, {"blockquote", "pre", "figure", "figcaption"}, {"body", "html"}, {"head"}]
-VAGUE = ["div", "center", "td", "th", "table", "section", "body", "html"]
+         {"h1", "h2"}, {"h3", "h4", "h5", "h6", "summary"}, {"p", "address"}, {"ul", "ol", "dl"}, {"li", "dt", "dd"}, {"table", "tbody", "thead", "tfoot", "tr"},
+         {"td", "th"}, {"div", "center", "details"}, {"blockquote", "pre", "figure", "figcaption"}, {"body", "html"}, {"head"}]
+VAGUE = ["div", "center", "details", "td", "th", "table", "section", "body", "html"]
 #: Beginnings of the parts of class, id and role names that speak against or for the article.
 AGAINST = ("nav", "menu", "sidebar", "side", "footer", "header", "masthead", "cookie", "consent", "notice", "alert", "banner", "comment", "share", "sharing", "social",
            "related", "recommend", "promo", "sponsor", "advert", "breadcrumb", "login", "signup", "subscri", "newsletter", "popup", "modal", "widget", "copyright", "contentinfo",
@@ -113,6 +113,7 @@ class Page:
 
 
 _KIND = {tag: i for i, tags in enumerate(KINDS) for tag in tags}
+assert BLOCKS == _KIND.keys(), BLOCKS ^ _KIND.keys()  # every node has a kind
 _WIDTH = len(KINDS) + 8
 
 
