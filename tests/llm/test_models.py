@@ -57,6 +57,22 @@ def test_classifier_keeps_clean_and_rejects_junk(spark):
     assert quality_classifier.judge(docs.limit(0), labels).count() == 0
 
 
+def test_classifier_thresholds_come_from_all_trusted_documents(spark):
+    ids = [r.id for r in spark.range(24_000).orderBy(F.xxhash64("id"), "id").collect()]
+    rng = np.random.default_rng(4)
+
+    def text(letters):
+        return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(8))
+
+    # The last by hash are of another language and alphabet: none of them is among those fitted on.
+    rows = [(i, text("abcdefgh"), "en") for i in ids[:-50]] + [(i, text("äöüßéèçñ"), "xx") for i in ids[-50:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    limits = {r.lang: r for r in quality_classifier.judge(docs, labels).groupBy("lang").agg(
+        F.max("max_perplexity").alias("limit"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert limits["xx"].kept == 50 and limits["xx"].limit > 2 * limits["en"].limit
+
+
 def test_kneser_ney_adds_up(spark):
     table = quality_classifier.character_classes([ord(c) for c in "abcdefgh"])
     counts = quality_classifier.gram_counts(spark.createDataFrame([("abc abd",), ("hgf",), (None,)], "text string"), table)
