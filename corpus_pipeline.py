@@ -25,10 +25,21 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every component of near copies."""
-    # Decided on ids; rows that repeat an id and are kept stay rows.
-    stay = jaccard.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    """One row of every component of near copies: that of the smallest id (null last), of its copies the smallest row.
+
+    Decided on rows: a row's key is a 64-bit hash of its id and text, the same whenever it is read, so that texts that repeat an id and
+    texts without one are told apart. Texts without words link with nothing and all stay.
+    """
+    # A null id and a null text are told from all others by their marks.
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    worded = docs.where(F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))).withColumn("row_key", key)
+    near = jaccard.near_duplicates(worded.select(F.col("row_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    ids = worded.select("row_key", "doc_id").distinct()
+    stay = near.join(ids, "row_key").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("m")) \
+        .select(F.col("m.row_key").alias("row_key"))
+    # Rows with the same id and text become one.
+    kept = worded.join(stay, "row_key", "left_semi").groupBy("row_key").agg(F.min(F.struct(*docs.columns)).alias("m")).select("m.*")
+    return kept.union(docs.where(~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)))).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

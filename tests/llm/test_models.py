@@ -176,6 +176,18 @@ def test_pipeline(spark):
     assert used <= 2048
 
 
+def test_near_duplicates_stage_decides_on_rows(spark):
+    rng = np.random.default_rng(8)
+    make = lambda: " ".join("w" + str(x) for x in rng.integers(0, 10**6, 60))
+    a, b, c, d, e = (make() for _ in range(5))
+    near = lambda t: t + " tail"
+    stay = [(3, a, "s"), (7, b, "s"), (None, c, "s"), (None, d, "s"), (9, e, "r"), (10, "", "s"), (10, "", "s"), (None, None, "s"), (None, " ", "s")]
+    go = [(7, near(a), "s"), (None, near(a), "s"), (None, c, "s"), (9, e, "s"), (9, near(e), "s"), (11, e, "s")]
+    docs = spark.createDataFrame(stay + go, "doc_id long, text string, source string")
+    out = corpus_pipeline.near_duplicates_stage(spark, docs, SF)
+    assert out.columns == docs.columns and Counter(tuple(r) for r in out.collect()) == Counter(stay)
+
+
 def test_parities_never_differ_in_more_bits_than_sets_in_shingles():
     rng = np.random.default_rng(5)
     for size, other, shared in [(1, 1, 0), (1, 1, 1), (60, 70, 55), (90, 120, 88), (500, 660, 495), (500, 500, 430), (3000, 3000, 0), (64, 65, 64)]:
