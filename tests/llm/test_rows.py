@@ -109,6 +109,19 @@ def test_packing_places_odd_rows(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_packing_keeps_near_copies_apart(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    base_words = ["w" + str(x) for x in rng.integers(0, 10**6, 60)]
+    texts = [" ".join(base_words + [f"end{i}"]) for i in range(6)]
+    other = [" ".join("v" + str(x) for x in rng.integers(0, 10**6, 60)) for _ in range(6)]
+    rows = [(i, t, None, f"s{i}") for i, t in enumerate(texts + other)] + [(None, texts[0], None, "n"), (50, "", None, "n"), (51, None, None, "n")]
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.QUERIES["op10_packing"](spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    near = [r.bin for r in out if r.doc_id is None or r.doc_id < 6]
+    assert len(near) == 7 == len(set(near))
+
+
 def test_curves_find_the_nearest(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     out = curves.search(vectors, F.col("vec_id") % 10 == 0).collect()

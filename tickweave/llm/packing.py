@@ -18,6 +18,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickweave.llm import jaccard
+from tickweave.session import materialise
+
 #: Tokens in a bin, and rows a block packs on average.
 CAPACITY, BLOCK_ROWS = 2048, 2048
 #: Documents of one source that a bin may hold.
@@ -111,4 +114,11 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    key = F.xxhash64(F.col("text").isNull(), "text").alias("near_key")
+    # The near-duplicate join goes by texts, whatever their ids; texts without words have no component.
+    near = jaccard.near_duplicates(docs.where(copy_cluster(F.col("text")).isNotNull()).select(key.alias("doc_id"), "text")) \
+        .select(F.col("doc_id").alias("near_key"), F.col("component_id").cast("string").alias("component")).distinct()
+    rows = docs.select("doc_id", n_tokens(F.col("text")).alias("n"), copy_cluster(F.col("text")).alias("copy"), "source", key) \
+        .join(near, "near_key", "left").select("doc_id", "n", F.coalesce("component", "copy").alias("cluster"), "source")
+    return pack(materialise(rows, "packing"), F.col("n"), F.col("cluster"), F.col("source"))
