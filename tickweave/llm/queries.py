@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickweave.llm import bpe, curves, html, jaccard, lm, packing, quality_classifier, quality_rules, repair, repair_sql, sharding, simhash, tokens
+from tickweave.llm import bpe, collocations, curves, html, jaccard, lm, packing, quality_classifier, quality_rules, repair, repair_sql, sharding, simhash, tokens
 
 QUERIES = {
     "op1_ann_curves": curves.op1_ann_curves,
@@ -17,7 +17,9 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
     "op11_conversation_repair": repair.op11_conversation_repair,
     "op12_simhash_near_dedup": simhash.op12_simhash_near_dedup,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 ORACLES: dict[str, str] = {
     "op11_conversation_repair": repair_sql.SQL,
+    "op13_phrase_collocations": collocations.SQL,
 }
