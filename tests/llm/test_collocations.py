@@ -132,10 +132,10 @@ def test_transducers_against_counters(seed):
         grams, counts = automata.sorted_grams(rows, len(words) + 1)
         assert [tuple(g) for g in grams] == sorted(tuple(r) for r in {tuple(x) for x in rows.tolist()})
         parts.append(automata.Transducer.unpack(automata.build(grams, counts, words).pack()))
-    total, got = automata.unite(parts, 3, [])
+    total, got = automata.unite([*parts], 3, [])
     assert total == 1200 and dict(got) == {g: c for g, c in want.items() if c >= 3}
     # Prefixes of an end are given whatever their weight.
-    _, got = automata.unite(parts, 10**9, [[words[0], words[1]]])
+    _, got = automata.unite([*parts], 10**9, [[words[0], words[1]]])
     assert set(dict(got)) <= {words[0], words[0] + b" " + words[1]} and dict(got)[words[0]] == want[words[0]]
 
 

@@ -112,26 +112,28 @@ def unite(parts: list[Transducer], least: int, ends: list[list[bytes]]) -> tuple
     """Weight of all, and the n-grams (words joined by a space) that have at least ``least`` together, with their weights.
 
     ``ends`` are n-grams at which the range of the transducers ends: their prefixes may go on in other ranges and are given, and followed,
-    whatever their weight.
+    whatever their weight. The list of transducers is emptied, so that they are not held beside the arrays made of them.
     """
     words = pa.chunked_array([p.words for p in parts], pa.binary()).combine_chunks().dictionary_encode()
-    known, index = words.dictionary.to_pylist(), words.indices.to_numpy().astype(np.int64)
+    known, index = words.dictionary.to_pylist(), words.indices.to_numpy()
     number = {w: k for k, w in enumerate(known)} if ends else {}
     states = np.cumsum([0, *(len(p.arcs) for p in parts)])
     vocab = np.cumsum([0, *(len(p.words) for p in parts)])
-    arcs = np.concatenate([p.arcs for p in parts]).astype(np.int64)
-    first = np.cumsum(arcs) - arcs
+    arcs = np.concatenate([p.arcs for p in parts])
+    first = np.cumsum(arcs, dtype=np.int64) - arcs
     label = np.concatenate([index[v + p.label] for v, p in zip(vocab, parts)])
     weight = np.concatenate([p.weight for p in parts])
     # Leaves of all transducers are one state: nothing to follow.
     target = np.concatenate([np.where(p.target > 0, p.target + s, 0) for s, p in zip(states, parts)])
-    group, state = np.zeros(len(parts), np.int64), states[1:] - 1
+    parts.clear()
+    group, state = np.zeros(len(states) - 1, np.int64), states[1:] - 1
     paths, on_end = [b""], [np.ones(1, bool) for _ in ends]
     total, found = 0, []
     for d in range(DEPTH):
         ways = arcs[state]
         at = np.repeat(first[state] - (np.cumsum(ways) - ways), ways) + np.arange(ways.sum())
-        key, place = np.unique(np.repeat(group, ways) * len(known) + label[at], return_inverse=True)
+        asked = np.repeat(group, ways) * len(known) + label[at]
+        key, place = np.unique(asked, return_inverse=True)
         # Exact below 2**53.
         summed = np.bincount(place, weights=weight[at], minlength=len(key)).astype(np.int64)
         total = int(summed.sum()) if d == 0 else total
@@ -144,9 +146,8 @@ def unite(parts: list[Transducer], least: int, ends: list[list[bytes]]) -> tuple
         paths = [known[w] if d == 0 else paths[a] + b" " + known[w] for a, w in zip(above[chosen].tolist(), word[chosen].tolist())]
         found += zip(paths, summed[chosen].tolist())
         on_end = [flags[chosen] for flags in on_end]
-        place = (np.cumsum(kept) - 1)[place] if len(kept) else place
-        follow = kept[np.searchsorted(key, np.repeat(group, ways) * len(known) + label[at])] & (target[at] > 0)
-        group, state = place[follow], target[at][follow]
+        follow = kept[place] & (target[at] > 0)
+        group, state = (np.cumsum(kept) - 1)[place[follow]], target[at[follow]]
     return total, found
 
 

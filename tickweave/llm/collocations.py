@@ -25,7 +25,7 @@ from tickweave.session import materialise
 LEAST = 100
 TOP = 2000
 #: Words whose n-grams one transducer of a task holds; words of a range, and phrases of a range of the composition.
-SHARD_WORDS, RANGE_WORDS, RANGE_PHRASES = 1 << 21, 1 << 22, 1 << 18
+SHARD_WORDS, RANGE_WORDS, RANGE_PHRASES = 1 << 21, 1 << 20, 1 << 18
 #: Ranges at most, so that their ends stay small (beyond it ranges grow). A word of an end is cut to END_BYTES, which moves the end and no count.
 MOST_RANGES, END_BYTES = 1 << 17, 32
 #: About so many documents, and of them every so many words, place the ends of ranges. They change how even ranges are, never a count.
