@@ -61,7 +61,7 @@ def messages(spark, *feeds):
 
 
 def run(spark, *feeds, chunk_messages=2, **limits):
-    return book.reconstruct(messages(spark, *feeds), book.plain_digits(*TEXT), chunk_messages=chunk_messages, **limits)
+    return book.reconstruct(messages(spark, *feeds), book.plain_digits(*TEXT), chunk_messages=chunk_messages, limits=book.Limits(**limits))
 
 
 def states(spark, feed, **limits):
@@ -74,7 +74,7 @@ def test_snapshot_update_removal_mismatch_snapshot(spark):
     assert states(spark, feed) == ["LIVE", "LIVE", "LIVE", "INVALID", "RESYNCHRONISING", "LIVE"]
     judged = run(spark, feed)
     assert [r.reason for r in book.book_quarantine(judged, "v").collect()] == ["CHECKSUM_MISMATCH"]
-    assert [r.requested_at for r in book.resync_requests(judged).collect()] == [at(3)]
+    assert [r.requested_at for r in book.resync_requests(book.transitions(judged)).collect()] == [at(3)]
     assert sorted(r.event_time for r in book.book_metrics(judged).collect()) == [at(0), at(1), at(2), at(5)]
 
 
@@ -103,15 +103,41 @@ def test_crossed_and_negative_books_are_impossible(spark):
 
 def test_silence(spark):
     feed = Feed().snapshot(0).update(30, bids=[(98, 1)]).update(130, bids=[(97, 1)]).update(131, bids=[(96, 1)]).snapshot(132)
-    judged = run(spark, feed, stale_ms=10_000, resync_ms=60_000)
+    limits = book.Limits(stale_ms=10_000, resync_ms=60_000, answer_ms=30_000, requests=2)
+    judged = book.reconstruct(messages(spark, feed), book.plain_digits(*TEXT), chunk_messages=2, limits=limits)
     assert [r.book_state for r in judged.orderBy("src_offset").collect()] == [
         "LIVE", "LIVE", "RESYNCHRONISING", "RESYNCHRONISING", "LIVE"]
-    moves = [(r["at"], r.from_state, r.to_state) for r in book.transitions(judged).orderBy("at", "to_state").collect()]
-    assert moves == [
-        (at(0), "UNINITIALISED", "LIVE"), (at(10), "LIVE", "STALE"), (at(30), "STALE", "LIVE"), (at(40), "LIVE", "STALE"),
-        (at(90), "STALE", "RESYNCHRONISING"), (at(132), "RESYNCHRONISING", "LIVE")]
-    now = {s: book.book_current(judged, F.lit(at(s))).collect()[0].book_state for s in (133, 150, 300)}
-    assert now == {133: "LIVE", 150: "STALE", 300: "RESYNCHRONISING"}
+    moves = {(r["at"], r.from_state, r.to_state) for r in book.transitions(judged, limits, F.lit(at(1000))).collect()}
+    assert moves == {
+        (at(0), "UNINITIALISED", "LOADING_SNAPSHOT"), (at(0), "LOADING_SNAPSHOT", "LIVE"), (at(10), "LIVE", "STALE"),
+        (at(30), "STALE", "LIVE"), (at(40), "LIVE", "STALE"), (at(90), "STALE", "RESYNCHRONISING"),
+        # Asked for at 90, failed at 120, asked for again and answered at 132.
+        (at(120), "RESYNCHRONISING", "INVALID"), (at(120), "INVALID", "RESYNCHRONISING"),
+        (at(132), "RESYNCHRONISING", "LOADING_SNAPSHOT"), (at(132), "LOADING_SNAPSHOT", "LIVE"),
+        # Silent to the end of the log: stale, given up, asked for twice, invalid for good.
+        (at(142), "LIVE", "STALE"), (at(192), "STALE", "RESYNCHRONISING"), (at(222), "RESYNCHRONISING", "INVALID"),
+        (at(222), "INVALID", "RESYNCHRONISING"), (at(252), "RESYNCHRONISING", "INVALID")}
+    now = {s: book.book_current(judged, F.lit(at(s)), limits).collect()[0].book_state for s in (133, 150, 200, 300)}
+    assert now == {133: "LIVE", 150: "STALE", 200: "RESYNCHRONISING", 300: "INVALID"}
+
+
+def test_messages_without_a_checksum_are_not_trusted(spark):
+    feed = Feed().snapshot(0).update(1, bids=[(98, 1)])
+    feed.rows[1] = (*feed.rows[1][:5], None, *feed.rows[1][6:])
+    assert states(spark, feed) == ["LIVE", "INVALID"]
+    assert states(spark, feed, trust_unchecked=True) == ["LIVE", "LIVE"]
+
+
+def test_levels_below_the_depth_come_back(spark):
+    """Twelve levels a side: the best ten are shown, all are held, and removing the best ones brings the others up."""
+    feed = Feed().snapshot(0, [(99 - i, i + 1) for i in range(12)], [(101 + i, i + 1) for i in range(12)])
+    feed.update(1, bids=[(99, 0), (98, 0), (97, 0)]).update(2, asks=[(120, 3)])
+    numbered = book.number(messages(spark, feed), 2)
+    shown = book.apply_deltas(numbered).orderBy("src_offset").collect()
+    assert [[int(x.price) for x in r.book_bids] for r in shown] == [list(range(99, 89, -1)), list(range(96, 87, -1)), list(range(96, 87, -1))]
+    [whole] = book.with_levels(book.book_current(run(spark, feed)), numbered).collect()
+    assert {x.price: x.quantity for x in whole.book_bids} == feed.bids and {x.price: x.quantity for x in whole.book_asks} == feed.asks
+    assert [x.price for x in whole.book_bids] == sorted(feed.bids, reverse=True) and [x.price for x in whole.book_asks] == sorted(feed.asks)
 
 
 def test_sequences_when_a_source_has_them(spark):
@@ -119,7 +145,7 @@ def test_sequences_when_a_source_has_them(spark):
             .update(3, bids=[(97, 1)], sequence=4))
     kept = book.idempotent_updates(messages(spark, feed))
     assert [r.sequence for r in kept.orderBy("src_offset").collect()] == [1, 2, 4]
-    judged = book.reconstruct(kept, book.plain_digits(*TEXT), use_sequence=True).orderBy("src_offset").collect()
+    judged = book.reconstruct(kept, book.plain_digits(*TEXT), limits=book.Limits(use_sequence=True)).orderBy("src_offset").collect()
     assert [(r.book_state, r.fault) for r in judged][-1] == ("INVALID", "SEQUENCE_GAP")
 
 
@@ -129,7 +155,8 @@ def test_metrics(spark):
     assert (m.best_bid, m.best_ask, m.mid_price, m.spread, m.spread_bps) == (99, 101, 100, 2, 200)
     assert (m.weighted_mid, m.bid_depth, m.ask_depth, m.imbalance) == (Decimal("100.5"), 5, 5, 0)
     assert m.checksum_verified
-    [one_level] = book.book_metrics(run(spark, feed), depth=1).collect()
+    [one_level] = book.book_metrics(book.judge(book.number(messages(spark, feed)), book.plain_digits(*TEXT), 1, limits=book.Limits(trust_unchecked=True))
+                                    .withColumn("book_state", F.lit("LIVE"))).collect()
     assert (one_level.bid_depth, one_level.ask_depth, one_level.imbalance) == (3, 1, Decimal("0.5"))
 
 
@@ -150,13 +177,15 @@ def test_chunked_rebuild_equals_sequential_replay(spark, chunk_messages):
                 quantity = 0 if Decimal(price) in held and rng.random() < 0.4 else rng.randint(1, 9)
                 feed.update(second, [(price, quantity)] if side else (), () if side else [(price, quantity)])
         feeds.append(feed)
-    got = run(spark, *feeds, chunk_messages=chunk_messages).orderBy("src_offset").collect()
+    rebuilt = book.checksum_verify(book.apply_deltas(book.number(messages(spark, *feeds), chunk_messages)), book.plain_digits(*TEXT))
+    got = rebuilt.orderBy("src_offset").collect()
+    assert {r.book_state for r in run(spark, *feeds, chunk_messages=chunk_messages).select("book_state").distinct().collect()} == {"LIVE"}
     want = [row for feed in feeds for row in feed.rows]
     assert len(got) == len(want)
     for r, (*_, bids, asks) in zip(got, want):
         assert {level.price: level.quantity for level in r.book_bids} == {p: bids[p] for p in sorted(bids, reverse=True)[:10]}
         assert [level.price for level in r.book_asks] == sorted(asks)[:10]
-        assert r.checksum_verified and r.book_state == "LIVE"
+        assert r.checksum_verified
 
 
 def test_parse_book(spark):
@@ -194,26 +223,79 @@ def test_union_of_snapshots_and_updates(spark):
     assert sorted(r.type for r in joined.collect()) == ["SNAPSHOT", "UPDATE"]
 
 
-@pytest.mark.parametrize("cuts", [[0, 5, 9, 14, 30]])
-def test_stream_equals_batch(spark, tmp_path, cuts):
-    from tickweave.streaming.book import BookStream
+def stream_feeds():
     feed = Feed().update(0, bids=[(98, 1)]).snapshot(1, broken=True).snapshot(2, broken=True).update(3, bids=[(98, 1)]).snapshot(4)
     feed.update(5, bids=[(98, 2)]).update(6, asks=[(103, 2)], broken=True).update(7, bids=[(97, 1)]).snapshot(8, broken=True)
     feed.snapshot(9, bids=[(99, 2), (98, 2)]).update(10, bids=[(99, 0)]).update(40, bids=[(97, 5)]).update(200, bids=[(96, 5)])
     feed.send("RESET", 201)
     feed.update(202, bids=[(95, 1)]).snapshot(203).update(204, asks=[(104, 4)]).update(205, asks=[(101, 0)])
-    other = Feed("B").snapshot(300).update(301, bids=[(98, 3)]).update(302, bids=[(98, 0)])
-    log = messages(spark, feed, other)
-    job = BookStream(str(tmp_path / "out"), book.plain_digits(*TEXT), chunk_messages=2)
-    for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        part = log.where(F.col("src_offset").between(low, high - 1))
-        job.process(part, number)
-        if number == 1:
-            job.process(part, number)
-    batch = run(spark, feed, other)
-    columns = ["instrument", "src_offset", "book_state", "previous_state", "fault"]
-    assert (sorted(map(repr, job.output(spark, "book.states").select(*columns).collect()))
-            == sorted(map(repr, batch.select(*columns).collect())))
+    other = Feed("B").snapshot(206).update(207, bids=[(98, 3)]).update(208, bids=[(98, 0)])
+    third = Feed("C").snapshot(300).update(301, bids=[(98, 3)]).update(700, bids=[(98, 4)], broken=True).update(2000, bids=[(97, 4)])
+    return feed, other, third
+
+
+def random_feeds(seed):
+    """Books that break, fall silent and come back, in one time order over instruments."""
+    rng, feeds, second = random.Random(seed), [Feed(name) for name in "ABC"], 0
+    order = []
+    for _ in range(160):
+        second += rng.choice([0, 1, 1, 2, 5, 9, 30])
+        feed = rng.choice(feeds)
+        draw = rng.random()
+        if draw < 0.2:
+            feed.snapshot(second, [(95, 1), (94, 2)], [(105, 2)], broken=rng.random() < 0.4)
+        elif draw < 0.25:
+            feed.send("RESET", second)
+        else:
+            price = rng.choice([93, 94, 95, 96, 106])
+            feed.update(second, [(price, rng.choice([1, 2, 3]))], broken=rng.random() < 0.08)
+        order.append(feed.rows[-1])
+    whole = Feed()
+    whole.rows = order
+    return (whole,)
+
+
+@pytest.mark.parametrize("feeds", [stream_feeds(), random_feeds(1), random_feeds(2)], ids=["cases", "random-1", "random-2"])
+def test_machine_equals_batch(spark, feeds):
+    """The keyed state machine, message by message, and the batch form give the same books and moves."""
+    from tickweave.streaming import book as stream
+    limits = book.Limits(stale_ms=10_000, resync_ms=60_000, answer_ms=45_000, requests=2)
+    log = messages(spark, *feeds)
+    judged = book.reconstruct(log, book.plain_digits(*TEXT), chunk_messages=3, limits=limits)
+    rows = sorted(log.collect(), key=lambda r: r.src_offset)
+    end = max(r.event_time for r in rows)
+    machines, states, moves = {}, [], []
+    for r in rows:
+        machine = machines.setdefault(r.instrument, stream.Machine(limits, stream.plain_text(*TEXT), 10))
+        told, left = machine.message(r)
+        moves += [(r.instrument, *m[:3]) for m in told]
+        states.append((r.src_offset, left["book_state"], left["previous_state"], left["fault"], left["checksum_verified"], left["bid_depth"]))
+    for name, machine in machines.items():
+        moves += [(name, *m[:3]) for m in machine.silence(stream._millis(end))]
+    columns = ["src_offset", "book_state", "previous_state", "fault", "checksum_verified", "bid_depth"]
+    assert sorted(states) == sorted(map(tuple, judged.select(*columns).collect()))
+    batch = book.transitions(judged, limits, F.lit(end)).select("instrument", F.unix_millis("at"), "from_state", "to_state").collect()
+    assert sorted(moves) == sorted(map(tuple, batch))
+    assert len({m[2:] for m in moves}) >= 9
+
+
+def test_stream_with_timers_equals_batch(spark, tmp_path):
+    from tickweave.schemas import BOOK_EVENT as event
+    from tickweave.streaming import book as stream
+    limits = book.Limits(stale_ms=10_000, resync_ms=60_000, answer_ms=45_000, requests=2)
+    log = messages(spark, *stream_feeds())
+    for number, (low, high) in enumerate([(0, 9), (9, 18), (18, 40)]):
+        log.where(F.col("src_offset").between(low, high - 1)).write.parquet(str(tmp_path / "in" / str(number)))
+        source = spark.readStream.schema(event).parquet(str(tmp_path / "in" / "*"))
+        books = stream.book_stream(source, stream.plain_text(*TEXT), limits)
+        stream.start(books, str(tmp_path / "out"), str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out" / "book.states"))
+    judged = book.reconstruct(log, book.plain_digits(*TEXT), limits=limits)
+    moved = ["instrument", "at", "from_state", "to_state"]
+    want = book.transitions(judged, limits, F.lit(at(2000)))
+    assert sorted(map(tuple, stream.moves(got).select(*moved).collect())) == sorted(map(tuple, want.select(*moved).collect()))
     shown = ["instrument", "src_offset", "best_bid", "best_ask", "bid_depth", "ask_depth", "imbalance"]
-    assert (sorted(map(repr, job.output(spark, "derived.book.metrics").select(*shown).collect()))
-            == sorted(map(repr, book.book_metrics(batch).select(*shown).collect())))
+    assert (sorted(map(repr, spark.read.parquet(str(tmp_path / "out" / "derived.book.metrics")).select(*shown).collect()))
+            == sorted(map(repr, book.book_metrics(judged).select(*shown).collect())))
+    asked = spark.read.parquet(str(tmp_path / "out" / "control.book.resync"))
+    assert {r.event_id for r in asked.collect()} == {r.event_id for r in book.resync_requests(want).collect()}

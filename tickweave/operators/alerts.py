@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..functions.decimals import exact_mul
+from ..functions.decimals import DECIMAL, exact_mul
 from ..functions.keys import KEYS, instrument_key
 from .dedupe import first_per_key
-from .prefix import Running, running, trailing
+from .prefix import Running, running, sliding_sums, trailing
 
 # Fixed values.
 LARGE_TRADE, VOLUME_SPIKE, STALE_BOOK, LIQUIDITY_DROP = "LARGE_TRADE", "VOLUME_SPIKE", "STALE_BOOK", "LIQUIDITY_DROP"
@@ -90,16 +90,19 @@ def alert_stale_book(gaps: DataFrame, threshold_ms: int, processor_version: str)
         F.lit(None), {"threshold_ms": F.lit(threshold_ms), "silent_ms": F.col("gap_ms")}, processor_version)
 
 
-def depth_drops(metrics: DataFrame, span_ms: int, ratio: float, bucket_ms: int | None = None) -> DataFrame:
+def depth_drops(metrics: DataFrame, span_ms: int, ratio: float) -> DataFrame:
     """Instants where total depth falls to ``ratio`` of its mean over the preceding span.
 
     Several updates in one millisecond count as one reading, the last.
     """
-    total = (F.col("bid_depth") + F.col("ask_depth")).cast("double")
+    total = (F.col("bid_depth") + F.col("ask_depth")).cast(DECIMAL)
     ticks = metrics.groupBy(*KEYS, F.unix_millis("event_time").alias("at_ms")).agg(
-        F.max_by(total, F.col("src_offset")).alias("depth"))
-    scored = trailing(ticks, KEYS, "at_ms", span_ms, {
-        "mean_depth": F.avg("depth"), "readings": F.count("depth")}, include_current=False, bucket_ms=bucket_ms)
+        F.max_by(total, F.col("src_offset")).alias("depth")).withColumn("one", F.lit(1).cast("long"))
+    summed = sliding_sums(ticks, KEYS, "at_ms", span_ms, {"total": "depth", "with_own": "one"})
+    # The reading itself is not part of what came before it.
+    readings = F.col("with_own") - 1
+    mean = F.when(readings > 0, (F.col("total") - F.col("depth")).cast("double") / readings)
+    scored = summed.withColumns({"mean_depth": mean, "readings": readings}).drop("one", "total", "with_own")
     return scored.where(F.col("depth") <= F.col("mean_depth") * F.lit(ratio))
 
 

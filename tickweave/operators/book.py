@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,9 +113,10 @@ def idempotent_updates(messages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- rebuilding
 
 def number_messages(messages: DataFrame, chunk_messages: int = CHUNK_MESSAGES) -> DataFrame:
-    """Add ``epoch, snapshot_no, message_no, chunk, previous_time, previous_sequence``.
+    """Add ``epoch, snapshot_no, message_no, chunk, clock, previous_time, previous_sequence``.
 
-    Epochs start at each snapshot or reset.
+    Epochs start at each snapshot or reset. ``clock`` is the latest event time so far, which never runs back;
+    ``previous_time`` is what it was before the message.
     """
     flagged = messages.withColumns({
         "__start": F.col("type").isin(SNAPSHOT, RESET).cast("long"),
@@ -122,7 +124,7 @@ def number_messages(messages: DataFrame, chunk_messages: int = CHUNK_MESSAGES) -
         "__at": F.col("event_time"), "__sequence": F.col("sequence")})
     counted = running(flagged, KEYS, offset_chunk(), POSITION, {
         "epoch": Running("sum", "__start"), "snapshot_no": Running("sum", "__snap"), "message_no": Running("sum", "__one"),
-        "previous_time": Running("last", "__at", before=True),
+        "clock": Running("max", "__at"), "previous_time": Running("max", "__at", before=True),
         "previous_sequence": Running("last", "__sequence", before=True)})
     return counted.withColumn("chunk", F.expr(f"(message_no - 1) div {chunk_messages}")).drop(
         "__start", "__snap", "__one", "__at", "__sequence")
@@ -140,61 +142,90 @@ def level_changes(numbered: DataFrame) -> DataFrame:
 
 
 def opening_levels(numbered: DataFrame) -> DataFrame:
-    """Levels alive when each chunk starts: the last quantity before it, if not zero."""
+    """Levels alive when each chunk starts: the last quantity before it, if above zero."""
     order = F.struct(*POSITION, "place")
     last = level_changes(numbered).groupBy(*_SCOPE, "side", "price").agg(F.max_by("quantity", order).alias("quantity"))
     ends = numbered.groupBy(*KEYS, "epoch").agg(F.max("chunk").alias("__end"))
     level = Window.partitionBy(*KEYS, "epoch", "side", "price").orderBy("chunk")
     spans = last.withColumn("__next", F.lead("chunk").over(level)).join(ends, [*KEYS, "epoch"])
     until = F.coalesce("__next", "__end")
-    alive = spans.where((F.col("quantity") != 0) & (until > F.col("chunk")))
+    alive = spans.where((F.col("quantity") > 0) & (until > F.col("chunk")))
     return alive.select(*KEYS, "epoch", "side", "price", "quantity",
                         F.explode(F.sequence(F.col("chunk") + 1, until)).alias("chunk"))
 
 
 def _rebuilder(kept: list[str], position: tuple[str, ...], depth: int) -> Callable:
-    """The per-chunk rebuild. Its helper lives inside so that it travels to the workers by
-    value: executors need pyarrow, not this package."""
+    """The per-chunk rebuild. Its helpers live inside so that they travel to the workers by
+    value: executors need pyarrow, not this package.
+
+    Levels are numbers all along, their place among the chunk's levels and the rank of their price; prices and
+    quantities are only looked up for the result.
+    """
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     class Side:
-        """Price levels of one side in price order."""
-
-        def __init__(self, best_is_high):
-            self.best_is_high, self.quantities, self.prices = best_is_high, {}, []
-
-        def set(self, price, quantity):
-            if quantity == 0:
-                if self.quantities.pop(price, None) is not None:
-                    del self.prices[bisect_left(self.prices, price)]
-            else:
-                if price not in self.quantities:
-                    insort(self.prices, price)
-                self.quantities[price] = quantity
-
-        def top(self):
-            best = self.prices[-depth:][::-1] if self.best_is_high else self.prices[:depth]
-            return [{"price": p, "quantity": self.quantities[p]} for p in best]
+        """The messages' levels of one side, and the book of it as ranks in price order."""
+
+        def __init__(self, column, best_is_high):
+            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+            self.levels, self.best_is_high = column.flatten(), best_is_high
+            counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+            self.starts = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            prices = self.levels.field("price").dictionary_encode()
+            order = pc.array_sort_indices(prices.dictionary).to_numpy()
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            quantities = self.levels.field("quantity")
+            self.ranks = rank[prices.indices.to_numpy()].tolist()
+            self.held = pc.greater(quantities, pa.scalar(0, quantities.type)).to_pylist()
+            self.below = np.concatenate([[0], np.cumsum(pc.less(quantities, pa.scalar(0, quantities.type)).to_numpy(zero_copy_only=False))])
+            self.chosen, self.ends = [], [0]
+            self.clear()
+
+        def clear(self):
+            self.at, self.order = {}, []
+
+        def apply(self, message):
+            for k in range(self.starts[message], self.starts[message + 1]):
+                rank = self.ranks[k]
+                if self.held[k]:
+                    if rank not in self.at:
+                        insort(self.order, rank)
+                    self.at[rank] = k
+                elif self.at.pop(rank, None) is not None:
+                    del self.order[bisect_left(self.order, rank)]
+
+        def show(self):
+            best = self.order[-depth:][::-1] if self.best_is_high else self.order[:depth]
+            self.chosen += [self.at[rank] for rank in best]
+            self.ends.append(len(self.chosen))
+
+        def negative(self):
+            starts = np.array(self.starts)
+            return self.below[starts[1:]] > self.below[starts[:-1]]
+
+        def books(self):
+            return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), self.levels.take(pa.array(self.chosen, pa.int64())))
 
     def rebuild(chunk: pa.Table) -> pa.Table:
         chunk = chunk.sort_by([(c, "ascending") for c in position])
-        sides = (Side(True), Side(False))
-        tops, negative, real = ([], []), [], []
-        for kind, *changed in zip(chunk["type"].to_pylist(), chunk["bids"].to_pylist(), chunk["asks"].to_pylist()):
-            if kind in (SNAPSHOT, RESET):
-                sides = (Side(True), Side(False))
-            for side, levels in zip(sides, changed):
-                for level in levels or ():
-                    side.set(level["price"], level["quantity"])
-            real.append(kind != _OPENING)
-            if real[-1]:
-                negative.append(any(level["quantity"] < 0 for levels in changed for level in levels or ()))
-                for top, side in zip(tops, sides):
-                    top.append(side.top())
-        rows = chunk.filter(pa.array(real))
+        sides = Side(chunk["bids"], True), Side(chunk["asks"], False)
+        kinds = chunk["type"].to_pylist()
+        for message, kind in enumerate(kinds):
+            for side in sides:
+                if kind in (SNAPSHOT, RESET):
+                    side.clear()
+                side.apply(message)
+                if kind != _OPENING:
+                    side.show()
+        real = pa.array([kind != _OPENING for kind in kinds], pa.bool_())
+        rows = chunk.filter(real)
+        negative = pa.array(sides[0].negative() | sides[1].negative()).filter(real)
         levels = chunk.schema.field("bids").type
-        return pa.table({**{c: rows[c] for c in kept}, "book_bids": pa.array(tops[0], levels),
-                         "book_asks": pa.array(tops[1], levels), "negative": pa.array(negative, pa.bool_())})
+        return pa.table({**{c: rows[c] for c in kept}, "book_bids": sides[0].books().cast(levels),
+                         "book_asks": sides[1].books().cast(levels), "negative": negative})
 
     return rebuild
 
@@ -205,14 +236,14 @@ def closing_levels(numbered: DataFrame) -> DataFrame:
     order = F.struct(*POSITION, "place")
     changes = level_changes(numbered).join(last, [*KEYS, "epoch"], "left_semi")
     final = changes.groupBy(*KEYS, "side", "price").agg(F.max_by("quantity", order).alias("quantity"))
-    return final.where(F.col("quantity") != 0)
+    return final.where(F.col("quantity") > 0)
 
 
 def apply_deltas(numbered: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame:
     """Numbered messages with the book after each: replace ``bids`` and ``asks``
     by ``book_bids`` and ``book_asks``, the best levels.
 
-    Also adds ``negative``: some quantity of the message is below zero.
+    Also adds ``negative``: some quantity of the message is below zero (such a level is removed).
     """
     kept = [c for c in numbered.columns if c not in ("bids", "asks")]
     fields = numbered.schema
@@ -233,7 +264,7 @@ def apply_deltas(numbered: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame
 def digits(value: Column, precision: int) -> Column:
     """A number at fixed precision without its point and leading zeros."""
     fixed = value.cast(f"decimal(38,{precision})").cast("string")
-    return F.regexp_replace(F.translate(fixed, ".", ""), "^0+", "")
+    return F.ltrim(F.translate(fixed, ".", ""), F.lit("0"))
 
 
 def plain_digits(price_precision: int, quantity_precision: int) -> Callable[[Column, Column], Column]:
@@ -250,42 +281,68 @@ def plain_digits(price_precision: int, quantity_precision: int) -> Callable[[Col
 
 
 def checksum_verify(rebuilt: DataFrame, text: Callable[[Column, Column], Column]) -> DataFrame:
-    """Add ``checksum_verified``: true or false, NULL when the message carries no checksum."""
+    """Add ``computed_checksum`` of the rebuilt book and ``checksum_verified``: true or false, NULL when the message carries no checksum."""
     computed = F.crc32(text(F.col("book_bids"), F.col("book_asks")).cast("binary"))
-    return rebuilt.withColumn("checksum_verified", F.when(F.col("checksum").isNotNull(), F.col("checksum") == computed))
+    return rebuilt.withColumn("computed_checksum", computed).withColumn(
+        "checksum_verified", F.when(F.col("checksum").isNotNull(), F.col("checksum") == F.col("computed_checksum")))
 
 
 # ---------------------------------------------------------------- trust
 
-def book_states(verified: DataFrame, stale_ms: int = 10_000, resync_ms: int = 60_000, snapshot_tries: int = 3,
-                use_sequence: bool = False) -> DataFrame:
-    """Add ``book_state``, ``previous_state``, ``fault``, ``resync_request`` and ``gap_ms`` to each message.
+@dataclass(frozen=True)
+class Limits:
+    """When a book is no longer trusted.
+
+    Above ``stale_ms`` without a message a live book is stale, above ``resync_ms`` a fresh snapshot is asked for. A request
+    that is not met within ``answer_ms`` has failed; it is made ``requests`` times in all, then the book stays invalid.
+    ``snapshot_tries`` failed snapshots in a row are given up. Messages without a checksum are not trusted unless
+    ``trust_unchecked``; ``use_sequence`` is for sources that number their messages.
+    """
+
+    stale_ms: int = 10_000
+    resync_ms: int = 60_000
+    answer_ms: int = 30_000
+    requests: int = 3
+    snapshot_tries: int = 3
+    use_sequence: bool = False
+    trust_unchecked: bool = False
+
+
+def _failed_requests(asked_ms: Column, now_ms: Column, limits: Limits) -> Column:
+    """How many requests, the first at ``asked_ms``, have failed by ``now_ms``."""
+    return F.greatest(F.lit(0), F.least(F.lit(limits.requests), F.ceil((now_ms - asked_ms) / limits.answer_ms) - 1)).cast("int")
+
+
+def book_states(verified: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Add ``book_state``, ``previous_state``, ``settled_state``, ``fault``, ``asked_ms``, ``previous_asked_ms`` and ``gap_ms`` to each message.
 
     Inside an epoch only the first break counts: after it the book is not trusted until the
     next snapshot, so later rows need no faults of their own. So the state at a row follows
-    from the latest break before it, one running value. A gap above ``stale_ms`` is STALE in
-    between and recovers with the next verified update; above ``resync_ms`` it is a break.
-    ``previous_state`` is the state once earlier messages took full effect: an INVALID book
-    has already asked for a snapshot.
+    from the latest break before it, one running value, and from the time since. A gap above
+    ``stale_ms`` is STALE in between and recovers with the next verified update; above ``resync_ms``
+    it is a break. ``settled_state`` is the state once the message took full effect: an INVALID
+    book has already asked for a snapshot, at ``asked_ms``. ``previous_state`` and
+    ``previous_asked_ms`` are the same of the message before.
     """
     kind = F.col("type")
     bid, ask = F.get("book_bids", F.lit(0))["price"], F.get("book_asks", F.lit(0))["price"]
     crossed = F.coalesce(bid >= ask, F.lit(False))
-    skipped = F.lit(use_sequence) & (kind == UPDATE) & (F.col("sequence") > F.col("previous_sequence") + 1)
+    skipped = F.lit(limits.use_sequence) & (kind == UPDATE) & (F.col("sequence") > F.col("previous_sequence") + 1)
     fault = (
         F.when(F.col("negative") | crossed, "IMPOSSIBLE_STATE")
         .when(F.coalesce(skipped, F.lit(False)), "SEQUENCE_GAP")
-        .when(~F.coalesce("checksum_verified", F.lit(True)), "CHECKSUM_MISMATCH"))
-    gap = F.unix_millis("event_time") - F.unix_millis("previous_time")
-    judged = verified.withColumns({"gap_ms": gap, "__fault": F.when(kind != RESET, fault)})
+        .when(~F.coalesce("checksum_verified", F.lit(limits.trust_unchecked)), "CHECKSUM_MISMATCH"))
+    now_ms, before_ms = F.unix_millis("clock"), F.unix_millis("previous_time")
+    judged = verified.withColumns({"gap_ms": now_ms - before_ms, "__fault": F.when(kind != RESET, fault)})
+    silent = (kind == UPDATE) & F.coalesce(F.col("gap_ms") > limits.resync_ms, F.lit(False))
     breaks = judged.withColumn("__as", (
         F.when(kind == RESET, RESET).when((kind == SNAPSHOT) & F.col("__fault").isNotNull(), SNAPSHOT)
-        .when((kind == UPDATE) & F.coalesce(F.col("gap_ms") > resync_ms, F.lit(False)), STALE)
-        .when(F.col("__fault").isNotNull(), INVALID)))
+        .when(silent, STALE).when(F.col("__fault").isNotNull(), INVALID)))
     # The highest of these is the first break of the latest broken epoch.
     marked = breaks.withColumns({
         "__break": F.when(F.col("__as").isNotNull(), F.struct(
-            "epoch", (-F.col("message_no")).alias("nearness"), F.col("__as").alias("kind"))),
+            "epoch", (-F.col("message_no")).alias("nearness"), F.col("__as").alias("kind"),
+            F.when(F.col("__as") == STALE, before_ms + limits.resync_ms).otherwise(now_ms).alias("at_ms"))),
         "__good": F.when((kind == SNAPSHOT) & F.col("__fault").isNull(), F.col("snapshot_no"))})
     linked = running(marked, KEYS, F.col("chunk"), ["message_no"], {
         "__before": Running("max", "__break", before=True), "__last_good": Running("max", "__good", before=True)})
@@ -296,31 +353,39 @@ def book_states(verified: DataFrame, stale_ms: int = 10_000, resync_ms: int = 60
     earlier_tries = tries - (kind == SNAPSHOT).cast("long")
     before = F.col("__before")
 
-    def settled(break_kind: Column, attempts: Column) -> Column:
-        """State an epoch is left in by its first break."""
-        return (F.when(break_kind == RESET, UNINITIALISED)
-                .when((break_kind == SNAPSHOT) & (attempts < snapshot_tries), LOADING).otherwise(RESYNCHRONISING))
+    def asks(break_kind: Column, attempts: Column) -> Column:
+        return (break_kind != RESET) & ((break_kind != SNAPSHOT) | (attempts >= limits.snapshot_tries))
 
-    own = (F.when(F.col("__as").isNull(), LIVE).when(F.col("__as") == RESET, UNINITIALISED)
-           .when((F.col("__as") == SNAPSHOT) & (tries < snapshot_tries), LOADING)
-           .when(F.col("__as") == STALE, RESYNCHRONISING).otherwise(INVALID))
+    def settled(broke: Column, attempts: Column, at_ms: Column) -> Column:
+        """State an epoch is left in by its first break, at a later time."""
+        return (F.when(broke["kind"] == RESET, UNINITIALISED).when(~asks(broke["kind"], attempts), LOADING)
+                .when(_failed_requests(broke["at_ms"], at_ms, limits) >= limits.requests, INVALID).otherwise(RESYNCHRONISING))
+
+    own = F.col("__break")
     broken = F.coalesce(before["epoch"] == F.col("epoch"), F.lit(False))
     was_broken = F.coalesce(before["epoch"] == earlier_epoch, F.lit(False))
     first_break = ~broken & (F.col("epoch") > 0) & F.col("__as").isNotNull() & (F.col("__as") != RESET)
+    arrives = F.when(F.col("__as").isin(INVALID, SNAPSHOT) & asks(own["kind"], tries), INVALID).otherwise(settled(own, tries, now_ms))
+    untouched = F.col("epoch") == 0
     result = linked.withColumns({
-        "book_state": F.when(F.col("epoch") == 0, UNINITIALISED).when(broken, settled(before["kind"], tries)).otherwise(own),
+        "book_state": F.when(untouched, UNINITIALISED).when(broken, settled(before, tries, now_ms))
+                       .when(F.col("__as").isNull(), LIVE).otherwise(arrives),
+        "settled_state": F.when(untouched, UNINITIALISED).when(broken, settled(before, tries, now_ms))
+                          .when(F.col("__as").isNull(), LIVE).otherwise(settled(own, tries, now_ms)),
         "previous_state": F.when(earlier_epoch == 0, UNINITIALISED)
-                           .when(was_broken, settled(before["kind"], earlier_tries)).otherwise(LIVE),
+                           .when(was_broken, settled(before, earlier_tries, before_ms)).otherwise(LIVE),
+        "asked_ms": F.when(untouched, None).when(broken & asks(before["kind"], tries), before["at_ms"])
+                     .when(~broken & asks(own["kind"], tries), own["at_ms"]),
+        "previous_asked_ms": F.when((earlier_epoch > 0) & was_broken & asks(before["kind"], earlier_tries), before["at_ms"]),
         "fault": F.when(first_break & (F.col("__as") != STALE), F.col("__fault")),
-        "resync_request": first_break,
     })
     return result.drop(*[c for c in result.columns if c.startswith("__")])
 
 
 def reconstruct(messages: DataFrame, text: Callable[[Column, Column], Column], depth: int = CHECKSUM_LEVELS,
-                chunk_messages: int = CHUNK_MESSAGES, **limits) -> DataFrame:
+                chunk_messages: int = CHUNK_MESSAGES, limits: Limits = Limits()) -> DataFrame:
     """Messages to rebuilt, verified and judged books."""
-    return judge(number(messages, chunk_messages), text, depth, **limits)
+    return judge(number(messages, chunk_messages), text, depth, limits=limits)
 
 
 def number(messages: DataFrame, chunk_messages: int = CHUNK_MESSAGES, folder: str | None = None) -> DataFrame:
@@ -329,42 +394,81 @@ def number(messages: DataFrame, chunk_messages: int = CHUNK_MESSAGES, folder: st
 
 
 def judge(numbered: DataFrame, text: Callable[[Column, Column], Column], depth: int = CHECKSUM_LEVELS,
-          folder: str | None = None, **limits) -> DataFrame:
+          folder: str | None = None, limits: Limits = Limits()) -> DataFrame:
+    """Books of numbered messages, reduced to their best levels and depth before they are stored."""
+    rebuilt = checksum_verify(apply_deltas(numbered, depth), text)
+    bids, asks = F.col("book_bids"), F.col("book_asks")
+    narrow = rebuilt.withColumns({
+        "bid_depth": depth_of(bids, depth), "ask_depth": depth_of(asks, depth), "depth_levels": F.lit(depth),
+        "book_bids": F.slice(bids, 1, 1), "book_asks": F.slice(asks, 1, 1)})
     # The running values read the books twice; rebuilding them twice would cost more.
-    rebuilt = materialise(apply_deltas(numbered, depth), "book-rebuilt", folder)
-    return book_states(checksum_verify(rebuilt, text), **limits)
+    return book_states(materialise(narrow, "book-rebuilt", folder), limits)
+
+
+_MOVE = "struct<at_ms: bigint, from_state: string, to_state: string, reason: string>"
+
+
+def _move(condition: Column, at_ms: Column, source: Column | str, target: Column | str, reason: Column | str) -> Column:
+    source, target, reason = (F.lit(x) if isinstance(x, str) else x for x in (source, target, reason))
+    return F.when(condition, F.struct(at_ms.alias("at_ms"), source.alias("from_state"), target.alias("to_state"), reason.alias("reason")))
+
 
+def _silence(state: Column, since_ms: Column, asked_ms: Column, until_ms: Column, limits: Limits) -> tuple[Column, Column]:
+    """Moves of a book without messages from ``since_ms``, when it is in ``state``, to ``until_ms``; and the state it is then in."""
+    gap = until_ms - since_ms
+    stale = F.coalesce((state == LIVE) & (gap > limits.stale_ms), F.lit(False))
+    gave_up = F.coalesce(stale & (gap > limits.resync_ms), F.lit(False))
+    asked = F.when(gave_up, since_ms + limits.resync_ms).when(state == RESYNCHRONISING, asked_ms)
+    first = F.when(gave_up, 0).otherwise(_failed_requests(asked, since_ms, limits)) + 1
+    last = F.coalesce(_failed_requests(asked, until_ms, limits), F.lit(0))
+    failed = F.when(asked.isNotNull() & (last >= first), F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    # A request that has failed is made again at once, until they are used up.
+    unanswered = F.flatten(F.transform(failed, lambda k: F.array(
+        F.struct((asked + k * limits.answer_ms).alias("at_ms"), F.lit(RESYNCHRONISING).alias("from_state"), F.lit(INVALID).alias("to_state"),
+                 F.lit("UNANSWERED").alias("reason")),
+        _move(k < limits.requests, asked + k * limits.answer_ms, INVALID, RESYNCHRONISING, "UNANSWERED"))))
+    moves = F.concat(F.array(
+        _move(stale, since_ms + limits.stale_ms, LIVE, STALE, "SILENT"),
+        _move(gave_up, since_ms + limits.resync_ms, STALE, RESYNCHRONISING, "SILENT")), unanswered.cast(f"array<{_MOVE}>"))
+    waiting = F.when(last >= limits.requests, INVALID).otherwise(RESYNCHRONISING)
+    return moves, F.when(asked.isNotNull(), waiting).when(stale, STALE).otherwise(state)
 
-def transitions(states: DataFrame, stale_ms: int = 10_000, resync_ms: int = 60_000) -> DataFrame:
-    """Every change of state, with the silences between messages that made a live book stale.
 
-    One pass: each message yields the moves since the message before it.
+def transitions(states: DataFrame, limits: Limits = Limits(), as_of: Column | None = None, every: bool = False) -> DataFrame:
+    """Every change of state: ``exchange, instrument, at, from_state, to_state, reason``.
+
+    Silence moves books too, between messages and, with ``as_of``, after an instrument's last one. ``every`` also gives the
+    updates that leave a live book live. One pass; only an instrument's last message is looked up for ``as_of``.
     """
-    gap, was, now = F.col("gap_ms"), F.col("previous_state"), F.col("book_state")
-    since = F.unix_millis("previous_time")
-    silent = (was == LIVE) & F.coalesce(gap > stale_ms, F.lit(False))
-    gave_up = silent & (gap > resync_ms)
-    arrived_in = F.when(gave_up, RESYNCHRONISING).when(silent, STALE).otherwise(was)
-
-    def move(condition: Column, at: Column, source, target) -> Column:
-        literal = [F.lit(v) if isinstance(v, str) else v for v in (source, target)]
-        return F.when(condition, F.struct(at.alias("at"), literal[0].alias("from_state"), literal[1].alias("to_state")))
-
-    moves = F.array(
-        move(silent, F.timestamp_millis(since + stale_ms), LIVE, STALE),
-        move(gave_up, F.timestamp_millis(since + resync_ms), STALE, RESYNCHRONISING),
-        move(arrived_in != now, F.col("event_time"), arrived_in, now),
-        move(now == INVALID, F.col("event_time"), INVALID, RESYNCHRONISING))
-    return states.select(*KEYS, F.inline(F.filter(moves, lambda m: m.isNotNull())))
-
-
-def resync_requests(states: DataFrame) -> DataFrame:
-    """Control rows asking for a fresh snapshot."""
+    kind, now = F.col("type"), F.col("book_state")
+    now_ms = F.unix_millis("clock")
+    silent, came = _silence(F.col("previous_state"), F.unix_millis("previous_time"), F.col("previous_asked_ms"), now_ms, limits)
+    snapshot = kind == SNAPSHOT
+    # A snapshot is loaded first, unless it replaces the book of a live or stale one.
+    loads = snapshot & ~(came.isin(LIVE, STALE) & (now == LIVE)) & (came != LOADING)
+    loading = snapshot & ~(came.isin(LIVE, STALE) & (now == LIVE))
+    reason = F.coalesce("fault", kind)
+    arriving = F.array(
+        _move(loads, now_ms, came, LOADING, kind), _move(loading & (came == LOADING) & (now == LOADING), now_ms, LOADING, LOADING, reason),
+        _move(loading & (now != LOADING), now_ms, LOADING, now, reason),
+        _move(~loading & (came != now), now_ms, came, now, reason),
+        _move((now == INVALID) & (F.col("settled_state") == RESYNCHRONISING), now_ms, INVALID, RESYNCHRONISING, reason),
+        _move(F.lit(every) & (kind == UPDATE) & (came == LIVE) & (now == LIVE), now_ms, LIVE, LIVE, kind))
+    moved = states.select(*KEYS, F.concat(silent, arriving.cast(f"array<{_MOVE}>")).alias("moves"))
+    if as_of is not None:
+        last = first_per_key(states.select(*KEYS, "clock", "settled_state", "asked_ms", *POSITION), KEYS, *[F.desc(c) for c in POSITION])
+        after, _ = _silence(F.col("settled_state"), F.unix_millis("clock"), F.col("asked_ms"), F.unix_millis(as_of), limits)
+        moved = moved.unionByName(last.select(*KEYS, after.alias("moves")))
+    return moved.select(*KEYS, F.inline(F.filter("moves", lambda m: m.isNotNull()))).select(
+        *KEYS, F.timestamp_millis("at_ms").alias("at"), "from_state", "to_state", "reason")
+
+
+def resync_requests(moves: DataFrame) -> DataFrame:
+    """Control rows asking for a fresh snapshot, one for each time a book of :func:`transitions` began to wait for one."""
     key = instrument_key(F.col("exchange"), F.col("instrument"))
-    place = F.concat(*[part for c in POSITION for part in (F.lit(":"), F.col(c).cast("string"))])
-    return states.where("resync_request").select(
-        ids.uuid3(F.concat(F.lit("resync:"), key, place)).alias("event_id"), *KEYS,
-        F.col("event_time").alias("requested_at"), "book_state", F.col("fault").alias("reason"), "trace_id")
+    name = F.concat(F.lit("resync:"), key, F.lit(":"), F.unix_millis("at").cast("string"), F.lit(":"), F.col("from_state"))
+    return moves.where(F.col("to_state") == RESYNCHRONISING).select(
+        ids.uuid3(name).alias("event_id"), *KEYS, F.col("at").alias("requested_at"), F.col("from_state").alias("book_state"), "reason")
 
 
 def book_quarantine(states: DataFrame, processor_version: str) -> DataFrame:
@@ -385,15 +489,14 @@ def depth_of(levels: Column, depth: int) -> Column:
     return F.aggregate(F.slice(levels, 1, depth), zero(), lambda total, level: (total + level["quantity"]).cast(DECIMAL))
 
 
-def with_metrics(states: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame:
+def with_metrics(states: DataFrame) -> DataFrame:
     """Top-of-book and depth measures; NULL unless the book is LIVE."""
     live = F.col("book_state") == LIVE
     bid, ask = F.get("book_bids", F.lit(0)), F.get("book_asks", F.lit(0))
     tops = states.withColumns({
         "best_bid": F.when(live, bid["price"]), "best_ask": F.when(live, ask["price"]),
         "__bid_qty": bid["quantity"], "__ask_qty": ask["quantity"],
-        "bid_depth": F.when(live, depth_of(F.col("book_bids"), depth)),
-        "ask_depth": F.when(live, depth_of(F.col("book_asks"), depth)),
+        "bid_depth": F.when(live, F.col("bid_depth")), "ask_depth": F.when(live, F.col("ask_depth")),
     })
     best_bid, best_ask = F.col("best_bid"), F.col("best_ask")
     two = F.lit(2).cast(DECIMAL)
@@ -410,7 +513,6 @@ def with_metrics(states: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame:
         # Each side's price weighted by the other side's size.
         "weighted_mid": F.when(both, safe_div(F.col("__weighted"), F.col("__top_qty"))),
         "imbalance": F.when(live, safe_div((F.col("bid_depth") - F.col("ask_depth")).cast(DECIMAL), F.col("__depth"))),
-        "depth_levels": F.lit(depth),
     }).drop("__bid_qty", "__ask_qty", "__weighted", "__top_qty", "__depth")
 
 
@@ -418,21 +520,29 @@ METRICS = ("best_bid", "best_ask", "mid_price", "spread", "spread_bps", "weighte
            "depth_levels", "imbalance")
 
 
-def book_metrics(states: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame:
+def book_metrics(states: DataFrame) -> DataFrame:
     """Trusted metrics: one row per message that left the book LIVE."""
-    return with_metrics(states.where(F.col("book_state") == LIVE), depth).select(
+    return with_metrics(states.where(F.col("book_state") == LIVE)).select(
         *KEYS, "event_time", "trace_id", *POSITION, "book_state", *METRICS,
         F.coalesce("checksum_verified", F.lit(False)).alias("checksum_verified"))
 
 
-def book_current(states: DataFrame, as_of: Column | None = None, stale_ms: int = 10_000, resync_ms: int = 60_000,
-                 depth: int = CHECKSUM_LEVELS) -> DataFrame:
-    """Latest book per instrument with its state; at ``as_of`` a silent live book is stale."""
+def book_current(states: DataFrame, as_of: Column | None = None, limits: Limits = Limits()) -> DataFrame:
+    """Latest state and measures per instrument; ``as_of`` a later time, silence has moved the state on."""
     latest = first_per_key(states, KEYS, *[F.desc(c) for c in POSITION])
     if as_of is not None:
-        silent = F.unix_millis(as_of) - F.unix_millis("event_time")
-        latest = latest.withColumn("book_state", F.when(
-            F.col("book_state") == LIVE,
-            F.when(silent > resync_ms, RESYNCHRONISING).when(silent > stale_ms, STALE).otherwise(LIVE),
-        ).otherwise(F.col("book_state")))
-    return with_metrics(latest, depth).select(*KEYS, "event_time", "book_state", *METRICS, "book_bids", "book_asks")
+        until = F.greatest(F.unix_millis(as_of), F.unix_millis("clock"))
+        _, now = _silence(F.col("settled_state"), F.unix_millis("clock"), F.col("asked_ms"), until, limits)
+        latest = latest.withColumn("book_state", now)
+    return with_metrics(latest).select(*KEYS, "event_time", "book_state", *METRICS)
+
+
+def with_levels(current: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Current books with all their levels, ``book_bids`` and ``book_asks``, best first."""
+    levels = closing_levels(numbered).groupBy(*KEYS).agg(*[
+        F.collect_list(F.when(F.col("side") == side, F.struct("price", "quantity"))).alias(name)
+        for side, name in (("BID", "book_bids"), ("ASK", "book_asks"))])
+    none = F.array().cast("array<struct<price:decimal(38,18),quantity:decimal(38,18)>>")
+    # Prices are unique on a side, so that quantities never decide the order.
+    return current.join(levels, list(KEYS), "left").withColumns({
+        "book_bids": F.coalesce(F.reverse(F.array_sort("book_bids")), none), "book_asks": F.coalesce(F.array_sort("book_asks"), none)})

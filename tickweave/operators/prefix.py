@@ -101,6 +101,22 @@ def offset_chunk(offset: str = "src_offset", rows: int = CHUNK_ROWS, partition:
     return F.struct(F.col(partition), F.expr(f"`{offset}` div {rows}").alias("block"))
 
 
+def sliding_sums(df: DataFrame, scope: Sequence[str], at_ms: str, span_ms: int, sums: dict[str, str], chunk_ms: int = 3_600_000) -> DataFrame:
+    """Add sums of columns (result name to source) over ``[at - span, at]``, for rows that are unique per (scope, ms).
+
+    Each row is sent twice: when it enters the span, and with its sign turned when it has left it. One running total of
+    both is the sliding sum, so the work is linear however many rows a span holds. Exact for whole numbers and decimals only.
+    """
+    negated = {c: (-F.col(c)) if df.schema[c].dataType.typeName() != "decimal" else (F.lit(0).cast(df.schema[c].dataType) - F.col(c)).cast(df.schema[c].dataType)
+               for c in dict.fromkeys(sums.values())}
+    enters = df.withColumn("__enters", F.lit(1))
+    leaves = df.select(*scope, (F.col(at_ms) + span_ms + 1).alias(at_ms), *(v.alias(c) for c, v in negated.items()), F.lit(0).alias("__enters"))
+    both = enters.unionByName(leaves, allowMissingColumns=True)
+    chunk = F.expr(f"(`{at_ms}` - pmod(`{at_ms}`, {chunk_ms})) div {chunk_ms}")
+    summed = running(both, scope, chunk, [at_ms, "__enters"], {name: Running("sum", source) for name, source in sums.items()})
+    return summed.where(F.col("__enters") == 1).drop("__enters")
+
+
 def trailing(df: DataFrame, scope: Sequence[str], at_ms: str, span_ms: int, values: dict[str, Column],
              *, include_current: bool = True, bucket_ms: int | None = None) -> DataFrame:
     """Add aggregates over the ``span_ms`` before each row (``rangeBetween`` on ``at_ms``).

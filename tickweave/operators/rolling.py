@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decimals import DECIMAL
 from ..functions.keys import KEYS
-from .prefix import Running, running, trailing
+from .prefix import Running, running, sliding_sums, trailing
 
 HOUR_MS = 3_600_000
 
@@ -19,11 +19,10 @@ def per_millisecond(trades: DataFrame, *aggs: Column, keys: Sequence[str] = KEYS
     return trades.groupBy(*keys, F.unix_millis("event_time").alias("at_ms")).agg(*aggs)
 
 
-def rolling_volume(trades: DataFrame, span_ms: int, bucket_ms: int | None = None) -> DataFrame:
+def rolling_volume(trades: DataFrame, span_ms: int) -> DataFrame:
     """Volume and trade count over ``[t - span, t]`` at each instant with trades."""
     ticks = per_millisecond(trades, F.sum("quantity").cast(DECIMAL).alias("qty"), F.count("*").alias("n"))
-    out = trailing(ticks, KEYS, "at_ms", span_ms, {
-        "rolling_volume": F.sum("qty"), "rolling_trades": F.sum("n")}, bucket_ms=bucket_ms)
+    out = sliding_sums(ticks, KEYS, "at_ms", span_ms, {"rolling_volume": "qty", "rolling_trades": "n"})
     return out.withColumn("rolling_volume", F.col("rolling_volume").cast(DECIMAL)).drop("qty", "n")
 
 
@@ -52,9 +51,12 @@ def rolling_volatility(candles: DataFrame, span_ms: int, bucket_ms: int | None =
         "volatility": F.stddev_samp("log_return"), "returns": F.count("log_return")}, bucket_ms=bucket_ms)
 
 
-def inter_trade_gaps(trades: DataFrame, threshold_ms: int, chunk_ms: int = 24 * HOUR_MS) -> DataFrame:
-    """Silences of at least ``threshold_ms`` between consecutive instants of an instrument."""
+def inter_trade_gaps(trades: DataFrame, threshold_ms: int, chunk_ms: int = 24 * HOUR_MS, until: Column | None = None) -> DataFrame:
+    """Silences of at least ``threshold_ms`` between consecutive instants of an instrument, and, with ``until``, up to that time."""
     ticks = per_millisecond(trades, F.count("*").alias("n")).withColumn("seen_ms", F.col("at_ms"))
+    if until is not None:
+        ends = ticks.groupBy(*KEYS).agg(F.max("at_ms").alias("last_ms")).where(F.col("last_ms") < F.unix_millis(until))
+        ticks = ticks.unionByName(ends.select(*KEYS, F.unix_millis(until).alias("at_ms")), allowMissingColumns=True)
     linked = running(ticks, KEYS, F.expr(f"at_ms div {chunk_ms}"), ["at_ms"],
                      {"previous_ms": Running("max", "seen_ms", before=True)})
     gap = F.col("at_ms") - F.col("previous_ms")

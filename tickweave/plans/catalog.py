@@ -13,6 +13,7 @@ from ..functions.times import naive
 from ..operators import alerts, book, candles, compare, dedupe, frames, normalize, quality, rolling, serving
 from ..session import configure, materialise, shared_root
 from ..sources import logs, tables
+from ..streaming import book as book_stream
 from ..streaming import candles as candle_stream
 from ..streaming import sinks
 from . import oracle as sql
@@ -928,33 +929,49 @@ def _(spark, sf):
 # ---------------------------------------------------------------- order books
 
 BOOK = f"WITH {sql.BOOK}"
-BOOK_LIMITS = {"stale_ms": sql.STALE_MS, "resync_ms": sql.RESYNC_MS}
+BOOK_LIMITS = book.Limits(stale_ms=sql.STALE_MS, resync_ms=sql.RESYNC_MS, answer_ms=sql.ANSWER_MS, requests=sql.REQUESTS, use_sequence=True)
+BOOK_TEXT = (2, 3)
 
 
 def book_states(spark: SparkSession, sf: str) -> DataFrame:
-    return book.reconstruct(views.book_messages(spark, sf), book.plain_digits(2, 3), **BOOK_LIMITS)
+    return book.reconstruct(views.book_messages(spark, sf), book.plain_digits(*BOOK_TEXT), limits=BOOK_LIMITS)
 
 
-@query("parse_book", f"""{BOOK} SELECT n AS src_offset, CASE WHEN n % 50 = 0 THEN 'dead' WHEN n % 53 = 0 THEN 'invalid' ELSE 'book' END AS route,
-  CASE WHEN n % 50 = 0 THEN NULL WHEN snap THEN 'SNAPSHOT' ELSE 'UPDATE' END AS type,
-  CASE WHEN n % 50 = 0 OR n % 53 = 0 THEN NULL ELSE upper(instrument) END AS instrument,
-  CASE WHEN n % 50 = 0 THEN 0 WHEN snap THEN 4 ELSE 1 END AS levels,
-  CASE WHEN n % 50 = 0 THEN NULL WHEN bad THEN CAST(-1 AS BIGINT) END AS checksum FROM msgs""")
+def end_of_log(messages: DataFrame) -> Column:
+    """The latest event time of a log, so that books silent to its end are seen."""
+    return F.lit(messages.agg(F.max("event_time")).first()[0])
+
+
+def book_moves(spark: SparkSession, sf: str, **kw) -> DataFrame:
+    return book.transitions(book_states(spark, sf), BOOK_LIMITS, end_of_log(views.book_messages(spark, sf)), **kw)
+
+
+@query("parse_book", f"""{BOOK}, levels AS (SELECT n, string_agg(concat(side, ':', price, ':', qty), ' ' ORDER BY side, price) AS levels FROM changes GROUP BY n),
+  {sql.CRC}, sent AS (SELECT m.*, CASE WHEN kind = 'RESET' OR unchecked THEN NULL WHEN wrong THEN (crc + 1) % 4294967296 ELSE crc END AS checksum, coalesce(l.levels, '') AS levels
+    FROM msgs m JOIN checksums USING (n) LEFT JOIN levels l USING (n))
+  SELECT n AS src_offset, CASE WHEN n % 50 = 0 THEN 'dead' WHEN n % 53 = 0 THEN 'invalid' ELSE 'book' END AS route,
+  CASE WHEN n % 50 <> 0 THEN kind END AS type, CASE WHEN n % 50 <> 0 AND n % 53 <> 0 THEN upper(instrument) END AS instrument,
+  CASE WHEN n % 50 = 0 THEN '' ELSE levels END AS levels, CASE WHEN n % 50 <> 0 THEN checksum END AS checksum FROM sent""")
 def _(spark, sf):
     parsed = book.parse_book(views.book_frames(spark, sf))
-    return parsed.select("src_offset", "route", "type", "instrument",
-                         (F.size("bids") + F.size("asks")).alias("levels"), "checksum")
+
+    def shown(side: str, column: str) -> Column:
+        return F.transform(column, lambda level: F.struct(F.lit(side).alias("side"), level["price"].cast("long").alias("price"), level["quantity"].cast("long").alias("qty")))
+    levels = F.array_sort(F.concat(shown("ASK", "asks"), shown("BID", "bids")))
+    text = F.array_join(F.transform(levels, lambda x: F.concat_ws(":", x["side"], x["price"].cast("string"), x["qty"].cast("string"))), " ")
+    return parsed.select("src_offset", "route", "type", "instrument", F.coalesce(text, F.lit("")).alias("levels"), "checksum")
 
 
-@query("union_book_events", f"""{BOOK} SELECT CASE WHEN snap THEN 'SNAPSHOT' ELSE 'UPDATE' END AS type, count(*) AS messages FROM msgs GROUP BY 1""")
+@query("union_book_events", f"""{BOOK} SELECT kind AS type, count(*) AS messages FROM msgs WHERE kind <> 'RESET' GROUP BY 1""")
 def _(spark, sf):
     messages = views.book_messages(spark, sf)
     both = book.union_book_events(messages.where("type = 'SNAPSHOT'").drop("sequence"), messages.where("type = 'UPDATE'"))
     return both.groupBy("type").agg(F.count("*").alias("messages"))
 
 
-@query("idempotent_update", """WITH m AS (SELECT event_id AS n, event_type, event_id - CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END AS seq FROM events),
-  r AS (SELECT *, max(seq) OVER (PARTITION BY event_type ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM m)
+@query("idempotent_update", """WITH m AS (SELECT event_id AS n, CASE WHEN event_type = 'signup' AND ts >= TIMESTAMP '2024-01-28' THEN 'purchase' ELSE event_type END AS instrument,
+    event_id - CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END AS seq FROM events),
+  r AS (SELECT *, max(seq) OVER (PARTITION BY instrument ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM m)
   SELECT n AS src_offset, seq AS sequence FROM r WHERE seen IS NULL OR seq > seen""")
 def _(spark, sf):
     back = F.when(F.col("src_offset") % 10 == 0, 40).otherwise(0)
@@ -962,13 +979,22 @@ def _(spark, sf):
     return book.idempotent_updates(numbered).select("src_offset", "sequence")
 
 
-@query("apply_deltas", f"{BOOK} SELECT n AS src_offset, CAST(bid AS DECIMAL(38,2)) AS best_bid, CAST(ask AS DECIMAL(38,2)) AS best_ask, CAST(bid_depth AS DECIMAL(38,2)) AS bid_depth, CAST(ask_depth AS DECIMAL(38,2)) AS ask_depth FROM tops")
+@query("apply_deltas", f"""{BOOK}, best AS (SELECT n, string_agg(concat(side, ':', price, ':', qty), ' ' ORDER BY side, level) AS levels FROM ranked WHERE level <= 10 GROUP BY n)
+  SELECT m.n AS src_offset, coalesce(levels, '') AS levels, kind = 'UPDATE' AND negative AND NOT crosses AS negative FROM msgs m LEFT JOIN best USING (n)""")
+def _(spark, sf):
+    rebuilt = book.apply_deltas(book.number(views.book_messages(spark, sf)))
+
+    def shown(side: str, column: str) -> Column:
+        return F.transform(column, lambda level: F.concat_ws(":", F.lit(side), level["price"].cast("long").cast("string"), level["quantity"].cast("long").cast("string")))
+    return rebuilt.select("src_offset", F.array_join(F.concat(shown("ASK", "book_asks"), shown("BID", "book_bids")), " ").alias("levels"), "negative")
+
+
+@query("crc32", f"{BOOK}, {sql.CRC} SELECT n AS src_offset, crc AS computed_checksum FROM checksums")
 def _(spark, sf):
-    return book.book_metrics(book_states(spark, sf)).select(
-        "src_offset", dec2("best_bid"), dec2("best_ask"), dec2("bid_depth"), dec2("ask_depth"))
+    return book_states(spark, sf).select("src_offset", "computed_checksum")
 
 
-@query("checksum_verify", f"{BOOK} SELECT n AS src_offset, false AS checksum_verified FROM msgs WHERE bad")
+@query("checksum_verify", f"{BOOK} SELECT n AS src_offset, NOT wrong AS checksum_verified FROM msgs WHERE kind <> 'RESET' AND NOT unchecked")
 def _(spark, sf):
     return book_states(spark, sf).where("checksum IS NOT NULL").select("src_offset", "checksum_verified")
 
@@ -980,49 +1006,68 @@ def _(spark, sf):
 
 @query("book_metrics", f"""{BOOK} SELECT n AS src_offset, instrument, {sql.half_up('bid + ask', '2')} AS mid_price, CAST(ask - bid AS DECIMAL(38,2)) AS spread,
   {sql.half_up('(ask - bid) * 20000', 'bid + ask')} AS spread_bps, {sql.half_up('bid * ask_qty + ask * bid_qty', 'bid_qty + ask_qty')} AS weighted_mid,
-  {sql.half_up('bid_depth - ask_depth', 'bid_depth + ask_depth')} AS imbalance FROM tops WHERE bid IS NOT NULL AND ask IS NOT NULL""")
+  {sql.half_up('bid_depth - ask_depth', 'bid_depth + ask_depth')} AS imbalance, true AS checksum_verified FROM tops WHERE bid IS NOT NULL AND ask IS NOT NULL""")
 def _(spark, sf):
     metrics = book.book_metrics(book_states(spark, sf)).where("mid_price IS NOT NULL")
     return metrics.select("src_offset", "instrument", ratio("mid_price"), dec2("spread"), ratio("spread_bps"),
-                          ratio("weighted_mid"), ratio("imbalance"))
+                          ratio("weighted_mid"), ratio("imbalance"), "checksum_verified")
+
+
+@query("book_metrics_range", f"""{BOOK} SELECT n AS src_offset, instrument, CAST(ask - bid AS DECIMAL(38,2)) AS spread, ts AS event_time FROM tops JOIN msgs USING (n, instrument)
+  WHERE instrument = 'click' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AND bid IS NOT NULL AND ask IS NOT NULL""")
+def _(spark, sf):
+    metrics = book.book_metrics(book_states(spark, sf)).where("mid_price IS NOT NULL")
+    ranged = serving.metrics_range(metrics, "click", F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-20").cast("timestamp"))
+    return ranged.select("src_offset", "instrument", dec2("spread"), when_at("event_time"))
+
+
+MOVES = f"{BOOK}, {sql.MOVES}"
+MOVED = f"{MOVES} SELECT instrument, make_timestamp(at_ms * 1000) AS at, from_state, to_state, count(*) AS moves FROM moves GROUP BY 1, 2, 3, 4"
+
+
+def moves_shown(moves: DataFrame) -> DataFrame:
+    return moves.groupBy("instrument", when_at("at"), "from_state", "to_state").agg(F.count("*").alias("moves"))
 
 
-@query("resync_requests", f"{BOOK} SELECT instrument, ts AS requested_at, book_state FROM states WHERE broke")
+@query("book_transitions", MOVED)
 def _(spark, sf):
-    return book.resync_requests(book_states(spark, sf)).select("instrument", when_at("requested_at"), "book_state")
+    return moves_shown(book_moves(spark, sf))
 
 
-@query("book_quarantine", f"{BOOK} SELECT instrument, 'CHECKSUM_MISMATCH' AS reason, 'BOOK_APPLY' AS stage, concat('t-', n) AS trace_id FROM states WHERE broke AND first_kind <> 'LONG'")
+@query("book_transition_counts", f"""{MOVES} SELECT from_state, to_state, count(*) AS moves FROM (SELECT from_state, to_state FROM moves
+  UNION ALL SELECT 'LIVE', 'LIVE' FROM steps WHERE kind = 'UPDATE' AND came = 'LIVE' AND book_state = 'LIVE') GROUP BY 1, 2""")
 def _(spark, sf):
-    return book.book_quarantine(book_states(spark, sf), VERSION).select("instrument", "reason", "stage", "trace_id")
+    return book_moves(spark, sf, every=True).groupBy("from_state", "to_state").agg(F.count("*").alias("moves"))
 
 
-@query("book_transitions", f"""{BOOK}, prior AS (SELECT *, coalesce(lag(CASE WHEN book_state = 'INVALID' THEN 'RESYNCHRONISING' ELSE book_state END)
-    OVER (PARTITION BY instrument ORDER BY n), 'UNINITIALISED') AS was FROM states),
-  arrived AS (SELECT *, CASE WHEN was <> 'LIVE' THEN was WHEN gap_ms > {sql.RESYNC_MS} THEN 'RESYNCHRONISING' WHEN gap_ms > {sql.STALE_MS} THEN 'STALE' ELSE was END AS came FROM prior),
-  moves AS (SELECT instrument, 'LIVE' AS from_state, 'STALE' AS to_state FROM prior WHERE was = 'LIVE' AND gap_ms > {sql.STALE_MS}
-    UNION ALL SELECT instrument, 'STALE', 'RESYNCHRONISING' FROM prior WHERE was = 'LIVE' AND gap_ms > {sql.RESYNC_MS}
-    UNION ALL SELECT instrument, came, book_state FROM arrived WHERE came <> book_state
-    UNION ALL SELECT instrument, 'INVALID', 'RESYNCHRONISING' FROM states WHERE book_state = 'INVALID')
-  SELECT instrument, from_state, to_state, count(*) AS moves FROM moves GROUP BY 1, 2, 3""")
+@query("resync_requests", f"{MOVES} SELECT instrument, make_timestamp(at_ms * 1000) AS requested_at, from_state AS book_state FROM moves WHERE to_state = 'RESYNCHRONISING'")
 def _(spark, sf):
-    moves = book.transitions(book_states(spark, sf), **BOOK_LIMITS)
-    return moves.groupBy("instrument", "from_state", "to_state").agg(F.count("*").alias("moves"))
+    return book.resync_requests(book_moves(spark, sf)).select("instrument", when_at("requested_at"), "book_state")
 
 
-NEWEST = f"""{BOOK}, newest AS (SELECT * FROM states WHERE n IN (SELECT max(n) FROM states GROUP BY instrument)),
-  aged AS (SELECT *, epoch_ms(TIMESTAMP '2024-01-31 01:00:00') - epoch_us(ts) // 1000 AS silent FROM newest),
-  now AS (SELECT instrument, n, ts, CASE WHEN book_state <> 'LIVE' THEN book_state WHEN silent > {sql.RESYNC_MS} THEN 'RESYNCHRONISING'
-    WHEN silent > {sql.STALE_MS} THEN 'STALE' ELSE 'LIVE' END AS book_state FROM aged)"""
+@query("book_quarantine", f"{BOOK} SELECT instrument, trouble AS reason, kind AS error_class, 'BOOK_APPLY' AS stage, concat('t-', n) AS trace_id FROM states WHERE broke AND brk <> 'LONG'")
+def _(spark, sf):
+    return book.book_quarantine(book_states(spark, sf), VERSION).select("instrument", "reason", "error_class", "stage", "trace_id")
+
+
+NEWEST = f"""{MOVES}, now AS (SELECT a.instrument, s.n, s.ts, a.came AS book_state FROM arrived a JOIN states s ON s.instrument = a.instrument
+    AND s.n = (SELECT max(n) FROM states x WHERE x.instrument = a.instrument) WHERE a.n IS NULL)"""
 
 
 def books_now(spark: SparkSession, sf: str) -> DataFrame:
-    return book.book_current(book_states(spark, sf), F.lit("2024-01-31 01:00:00").cast("timestamp"), **BOOK_LIMITS)
+    return book.book_current(book_states(spark, sf), end_of_log(views.book_messages(spark, sf)), BOOK_LIMITS)
 
 
-@query("book_current", f"{NEWEST} SELECT instrument, book_state, ts AS event_time FROM now")
+@query("book_current", f"""{NEWEST}, whole AS (SELECT n, string_agg(concat(side, ':', price, ':', qty), ' ' ORDER BY side, level) AS levels FROM ranked GROUP BY n)
+  SELECT instrument, book_state, ts AS event_time, coalesce(levels, '') AS levels FROM now LEFT JOIN whole USING (n)""")
 def _(spark, sf):
-    return books_now(spark, sf).select("instrument", "book_state", when_at("event_time"))
+    numbered = book.number(views.book_messages(spark, sf))
+    states = book.judge(numbered, book.plain_digits(*BOOK_TEXT), limits=BOOK_LIMITS)
+    now = book.with_levels(book.book_current(states, end_of_log(numbered), BOOK_LIMITS), numbered)
+
+    def shown(side: str, column: str) -> Column:
+        return F.transform(column, lambda level: F.concat_ws(":", F.lit(side), level["price"].cast("long").cast("string"), level["quantity"].cast("long").cast("string")))
+    return now.select("instrument", "book_state", when_at("event_time"), F.array_join(F.concat(shown("ASK", "book_asks"), shown("BID", "book_bids")), " ").alias("levels"))
 
 
 @query("spread_imbalance_now", f"""{NEWEST} SELECT w.instrument, w.book_state, CASE WHEN w.book_state = 'LIVE' THEN CAST(t.ask - t.bid AS DECIMAL(38,2)) END AS spread,
@@ -1033,23 +1078,26 @@ def _(spark, sf):
         "instrument", "book_state", dec2("spread"), ratio("imbalance"), when_at("as_of"))
 
 
-@query("alert_stale_book", f"""{BOOK}, g AS (SELECT instrument, epoch_us(ts) // 1000 AS t, lag(epoch_us(ts) // 1000) OVER (PARTITION BY instrument ORDER BY epoch_us(ts) // 1000) AS p
-    FROM (SELECT DISTINCT instrument, date_trunc('millisecond', ts) AS ts FROM msgs))
+@query("alert_stale_book", f"""{BOOK}, log_end AS (SELECT max(t) AS end_t FROM msgs),
+  g AS (SELECT instrument, t AS p, coalesce(lead(t) OVER (PARTITION BY instrument ORDER BY t), end_t) AS t FROM (SELECT DISTINCT instrument, t FROM msgs), log_end)
   SELECT instrument, concat('STALE_BOOK:KRAKEN|', upper(instrument), ':', CAST(p AS VARCHAR)) AS dedupe_key, CAST(t - p AS VARCHAR) AS silent_ms
   FROM g WHERE t - p > {sql.STALE_MS}""")
 def _(spark, sf):
-    gaps = rolling.inter_trade_gaps(views.book_messages(spark, sf), sql.STALE_MS)
+    messages = views.book_messages(spark, sf)
+    gaps = rolling.inter_trade_gaps(messages, sql.STALE_MS, until=end_of_log(messages))
     return alerts.alert_stale_book(gaps, sql.STALE_MS, VERSION).select(
         "instrument", "dedupe_key", F.col("details")["silent_ms"].alias("silent_ms"))
 
 
-@query("alert_liquidity_drop", f"""{BOOK}, d AS (SELECT instrument, epoch_us(ts) // 1000 AS at_ms, CAST(last(bid_depth + ask_depth ORDER BY n) AS DOUBLE) AS depth
+@query("alert_liquidity_drop", f"""{BOOK}, d AS (SELECT instrument, t AS at_ms, CAST(last(bid_depth + ask_depth ORDER BY n) AS DOUBLE) AS depth
     FROM tops JOIN msgs USING (n, instrument) GROUP BY 1, 2),
   m AS (SELECT *, avg(depth) OVER (PARTITION BY instrument ORDER BY at_ms RANGE BETWEEN 21600000 PRECEDING AND 1 PRECEDING) AS mean_depth FROM d)
-  SELECT instrument, at_ms, CAST(depth AS BIGINT) AS depth, round(mean_depth, 5) AS mean_depth FROM m WHERE depth <= mean_depth * 0.7""")
+  SELECT instrument, concat('LIQUIDITY_DROP:KRAKEN|', upper(instrument), ':', at_ms) AS dedupe_key, make_timestamp(at_ms * 1000) AS triggered_at,
+    CAST(depth AS BIGINT) AS depth, round(mean_depth, 5) AS mean_depth FROM m WHERE depth <= mean_depth * 0.7""")
 def _(spark, sf):
-    dropped = alerts.depth_drops(book.book_metrics(book_states(spark, sf)), 6 * HOUR_MS, 0.7)
-    return dropped.select("instrument", "at_ms", F.col("depth").cast("bigint").alias("depth"), dbl("mean_depth", "mean_depth", 5))
+    fired = alerts.alert_liquidity_drop(book.book_metrics(book_states(spark, sf)), 6 * HOUR_MS, 0.7, VERSION)
+    return fired.select("instrument", "dedupe_key", when_at("triggered_at"), F.col("details")["depth"].cast("decimal(38,18)").cast("bigint").alias("depth"),
+                        dbl(F.col("details")["mean_depth"], "mean_depth", 5))
 
 
 # ---------------------------------------------------------------- streams
@@ -1082,6 +1130,37 @@ def _(spark, sf):
     return streamed_candles(spark, sf).late(spark).select("instrument", "trace_id")
 
 
+def streamed_books(spark: SparkSession, sf: str, runs: int = 3) -> DataFrame:
+    """Books and moves of the messages as a file stream that grows between runs; each run resumes from its checkpoint."""
+    messages = materialise(views.book_messages(spark, sf), "book-messages")
+    folder = work_folder(spark, "books")
+    end = messages.agg(F.max("src_offset") + 1).first()[0]
+    for run in range(runs):
+        messages.where(F.col("src_offset").between(end * run // runs, end * (run + 1) // runs - 1)).write.parquet(f"{folder}/in/{run}")
+        source = spark.readStream.schema(messages.schema).parquet(f"{folder}/in/*")
+        books = book_stream.book_stream(source, book_stream.plain_text(*BOOK_TEXT), BOOK_LIMITS)
+        books.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint") \
+            .outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(books.schema).parquet(f"{folder}/out")
+
+
+@query("stream_book_transitions", MOVED)
+def _(spark, sf):
+    return moves_shown(book_stream.moves(streamed_books(spark, sf)))
+
+
+@query("stream_book_metrics", f"""{BOOK} SELECT n AS src_offset, instrument, 'LIVE' AS book_state, CAST(ask - bid AS DECIMAL(38,2)) AS spread,
+  CAST(bid_depth AS DECIMAL(38,2)) AS bid_depth, CAST(ask_depth AS DECIMAL(38,2)) AS ask_depth FROM tops""")
+def _(spark, sf):
+    return book.book_metrics(book_stream.states(streamed_books(spark, sf))).select(
+        "src_offset", "instrument", "book_state", dec2("spread"), dec2("bid_depth"), dec2("ask_depth"))
+
+
+@query("stream_book_quarantine", ORACLES["book_quarantine"])
+def _(spark, sf):
+    return book.book_quarantine(book_stream.states(streamed_books(spark, sf)), VERSION).select("instrument", "reason", "error_class", "stage", "trace_id")
+
+
 @query("write_routed_streams", f"""{EXPECTED} SELECT CASE route WHEN 'trade' THEN 'normalized.trades' WHEN 'invalid' THEN 'invalid.events' ELSE 'dead-letter' END AS stream,
   count(*) AS "rows" FROM expected GROUP BY 1""")
 def _(spark, sf):

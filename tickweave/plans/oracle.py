@@ -124,48 +124,112 @@ def half_up(numerator: str, denominator: str, decimals: int = 6) -> str:
             f" / {10 ** decimals} END")
 
 
-STALE_MS, RESYNC_MS = 3_600_000, 7_200_000
+STALE_MS, RESYNC_MS, ANSWER_MS, REQUESTS = 3_600_000, 7_200_000, 10_800_000, 3
+
+
+def _failed(asked: str, now: str) -> str:
+    """Requests made from ``asked`` on that have failed by ``now``: one for each whole span that lies before it."""
+    return f"greatest(0, least({REQUESTS}, CAST(ceil(({now} - {asked}) / {ANSWER_MS}.0) AS BIGINT) - 1))"
+
+
+def _settled(kind: str, tries: str, asked: str, now: str) -> str:
+    return (f"CASE WHEN {kind} = 'RESET' THEN 'UNINITIALISED' WHEN {kind} = 'SNAP' AND {tries} < 3 THEN 'LOADING_SNAPSHOT'"
+            f" WHEN {_failed(asked, now)} >= {REQUESTS} THEN 'INVALID' ELSE 'RESYNCHRONISING' END")
+
 
 # Book messages of the events, and the state each leaves its book in.
 BOOK = f"""msgs AS (
-  SELECT event_id AS n, event_type AS instrument, ts, event_id % 211 = 0 AS snap, user_id % 40 AS shift,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         event_id % 401 = 0 OR event_id % 633 = 0 AS bad FROM events),
+  SELECT event_id AS n, CASE WHEN event_type = 'signup' AND ts >= TIMESTAMP '2024-01-28' THEN 'purchase' ELSE event_type END AS instrument,
+         ts, epoch_us(ts) // 1000 AS t, user_id % 14 AS shift, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         CASE WHEN event_id % 1999 = 7 THEN 'RESET' WHEN event_id % 211 = 0 THEN 'SNAPSHOT' ELSE 'UPDATE' END AS kind,
+         event_id % 401 = 0 OR event_id % 633 = 0 AS wrong, event_id % 769 = 3 AS unchecked,
+         CASE WHEN event_id % 2 = 0 THEN 'BID' ELSE 'ASK' END AS side,
+         event_id % 953 = 11 AS crosses, event_id % 877 = 5 AS negative, event_id % 1201 = 13 AS skips FROM events),
 numbered AS (
-  SELECT *, sum(CASE WHEN snap THEN 1 ELSE 0 END) OVER log AS epoch,
-         epoch_us(ts) // 1000 - lag(epoch_us(ts) // 1000) OVER log AS gap_ms
+  SELECT *, sum(CASE WHEN kind <> 'UPDATE' THEN 1 ELSE 0 END) OVER log AS epoch,
+         sum(CASE WHEN kind = 'SNAPSHOT' THEN 1 ELSE 0 END) OVER log AS snapshots,
+         row_number() OVER log AS place, lag(t) OVER log AS before_t, t - lag(t) OVER log AS gap_ms,
+         CASE WHEN kind = 'UPDATE' AND (crosses OR negative) THEN 'IMPOSSIBLE_STATE'
+              WHEN kind = 'UPDATE' AND skips AND lag(t) OVER log IS NOT NULL THEN 'SEQUENCE_GAP'
+              WHEN kind <> 'RESET' AND (wrong OR unchecked) THEN 'CHECKSUM_MISMATCH' END AS trouble
   FROM msgs WINDOW log AS (PARTITION BY instrument ORDER BY n)),
 broken AS (
-  SELECT *, CASE WHEN snap AND bad THEN 'SNAP' WHEN NOT snap AND gap_ms > {RESYNC_MS} THEN 'LONG' WHEN bad THEN 'FAULT' END AS brk
-  FROM numbered),
+  SELECT *, CASE WHEN kind = 'RESET' THEN 'RESET' WHEN kind = 'SNAPSHOT' AND trouble IS NOT NULL THEN 'SNAP'
+      WHEN kind = 'UPDATE' AND gap_ms > {RESYNC_MS} THEN 'LONG' WHEN trouble IS NOT NULL THEN 'FAULT' END AS brk FROM numbered),
 firsts AS (
   SELECT *, min(CASE WHEN brk IS NOT NULL THEN n END) OVER (PARTITION BY instrument, epoch) AS first_n,
-         epoch - coalesce(max(CASE WHEN snap AND NOT bad THEN epoch END) OVER (
+         snapshots - coalesce(max(CASE WHEN kind = 'SNAPSHOT' AND trouble IS NULL THEN snapshots END) OVER (
            PARTITION BY instrument ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tries FROM broken),
 kinds AS (
-  SELECT *, max(CASE WHEN n = first_n THEN brk END) OVER (PARTITION BY instrument, epoch) AS first_kind FROM firsts),
-states AS (
+  SELECT *, max(CASE WHEN n = first_n THEN brk END) OVER (PARTITION BY instrument, epoch) AS first_kind,
+    max(CASE WHEN n = first_n THEN CASE WHEN brk = 'LONG' THEN before_t + {RESYNC_MS} ELSE t END END) OVER (PARTITION BY instrument, epoch) AS asked FROM firsts),
+settled AS (
   SELECT *, CASE WHEN epoch = 0 THEN 'UNINITIALISED' WHEN first_n IS NULL OR n < first_n THEN 'LIVE'
-    WHEN first_kind = 'SNAP' AND tries < 3 THEN 'LOADING_SNAPSHOT'
-    WHEN n > first_n OR first_kind = 'LONG' THEN 'RESYNCHRONISING' ELSE 'INVALID' END AS book_state,
-    epoch > 0 AND n = first_n AS broke FROM kinds),
+    ELSE {_settled('first_kind', 'tries', 'asked', 't')} END AS rests,
+    CASE WHEN epoch > 0 AND n >= first_n AND first_kind <> 'RESET' AND (first_kind <> 'SNAP' OR tries >= 3) THEN asked END AS asked_t,
+    epoch > 0 AND n = first_n AND brk <> 'RESET' AS broke FROM kinds),
+states AS (
+  SELECT *, CASE WHEN broke AND (brk = 'FAULT' OR (brk = 'SNAP' AND tries >= 3)) THEN 'INVALID' ELSE rests END AS book_state,
+    coalesce(lag(rests) OVER (PARTITION BY instrument ORDER BY n), 'UNINITIALISED') AS was,
+    lag(asked_t) OVER (PARTITION BY instrument ORDER BY n) AS was_asked FROM settled),
 changes AS (
-  SELECT n, instrument, epoch, 'BID' AS side, 50 + shift AS price, 1 + k % 9 AS qty, 0 AS place FROM numbered WHERE snap
-  UNION ALL SELECT n, instrument, epoch, 'BID', 45, 3, 1 FROM numbered WHERE snap
-  UNION ALL SELECT n, instrument, epoch, 'ASK', 110 + shift, 1 + k % 9, 0 FROM numbered WHERE snap
-  UNION ALL SELECT n, instrument, epoch, 'ASK', 155, 3, 1 FROM numbered WHERE snap
-  UNION ALL SELECT n, instrument, epoch, CASE WHEN n % 2 = 0 THEN 'BID' ELSE 'ASK' END,
-    CASE WHEN n % 2 = 0 THEN 50 ELSE 110 END + shift, k % 10, 0 FROM numbered WHERE NOT snap),
+  SELECT n, instrument, epoch, 'BID' AS side, 50 + shift AS price, 1 + k % 9 AS qty, 0 AS pos FROM numbered WHERE kind = 'SNAPSHOT'
+  UNION ALL SELECT n, instrument, epoch, 'BID', 45, 3, 1 FROM numbered WHERE kind = 'SNAPSHOT'
+  UNION ALL SELECT n, instrument, epoch, 'ASK', 110 + shift, 1 + k % 9, 0 FROM numbered WHERE kind = 'SNAPSHOT'
+  UNION ALL SELECT n, instrument, epoch, 'ASK', 155, 3, 1 FROM numbered WHERE kind = 'SNAPSHOT'
+  UNION ALL SELECT n, instrument, epoch, side,
+    CASE WHEN crosses THEN CASE side WHEN 'BID' THEN 200 ELSE 10 END WHEN side = 'BID' THEN 50 + shift ELSE 110 + shift END,
+    CASE WHEN crosses THEN 5 WHEN negative THEN -2 ELSE k % 10 END, 0 FROM numbered WHERE kind = 'UPDATE'),
 held AS (
   SELECT s.n, s.instrument, c.side, c.price, c.qty, row_number() OVER (
-    PARTITION BY s.n, c.side, c.price ORDER BY c.n DESC, c.place DESC) AS age
-  FROM states s JOIN changes c ON s.instrument = c.instrument AND s.epoch = c.epoch AND c.n <= s.n
-  WHERE s.book_state = 'LIVE'),
+    PARTITION BY s.n, c.side, c.price ORDER BY c.n DESC, c.pos DESC) AS age
+  FROM numbered s JOIN changes c ON s.instrument = c.instrument AND s.epoch = c.epoch AND c.n <= s.n),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY n, side ORDER BY CASE WHEN side = 'BID' THEN -price ELSE price END) AS level
-  FROM held WHERE age = 1 AND qty <> 0),
+  FROM held WHERE age = 1 AND qty > 0),
 tops AS (
   SELECT n, instrument, max(price) FILTER (WHERE side = 'BID') AS bid, min(price) FILTER (WHERE side = 'ASK') AS ask,
     max(qty) FILTER (WHERE side = 'BID' AND level = 1) AS bid_qty, max(qty) FILTER (WHERE side = 'ASK' AND level = 1) AS ask_qty,
     coalesce(sum(qty) FILTER (WHERE side = 'BID' AND level <= 10), 0) AS bid_depth,
-    coalesce(sum(qty) FILTER (WHERE side = 'ASK' AND level <= 10), 0) AS ask_depth FROM ranked GROUP BY 1, 2)"""
+    coalesce(sum(qty) FILTER (WHERE side = 'ASK' AND level <= 10), 0) AS ask_depth
+  FROM (SELECT n FROM states WHERE book_state = 'LIVE') JOIN ranked USING (n) GROUP BY 1, 2)"""
+
+# CRC-32, byte by byte through its table of 256 remainders.
+CRC = """crc_table AS (
+  SELECT list(v ORDER BY i) AS entries FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+    FROM (SELECT range::bigint AS i FROM range(256)))),
+book_texts AS (
+  SELECT m.n, coalesce(string_agg(concat(price * 100, qty * 1000), '' ORDER BY r.side, level) FILTER (WHERE level <= 10), '') AS body
+  FROM msgs m LEFT JOIN ranked r ON r.n = m.n GROUP BY m.n),
+checksums AS (
+  SELECT n, xor(list_reduce(list_concat([4294967295::bigint], [ascii(c)::bigint FOR c IN string_split(body, '') IF c <> '']),
+    lambda c, b: xor(c // 256, entries[xor(c % 256, b) + 1])), 4294967295) AS crc FROM book_texts, crc_table)"""
+
+# What moves a book: the silence before a message (or before the end of the log), then the message.
+MOVES = f"""log_end AS (SELECT max(t) AS end_t FROM msgs),
+spans AS (
+  SELECT instrument, was, was_asked, before_t, t, n, kind, trouble, book_state, rests FROM states
+  UNION ALL SELECT instrument, rests, asked_t, t, end_t, NULL, NULL, NULL, NULL, NULL
+  FROM states, log_end WHERE n IN (SELECT max(n) FROM states GROUP BY instrument)),
+quiet AS (
+  SELECT *, was = 'LIVE' AND coalesce(t - before_t > {STALE_MS}, false) AS stale, was = 'LIVE' AND coalesce(t - before_t > {RESYNC_MS}, false) AS left_alone,
+    CASE WHEN was = 'LIVE' AND t - before_t > {RESYNC_MS} THEN before_t + {RESYNC_MS} WHEN was = 'RESYNCHRONISING' THEN was_asked END AS waiting FROM spans),
+waits AS (
+  SELECT *, CASE WHEN waiting IS NULL THEN 0 ELSE {_failed('waiting', 't')} END AS failed,
+    CASE WHEN waiting IS NULL OR left_alone THEN 0 ELSE {_failed('waiting', 'before_t')} END AS failed_before FROM quiet),
+arrived AS (
+  SELECT *, CASE WHEN waiting IS NOT NULL THEN CASE WHEN failed >= {REQUESTS} THEN 'INVALID' ELSE 'RESYNCHRONISING' END
+    WHEN stale THEN 'STALE' ELSE was END AS came FROM waits),
+tries_over AS (SELECT *, unnest(range(failed_before + 1, failed + 1)) AS try FROM arrived),
+steps AS (
+  SELECT *, kind = 'SNAPSHOT' AND NOT (came IN ('LIVE', 'STALE') AND book_state = 'LIVE') AS loads FROM arrived WHERE n IS NOT NULL),
+moves AS (
+  SELECT instrument, before_t + {STALE_MS} AS at_ms, 'LIVE' AS from_state, 'STALE' AS to_state FROM arrived WHERE stale
+  UNION ALL SELECT instrument, before_t + {RESYNC_MS}, 'STALE', 'RESYNCHRONISING' FROM arrived WHERE left_alone
+  UNION ALL SELECT instrument, waiting + try * {ANSWER_MS}, 'RESYNCHRONISING', 'INVALID' FROM tries_over
+  UNION ALL SELECT instrument, waiting + try * {ANSWER_MS}, 'INVALID', 'RESYNCHRONISING' FROM tries_over WHERE try < {REQUESTS}
+  UNION ALL SELECT instrument, t, came, 'LOADING_SNAPSHOT' FROM steps WHERE loads AND (came <> 'LOADING_SNAPSHOT' OR book_state = 'LOADING_SNAPSHOT')
+  UNION ALL SELECT instrument, t, 'LOADING_SNAPSHOT', book_state FROM steps WHERE loads AND book_state <> 'LOADING_SNAPSHOT'
+  UNION ALL SELECT instrument, t, came, book_state FROM steps WHERE NOT loads AND came <> book_state
+  UNION ALL SELECT instrument, t, 'INVALID', 'RESYNCHRONISING' FROM steps WHERE book_state = 'INVALID' AND rests = 'RESYNCHRONISING')"""

@@ -7,12 +7,17 @@ a wider load.
 
 from __future__ import annotations
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.decimals import DECIMAL
 from ..functions.ids import trade_event_id
 from ..functions.keys import instrument_key
+from ..operators.prefix import Running, offset_chunk, running
 
 EXCHANGE = "KRAKEN"
 
@@ -134,29 +139,74 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("src_offset"))
 
 
+#: Levels of the book messages: the moving ones are these prices plus 0 to 13; crossed ones lie beyond the other side.
+BOOK_SHIFTS = 14
+BOOK_PRICES = {"BID": (50, 45, 200), "ASK": (110, 155, 10)}
+#: From here on one instrument is silent, its messages are another's.
+SILENT_FROM = "2024-01-28 00:00:00"
+
+
 def book_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """One book message per event: snapshots every 211th, some checksums wrong, the rest absent."""
-    event_id, shift = F.col("event_id"), F.col("user_id") % 40
+    """One book message per event, with the checksum of the true book.
+
+    Every 211th is a snapshot, some are resets. Some checksums are wrong or missing, some messages are lost (a gap in the
+    sequence), cross the book or carry a negative quantity. ``signup`` falls silent before the end.
+    """
+    event_id, shift = F.col("event_id"), F.col("user_id") % BOOK_SHIFTS
     k = F.get_json_object("props", "$.k").cast("int")
-    snapshot = event_id % 211 == 0
-    buy = event_id % 2 == 0
+    at = F.col("ts").cast("timestamp")
+    kind = F.when(event_id % 1999 == 7, "RESET").when(event_id % 211 == 0, "SNAPSHOT").otherwise("UPDATE")
+    late = (F.col("event_type") == "signup") & (at >= F.lit(SILENT_FROM).cast("timestamp"))
+    coded = table(spark, sf, "events").select(
+        F.lit(EXCHANGE).alias("exchange"), F.when(late, "purchase").otherwise(F.col("event_type")).alias("instrument"), kind.alias("type"),
+        at.alias("event_time"), (at + F.expr("INTERVAL 50 MILLISECONDS")).alias("ingestion_time"), event_id.alias("src_offset"),
+        F.lit(0).alias("src_partition"), F.lit(0).alias("ordinal"), F.concat(F.lit("t-"), event_id.cast("string")).alias("trace_id"),
+        shift.alias("shift"), k.alias("k"), (event_id % 953 == 11).alias("crosses"), (event_id % 877 == 5).alias("negative"),
+        ((event_id % 401 == 0) | (event_id % 633 == 0)).alias("wrong"), (event_id % 769 == 3).alias("unchecked"),
+        (1 + (event_id % 1201 == 13).cast("long")).alias("step"))
+
+    none = F.array().cast("array<struct<price:decimal(38,18),quantity:decimal(38,18)>>")
 
     def level(price: Column, quantity: Column) -> Column:
         return F.struct(price.cast(DECIMAL).alias("price"), quantity.cast(DECIMAL).alias("quantity"))
-    none = F.array().cast("array<struct<price:decimal(38,18),quantity:decimal(38,18)>>")
 
-    def side(own: Column, base_price: int, deep_price: int) -> Column:
-        return (F.when(snapshot, F.array(level(shift + base_price, 1 + k % 9), level(F.lit(deep_price), F.lit(3))))
-                .when(own, F.array(level(shift + base_price, k % 10))).otherwise(none))
-    at = F.col("ts").cast("timestamp")
-    return table(spark, sf, "events").select(
-        F.lit(EXCHANGE).alias("exchange"), F.col("event_type").alias("instrument"),
-        F.when(snapshot, "SNAPSHOT").otherwise("UPDATE").alias("type"), at.alias("event_time"),
-        (at + F.expr("INTERVAL 50 MILLISECONDS")).alias("ingestion_time"), side(buy, 50, 45).alias("bids"),
-        side(~buy, 110, 155).alias("asks"),
-        F.when((event_id % 401 == 0) | (event_id % 633 == 0), -1).cast("long").alias("checksum"),
-        F.lit(None).cast("long").alias("sequence"), F.concat(F.lit("t-"), event_id.cast("string")).alias("trace_id"),
-        F.lit(0).alias("src_partition"), event_id.alias("src_offset"), F.lit(0).alias("ordinal"))
+    def side(name: str, own: Column) -> Column:
+        base_price, deep_price, crossing = BOOK_PRICES[name]
+        changed = (F.when(F.col("crosses"), level(F.lit(crossing), F.lit(5)))
+                   .when(F.col("negative"), level(F.col("shift") + base_price, F.lit(-2))).otherwise(level(F.col("shift") + base_price, F.col("k") % 10)))
+        return (F.when(F.col("type") == "SNAPSHOT", F.array(level(F.col("shift") + base_price, 1 + F.col("k") % 9), level(F.lit(deep_price), F.lit(3))))
+                .when((F.col("type") == "UPDATE") & own, F.array(changed)).otherwise(none))
+    buy = F.col("src_offset") % 2 == 0
+    sent = coded.withColumns({"bids": side("BID", buy), "asks": side("ASK", ~buy), "starts": (F.col("type") != "UPDATE").cast("long")})
+    # Numbered without sorting an instrument in one task.
+    numbered = running(sent, ["exchange", "instrument"], offset_chunk(), ["src_partition", "src_offset"], {
+        "sequence": Running("sum", "step"), "epoch": Running("sum", "starts")})
+    told = T.StructType([*numbered.schema.fields, T.StructField("true_checksum", T.LongType())])
+    true = numbered.groupBy("exchange", "instrument", "epoch").applyInArrow(_true_checksums, told)
+    checksum = F.when(F.col("wrong"), F.pmod(F.col("true_checksum") + 1, F.lit(1 << 32))).otherwise(F.col("true_checksum"))
+    return true.select("exchange", "instrument", "type", "event_time", "ingestion_time", "bids", "asks",
+                       F.when(~F.col("unchecked") & (F.col("type") != "RESET"), checksum).alias("checksum"),
+                       "sequence", "trace_id", "src_partition", "src_offset", "ordinal")
+
+
+def _true_checksums(epoch: pa.Table) -> pa.Table:
+    """Replay an epoch, a bounded run of messages, from the events' own numbers: what the exchange would send."""
+    epoch = epoch.sort_by("src_offset")
+    books: dict[str, dict[int, int]] = {"BID": {}, "ASK": {}}
+    sums = []
+    for kind, n, shift, k, crosses, negative in zip(*(epoch[c].to_pylist() for c in ("type", "src_offset", "shift", "k", "crosses", "negative"))):
+        for name, (base_price, deep_price, crossing) in BOOK_PRICES.items():
+            if kind != "UPDATE":
+                books[name] = {base_price + shift: 1 + k % 9, deep_price: 3} if kind == "SNAPSHOT" else {}
+            elif (n % 2 == 0) == (name == "BID"):
+                price, quantity = (crossing, 5) if crosses else (base_price + shift, -2 if negative else k % 10)
+                books[name][price] = quantity
+                if quantity <= 0:
+                    del books[name][price]
+        # Asks, then bids, best first: two decimals of the price and three of the quantity, without points.
+        best = sorted(books["ASK"].items())[:10] + sorted(books["BID"].items(), reverse=True)[:10]
+        sums.append(zlib.crc32("".join(f"{p * 100}{q * 1000}" for p, q in best).encode()))
+    return epoch.append_column("true_checksum", pa.array(sums, pa.int64()))
 
 
 def book_frames(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +217,8 @@ def book_frames(spark: SparkSession, sf: str) -> DataFrame:
             F.transform(name, lambda level: F.struct(level["price"].alias("price"), level["quantity"].alias("qty"))).alias(name)
             for name in ("bids", "asks")], "checksum",
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp")))
-    text = F.concat(F.lit('{"channel":"book","type":"'), F.lower("type"), F.lit('","data":['), data, F.lit("]}"))
+    wire = F.when(F.col("type") == "RESET", "connection_reset").otherwise(F.lower("type"))
+    text = F.concat(F.lit('{"channel":"book","type":"'), wire, F.lit('","data":['), data, F.lit("]}"))
     cut = F.when(event_id % 50 == 0, F.substring(text, 1, 40)).otherwise(text)
     return book_messages(spark, sf).select(
         F.concat(F.lit("b-"), event_id.cast("string")).alias("event_id"), "exchange", F.lit("book").alias("channel"),

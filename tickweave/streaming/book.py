@@ -1,101 +1,263 @@
-"""Streaming order books: each micro-batch runs the batch reconstruction.
+"""Streaming order books: one keyed state per instrument, moved on by messages and by timers.
 
-What earlier batches left behind enters as a few synthetic messages ahead of the batch: a
-good snapshot holding the current levels, then a broken update or failed snapshots if the
-book is not trusted. So there is one set of rules, and a hot instrument's batch is still
-rebuilt in chunks.
+The state machine is written once more here, message by message, beside the batch form of
+:mod:`tickweave.operators.book`; both give the same rows. Silence needs no later message: an event-time timer
+per instrument stands at the next moment at which a book turns stale, is given up, or a request has failed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+import zlib
+from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
+from decimal import ROUND_HALF_UP, Decimal
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..functions.keys import KEYS
+from ..functions.keys import KEYS, POSITION
 from ..operators import book
-from ..operators.dedupe import first_per_key
+from ..operators.book import INVALID, LIVE, LOADING, RESET, RESYNCHRONISING, SNAPSHOT, STALE, UNINITIALISED, UPDATE, Limits
 from ..schemas import BOOK_CURRENT, BOOK_EVENT, BOOK_RESYNC, DERIVED_BOOK_METRICS, INVALID_EVENTS
 
-_BROKEN = -1  # no CRC32 is negative
-
-
-@dataclass
-class BookStream:
-    """Book job over micro-batches that arrive in log order.
-
-    Below ``root``: metrics, resync requests, quarantine and current books per batch, and two
-    alternating state slots, so running a batch again gives the same files.
-    """
-
-    root: str
-    text: Callable[[Column, Column], Column]
-    depth: int = book.CHECKSUM_LEVELS
-    chunk_messages: int = book.CHUNK_MESSAGES
-    processor_version: str = "dev"
-    limits: dict = field(default_factory=dict)
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.root}/state/{batch_id % 2}"
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """The ``foreachBatch`` body."""
-        spark = batch.sparkSession
-        messages = batch.select(*BOOK_EVENT.names).withColumn("seed", F.lit(False))
-        if batch_id > 0:
-            messages = messages.unionByName(self._seeds(spark.read.parquet(self._slot(batch_id - 1))))
-        scratch = f"{self.root}/scratch"
-        numbered = book.number(messages, self.chunk_messages, scratch)
-        states = book.judge(numbered, self.text, self.depth, scratch, **self.limits)
-        self._keep(numbered, states, batch_id)
-        real = states.where("NOT seed").drop("seed")
-        outputs = {
-            DERIVED_BOOK_METRICS: book.book_metrics(real, self.depth), BOOK_RESYNC: book.resync_requests(real),
-            INVALID_EVENTS: book.book_quarantine(real, self.processor_version),
-            BOOK_CURRENT: book.book_current(real, depth=self.depth),
-            "book.states": real.select(*KEYS, "src_partition", "src_offset", "ordinal", "event_time", "previous_time",
-                                       "gap_ms", "previous_state", "book_state", "fault"),
-        }
-        for name, rows in outputs.items():
-            rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch_id}")
-
-    def _keep(self, numbered: DataFrame, states: DataFrame, batch_id: int) -> None:
-        """Per instrument: levels, where the state machine stands, and the last time and sequence."""
-        tries = F.col("snapshot_no") - F.coalesce("good_snapshot", F.lit(0))
-        good = states.where((F.col("type") == book.SNAPSHOT) & (F.col("book_state") == book.LIVE)).groupBy(*KEYS).agg(
-            F.max("snapshot_no").alias("good_snapshot"))
-        newest = first_per_key(states, KEYS, F.desc("message_no")).join(good, list(KEYS), "left")
-        alive = book.closing_levels(numbered).groupBy(*KEYS).agg(*[
-            F.collect_list(F.when(F.col("side") == side, F.struct("price", "quantity"))).alias(name)
-            for side, name in (("BID", "bids"), ("ASK", "asks"))])
-        kept = newest.select(
-            *KEYS, "event_time", "ingestion_time", F.coalesce("sequence", "previous_sequence").alias("sequence"),
-            "book_state", tries.cast("int").alias("failed_snapshots")).join(alive, list(KEYS), "left")
-        kept.write.mode("overwrite").parquet(self._slot(batch_id))
-
-    def _seeds(self, kept: DataFrame) -> DataFrame:
-        state, failed = F.col("book_state"), F.col("failed_snapshots")
-        untouched = state == book.UNINITIALISED
-        live = state == book.LIVE
-        # A live book has failed none; a book lost to an update needs one break to stay lost.
-        failures = F.when(failed > 0, F.array_repeat(F.lit(book.SNAPSHOT), failed)).otherwise(F.array(F.lit(book.UPDATE)))
-        kinds = (F.when(untouched, F.array(F.lit(book.RESET))).when(live, F.array(F.lit(book.SNAPSHOT)))
-                 .otherwise(F.concat(F.array(F.lit(book.SNAPSHOT)), failures)))
-        rows = kept.select(*kept.columns, F.posexplode(kinds).alias("place", "type"))
-        holds = live & (F.col("place") == 0)
-        return rows.select(
-            "exchange", "instrument", "type", "event_time", "ingestion_time",
-            F.when(holds, F.col("bids")).alias("bids"), F.when(holds, F.col("asks")).alias("asks"),
-            F.when(F.col("place") > 0, _BROKEN).cast("long").alias("checksum"), "sequence",
-            F.lit(None).cast("string").alias("trace_id"), F.lit(-1).alias("src_partition"),
-            F.col("place").cast("long").alias("src_offset"), F.lit(0).alias("ordinal"), F.lit(True).alias("seed"))
-
-    def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-        return (messages.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": "2 seconds"})).start())
-
-    def output(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/{name}")
+Level = tuple[Decimal, Decimal]
+Text = Callable[[list[Level], list[Level]], str]
+
+_DECIMAL = "decimal(38,18)"
+OUTPUT = ("kind string, exchange string, instrument string, at timestamp, from_state string, to_state string, reason string, "
+          "type string, event_time timestamp, ingestion_time timestamp, trace_id string, src_partition int, src_offset long, ordinal int, "
+          "checksum_verified boolean, previous_state string, book_state string, fault string, "
+          f"bid {_DECIMAL}, bid_quantity {_DECIMAL}, ask {_DECIMAL}, ask_quantity {_DECIMAL}, bid_depth {_DECIMAL}, ask_depth {_DECIMAL}, depth_levels int")
+_NAMES = [part.split()[0] for part in OUTPUT.split(", ")]
+MOVE, BOOK = "MOVE", "BOOK"
+
+
+def plain_text(price_precision: int, quantity_precision: int) -> Text:
+    """:func:`tickweave.operators.book.plain_digits` for one book."""
+    def digits(value: Decimal, places: int) -> str:
+        return f"{value.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP):f}".replace(".", "").lstrip("0")
+
+    def text(bids: list[Level], asks: list[Level]) -> str:
+        return "".join(digits(p, price_precision) + digits(q, quantity_precision)
+                       for side in (asks, bids) for p, q in side[:book.CHECKSUM_LEVELS])
+    return text
+
+
+def _millis(at: datetime) -> int:
+    whole = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at
+    return int(whole.timestamp()) * 1000 + at.microsecond // 1000
+
+
+class Machine:
+    """Trust in one book: levels by side, state, and where its requests stand."""
+
+    def __init__(self, limits: Limits, text: Text, depth: int) -> None:
+        self.limits, self.text, self.depth = limits, text, depth
+        self.levels: dict[str, dict[Decimal, Decimal]] = {"BID": {}, "ASK": {}}
+        self.state = UNINITIALISED
+        self.clock_ms: int | None = None
+        self.asked_ms: int | None = None
+        self.failed = self.tries = 0
+        self.sequence: int | None = None
+
+    def deadline(self) -> int | None:
+        """When silence next moves the book."""
+        if self.state == LIVE:
+            return self.clock_ms + self.limits.stale_ms
+        if self.state == STALE:
+            return self.clock_ms + self.limits.resync_ms
+        if self.state == RESYNCHRONISING:
+            return self.asked_ms + (self.failed + 1) * self.limits.answer_ms
+        return None
+
+    def silence(self, until_ms: int) -> Iterator[tuple[int, str, str, str]]:
+        """Moves due before ``until_ms``."""
+        while (due := self.deadline()) is not None and until_ms > due:
+            if self.state == LIVE:
+                yield self._move(due, STALE, "SILENT")
+            elif self.state == STALE:
+                self._ask(due)
+                yield self._move(due, RESYNCHRONISING, "SILENT")
+            else:
+                self.failed += 1
+                yield self._move(due, INVALID, "UNANSWERED")
+                if self.failed < self.limits.requests:
+                    yield self._move(due, RESYNCHRONISING, "UNANSWERED")
+
+    def _move(self, at_ms: int, target: str, reason: str) -> tuple[int, str, str, str]:
+        source, self.state = self.state, target
+        return at_ms, source, target, reason
+
+    def _ask(self, at_ms: int) -> None:
+        self.asked_ms, self.failed = at_ms, 0
+
+    def best(self) -> tuple[list[Level], list[Level]]:
+        return (sorted(self.levels["BID"].items(), reverse=True)[:self.depth], sorted(self.levels["ASK"].items())[:self.depth])
+
+    def message(self, row: Row) -> tuple[list[tuple[int, str, str, str]], dict[str, Any]]:
+        """Moves that a message brings, those of the silence before it first, and the book it leaves."""
+        was = self.state
+        now = _millis(row.event_time)
+        if self.clock_ms is not None:
+            now = max(now, self.clock_ms)
+        moves = list(self.silence(now))
+        self.clock_ms = now
+        if row.type in (SNAPSHOT, RESET):
+            self.levels = {"BID": {}, "ASK": {}}
+        negative = False
+        for side, changes in (("BID", row.bids), ("ASK", row.asks)):
+            for level in changes or ():
+                negative |= level["quantity"] < 0
+                if level["quantity"] > 0:
+                    self.levels[side][level["price"]] = level["quantity"]
+                else:
+                    self.levels[side].pop(level["price"], None)
+        bids, asks = self.best()
+        verified = None if row.checksum is None else zlib.crc32(self.text(bids, asks).encode()) == row.checksum
+        skipped = (self.limits.use_sequence and row.type == UPDATE and None not in (row.sequence, self.sequence) and row.sequence > self.sequence + 1)
+        if row.sequence is not None:
+            self.sequence = row.sequence
+        fault = None
+        if negative or (bids and asks and bids[0][0] >= asks[0][0]):
+            fault = "IMPOSSIBLE_STATE"
+        elif skipped:
+            fault = "SEQUENCE_GAP"
+        elif not (self.limits.trust_unchecked if verified is None else verified):
+            fault = "CHECKSUM_MISMATCH"
+        told = None
+        if row.type == RESET:
+            if self.state != UNINITIALISED:
+                moves.append(self._move(now, UNINITIALISED, RESET))
+        elif row.type == SNAPSHOT:
+            trusted = self.state in (LIVE, STALE) and fault is None
+            if not trusted and self.state != LOADING:
+                moves.append(self._move(now, LOADING, SNAPSHOT))
+            elif self.state == LOADING and fault and self.tries + 1 < self.limits.snapshot_tries:
+                moves.append(self._move(now, LOADING, fault))
+            told = fault
+            if fault is None:
+                self.tries = 0
+                if self.state != LIVE:
+                    moves.append(self._move(now, LIVE, SNAPSHOT))
+            else:
+                self.tries += 1
+                if self.tries >= self.limits.snapshot_tries:
+                    moves.append(self._move(now, INVALID, fault))
+        elif self.state in (LIVE, STALE):
+            told = fault
+            if fault:
+                moves.append(self._move(now, INVALID, fault))
+            elif self.state == STALE:
+                moves.append(self._move(now, LIVE, UPDATE))
+        shown = self.state
+        if told and self.state == INVALID:
+            self._ask(now)
+            moves.append(self._move(now, RESYNCHRONISING, told))
+        best = {f"{name}{part}": side[0][k] if side else None for name, side in (("bid", bids), ("ask", asks)) for k, part in enumerate(("", "_quantity"))}
+        return moves, {"checksum_verified": verified, "previous_state": was, "book_state": shown, "fault": told, **best,
+                       "bid_depth": sum((q for _, q in bids), Decimal(0)), "ask_depth": sum((q for _, q in asks), Decimal(0)), "depth_levels": self.depth}
+
+
+class BookProcessor(StatefulProcessor):
+    """Keeps a :class:`Machine` per instrument: levels as map state, the rest as one value, one timer at its deadline."""
+
+    def __init__(self, text: Text, limits: Limits, depth: int) -> None:
+        self.text, self.limits, self.depth = text, limits, depth
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("machine", "state string, clock_ms long, asked_ms long, failed int, tries int, sequence long, timer_ms long")
+        self.book = handle.getMapState("levels", f"side string, price {_DECIMAL}", f"quantity {_DECIMAL}")
+
+    def _load(self) -> tuple[Machine, int | None]:
+        machine, timer = Machine(self.limits, self.text, self.depth), None
+        if self.held.exists():
+            state, clock, asked, failed, tries, sequence, timer = self.held.get()
+            machine.state, machine.clock_ms, machine.asked_ms, machine.failed, machine.tries, machine.sequence = state, clock, asked, failed, tries, sequence
+        return machine, timer
+
+    def _save(self, machine: Machine, timer: int | None) -> None:
+        due = machine.deadline()
+        if timer != due:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.held.update((machine.state, machine.clock_ms, machine.asked_ms, machine.failed, machine.tries, machine.sequence, due))
+
+    @staticmethod
+    def _told(key: tuple, moves: list[tuple[int, str, str, str]]) -> Iterator[Row]:
+        for at_ms, source, target, reason in moves:
+            at = datetime.fromtimestamp(at_ms // 1000, timezone.utc).replace(microsecond=at_ms % 1000 * 1000)
+            yield _row(kind=MOVE, exchange=key[0], instrument=key[1], at=at, from_state=source, to_state=target, reason=reason)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        machine, timer = self._load()
+        before: dict[tuple[str, Decimal], Decimal] = {}
+        for (side, price), (quantity,) in self.book.iterator():
+            before[side, price] = machine.levels[side][price] = quantity
+        # A batch's rows of one instrument come in no order; how many there are is bounded by what a batch admits.
+        for row in sorted(rows, key=lambda r: tuple(r[c] for c in POSITION)):
+            moves, left = machine.message(row)
+            yield from self._told(key, moves)
+            yield _row(kind=BOOK, **{c: row[c] for c in (*KEYS, "type", "event_time", "ingestion_time", "trace_id", *POSITION)}, **left)
+        after = {(side, price): quantity for side, held in machine.levels.items() for price, quantity in held.items()}
+        for level in before.keys() - after.keys():
+            self.book.removeKey(level)
+        for level, quantity in after.items():
+            if before.get(level) != quantity:
+                self.book.updateValue(level, (quantity,))
+        self._save(machine, timer)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        machine, _ = self._load()
+        # A timer set now fires in a later batch only, which may never come: all that the watermark has passed is due.
+        until = max(expiredTimerInfo.getExpiryTimeInMs() + 1, timerValues.getCurrentWatermarkInMs())
+        yield from self._told(key, list(machine.silence(until)))
+        self._save(machine, None)
+
+    def close(self) -> None:
+        pass
+
+
+def _row(**values) -> Row:
+    return Row(**{name: values.get(name) for name in _NAMES})
+
+
+def book_stream(messages: DataFrame, text: Text, limits: Limits = Limits(), depth: int = book.CHECKSUM_LEVELS, delay: str = "0 seconds") -> DataFrame:
+    """Moves and rebuilt books (``kind``) of a stream of canonical book messages; ``delay`` is how late messages may come."""
+    return messages.select(*BOOK_EVENT.names).withWatermark("event_time", delay).groupBy(*KEYS).transformWithState(
+        BookProcessor(text, limits, depth), OUTPUT, "Append", "EventTime")
+
+
+def moves(stream: DataFrame) -> DataFrame:
+    """Transitions, as :func:`tickweave.operators.book.transitions` gives them."""
+    return stream.where(F.col("kind") == MOVE).select(*KEYS, "at", "from_state", "to_state", "reason")
+
+
+def states(stream: DataFrame) -> DataFrame:
+    """Books after each message, with the columns that metrics, quarantine and current books read."""
+    def best(price: str, quantity: str):
+        return F.when(F.col(price).isNotNull(), F.array(F.struct(F.col(price).alias("price"), F.col(quantity).alias("quantity"))))
+    return stream.where(F.col("kind") == BOOK).withColumns({"book_bids": best("bid", "bid_quantity"), "book_asks": best("ask", "ask_quantity")}) \
+        .drop("kind", "at", "from_state", "to_state", "reason", "bid", "bid_quantity", "ask", "ask_quantity")
+
+
+def write_books(stream: DataFrame, batch_id: int, root: str, processor_version: str = "dev") -> None:
+    """Outputs of one micro-batch, each in a folder of its own that a repeated batch overwrites."""
+    held = f"{root}/book.states/batch={batch_id}"
+    stream.write.mode("overwrite").parquet(held)
+    stored = stream.sparkSession.read.schema(stream.schema).parquet(held)
+    outputs = {
+        DERIVED_BOOK_METRICS: book.book_metrics(states(stored)), BOOK_RESYNC: book.resync_requests(moves(stored)),
+        INVALID_EVENTS: book.book_quarantine(states(stored), processor_version), BOOK_CURRENT: book.book_current(states(stored)),
+    }
+    for name, rows in outputs.items():
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+
+
+def start(stream: DataFrame, root: str, checkpoint: str, processor_version: str = "dev", **trigger) -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(lambda batch, batch_id: write_books(batch, batch_id, root, processor_version))
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start())
