@@ -145,6 +145,59 @@ def test_dedupe_keeps_the_first_and_counts_the_rest(spark):
     assert {r.instrument: r.duplicates for r in dedupe.duplicates_count(trades).collect()} == {"A": 1, "B": 0}
 
 
+@pytest.mark.parametrize("horizon", [1, 5, 40, 10_000])
+def test_dedupe_within_horizon_against_brute_force(spark, horizon):
+    """Chains longer than the horizon, pauses, equal arrivals and single rows; batch and keyed state alike."""
+    from tickweave.streaming.dedupe import FirstWithin
+    rng = random.Random(horizon)
+    log = sorted((rng.randint(0, 200), rng.choice("xyzuvw" if i % 3 else "x")) for i in range(150))
+    trades = make_trades(spark, [("A", t, 1, i + 1, "BUY", name) for i, (t, name) in enumerate(log)])
+    want, held = set(), {}
+    for i, (t, name) in enumerate(log):
+        if name not in held or t > held[name] + horizon:
+            held[name] = t
+            want.add(i)
+    assert {r.src_offset for r in dedupe.dedupe_within(trades, horizon * 1000).collect()} == want
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Timers:
+        registerTimer = deleteTimer = staticmethod(lambda at: None)
+
+    got, states = set(), {}
+    rows = trades.orderBy("src_offset").collect()
+    for low, high in ((0, 40), (40, 41), (41, 150)):
+        for name in sorted({r.trade_id for r in rows[low:high]}):
+            processor = FirstWithin(horizon * 1000, "ingestion_time")
+            processor.handle, processor.held = Timers(), states.setdefault(name, State())
+            got |= {r.src_offset for r in processor.handleInputRows((name,), iter([r for r in rows[low:high] if r.trade_id == name]), None)}
+    assert got == want
+
+
+def test_multi_windows_fold_trades_once(spark):
+    """One aggregate over trades; sizes that do not nest are folded for themselves; late rows differ by size."""
+    rng = random.Random(9)
+    trades = make_trades(spark, [("AB"[i % 2], rng.randint(0, 400), rng.randint(1, 9), rng.randint(1, 9), "BUY") for i in range(300)])
+    specs = [candles.WindowSpec(10_000, 5_000, "a"), candles.WindowSpec(60_000, 90_000, "b"), candles.WindowSpec(25_000, 0, "c")]
+    got = candles.multi_window_candles(trades, specs)
+    for spec in specs:
+        alone = candles.batch_candles(trades, spec)
+        same = ["instrument", "window_start", "window_end", "open", "high", "low", "close", "volume", "vwap", "trade_count", "is_final", "trace_id"]
+        assert compare.replay_difference(got.where(F.col("window") == spec.name).select(*same), alone.select(*same)).count() == 0
+    plan = candles.multi_window_candles(trades, specs[:2])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "Generate inline" in plan
+
+
 def test_stamping(spark):
     folded = candles.batch_candles(make_trades(spark, [("A", 1, 10, 1, "BUY"), ("A", 100, 10, 1, "BUY")]))
     stamped = candles.stamp_candles(folded, "v7", F.lit(at(500)).cast("timestamp"))

@@ -134,8 +134,8 @@ def test_frame_classes(spark):
 
 
 def test_raw_routing_and_wrapping(spark):
-    registry = spark.createDataFrame([("BTC/USD", "XBT/USD", True), ("OFF/USD", "OFF/USD", False)],
-                                     "canonical_symbol string, exchange_symbol string, enabled boolean")
+    registry = spark.createDataFrame([("KRAKEN", "BTC/USD", "XBT/USD", True), ("KRAKEN", "OFF/USD", "OFF/USD", False)],
+                                     "exchange string, canonical_symbol string, exchange_symbol string, enabled boolean")
     payloads = ['{"channel":"trade","data":[{"symbol":"xbt/usd"}]}', '{"channel":"book","data":[{"symbol":"XBT/USD"}]}',
                 '{"channel":"trade","data":[{"symbol":"OFF/USD"}]}', '{"channel":"trade","data":[]}', '{"channel":"heartbeat"}', "{"]
     routed = frames.route_raw(frames.classify_frames(envelopes(spark, payloads)), registry)
@@ -145,3 +145,21 @@ def test_raw_routing_and_wrapping(spark):
     assert [r.record_key for r in wrapped] == ["KRAKEN|BTC/USD", "KRAKEN|BTC/USD", None, None, None]
     assert bytes(wrapped[0].payload).decode() == payloads[0]
     assert [r.event_id for r in wrapped] == [r.event_id for r in frames.wrap_envelope(routed).orderBy("ingest_sequence").collect()]
+
+
+def test_lookup_is_by_exchange_and_positions_are_shared_by_none(spark):
+    registry = spark.createDataFrame([("KRAKEN", "BTC/USD", "XBT", True), ("ZETA", "ZZZ/USD", "xbt", True), ("ZETA", "ETH/USD", "ETH", True)],
+                                     "exchange string, canonical_symbol string, exchange_symbol string, enabled boolean")
+    rows = spark.createDataFrame([("KRAKEN", "xbt"), ("ZETA", "XBT"), ("KRAKEN", "ETH"), ("OTHER", "XBT")], "exchange string, symbol string")
+    found = {(r.exchange, r.symbol): r.canonical_symbol for r in frames.symbol_lookup(rows, registry).collect()}
+    assert found == {("KRAKEN", "xbt"): "BTC/USD", ("ZETA", "XBT"): "ZZZ/USD", ("KRAKEN", "ETH"): None, ("OTHER", "XBT"): None}
+    assert sorted(r.exchange for r in frames.unknown_symbols(rows, registry).collect()) == ["KRAKEN", "OTHER"]
+
+    from conftest import at
+    sent = [(conn, n, at(second)) for conn, n, second in (("c1", 0, 0), ("c1", 1, 5), ("c2", 0, 3), ("c2", 1, 5), ("c3", 0, 4000))]
+    routed = spark.createDataFrame([("KRAKEN", bytearray(b"{}"), t, c, n, "raw.kraken.trade", "BTC/USD", "trade") for c, n, t in sent],
+                                   "exchange string, payload binary, received_at timestamp, source_connection_id string, ingest_sequence long, "
+                                   "target string, canonical_symbol string, frame_channel string")
+    wrapped = frames.wrap_envelope(routed, partitions=1).orderBy("src_offset").collect()
+    assert [(r.src_offset, r.source_connection_id, r.ingest_sequence) for r in wrapped] == [
+        (0, "c1", 0), (1, "c2", 0), (2, "c1", 1), (3, "c2", 1), (4, "c3", 0)]

@@ -159,6 +159,39 @@ def test_replays_are_versioned_equal_and_audited(spark, tmp_path):
     assert [(r.id, r.status) for r in replay.replay_jobs(spark, jobs).collect()] == [("j1", "COMPLETED")]
 
 
+def test_of_two_moves_at_once_one_wins(spark, tmp_path, monkeypatch):
+    jobs, job = f"{tmp_path}/jobs", {"id": "j/1", "created_at": at(0)}
+    for status in ("PENDING", "RUNNING"):
+        replay.record_status(spark, jobs, {**job, "status": status})
+    # Both have read RUNNING before either writes.
+    seen = replay._records(spark, jobs).collect()
+    frozen = spark.createDataFrame(seen, replay._records(spark, jobs).schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(replay, "_records", lambda *_: frozen)
+        replay.record_status(spark, jobs, {**job, "status": "FAILED"})
+        with pytest.raises(ValueError, match="another job"):
+            replay.record_status(spark, jobs, {**job, "status": "COMPLETED"})
+    assert [(r.id, r.status, r.step) for r in replay.replay_jobs(spark, jobs).collect()] == [("j/1", "FAILED", 2)]
+
+
+def test_days_are_compacted_and_read_alone(spark, tmp_path):
+    table, root = tables.TRADES_TABLE, str(tmp_path)
+    day = 86_400
+    rows = make_trades(spark, [("A", t * day, 1, 1, "BUY") for t in range(4)]).withColumn("event_id", F.col("trade_id"))
+    for batch in (0, 1):
+        tables.write_batch(rows, table, root, batch)
+    stored = tables.read_table(spark, table, root)
+    tables.compact_days(stored, table, root)
+    before = {r.day: r.f for r in tables.read_days(spark, table, root).select("day", F.input_file_name().alias("f")).collect()}
+    second = F.col("day") == F.lit("2024-01-02").cast("date")
+    tables.compact_days(stored.where(second), table, root)
+    days = tables.read_days(spark, table, root)
+    after = {r.day: r.f for r in days.select("day", F.input_file_name().alias("f")).collect()}
+    assert days.count() == 4 and [d for d in sorted(before) if before[d] != after[d]] == [sorted(before)[1]]
+    assert "PartitionFilters: [isnotnull(day" in days.where(second)._jdf.queryExecution().executedPlan().toString()
+    assert days.where(second).count() == 1
+
+
 def test_trace_walk_and_alert_rules(spark):
     outputs = pipeline.derive(raw_log(spark), "v1")
     walked = serving.trace_walk("trace-2", trade=outputs.trades, candle=outputs.candles, raw=raw_log(spark))

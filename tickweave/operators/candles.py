@@ -168,20 +168,40 @@ def multi_window_candles(trades: DataFrame, specs: Sequence[WindowSpec] = MULTI_
                          scope: Sequence[str] = KEYS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Candles of several sizes in one table, each with its own grace.
 
-    Stream time is found once; the three-fold rows exist only between the explode and the
-    map-side partial aggregate.
+    Stream time is found once and trades are folded once, into the smallest windows and by which sizes still take them; the
+    other sizes are merged from these partial candles. Sizes that are no multiple of the smallest fold for themselves.
     """
-    timed = assign_windows(with_stream_time(trades, scope, chunk_rows), specs)
-    on_time = timed.where(~is_late(F.col("window_end"), F.col("grace_ms"), F.col("stream_time")))
-    candles = fold_candles(on_time, [*scope, "grace_ms"])
+    smallest = min(specs, key=lambda s: s.size_ms)
+    apart = [s for s in specs if s.size_ms % smallest.size_ms]
+    nested = [s for s in specs if not s.size_ms % smallest.size_ms]
+    timed = with_stream_time(trades, scope, chunk_rows)
+    clock = [c for c in ("scope_clock",) if c in timed.columns]
+
+    def end_of(spec: WindowSpec, at: str) -> Column:
+        return plus_ms(window_start(F.col(at), spec.size_ms), spec.size_ms)
+
+    takes = F.array_compact(F.array(*[F.when(~is_late(end_of(s, "event_time"), s.grace_ms, F.col("stream_time")), F.lit(i)) for i, s in enumerate(nested)]))
+    taken = assign_window(timed, smallest).withColumn("__takes", takes).where(F.size("__takes") > 0).withColumn("__takes", F.array_join("__takes", ","))
+    scopes = [k for k in scope if k not in KEYS]
+    parts = partial_candles(taken, [*KEYS, *scopes, "window_start", "__takes"], clock)
+    options = F.array(*[F.struct(F.lit(str(i)).alias("__size"), F.lit(s.name).alias("window"), F.lit(s.grace_ms).cast("long").alias("grace_ms"),
+                                 window_start(F.col("window_start"), s.size_ms).alias("__start"), end_of(s, "window_start").alias("window_end"))
+                        for i, s in enumerate(nested)])
+    spread = parts.select("*", F.inline(options)).where(F.array_contains(F.split("__takes", ","), F.col("__size"))) \
+        .drop("window_start", "__takes", "__size").withColumnRenamed("__start", "window_start")
+    keys = [*KEYS, *scopes, "window", "window_start", "window_end", "grace_ms"]
+    candles = merge_candles(spread, keys, F.col("first_order"), F.col("last_order"), *[F.max(c).alias(c) for c in clock])
+    if apart:
+        late = is_late(F.col("window_end"), F.col("grace_ms"), F.col("stream_time"))
+        candles = candles.unionByName(fold_candles(assign_windows(timed, apart).where(~late), [*scope, "grace_ms"]).select(*candles.columns))
     return finalise(candles, F.col("grace_ms"), scope)
 
 
-def partial_candles(windowed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mergeable candles: the fold plus the log positions ``first_order`` and ``last_order``."""
+def partial_candles(windowed: DataFrame, keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
+    """Mergeable candles: the fold plus the log positions ``first_order`` and ``last_order``, and the maximum of columns ``latest``."""
     return foldable(windowed).groupBy(*keys).agg(
         *fold_aggregates("copies" in windowed.columns), F.min(_ORDER).alias("first_order"),
-        F.max(_ORDER).alias("last_order"))
+        F.max(_ORDER).alias("last_order"), *[F.max(c).alias(c) for c in latest])
 
 
 def sharded_candles(windowed: DataFrame, shards: int = 16) -> DataFrame:

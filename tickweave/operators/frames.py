@@ -10,6 +10,7 @@ from ..functions.ids import uuid3
 from ..functions.keys import SEPARATOR, canonical_instrument
 from ..schemas import DEAD_LETTER, RAW_BOOK, RAW_TRADES, SCHEMA_VERSION
 from .columns import once
+from .prefix import Running, running
 
 # Fixed values.
 CHANNEL_TYPES = {"trade": "TRADE_DATA", "book": "BOOK_DATA", "heartbeat": "HEARTBEAT", "status": "STATUS"}
@@ -47,21 +48,22 @@ def classify_frames(frames: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def symbol_lookup(frames: DataFrame, registry: DataFrame, symbol: str = "symbol") -> DataFrame:
-    """Left join of the wire symbol, case-insensitively, to the registry's canonical symbol.
+    """Left join of exchange and wire symbol, case-insensitively, to the exchange's own canonical symbol.
 
     The registry is small configuration; its size is left to Spark's broadcast threshold, so
     a registry that outgrows it turns into a shuffle join instead of an oversized broadcast.
     """
     mapping = (registry.where("enabled")
-               .groupBy(F.upper("exchange_symbol").alias("__wire"))
+               .groupBy(F.col("exchange").alias("__exchange"), F.upper("exchange_symbol").alias("__wire"))
                .agg(F.max("canonical_symbol").alias("canonical_symbol")))
-    return frames.join(mapping, F.upper(F.col(symbol)) == F.col("__wire"), "left").drop("__wire")
+    same = (F.upper(F.col(symbol)) == F.col("__wire")) & (F.col("exchange") == F.col("__exchange"))
+    return frames.join(mapping, same, "left").drop("__wire", "__exchange")
 
 
 def unknown_symbols(frames: DataFrame, registry: DataFrame, symbol: str = "symbol") -> DataFrame:
-    """Frames whose symbol is not an enabled registry entry."""
-    known = registry.where("enabled").select(F.upper("exchange_symbol").alias("__wire")).distinct()
-    return frames.join(known, F.upper(F.col(symbol)) == F.col("__wire"), "left_anti")
+    """Frames whose symbol is not an enabled registry entry of their exchange."""
+    known = registry.where("enabled").select(F.col("exchange").alias("__exchange"), F.upper("exchange_symbol").alias("__wire")).distinct()
+    return frames.join(known, (F.upper(F.col(symbol)) == F.col("__wire")) & (F.col("exchange") == F.col("__exchange")), "left_anti")
 
 
 def route_raw(classified: DataFrame, registry: DataFrame) -> DataFrame:
@@ -80,13 +82,14 @@ def wrap_envelope(routed: DataFrame, exchange: str = "KRAKEN", partitions: int =
     """Stored frames as raw envelopes, payload untouched.
 
     Needs ``payload, received_at, source_connection_id, ingest_sequence``. Ids come from the
-    frame's place in its connection, so wrapping the same frames twice gives the same rows.
+    frame's place in its connection, so wrapping the same frames twice gives the same rows. Log positions count the frames
+    of a stream's partition by arrival, then connection and sequence, so that connections share none.
     """
     place = F.concat(F.coalesce("source_connection_id", F.lit(NO_CONNECTION)), F.lit(":"),
                      F.col("ingest_sequence").cast("string"))
     instrument = canonical_instrument(F.col("canonical_symbol"))
     key = F.concat(F.lit(exchange + SEPARATOR), instrument)
-    return routed.where(F.col("target").isNotNull()).select(
+    stored = routed.where(F.col("target").isNotNull()).select(
         "target",
         uuid3(F.concat(F.lit("raw:"), place)).alias("event_id"), F.lit(exchange).alias("exchange"),
         F.coalesce("frame_channel", F.lit("unknown")).alias("channel"), instrument.alias("instrument"),
@@ -94,8 +97,10 @@ def wrap_envelope(routed: DataFrame, exchange: str = "KRAKEN", partitions: int =
         "ingest_sequence", "payload", F.lit("json").alias("payload_encoding"),
         F.concat(F.lit("trace:"), place).alias("trace_id"), F.lit(SCHEMA_VERSION).alias("schema_version"),
         key.alias("record_key"),
-        F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int").alias("src_partition"),
-        F.col("ingest_sequence").alias("src_offset"))
+        F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int").alias("src_partition"), F.lit(1).cast("long").alias("__one"))
+    hour = F.unix_millis("received_at") - F.pmod(F.unix_millis("received_at"), F.lit(3_600_000))
+    numbered = running(stored, ["target", "src_partition"], hour, ["received_at", "source_connection_id", "ingest_sequence"], {"src_offset": Running("sum", "__one")})
+    return numbered.withColumn("src_offset", F.col("src_offset") - 1).drop("__one")
 
 
 def guard_size(frames: DataFrame, max_bytes: int, payload: str = "payload") -> DataFrame:

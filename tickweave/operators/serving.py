@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import KEYS, log_order
+from ..functions.keys import KEYS, SEPARATOR, log_order
 from .candles import roll_up
 from .dedupe import first_n_per_key
 
@@ -60,11 +60,14 @@ def instrument_health(trades: DataFrame, invalid: DataFrame, as_of: Column, stal
                       book_current: DataFrame | None = None) -> DataFrame:
     """Last-seen time, counts and a state per instrument.
 
-    ``invalid`` needs ``instrument``. Both sides are aggregated before they meet.
+    ``invalid`` needs ``instrument`` and ``exchange``, or the ``original_key`` that begins with it. Both sides are aggregated
+    before they meet.
     """
+    if "exchange" not in invalid.columns:
+        invalid = invalid.withColumn("exchange", F.substring_index("original_key", SEPARATOR, 1))
     seen = trades.groupBy(*KEYS).agg(F.count("*").alias("trades"), F.max("event_time").alias("last_seen"))
-    bad = invalid.where(F.col("instrument").isNotNull()).groupBy("instrument").agg(F.count("*").alias("rejected"))
-    health = seen.join(bad, "instrument", "full_outer").withColumns({
+    bad = invalid.where(F.col("instrument").isNotNull()).groupBy(*KEYS).agg(F.count("*").alias("rejected"))
+    health = seen.join(bad, list(KEYS), "full_outer").withColumns({
         "trades": F.coalesce("trades", F.lit(0)), "rejected": F.coalesce("rejected", F.lit(0))})
     silent = F.unix_millis(as_of) - F.unix_millis("last_seen")
     state = F.when(F.col("last_seen").isNull(), "NO_TRADES").when(silent > stale_after_ms, "STALE").otherwise("ACTIVE")

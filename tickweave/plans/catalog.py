@@ -5,19 +5,21 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import decimals, ids, keys, times
 from ..functions.times import naive
 from ..operators import alerts, book, candles, compare, dedupe, frames, normalize, quality, rolling, serving
+from ..schemas import NORMALIZED_TRADES
 from ..session import configure, materialise, shared_root
 from ..sources import logs, tables
 from ..streaming import book as book_stream
 from ..streaming import candles as candle_stream
+from ..streaming import dedupe as dedupe_stream
 from ..streaming import sinks
 from . import oracle as sql
-from . import views
+from . import replay, views
 
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
 DAILY = candles.WindowSpec(DAY_MS, HOUR_MS, "D1")
@@ -40,6 +42,10 @@ def query(name: str, check: str | None = None):
     return register
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # ---------------------------------------------------------------- how results are shown
 
 def dec2(name: str) -> Column:
@@ -97,19 +103,41 @@ def trade_shown(df: DataFrame, *extra) -> DataFrame:
   event_id % 1000 AS ingest_sequence, date_trunc('millisecond', ts + INTERVAL 50 MILLISECONDS) AS received_at,
   event_id AS src_offset FROM events""")
 def _(spark, sf):
-    return views.frames(spark, sf).select(
+    path = work_folder(spark, "raw")
+    views.frames(spark, sf).write.parquet(path)
+    return logs.scan_raw_envelopes(spark, path).select(
         "event_id", "source_connection_id", "ingest_sequence", when_at("received_at"), "src_offset")
 
 
 @query("scan_trades", f"{BASE} SELECT {TRADE_COLUMNS} FROM base")
 def _(spark, sf):
-    return trade_shown(views.base(spark, sf))
+    path = work_folder(spark, "trades")
+    views.base(spark, sf).write.parquet(path)
+    return trade_shown(logs.scan_trades(spark, path))
+
+
+@query("scan_recorded_frames", """SELECT row_number() OVER (ORDER BY event_id) - 1 AS ingest_sequence, date_trunc('millisecond', ts) AS received_at, concat('{"n":', event_id, '}') AS payload FROM events""")
+def _(spark, sf):
+    path = work_folder(spark, "recorded")
+    line = F.concat(F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit('\t{"n":'), F.col("event_id").cast("string"), F.lit("}"))
+    # Several files in order, each with a comment and a blank line to skip.
+    lines = views.table(spark, sf, "events").select("event_id", F.explode(F.when(F.col("event_id") % 200 == 0, F.array(F.lit("# note"), F.lit(" "), line)).otherwise(F.array(line))).alias("value"))
+    lines.repartitionByRange(3, "event_id").sortWithinPartitions("event_id").select("value").write.text(path)
+    return logs.scan_recorded_frames(spark, path, "c0").select("ingest_sequence", when_at("received_at"), F.col("payload").cast("string").alias("payload"))
+
+
+@query("live_processor_version", """SELECT event_type AS processor_version FROM events GROUP BY 1 ORDER BY max(ts) DESC LIMIT 1""")
+def _(spark, sf):
+    # Each kind of event stands for a version, retired when the next one's last event comes; only the last is live.
+    last = views.table(spark, sf, "events").groupBy(F.col("event_type").alias("processor_version")).agg(F.max(F.col("ts").cast("timestamp")).alias("last"))
+    versions = last.withColumn("retired_at", F.lead("last").over(Window.orderBy("last")))
+    return spark.createDataFrame([(logs.live_processor_version(versions),)], "processor_version string")
 
 
 @query("scan_instruments", """SELECT upper(event_type) || '/USD' AS canonical_symbol, event_type AS exchange_symbol
   FROM (SELECT DISTINCT event_type FROM events) WHERE event_type NOT IN ('error', 'signup') ORDER BY canonical_symbol""")
 def _(spark, sf):
-    return logs.scan_instruments(views.registry(spark, sf), views.EXCHANGE, required=False)
+    return logs.scan_instruments(views.registries(spark, sf), views.EXCHANGE)
 
 
 @query("scan_offset_range", f"""{TAPE}, bounds AS (SELECT (max(off) // 4) AS lo, (max(off) // 2) AS hi FROM tape)
@@ -222,7 +250,22 @@ def _(spark, sf):
 @query("route_raw", f"""WITH {FRAME_TYPES} SELECT concat('e-', event_id) AS event_id, target, canonical AS canonical_symbol FROM targets""")
 def _(spark, sf):
     classified = frames.classify_frames(views.frames(spark, sf))
-    return frames.route_raw(classified, views.registry(spark, sf)).select("event_id", "target", "canonical_symbol")
+    return frames.route_raw(classified, views.registries(spark, sf)).select("event_id", "target", "canonical_symbol")
+
+
+@query("route_all_frames", f"""WITH {FRAME_TYPES}, book_kinds AS (
+    SELECT CASE WHEN event_id % 50 = 0 THEN 'MALFORMED' ELSE 'BOOK_DATA' END AS frame_type, CASE WHEN event_id % 50 = 0 THEN 'dead-letter'
+      WHEN event_id % 53 = 0 OR CASE WHEN event_type = 'signup' AND ts >= TIMESTAMP '2024-01-28' THEN 'purchase' ELSE event_type END NOT IN ('click', 'view', 'purchase') THEN 'dead-letter'
+      ELSE 'raw.kraken.book' END AS target, NULL AS connection_id FROM events),
+  control AS (SELECT CASE event_id % 3 WHEN 0 THEN 'HEARTBEAT' WHEN 1 THEN 'STATUS' ELSE 'SUBSCRIBE_ACK' END AS frame_type, NULL AS target,
+    CASE WHEN event_id % 3 = 1 THEN CAST(event_id AS VARCHAR) END AS connection_id FROM events)
+  SELECT frame_type, target, count(*) AS frames, count(DISTINCT connection_id) AS connections
+  FROM (SELECT frame_type, target, NULL AS connection_id FROM targets UNION ALL SELECT * FROM book_kinds UNION ALL SELECT * FROM control) GROUP BY 1, 2""")
+def _(spark, sf):
+    # All seven kinds of frames; control frames are observed and stored nowhere.
+    classified = frames.classify_frames(views.all_frames(spark, sf))
+    return frames.route_raw(classified, views.registries(spark, sf)).groupBy("frame_type", "target").agg(
+        F.count("*").alias("frames"), F.count_distinct("connection_id").alias("connections"))
 
 
 @query("wrap_envelope", f"""WITH {FRAME_TYPES} SELECT target,
@@ -232,10 +275,21 @@ def _(spark, sf):
   CASE WHEN canonical IS NOT NULL THEN concat('KRAKEN|', canonical) END AS record_key FROM targets""")
 def _(spark, sf):
     classified = frames.classify_frames(views.frames(spark, sf))
-    return frames.wrap_envelope(frames.route_raw(classified, views.registry(spark, sf))).select(
+    return frames.wrap_envelope(frames.route_raw(classified, views.registries(spark, sf))).select(
         "target", "event_id", "channel", "instrument", "source_connection_id", "ingest_sequence", "record_key")
 
 
+@query("wrap_positions", f"""WITH {FRAME_TYPES} SELECT target, canonical AS instrument, event_id AS frame,
+  row_number() OVER (PARTITION BY target, canonical ORDER BY event_id) AS place FROM targets""")
+def _(spark, sf):
+    # Connections change every 1000 frames here. One partition: positions of an instrument are in the order of arrival.
+    classified = frames.classify_frames(views.frames(spark, sf))
+    wrapped = frames.wrap_envelope(frames.route_raw(classified, views.registries(spark, sf)), partitions=1)
+    number = F.substring("source_connection_id", 2, 20).cast("long") * 1000 + F.col("ingest_sequence")
+    order = Window.partitionBy("target", "instrument").orderBy("src_offset")
+    return wrapped.select("target", "instrument", number.alias("frame"), F.row_number().over(order).cast("long").alias("place"))
+
+
 @query("guard_size", """WITH sized AS (SELECT event_id, event_id % 50 AS code FROM events)
   SELECT code = 21 AS oversize, count(*) AS frames FROM sized GROUP BY 1""")
 def _(spark, sf):
@@ -244,18 +298,21 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- lookups
 
-@query("symbol_lookup", """SELECT CAST(event_id AS VARCHAR) AS trade_id,
-  CASE WHEN event_type IN ('click', 'view', 'purchase') THEN upper(event_type) || '/USD' END AS canonical_symbol FROM events""")
+TWO_EXCHANGES = """known AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 'ZETA' ELSE 'KRAKEN' END AS exchange FROM events),
+  named AS (SELECT *, CASE WHEN exchange = 'KRAKEN' AND event_type IN ('click', 'view', 'purchase') THEN upper(event_type) || '/USD'
+    WHEN exchange = 'ZETA' AND event_type NOT IN ('error', 'view') THEN 'ZZZ-' || upper(event_type) END AS canonical_symbol FROM known)"""
+
+
+@query("symbol_lookup", f"WITH {TWO_EXCHANGES} SELECT CAST(event_id AS VARCHAR) AS trade_id, exchange, canonical_symbol FROM named")
 def _(spark, sf):
-    return frames.symbol_lookup(views.base(spark, sf), views.registry(spark, sf), "instrument").select(
-        "trade_id", "canonical_symbol")
+    rows = views.both_exchanges(views.base(spark, sf), F.col("trade_id").cast("long"))
+    return frames.symbol_lookup(rows, views.registries(spark, sf), "instrument").select("trade_id", "exchange", "canonical_symbol")
 
 
-@query("unknown_symbols", """SELECT event_type AS symbol, count(*) AS frames FROM events
-  WHERE event_type NOT IN ('click', 'view', 'purchase') GROUP BY 1""")
+@query("unknown_symbols", f"WITH {TWO_EXCHANGES} SELECT event_type AS symbol, count(*) AS frames FROM named WHERE canonical_symbol IS NULL GROUP BY 1")
 def _(spark, sf):
-    renamed = views.base(spark, sf).withColumnRenamed("instrument", "symbol")
-    return quality.unknown_by_symbol(frames.unknown_symbols(renamed, views.registry(spark, sf)))
+    rows = views.both_exchanges(views.base(spark, sf), F.col("trade_id").cast("long")).withColumnRenamed("instrument", "symbol")
+    return quality.unknown_by_symbol(frames.unknown_symbols(rows, views.registries(spark, sf)))
 
 
 @query("lineage_join", f"""{EXPECTED} SELECT trade_id, concat('t-', event_id) AS source_trace_id,
@@ -458,20 +515,23 @@ def _(spark, sf):
     return candles.count_late(candles.mark_late(views.base(spark, sf), DAILY)).select("instrument", "late_count")
 
 
-@query("event_time_extractor", f"{EXPECTED} SELECT trade_id, event_time AS clock FROM trades")
+@query("event_time_extractor", f"""{BASE} SELECT CAST(trade_id AS VARCHAR) AS trade_id, CASE WHEN trade_id % 9 = 0 THEN event_time + INTERVAL 50 MILLISECONDS ELSE event_time END AS clock FROM base""")
 def _(spark, sf):
-    trades = normalize.trades(routed(spark, sf))
-    return trades.select("trade_id", naive(F.coalesce("event_time", "ingestion_time")).alias("clock"))
+    # Every ninth trade carries no event time.
+    untimed = views.base(spark, sf).withColumn("event_time", F.when(F.col("trade_id").cast("long") % 9 != 0, F.col("event_time")))
+    return candle_stream.event_clock(untimed).select("trade_id", naive(F.col("event_time")).alias("clock"))
 
 
 @query("heartbeat_close", f"""{BASE}, {sql.marked()}, {sql.candles()} SELECT {sql.CANDLE_COLUMNS}, true AS is_final FROM candles""")
 def _(spark, sf):
     # One beat per instrument, a day and a grace after its last trade, closes every window.
     base = views.base(spark, sf)
-    folded = candles.fold_candles(candles.mark_late(base, DAILY).where(~F.col("late"))).drop("scope_clock")
-    beats = base.groupBy("exchange", "instrument").agg((F.max("event_time") + F.expr("INTERVAL 26 HOURS")).alias("last_event_time"))
-    beaten = folded.unionByName(beats, allowMissingColumns=True)
-    return shown(candles.finalise(beaten, HOUR_MS).where("window IS NOT NULL"), "is_final")
+    beats = base.groupBy("exchange", "instrument").agg(
+        (F.max("event_time") + F.expr("INTERVAL 26 HOURS")).alias("event_time"), F.max("src_partition").alias("src_partition"),
+        (F.max("src_offset") + 1).alias("src_offset"), F.lit(0).alias("ordinal"))
+    marked = candles.mark_late(candle_stream.with_heartbeats(base, beats), DAILY)
+    folded = candles.fold_candles(marked.where("NOT late AND NOT heartbeat"))
+    return shown(candles.finalise(folded, HOUR_MS), "is_final")
 
 
 # ---------------------------------------------------------------- dedupe and stored tables
@@ -516,7 +576,6 @@ def _(spark, sf):
 @query("latest_version_rank", f"""{TAPE} SELECT CAST(trade_id AS VARCHAR) AS trade_id, dup, row_number() OVER (
   PARTITION BY instrument, event_time, trade_id ORDER BY dup DESC) AS version_rank FROM tape""")
 def _(spark, sf):
-    from pyspark.sql import Window
     order = Window.partitionBy(*tables.TRADES_TABLE.key).orderBy(F.desc("written_at"))
     return delivered(spark, sf).select("trade_id", "dup", F.row_number().over(order).cast("bigint").alias("version_rank"))
 
@@ -526,9 +585,16 @@ def _(spark, sf):
     return tables.count_final(views.tape(spark, sf), tables.TRADES_TABLE.key)
 
 
-@query("day_partitioning", f"{BASE} SELECT CAST(event_time AS DATE) AS day, count(*) AS trades FROM base GROUP BY 1")
+@query("day_partitioning", f"{BASE} SELECT CAST(event_time AS DATE) AS day, count(*) AS trades, CAST(sum(qty) AS DECIMAL(38,2)) AS volume FROM base GROUP BY 1")
 def _(spark, sf):
-    return tables.storable(views.base(spark, sf), tables.TRADES_TABLE).groupBy("day").agg(F.count("*").alias("trades"))
+    root, table = work_folder(spark, "days"), tables.TRADES_TABLE
+    # Delivered twice, compacted, then one day compacted again: the others stay as they are.
+    for batch in (0, 1):
+        tables.write_batch(views.base(spark, sf), table, root, batch, rebalance=True)
+    stored = tables.read_table(spark, table, root)
+    tables.compact_days(stored, table, root)
+    tables.compact_days(stored.where(F.col("day") == F.lit("2024-01-10").cast("date")), table, root)
+    return tables.read_days(spark, table, root).groupBy("day").agg(F.count("*").alias("trades"), F.sum("quantity").cast("decimal(38,2)").alias("volume"))
 
 
 @query("retention", f"{BASE} SELECT {TRADE_COLUMNS} FROM base WHERE event_time >= TIMESTAMP '2024-07-16 00:00:00' - INTERVAL 6 MONTHS")
@@ -543,11 +609,23 @@ def _(spark, sf):
                                    RETENTION_DAYS[RAW_TRADES]).select("event_id")
 
 
-@query("archive_raw", """SELECT 'trade' AS channel, CAST(ts + INTERVAL 50 MILLISECONDS AS DATE) AS received_date, count(*) AS frames
+@query("archive_raw", """SELECT 'trade' AS channel, CAST(ts + INTERVAL 50 MILLISECONDS AS DATE) AS received_date, count(*) AS frames, CAST(sum(event_id) AS BIGINT) AS offsets
   FROM events GROUP BY 1, 2""")
 def _(spark, sf):
-    return views.frames(spark, sf).groupBy("channel", F.to_date("received_at").alias("received_date")).agg(
-        F.count("*").alias("frames"))
+    path = work_folder(spark, "archive")
+    tables.archive_raw(views.frames(spark, sf), path)
+    return spark.read.parquet(path).groupBy("channel", "received_date").agg(F.count("*").alias("frames"), F.sum("src_offset").alias("offsets"))
+
+
+WITHIN = f"""{BASE}, kept AS (SELECT *, unnest([0, 80, 300]) AS delay FROM base)
+  SELECT instrument, CAST(trade_id AS VARCHAR) AS trade_id, delay FROM kept WHERE delay = 0 OR (delay = 80 AND trade_id % 22 = 0) OR (delay = 300 AND trade_id % 33 = 0)"""
+
+
+@query("dedupe_within_horizon", WITHIN)
+def _(spark, sf):
+    # A copy 40 minutes later falls away, one 80 minutes later is beyond the hour after the first, and so is one after 5 hours.
+    kept = dedupe.dedupe_within(views.copies(spark, sf), HOUR_MS)
+    return kept.select("instrument", "trade_id", "delay")
 
 
 @query("latest_by_key", f"{TAPE} SELECT {TRADE_COLUMNS} FROM (SELECT *, row_number() OVER (PARTITION BY instrument ORDER BY off DESC, dup DESC, trade_id DESC) AS rn FROM tape) WHERE rn = 1")
@@ -825,9 +903,11 @@ def _(spark, sf):
 @query("alert_large_trade_percentile", f"""{BASE}, ranked AS (SELECT *, price * qty AS notional, row_number() OVER (PARTITION BY instrument ORDER BY price * qty) AS place,
     count(*) OVER (PARTITION BY instrument) AS n FROM base),
   limits AS (SELECT instrument AS of_instrument, min(notional) FILTER (place * 100 >= n * 99) AS threshold FROM ranked GROUP BY 1)
-  SELECT {TRADE_COLUMNS}, CAST(notional AS DECIMAL(38,2)) AS notional FROM ranked JOIN limits ON instrument = of_instrument WHERE notional > threshold""")
+  SELECT instrument, concat('LARGE_TRADE:KRAKEN|', upper(instrument), ':', trade_id) AS dedupe_key, event_time AS triggered_at,
+    CAST(threshold AS DECIMAL(38,2)) AS threshold, CAST(notional AS DECIMAL(38,2)) AS notional FROM ranked JOIN limits ON instrument = of_instrument WHERE notional > threshold""")
 def _(spark, sf):
-    return trade_shown(alerts.large_trades_percentile(views.base(spark, sf), 0.99), dec2("notional"))
+    fired = alerts.alert_large_trade_percentile(views.base(spark, sf), 0.99, VERSION)
+    return fired.select("instrument", "dedupe_key", when_at("triggered_at"), *[F.col("details")[c].cast("decimal(38,2)").alias(c) for c in ("threshold", "notional")])
 
 
 SCORES = f"""{BASE}, v AS (SELECT instrument, {sql.window_start('event_time', 6 * sql.HOUR_US)} AS window_start, CAST(sum(qty) AS DOUBLE) AS volume FROM base GROUP BY 1, 2),
@@ -926,6 +1006,27 @@ def _(spark, sf):
     return health.select("instrument", "trades", "rejected", when_at("last_seen"), "state")
 
 
+REPLAYED = (100, 600)
+
+
+@query("replay_range", f"{EXPECTED} SELECT trade_id FROM trades WHERE event_id BETWEEN {REPLAYED[0]} AND {REPLAYED[1]}")
+def _(spark, sf):
+    root = work_folder(spark, "replay")
+    paths = replay.replay_range(views.frames(spark, sf), root, 1, VERSION, DAILY, from_offset=REPLAYED[0], to_offset=REPLAYED[1])
+    return spark.read.parquet(paths[NORMALIZED_TRADES]).select("trade_id")
+
+
+@query("replay_audit", """SELECT DISTINCT event_type AS id, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_type = 'view' THEN 'CANCELLED' ELSE 'COMPLETED' END AS status FROM events""")
+def _(spark, sf):
+    # A job for each kind of event, one of which fails and one of which is given up before it ran.
+    path = work_folder(spark, "jobs")
+    for row in views.table(spark, sf, "events").select("event_type").distinct().collect():
+        path_of = {"error": ("PENDING", "RUNNING", "FAILED"), "view": ("PENDING", "CANCELLED")}
+        for status in path_of.get(row.event_type, ("PENDING", "RUNNING", "COMPLETED")):
+            replay.record_status(spark, path, {"id": row.event_type, "status": status})
+    return replay.replay_jobs(spark, path).select("id", "status")
+
+
 # ---------------------------------------------------------------- order books
 
 BOOK = f"WITH {sql.BOOK}"
@@ -1102,10 +1203,6 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- streams
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def streamed_candles(spark: SparkSession, sf: str, runs: int = 3) -> candle_stream.ExactCandles:
     """The tape as a file stream that grows between runs; each run resumes from its checkpoint."""
     base = materialise(views.base(spark, sf).drop("dup"), "tape")
@@ -1125,11 +1222,46 @@ def _(spark, sf):
     return shown(streamed_candles(spark, sf).finals(spark))
 
 
+@query("stream_provisional_candles", f"{FINALS} SELECT {sql.CANDLE_COLUMNS} FROM finality WHERE NOT is_final")
+def _(spark, sf):
+    # The last state written of every window that is still open.
+    emitted = streamed_candles(spark, sf).candles(spark)
+    newest = dedupe.first_per_key(emitted, ["exchange", "instrument", "window_start"], F.desc("batch"), F.desc("is_final"))
+    return shown(newest.where("NOT is_final"))
+
+
 @query("stream_late_events", f"{BASE}, {sql.marked()} SELECT instrument, concat('t-', trade_id) AS trace_id FROM marked WHERE late")
 def _(spark, sf):
     return streamed_candles(spark, sf).late(spark).select("instrument", "trace_id")
 
 
+@query("stream_dedupe", WITHIN)
+def _(spark, sf):
+    log = materialise(views.copies(spark, sf), "copies")
+    folder = work_folder(spark, "dedupe")
+    bounds = log.agg(F.min("src_offset").alias("low"), F.max("src_offset").alias("high")).first()
+    for run in range(2):
+        half = (bounds.low + bounds.high) // 2
+        log.where(F.col("src_offset") <= half if run == 0 else F.col("src_offset") > half).write.parquet(f"{folder}/in/{run}")
+        source = spark.readStream.schema(log.schema).parquet(f"{folder}/in/*")
+        once = dedupe_stream.dedupe_stream(source, HOUR_MS)
+        once.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint") \
+            .outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(log.schema).parquet(f"{folder}/out").select("instrument", "trade_id", "delay")
+
+
+@query("stream_sink_counts", f"""{JUDGED} SELECT 'trades' AS table_name, verdict, reason, count(*) AS "rows" FROM judged GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    # A sink that runs in two batches; what it counted while it wrote.
+    folder, rows = work_folder(spark, "sink"), awkward_rows(spark, sf)
+    for run in range(2):
+        rows.where(F.col("src_offset") % 2 == run).write.parquet(f"{folder}/in/{run}")
+        source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
+        sinks.start_sink(source, tables.TRADES_TABLE, f"{folder}/out", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    log = spark.read.parquet(f"{folder}/out/{tables.TRADES_TABLE.name}.log")
+    return log.groupBy("table_name", "verdict", "reason").agg(F.sum("rows").alias("rows"))
+
+
 def streamed_books(spark: SparkSession, sf: str, runs: int = 3) -> DataFrame:
     """Books and moves of the messages as a file stream that grows between runs; each run resumes from its checkpoint."""
     messages = materialise(views.book_messages(spark, sf), "book-messages")

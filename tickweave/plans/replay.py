@@ -5,8 +5,14 @@ Production outputs have plain names; a replay only ever writes ``<name>.v<n>``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+from datetime import datetime, timezone
+from urllib.parse import quote
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import alerts, compare
 from ..operators.candles import DEFAULT_WINDOW, WindowSpec
@@ -55,33 +61,48 @@ def alert_refires(replayed: DataFrame, alert_id: str) -> bool:
     return not replayed.where(F.col("alert_id") == alert_id).isEmpty()
 
 
-def record_status(spark: SparkSession, path: str, job: dict, at: Column | None = None) -> None:
-    """Append a job's new status; impossible moves are refused.
+def record_status(spark: SparkSession, path: str, job: dict, at: datetime | None = None) -> None:
+    """Record a job's new status; impossible moves are refused.
 
-    ``job`` holds :data:`tickweave.schemas.REPLAY_JOB` fields; absent ones are NULL.
+    ``job`` holds :data:`tickweave.schemas.REPLAY_JOB` fields; absent ones are NULL. A job's n-th record is a file of that
+    number, and creating it fails if it is there: of two that move a job on at once, one wins, in a store that creates files exclusively.
     """
     status = job.get("status", "PENDING")
     if status not in REPLAY_STATUSES:
         raise ValueError(f"unknown status {status}")
-    known = _current_status(spark, path, job["id"])
-    if known is None and status != "PENDING" or known is not None and status not in NEXT_STATUS[known]:
-        raise ValueError(f"job {job['id']} cannot go from {known} to {status}")
-    row = {**{f.name: None for f in REPLAY_JOB.fields}, **job, "status": status}
-    entry = spark.createDataFrame([tuple(row[f.name] for f in REPLAY_JOB.fields)], REPLAY_JOB)
-    entry.withColumn("recorded_at", F.current_timestamp() if at is None else at).withColumn(
-        "step", F.lit(REPLAY_STATUSES.index(status))).write.mode("append").parquet(path)
-
-
-def _current_status(spark: SparkSession, path: str, job_id: str) -> str | None:
+    known = _records(spark, path).where(F.col("id") == job["id"]).select("step", "status").collect()
+    latest = max(known, default=None)
+    if latest is None and status != "PENDING" or latest is not None and status not in NEXT_STATUS[latest.status]:
+        raise ValueError(f"job {job['id']} cannot go from {latest and latest.status} to {status}")
+    row = {f.name: job.get(f.name) for f in REPLAY_JOB.fields} | {"status": status}
+    line = json.dumps({**row, "recorded_at": at or datetime.now(timezone.utc), "step": len(known)}, default=lambda x: x.isoformat())
+    _create(spark, f"{path}/job={quote(str(job['id']), safe='')}/{len(known):06d}.json", line)
+
+
+def _create(spark: SparkSession, name: str, line: str) -> None:
+    """Create a small file that is not there yet."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(name)
     try:
-        found = replay_jobs(spark, path).where(F.col("id") == job_id).select("status").collect()
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
     except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return None
+        if "FileAlreadyExists" in str(error) or "already exists" in str(error):
+            raise ValueError(f"{name} was recorded by another job") from error
         raise
-    return found[0]["status"] if found else None
+    out.write(bytearray(line.encode()))
+    out.close()
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*REPLAY_JOB.fields, T.StructField("recorded_at", T.TimestampType()), T.StructField("step", T.IntegerType())])
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def replay_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """Latest record of each job; statuses only move forward, so the furthest one is the latest."""
-    return first_per_key(spark.read.parquet(path), ["id"], F.desc("step"), F.desc("recorded_at"))
+    """Latest record of each job."""
+    return first_per_key(_records(spark, path), ["id"], F.desc("step"))

@@ -76,6 +76,31 @@ def registry(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("exchange_symbol"), (F.col("event_type") != "signup").alias("enabled"))
 
 
+#: A second exchange: the same wire symbols under other canonical names, ``view`` disabled.
+OTHER = "ZETA"
+
+
+def registries(spark: SparkSession, sf: str) -> DataFrame:
+    """The instruments of both exchanges."""
+    other = registry(spark, sf).select(F.lit(OTHER).alias("exchange"), F.concat(F.lit("ZZZ-"), F.upper("exchange_symbol")).alias("canonical_symbol"),
+                                       "exchange_symbol", (F.col("exchange_symbol") != "view").alias("enabled"))
+    return registry(spark, sf).unionByName(other)
+
+
+def both_exchanges(rows: DataFrame, number: Column) -> DataFrame:
+    """Every third row as the other exchange's."""
+    return rows.withColumn("exchange", F.when(number % 3 == 0, OTHER).otherwise(F.col("exchange")))
+
+
+def copies(spark: SparkSession, sf: str) -> DataFrame:
+    """``base`` in order of arrival, with copies of every 11th trade 40 minutes later, every 22nd 80 minutes and every 33rd 5 hours later."""
+    number = F.col("trade_id").cast("long")
+    delay = F.array_compact(F.array(F.lit(0), F.when(number % 11 == 0, 40), F.when(number % 22 == 0, 80), F.when(number % 33 == 0, 300)))
+    sent = base(spark, sf).drop("dup").withColumn("delay", F.explode(delay))
+    arrival = F.timestamp_micros(F.unix_micros("ingestion_time") + F.col("delay").cast("long") * 60_000_000)
+    return sent.withColumn("ingestion_time", arrival).withColumns({"src_offset": F.unix_micros("ingestion_time"), "ordinal": F.col("delay").cast("int")})
+
+
 #: Field text of a frame's trade by ``event_id % 50``; other codes are plain trades.
 FAULTS = {
     1: "cut off", 2: "ticker channel", 3: "empty data", 4: "no symbol", 5: "blank symbol", 6: "numeric symbol",
@@ -139,6 +164,19 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("src_offset"))
 
 
+def all_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Trade frames, book frames and, for each event, a heartbeat, a status or a subscription answer."""
+    number = F.col("event_id")
+    payload = (F.when(number % 3 == 0, '{"channel":"heartbeat"}')
+               .when(number % 3 == 1, F.concat(F.lit('{"channel":"status","data":[{"connection_id":'), number.cast("string"), F.lit("}]}")))
+               .otherwise('{"method":"subscribe","result":{"channel":"book"}}'))
+    at = F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp") + F.expr("INTERVAL 50 MILLISECONDS"))
+    control = table(spark, sf, "events").select(
+        F.concat(F.lit("x-"), number.cast("string")).alias("event_id"), F.lit(EXCHANGE).alias("exchange"), at.alias("received_at"),
+        F.lit("x0").alias("source_connection_id"), number.alias("ingest_sequence"), payload.cast("binary").alias("payload"), number.alias("src_offset"))
+    return frames(spark, sf).unionByName(book_frames(spark, sf)).unionByName(control, allowMissingColumns=True)
+
+
 #: Levels of the book messages: the moving ones are these prices plus 0 to 13; crossed ones lie beyond the other side.
 BOOK_SHIFTS = 14
 BOOK_PRICES = {"BID": (50, 45, 200), "ASK": (110, 155, 10)}

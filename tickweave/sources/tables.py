@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,9 +93,21 @@ def validate_for_storage(rows: DataFrame, table: TableSpec) -> DataFrame:
     }).drop("__judged")
 
 
-def storable(rows: DataFrame, table: TableSpec, written_at: Column | None = None) -> DataFrame:
-    """Rows that may be written, in column order, stamped with their write time and day."""
-    kept = validate_for_storage(rows, table).where(F.col("verdict") == STORE)
+def verdicts(table: TableSpec) -> list[tuple[str, str | None]]:
+    """Every verdict and reason a row of the table can get."""
+    return [(STORE, None), *dict.fromkeys((verdict, reason) for verdict, _, reason in table.checks())]
+
+
+def storable(rows: DataFrame, table: TableSpec, written_at: Column | None = None, seen: Observation | None = None) -> DataFrame:
+    """Rows that may be written, in column order, stamped with their write time and day.
+
+    ``seen`` is given the number of rows of each of :func:`verdicts`, as ``v0``, ``v1`` ..., while they are written.
+    """
+    judged = validate_for_storage(rows, table)
+    if seen is not None:
+        judged = judged.observe(seen, *[F.count_if((F.col("verdict") == verdict) & F.col("reason").eqNullSafe(reason)).alias(f"v{k}")
+                                        for k, (verdict, reason) in enumerate(verdicts(table))])
+    kept = judged.where(F.col("verdict") == STORE)
     stamp = F.current_timestamp() if written_at is None else written_at
     return kept.select(
         *table.columns, F.date_trunc("MILLISECOND", stamp).alias("written_at"),
@@ -103,13 +115,13 @@ def storable(rows: DataFrame, table: TableSpec, written_at: Column | None = None
 
 
 def write_batch(rows: DataFrame, table: TableSpec, root: str, batch_id: int | str,
-                written_at: Column | None = None, rebalance: bool = False) -> None:
+                written_at: Column | None = None, rebalance: bool = False, seen: Observation | None = None) -> None:
     """Write one batch under its own id, day-partitioned and sorted by the natural key.
 
     Writing the same batch again replaces it, so a retried batch leaves one copy. Bulk loads
     set ``rebalance``: adaptive execution then merges small and splits oversized days.
     """
-    out = storable(rows, table, written_at)
+    out = storable(rows, table, written_at, seen)
     if rebalance:
         out = out.hint("rebalance", "day")
     (out.sortWithinPartitions("day", *table.key)
@@ -133,6 +145,22 @@ def read_final(stored: DataFrame, key: Sequence[str], version: str = "written_at
     return first_per_key(stored, keys, F.desc(version), *[F.desc(t) for t in tie_break])
 
 
+def compact_days(stored: DataFrame, table: TableSpec, root: str) -> None:
+    """Write the final rows of the days in ``stored`` as one sorted set of files a day, replacing those days and no others.
+
+    A day that fails half-way is written again whole; readers of other days are not touched.
+    """
+    final = read_final(stored, table.key, tie_break=["batch"]).select(*table.columns, "written_at", "day")
+    (final.hint("rebalance", "day").sortWithinPartitions("day", *table.key).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(f"{root}/{table.name}.days"))
+
+
+def read_days(spark: SparkSession, table: TableSpec, root: str) -> DataFrame:
+    """Compacted rows; a filter on ``day`` reads the files of those days alone."""
+    schema = STORED_TRADES if table.name == "trades" else STORED_CANDLES
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(f"{root}/{table.name}.days")
+
+
 def count_final(stored: DataFrame, key: Sequence[str]) -> DataFrame:
     """Stored rows against distinct keys, without ranking anything."""
     per_key = stored.groupBy(*key).agg(F.count("*").alias("n"))

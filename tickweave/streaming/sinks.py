@@ -9,13 +9,13 @@ from __future__ import annotations
 import time
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import normalize
 from ..schemas import DEAD_LETTER, INVALID_EVENTS, NORMALIZED_TRADES, RAW_ENVELOPE
-from ..sources.tables import TableSpec, validate_for_storage, write_batch
+from ..sources.tables import TableSpec, verdicts, write_batch
 
 # Fixed value: the sink's batching limit.
 FLUSH_INTERVAL = "2 seconds"
@@ -44,13 +44,18 @@ def start_normalizer(envelopes: DataFrame, root: str, checkpoint: str, processor
 
 
 def write_stored(rows: DataFrame, batch_id: int, table: TableSpec, root: str) -> None:
-    """Store a micro-batch and log its verdict counts and flush time beside it."""
+    """Store a micro-batch and log its verdict counts and flush time beside it.
+
+    The rows are counted while they are written, so that a batch is evaluated once.
+    """
     started = time.perf_counter()
-    write_batch(rows, table, root, batch_id)
+    seen = Observation()
+    write_batch(rows, table, root, batch_id, seen=seen)
     flush_ms = int((time.perf_counter() - started) * 1000)
-    counts = validate_for_storage(rows, table).groupBy("verdict", "reason").agg(F.count("*").alias("rows"))
-    (counts.select(F.lit(table.name).alias("table_name"), "verdict", "reason", "rows", F.lit(flush_ms).alias("flush_ms"),
-                   F.current_timestamp().alias("written_at"))
+    counts = [(verdict, reason, seen.get[f"v{k}"]) for k, (verdict, reason) in enumerate(verdicts(table)) if seen.get[f"v{k}"]]
+    log = rows.sparkSession.createDataFrame(counts, "verdict string, reason string, rows long")
+    (log.select(F.lit(table.name).alias("table_name"), "verdict", "reason", "rows", F.lit(flush_ms).alias("flush_ms"),
+                F.current_timestamp().alias("written_at"))
         .write.mode("overwrite").parquet(f"{root}/{table.name}.log/batch={batch_id}"))
 
 
