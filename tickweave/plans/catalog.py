@@ -13,7 +13,7 @@ from ..functions.times import naive
 from ..operators import alerts, book, candles, compare, dedupe, frames, normalize, quality, rolling, serving
 from ..schemas import NORMALIZED_TRADES
 from ..session import configure, materialise, shared_root
-from ..sources import logs, tables
+from ..sources import logs, paced, tables
 from ..streaming import book as book_stream
 from ..streaming import candles as candle_stream
 from ..streaming import dedupe as dedupe_stream
@@ -1262,6 +1262,35 @@ def _(spark, sf):
     return log.groupBy("table_name", "verdict", "reason").agg(F.sum("rows").alias("rows"))
 
 
+BATCH_ROWS = 300
+
+
+@query("micro_batching", f"""SELECT CAST(batch AS BIGINT) AS batch, CAST(least({BATCH_ROWS}, n - batch * {BATCH_ROWS}) AS BIGINT) AS "rows"
+  FROM (SELECT n, unnest(range(0, CAST(ceil(n / {BATCH_ROWS}.0) AS BIGINT))) AS batch FROM (SELECT count(*) AS n FROM events))""")
+def _(spark, sf):
+    # Full batches close by rows, the part-filled last one by age.
+    folder, rows = work_folder(spark, "paced"), views.base(spark, sf).select("event_id", "src_offset")
+    rows.repartition(3).write.parquet(f"{folder}/in")
+    stored, wanted = spark.read.parquet(f"{folder}/in"), rows.count()
+    source = paced.scan_paced(spark, f"{folder}/in", stored.schema, f"{folder}/cursor", BATCH_ROWS, 2_000)
+    log = f"{folder}/log"
+
+    def count(batch: DataFrame, number: int) -> None:
+        batch.agg(F.count("*").alias("rows"), F.sum("src_offset").alias("offsets")).withColumn("batch", F.lit(number).cast("long")) \
+            .write.mode("overwrite").parquet(f"{log}/n={number}")
+    running = source.writeStream.foreachBatch(count).option("checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="0 seconds").start()
+    try:
+        # A stream has no end of its own: stop once every row has come.
+        for _ in range(60):
+            running.processAllAvailable()
+            if spark.read.parquet(log).agg(F.sum("rows")).first()[0] == wanted:
+                break
+            running.awaitTermination(1)
+    finally:
+        running.stop()
+    return spark.read.parquet(log).where("rows > 0").select("batch", "rows")
+
+
 def streamed_books(spark: SparkSession, sf: str, runs: int = 3) -> DataFrame:
     """Books and moves of the messages as a file stream that grows between runs; each run resumes from its checkpoint."""
     messages = materialise(views.book_messages(spark, sf), "book-messages")
