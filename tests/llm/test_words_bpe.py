@@ -52,12 +52,12 @@ def test_encode_keeps_rows_and_columns(spark):
 
 def test_token_counts_come_back_from_files(spark, tmp_path):
     texts = ["a b c", "", None, "word " * 3000, "<|endoftext|> in a text", "a b c"]
-    docs = spark.createDataFrame([(i * 10**12 - 5, t) for i, t in enumerate(texts)] + [(None, "lost")], "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(i * 10**12 - 5, t) for i, t in enumerate(texts)] + [(None, "kept")], "doc_id long, text string").repartition(3)
     out = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs, bpe.vocabulary_path(), str(tmp_path / "t")).collect()}
     plain = bpe.Vocabulary(bpe.vocabulary_path())
     plain.special = {}
     own = bpe.Encoder(plain)
-    assert out == {i * 10**12 - 5: len(own.encode([t or ""])[0]) for i, t in enumerate(texts)}
+    assert out == {i * 10**12 - 5: len(own.encode([t or ""])[0]) for i, t in enumerate(texts)} | {None: len(own.encode(["kept"])[0])}
 
 
 def test_separators_are_stitched_across_small_blocks(spark, tmp_path):
@@ -66,3 +66,12 @@ def test_separators_are_stitched_across_small_blocks(spark, tmp_path):
     for block in (1, 2, 3, 5, 100):
         rows = tokens.separator_scan(spark, str(tmp_path), 9, block, 2).orderBy("start").collect()
         assert [(r.start, r.length, list(r.head)) for r in rows] == [(0, 2, [1, 2]), (3, 0, [9, 3]), (4, 7, [3, 4])]
+
+
+def test_rows_without_a_key_are_counted(spark, tmp_path):
+    rows = [(None, "a b c"), (None, None), (0, "a b c"), (-1, ""), (2**63 - 1, "x"), (-(2**63), "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", tokens.F.lit("clash")).withColumn("head", tokens.F.lit(1))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens) for r in tokens.token_counts(docs, bpe.vocabulary_path(), str(tmp_path / "t")).collect())
+    words = {(i, t): n for (i, t), n in zip(rows, (3, 0, 3, 0, 1, 2))}
+    assert [g[:2] for g in got] == sorted((i is None, i or 0) for i, _ in rows)
+    assert all((n > 0) == (words[row] > 0) for (_, _, n), row in zip(got, sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, words[r]))))

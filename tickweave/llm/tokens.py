@@ -24,14 +24,15 @@ from tickweave.session import shared_root
 #: Ids that one vectorised search covers.
 BLOCK = 1 << 20
 #: A document's key is five ids of 15 bits ahead of its tokens, lowest first; they never equal a separator of 2**15 or more.
-KEY_IDS = 5
+#: Of their 75 bits a key takes 64; the highest marks a document without one.
+KEY_IDS, NO_KEY = 5, 1 << 14
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end: str = "<|endoftext|>", key: str = "doc_id",
                       text: str = "text") -> int:
     """Encode every text (null: empty) and write the flat files; returns the separator id.
 
-    Special strings inside a text would end documents early, so they are encoded as ordinary text. Keys must be integers.
+    Special strings inside a text would end documents early, so they are encoded as ordinary text. Keys must be integers or null.
     """
     vocabulary = Vocabulary(path)
     separator = vocabulary.special[end]
@@ -43,15 +44,17 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end: str = "<|end
     def run(frames):
         encoder = Encoder(tables.value)
         for frame in frames:
-            for part, texts in _batches(frame, text):
-                keys = part[key].astype("int64").to_numpy().astype(np.uint64)
+            for part, texts in _batches(frame, "text"):
+                keys = part["key"].astype("int64").to_numpy().astype(np.uint64)
                 heads = np.stack([(keys >> np.uint64(15 * i)) & np.uint64(0x7FFF) for i in range(KEY_IDS)], 1).astype("<u2")
+                heads[part["no_key"].to_numpy(bool), -1] |= NO_KEY
                 yield pd.DataFrame({"value": [h.tobytes() + x.astype("<u2").tobytes()
                                               for h, x in zip(heads, encoder.encode(texts), strict=True)]})
 
     # The separator's two bytes, as Latin-1 letters, end each line.
     line = int(separator).to_bytes(2, "little").decode("latin-1")
-    docs.where(F.col(key).isNotNull()).select(F.col(key), F.col(text)).mapInPandas(run, "value binary") \
+    keyed = docs.select(F.coalesce(F.col(key), F.lit(0)).alias("key"), F.col(key).isNull().alias("no_key"), F.col(text).alias("text"))
+    keyed.mapInPandas(run, "value binary") \
         .select(F.col("value").cast("string")).write.mode("overwrite") \
         .option("encoding", "ISO-8859-1").option("lineSep", line).text(folder)
     return separator
@@ -96,15 +99,17 @@ def separator_scan(spark: SparkSession, folder: str, separator: int, block: int
 def token_counts(docs: DataFrame, path: str, folder: str | None = None) -> DataFrame:
     """``doc_id``, ``n_tokens``: documents go to token files in the shared folder and are counted there.
 
-    Rows with a null key have no place in a keyed file and are left out; repeated rows give one row each.
+    Rows with a null key are counted and come back with a null key; repeated rows give one row each. Null and empty texts have no
+    tokens; very long texts are encoded alone; an empty table gives an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or f"{shared_root(spark)}/tokens-{uuid.uuid4().hex}"
     separator = write_token_files(docs, folder, path)
     key = sum((F.col("head")[i].cast("long") * (1 << 15 * i) for i in range(1, 4)), F.col("head")[0].cast("long")) \
         + F.shiftleft(F.col("head")[4].cast("long"), 60)
+    keyed = F.col("head")[4].bitwiseAND(NO_KEY) == 0
     return separator_scan(spark, folder, separator).select(
-        key.alias("doc_id"), (F.col("length") - KEY_IDS).alias("n_tokens"), F.col("start").alias("file_start"))
+        F.when(keyed, key).alias("doc_id"), (F.col("length") - KEY_IDS).alias("n_tokens"), F.col("start").alias("file_start"))
 
 
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
