@@ -59,6 +59,31 @@ def test_shards_hold_every_row_once(spark):
         assert (digest[r.doc_id].size, digest[r.doc_id].text_crc32) == (len(raw) + 1, zlib.crc32(raw))
 
 
+def test_shard_places_do_not_depend_on_partitions(spark, monkeypatch):
+    """The second pass run over few and many partitions, in any order of arrival, gives the same places."""
+    docs = spark.createDataFrame([(i, "same" if i % 3 else f"t{i}", "en", "s") for i in range(400)], DOC).repartition(3)
+    stored = {}
+
+    def once(df, name):
+        if name not in stored:
+            stored[name] = df.cache()
+            stored[name].count()
+        return stored[name]
+
+    monkeypatch.setattr(sharding, "materialise", once)
+    before, places = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in ("3", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            places.append({r.doc_id: (r.shard, r.slot) for r in sharding.external_shuffle(docs, 4, bucket_bytes=500).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert places[0] == places[1] and len(set(places[0].values())) == 400
+    # The order is not that of the input.
+    order = sorted(places[0], key=lambda i: (places[0][i][1], places[0][i][0]))
+    assert sum(a < b for a, b in zip(order, order[1:])) < 260
+
+
 def plain_best_fit(lengths, clusters, sources, capacity, per_source):
     """Tightest compatible bin by looking at all of them."""
     bins, out = [], []

@@ -3,8 +3,10 @@
 Pass one scatters records uniformly over buckets of a bounded number of rows; the bucket is a seeded hash
 of the record's content and of its place in its partition, so thousands of equal records spread like any
 others. The scattered records are stored in the shared folder, which fixes the assignment: a task that is
-run again reads the same bucket. Pass two permutes each bucket (Spark's ``shuffle`` is a seeded
-Fisher-Yates shuffle of an array) and deals the permuted buckets, one behind the other, over the shards.
+run again reads the same bucket. Pass two permutes each bucket and deals the permuted buckets, one behind the
+other, over the shards. A bucket is ordered by seeded hashes of its rows' stored places: Spark's own array shuffle, a Fisher-Yates
+one, draws from a generator that also depends on the task and on the buckets before it, so a task that is run again
+after its executor was lost could place rows anew while others have read the old places.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ def external_shuffle(docs: DataFrame, shards: int = 8, seed: int = 17, text: str
 
     Law ``rows``: shard counts differ by one at most; rows land independently of their content. Nulls,
     empty texts and repeated rows are rows like others; an empty table gives an empty result. Input
-    columns named ``shard`` or ``slot`` are replaced. The order is fixed by the seed and the stored scatter.
+    columns named ``shard`` or ``slot`` are replaced. The order is fixed by the seed and the stored scatter, however
+    many partitions or attempts there are.
     """
     own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     size = docs.agg(F.sum(row_size(F.col(f"`{text}`")))).first()[0] or 0
@@ -42,11 +45,12 @@ def external_shuffle(docs: DataFrame, shards: int = 8, seed: int = 17, text: str
     # One row per bucket: the running count says where the bucket starts.
     starts = scattered.groupBy("bucket").count().select(
         "bucket", (F.sum("count").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).alias("start"))
-    # Sorted first, so that the permutation depends on the seed alone and not on the order of arrival.
+    # Places are unique, so equal hashes are no tie.
+    draw = F.xxhash64(F.lit(seed + 1), "bucket", "place").alias("draw")
     permuted = (
-        scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
+        scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct(draw, "place", "row"))).alias("rows"))
         .join(starts, "bucket")
-        .select(F.coalesce("start", F.lit(0)).alias("start"), F.posexplode(F.shuffle("rows", F.lit(seed)))))
+        .select(F.coalesce("start", F.lit(0)).alias("start"), F.posexplode("rows")))
     position = F.col("start") + F.col("pos")
     return permuted.select(
         *[F.col(f"col.row.c{i}").alias(c) for i, c in enumerate(own)],
