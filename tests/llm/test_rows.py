@@ -40,6 +40,14 @@ def test_rules_keep_clean_rows_and_reject_outliers(spark):
     assert len(out) == 69
     assert {r.doc_id for r in out if not r.kept} == {100, 101, 102, 103, 104, 200, 201}
     assert quality_rules.judge(docs.limit(0)).count() == 0
+    # Columns named like those made on the way stay what they were.
+    clash = spark.createDataFrame(clean + junk + odd, DOC)
+    names = ["words", "windows", "sorted", "places", "m0", "l00", "z0", "d2", "g_lang", "x_symbols", "n_lines", "bin", "own__0"]
+    for name in names:
+        clash = clash.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    again = quality_rules.judge(clash).collect()
+    assert sorted((r.doc_id or -1, r.kept) for r in again) == sorted((r.doc_id or -1, r.kept) for r in out)
+    assert all(r[name] == (None if r.doc_id is None else f"{name}{r.doc_id}") for r in again for name in names)
 
 
 def test_shards_hold_every_row_once(spark):

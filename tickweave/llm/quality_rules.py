@@ -155,18 +155,22 @@ def judge(docs: DataFrame, columns: list[str] | None = None, cut: float = CUT) -
 
     A null language or source is a group of its own. Rows that fail the base rules take no part in the
     estimates and are not kept. A group of few vectors has the floors as its spread, so that hardly anything is
-    rejected there. Columns with the names of the counts are replaced; repeated rows are judged alike.
+    rejected there. Columns with the names of the counts are replaced, other names cannot clash; repeated rows are judged alike.
+    Null and empty texts fail the base rules, very long ones are judged whole, an empty table gives an empty result.
     """
-    made = {*STATS, *GROUP, *COUNTS, "n_capitals", "n_lines", "kept"}
-    own = [f"`{c}`" for c in (columns or docs.columns) if c not in made]
-    counted = with_statistics(docs).withColumns(
+    kept = [c for c in (columns or docs.columns) if c not in {*COUNTS, "kept"}]
+    # Under names of their own, so that no column meets one of the many made on the way.
+    own = [f"own__{i}" for i in range(len(kept))]
+    given = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(kept, own, strict=True)], "text", "lang", "source")
+    counted = with_statistics(given).withColumns(
         {g: F.coalesce(F.col(c), F.lit("\x00")) for g, c in zip(GROUP, ("lang", "source"), strict=True)})
     # Texts are parsed once; the steps then read the statistics alone.
     counted = materialise(counted.select(*own, *COUNTS, *GROUP, *STATS), "counted")
     estimate = mcd(counted.where(~F.col("base_failed")).select(*GROUP, *STATS))
     out = _distance(counted, estimate, "left")
     # A group without estimate has base failures only.
-    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cut)).select(*own, *COUNTS, "kept")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cut)).select(
+        *[F.col(o).alias(c) for c, o in zip(kept, own, strict=True)], *COUNTS, "kept")
 
 
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
