@@ -55,6 +55,12 @@ def test_classifier_keeps_clean_and_rejects_junk(spark):
     none = quality_classifier.judge(docs, labels.limit(0))
     assert none.where("kept").count() == docs.where("length(text) > 0").count()
     assert quality_classifier.judge(docs.limit(0), labels).count() == 0
+    names = ["of", "low", "middle", "slack", "held", "trusted_id", "lm_lang", "lm_text", "lm_id", "lm_sum", "own__0"]
+    clash = docs
+    for name in names:
+        clash = clash.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    again = quality_classifier.judge(clash, labels).collect()
+    assert all(r.kept == out[r.doc_id].kept and all(r[name] == f"{name}{r.doc_id}" for name in names) for r in again) and len(again) == docs.count()
 
 
 def test_classifier_rejects_rows_labelled_bad(spark):
