@@ -126,11 +126,15 @@ def test_html_takes_every_block_tag():
             assert "inner words" in text, tag
 
 
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
 def brute(texts):
     sets, parent = {}, {}
     for i, t in texts.items():
-        w = (t or "").encode().lower().split()
-        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+        sets[i] = shingles(t)
         parent[i] = i
 
     def find(x):
@@ -167,6 +171,33 @@ def test_jaccard_equals_all_pairs(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_of_a_column_meet_by_tiles(spark):
+    """With tiny tiles and with one tile: every pair over the similarity that shares a column is met, and only pairs that share one."""
+    rng = np.random.default_rng(11)
+    base = [["w" + str(x) for x in rng.integers(0, 10**6, size)] for size in (30, 40, 400, 2500)]
+    texts = {}
+    for i in range(80):
+        copy = list(base[i % 4])
+        for at in rng.choice(len(copy), rng.integers(0, 2 + len(copy) // 40), replace=False):
+            copy[at] = "x" + str(rng.integers(0, 10**6))
+        texts[i] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    rows = jaccard.profiles(docs, none).cache()
+    name = {r.row: r.doc_id for r in rows.collect()}
+    cells = rows.select("row", F.col("row").alias("root"), "n", "short", F.posexplode("prefix").alias("place", "column"))
+    members = cells.join(cells.groupBy("column").agg(F.count("*").alias("rows")), "column")
+    shared = {frozenset((x, y)) for r in members.groupBy("column").agg(F.collect_set("row").alias("s")).collect() for x in r.s for y in r.s if x != y}
+    sets = {r: shingles(texts[i]) for r, i in name.items()}
+    alike = {frozenset((x, y)) for x in sets for y in sets if x < y and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])}
+    for tile in (2, 512):
+        pairs = jaccard.meetings(members, tile=tile).collect()
+        met = {frozenset((r.a, r.b)) for r in pairs}
+        assert len(met) == len(pairs) and alike <= met <= shared and len(alike) > 100
+    same = members.withColumn("root", F.lit(1).cast("long"))
+    assert jaccard.meetings(same).count() == 0 and jaccard.meetings(members.limit(0)).count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

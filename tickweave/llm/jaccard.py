@@ -10,6 +10,9 @@ overlap counts are accumulated over blocks of columns and held against the bound
 Groups of near copies do not fill a square of the product. Each column first meets only two of its rows, those with the
 smallest and the largest number; linked rows become one component. Then all cells between *different* components that share
 such a column are worked out too, so that no component is missed, and cells inside a component, which could join nothing, are not.
+These meet block by block in numpy, so that only cells leave a task whose bounds hold: a column at place ``i`` of a row leaves it ``n - i``
+shingles that can still be shared, and that is the most if no column before was; and parities, as above. A column of many rows is cut into
+tiles of bounded size, and each pair of tiles is a block of its own.
 Equal rows are one row throughout. The common order puts frequent shingles last; it decides the cost, never the
 result.
 """
@@ -33,6 +36,8 @@ WORDS, PERCENT = 5, 75
 SAMPLE_TEXTS, MOST_FREQUENT, LEVELS = 16_000, 400_000, 1024
 #: Blocks of columns in which overlaps are counted, and bits of a column's number that name it in the candidate search.
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
+#: Rows of a tile of a column on average, most places of the parities that rows meet with, and pairs looked at together.
+TILE, SHORT_PARITIES, PAIRS = 512, 1024, 1 << 20
 #: Most bits of the filter that keeps unwanted texts out of a pass. Beyond it more texts pass, and the joins drop them.
 FILTER_BITS = 1 << 27
 
@@ -145,7 +150,8 @@ def _unlike(left: list[bytes], right: list[bytes]) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n`` (size of the row), ``row`` (a hash of the whole row, equal for equal ones), ``prefix`` (its first columns) and ``parities``."""
+    """``doc_id, n`` (size of the row), ``row`` (a hash of the whole row, equal for equal ones), ``prefix`` (its first columns), ``parities`` and
+    ``short`` (parities of at most :data:`SHORT_PARITIES` places)."""
 
     def run(frames):
         for frame in frames:
@@ -158,9 +164,10 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], words: in
                 length = _prefix_lengths(sizes, percent)
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[start : start + len(texts)], "n": sizes, "row": whole,
                                     "prefix": [columns[e - s : e - s + k] for e, s, k in zip(ends, sizes, length, strict=True)],
-                                    "parities": _parities(row, hashes, sizes)})
+                                    "parities": _parities(row, hashes, sizes),
+                                    "short": _parities(row, hashes, np.minimum(sizes, SHORT_PARITIES))})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, row long, prefix array<long>, parities binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, row long, prefix array<long>, parities binary, short binary")
 
 
 def id_filter(wanted: DataFrame) -> np.ndarray:
@@ -181,9 +188,9 @@ def id_filter(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: int = COLUMN_BLOCKS) -> DataFrame:
+def incidence(docs: DataFrame, wanted: DataFrame, folder: str, words: int = WORDS, blocks: int = COLUMN_BLOCKS) -> DataFrame:
     """``row, block, grams``: the matrix rows of the documents named by ``wanted`` (``doc_id``), cut into blocks of columns, in one pass over
-    the texts without a shuffle. Some others may come along, and a row may come from several tasks."""
+    the texts without a shuffle, stored in ``folder``. Some others may come along, and a row may come from several tasks."""
     sent = docs.sparkSession.sparkContext.broadcast(id_filter(wanted))
 
     def run(frames):
@@ -210,8 +217,10 @@ def incidence(docs: DataFrame, wanted: DataFrame, words: int = WORDS, blocks: in
                 if len(cells):
                     yield pd.DataFrame({"row": names[cells // blocks], "block": cells % blocks, "grams": np.split(hashes[order].view(np.int64), first[1:])})
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInPandas(run, "row long, block int, grams array<long>")
+    found = materialise(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                        .mapInPandas(run, "row long, block int, grams array<long>"), "matrix", folder)
+    sent.destroy()
+    return found
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -230,6 +239,76 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> Data
         .select(*kept, "parities_a", "parities_b").mapInPandas(run, ", ".join(f"{c} long" for c in kept))
 
 
+def _folded(parities: list[bytes]) -> dict[int, np.ndarray]:
+    """By number of 64-bit words: the parities of all rows folded to so many, rows with fewer left at zero."""
+    sizes = np.fromiter(map(len, parities), np.int64, len(parities)) // 8
+    out = {int(words): np.zeros((len(parities), int(words)), np.uint64) for words in np.unique(sizes[sizes > 0])}
+    for size, own in out.items():
+        at = np.flatnonzero(sizes == size)
+        own[at] = np.frombuffer(b"".join([parities[i] for i in at]), np.uint64).reshape(-1, size)
+        for words in out:
+            if words < size:
+                out[words][at] = np.bitwise_xor.reduce(own[at].reshape(len(at), -1, words), axis=1)
+    return out
+
+
+def _met(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """``a, b`` of a run of whole blocks: pairs of rows of different components in one block whose bounds leave the similarity within reach."""
+    column, i, j, own, row, root, n, place = (frame[c].to_numpy(np.int64) for c in ("column", "i", "j", "own", "row", "root", "n", "place"))
+    turns = np.flatnonzero((column[1:] != column[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    ends = np.append(turns, len(frame))
+    after = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(frame)) - 1
+    until = np.cumsum(after)
+    parities, words = _folded(frame["short"].tolist()), frame["short"].map(len).to_numpy(np.int64) // 8
+    found = []
+    for first in np.flatnonzero(np.diff(until // PAIRS, prepend=-1)):
+        last = np.searchsorted(until // PAIRS, until[first] // PAIRS, side="right")
+        few = after[first:last]
+        a = np.repeat(np.arange(first, last), few)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(few) - few, few)
+        # Two tiles meet across; a tile alone meets itself.
+        stay = (root[a] != root[b]) & ((own[a] != own[b]) | (i[a] == j[a]))
+        a, b = a[stay], b[stay]
+        total = n[a] + n[b]
+        need = -(-percent * total // (100 + percent))
+        stay = np.minimum(n[a] - place[a], n[b] - place[b]) >= need
+        a, b, most = a[stay], b[stay], (total - 2 * need)[stay]
+        least = np.minimum(words[a], words[b])
+        for size, bits in parities.items():
+            x, y, bound = (v[least == size] for v in (a, b, most))
+            near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) <= bound
+            found.append(np.column_stack([row[x[near]], row[y[near]]]))
+    pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
+    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+
+
+def meetings(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+    """Distinct ``a < b`` of ``members`` (``column, row, root, n, place, short`` and ``rows``, how many the column has): rows of different roots that
+    share a column and, by place and parities, may reach the similarity. A task holds a batch and one block of two tiles."""
+    tiles = F.greatest(F.lit(1), F.ceil(F.col("rows") / tile)).cast("int")
+    seated = members.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int")) \
+        .select("column", "own", "row", "root", "n", "place", "short", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")) \
+        .select("column", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row", "root", "n", "place", "short") \
+        .repartition("column", "i", "j").sortWithinPartitions("column", "i", "j")
+
+    def meet(frames):
+        held = None
+        for frame in frames:
+            if not len(frame):
+                continue
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            # The last block may go on in the next batch.
+            key = held[["column", "i", "j"]].to_numpy(np.int64)
+            whole = len(held) - int(np.argmax(np.append((key != key[-1]).any(axis=1)[::-1], True)))
+            if whole:
+                yield _met(held.iloc[:whole], percent)
+                held = held.iloc[whole:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield _met(held, percent)
+
+    return seated.mapInPandas(meet, "a long, b long").distinct()
+
+
 def _hubs(pairs: DataFrame) -> DataFrame:
     """Of the pairs, for each row the one with the partner that has most pairs (ties: the smallest)."""
     own, other = (("a", "n_a", "first_a"), ("b", "n_b", "first_b")), (("b", "n_b", "first_b"), ("a", "n_a", "first_a"))
@@ -252,7 +331,7 @@ def links(docs: DataFrame, pairs: DataFrame, folder: str, words: int = WORDS, pe
     The matrix rows they need stay in ``folder``, as the table ``matrix``, for as long as the result is wanted.
     """
     ends = pairs.select(F.explode(F.array("first_a", "first_b")).alias("doc_id")).distinct()
-    matrix = materialise(incidence(docs, ends, words), "matrix", folder)
+    matrix = incidence(docs, ends, folder, words)
     product = pairs.join(matrix.select(F.col("row").alias("a"), "block", F.col("grams").alias("left")), "a") \
         .join(matrix.select(F.col("row").alias("b"), "block", F.col("grams").alias("right")), ["b", "block"]) \
         .select("a", "b", "block", "n_a", "n_b", F.size(F.array_intersect("left", "right")).alias("overlap"))
@@ -312,12 +391,12 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     rows = materialise(profiles(narrow, frequent_shingles(narrow, folder, words, percent), words, percent), "profiles", folder)
     _discard(spark, folder, "counts")
     nodes = rows.where("n > 0 and doc_id is not null").groupBy("row").agg(
-        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("parities").alias("parities"))
+        F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("parities").alias("parities"), F.max("short").alias("short"))
     nodes = materialise(nodes, "nodes", folder)
-    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.explode("prefix").alias("column"))
+    cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.posexplode("prefix").alias("place", "column"))
     # Columns of at least two different rows, with the two that the others meet first.
     centres = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres", folder)
-    members = materialise(cells.join(centres, "column").select("column", "row", "n", "low", "high").distinct(), "members", folder)
+    members = materialise(cells.join(centres, "column").select("column", "row", "n", "place", "low", "high").distinct(), "members", folder)
     # The first columns are most of what is stored; what comes later goes by these rows alone.
     rows = materialise(rows.select("doc_id", "n", "row"), "rows", folder)
     _discard(spark, folder, "profiles", "centres")
@@ -327,20 +406,13 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = materialise(links(narrow, stars, folder, words, percent), "links", folder)
     _discard(spark, folder, "matrix")
     roots = components(linked)
-    # Columns that still hold different components: every pair between two of them, by component, never within one.
-    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", F.coalesce("root", "row").alias("root")), "labelled", folder)
+    # Columns that still hold different components: their rows meet, those of one component never.
+    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", "place", F.coalesce("root", "row").alias("root")), "labelled", folder)
     _discard(spark, folder, "members")
-    mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("column")
-    open_rows = materialise(labelled.join(mixed, "column", "left_semi"), "open", folder)
+    mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows")).where("x <> y").select("column", "rows")
+    open_rows = materialise(labelled.join(mixed, "column"), "open", folder)
     _discard(spark, folder, "labelled")
-    groups = open_rows.select("column", "root").distinct()
-    crossing = groups.select("column", F.col("root").alias("root_a")).join(groups.select("column", F.col("root").alias("root_b")), "column") \
-        .where("root_a < root_b")
-    left = open_rows.select("column", F.col("root").alias("root_a"), F.col("row").alias("x"), F.col("n").alias("n_x"))
-    right = open_rows.select("column", F.col("root").alias("root_b"), F.col("row").alias("y"), F.col("n").alias("n_y"))
-    rest = crossing.join(left, ["column", "root_a"]).join(right, ["column", "root_b"]) \
-        .where(100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) \
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = meetings(open_rows.join(nodes.select("row", "short"), "row"), percent).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     rest = materialise(possible(rest, nodes, percent), "rest", folder)
     if not rest.isEmpty():
         more = materialise(links(narrow, rest, folder, words, percent), "more", folder)
