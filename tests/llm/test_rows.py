@@ -142,6 +142,14 @@ def test_packing_places_odd_rows(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_packing_spreads_repeated_rows(spark):
+    docs = spark.range(3000).select(F.when(F.col("id") < 2400, 7).otherwise(F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") < 2400, "the same text").otherwise(F.concat(F.lit("text "), "id")).alias("text"), F.lit("s").alias("source"))
+    out = packing.pack(docs, packing.n_tokens(F.col("text")), packing.copy_cluster(F.col("text")), F.col("source"), block_rows=300)
+    blocks = Counter(r.bin.split("-")[0] for r in out.collect())
+    assert len(blocks) == 10 and max(blocks.values()) < 400 and sum(blocks.values()) == 3000
+
+
 def test_packing_keeps_near_copies_apart(spark, tmp_path):
     rng = np.random.default_rng(9)
     base_words = ["w" + str(x) for x in rng.integers(0, 10**6, 60)]

@@ -74,14 +74,15 @@ def pack(docs: DataFrame, tokens: Column, cluster: Column, source: Column, capac
     ``piece_tokens``.
 
     Every row is placed, with all its tokens; a null or negative count is 0, and an empty document takes a place without
-    room. Null clusters conflict with nothing; null sources are one source. Rows that repeat a cluster go to different bins.
+    room. Null clusters conflict with nothing; null sources are one source. Rows that repeat a cluster go to different bins. An empty
+    table gives an empty result. Which bin a row gets depends on its place in the input.
     """
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("tokens"),
                        cluster.cast("string").alias("cluster"), F.coalesce(source.cast("string"), F.lit("\x00")).alias("source"))
-    blocks = max(1, -(-docs.count() // block_rows))
-    # The place spreads repeated rows; the result holds for any dealing, so a task that runs again may deal anew only
-    # where its input is read in another order.
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "key", "tokens", "cluster"), F.lit(blocks)))
+    # A stored place spreads repeated rows over the blocks, and a task that runs again deals them as before.
+    rows = materialise(rows.withColumn("place", F.monotonically_increasing_id()), "packing")
+    blocks = max(1, -(-rows.count() // block_rows))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "place"), F.lit(blocks)))
     key_type = docs.schema[key].dataType.simpleString()
 
     def fill(group, frame):
@@ -117,8 +118,8 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     key = F.xxhash64(F.col("text").isNull(), "text").alias("near_key")
     # The near-duplicate join goes by texts, whatever their ids; texts without words have no component.
-    near = jaccard.near_duplicates(docs.where(copy_cluster(F.col("text")).isNotNull()).select(key.alias("doc_id"), "text")) \
+    near = jaccard.near_duplicates(docs.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(key.alias("doc_id"), "text")) \
         .select(F.col("doc_id").alias("near_key"), F.col("component_id").cast("string").alias("component")).distinct()
     rows = docs.select("doc_id", n_tokens(F.col("text")).alias("n"), copy_cluster(F.col("text")).alias("copy"), "source", key) \
         .join(near, "near_key", "left").select("doc_id", "n", F.coalesce("component", "copy").alias("cluster"), "source")
-    return pack(materialise(rows, "packing"), F.col("n"), F.col("cluster"), F.col("source"))
+    return pack(rows, F.col("n"), F.col("cluster"), F.col("source"))
