@@ -427,5 +427,35 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
         F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))).alias("component_id"))
 
 
+#: The same rows from all pairs of documents that share a shingle.
+SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS gram
+    FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+    FROM shingles x JOIN shingles y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * both_have >= 75 * (x.n + y.n - both_have)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id, doc_id AS component_id FROM texts
+    UNION
+    SELECT ways.b, reach.component_id FROM reach JOIN ways ON ways.a = reach.doc_id),
+smallest AS (SELECT doc_id, min(component_id) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CAST(component_id AS BIGINT) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
+"""
+
+
 def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"))

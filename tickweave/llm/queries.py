@@ -20,6 +20,7 @@ QUERIES = {
     "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": jaccard.SQL,
     "op11_conversation_repair": repair_sql.SQL,
     "op13_phrase_collocations": collocations.SQL,
 }
