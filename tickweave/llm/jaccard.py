@@ -37,7 +37,7 @@ SAMPLE_TEXTS, MOST_FREQUENT, LEVELS = 16_000, 400_000, 1024
 #: Blocks of columns in which overlaps are counted, and bits of a column's number that name it in the candidate search.
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 #: Rows of a tile of a column on average, most places of the parities that rows meet with, and pairs looked at together.
-TILE, SHORT_PARITIES, PAIRS = 512, 1024, 1 << 20
+TILE, SHORT_PARITIES, PAIRS = 512, 1024, 1 << 17
 #: Most bits of the filter that keeps unwanted texts out of a pass. Beyond it more texts pass, and the joins drop them.
 FILTER_BITS = 1 << 27
 
