@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -198,6 +199,17 @@ def test_rows_of_a_column_meet_by_tiles(spark):
     assert jaccard.meetings(same).count() == 0 and jaccard.meetings(members.limit(0)).count() == 0
 
 
+def test_meetings_do_not_depend_on_pairs_at_a_time(monkeypatch):
+    rng, m = np.random.default_rng(1), 600
+    frame = pd.DataFrame({"column": np.sort(rng.integers(0, 9, m)), "i": 0, "j": 0, "own": 0, "row": np.arange(m) * 7, "root": rng.integers(0, 300, m),
+                          "n": rng.integers(90, 110, m), "place": rng.integers(0, 16, m), "short": [b"\x01" * (8 << (k % 2)) for k in range(m)]})
+    seen = set()
+    for pairs in (1 << 20, 3000, 16, 1):
+        monkeypatch.setattr(jaccard, "PAIRS", pairs)
+        seen.add(frozenset(map(tuple, jaccard._met(frame, 75)[["a", "b"]].to_numpy().tolist())))
+    assert len(seen) == 1 and len(next(iter(seen))) > 100
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
