@@ -278,3 +278,11 @@ def test_serving_reads(spark):
     starts = sorted((r.window_start for r in finals.where("instrument = 'A'").collect()), reverse=True)
     assert [r.window_start for r in newest] == starts[:3]
     assert serving.latest_n_per_instrument(finals, 2).count() == 6
+
+
+def test_volatility_at_zero_closes(spark):
+    closes = [1, 2, 0, 0, 3, 4, 5, 4]
+    made = candles.fold_candles(candles.assign_window(make_trades(spark, [("A", 60 * i, p, 1, "BUY") for i, p in enumerate(closes)])))
+    got = rolling.rolling_volatility(made, 120_000).orderBy("at_ms").collect()
+    assert [r.returns for r in got] == [0, 1, 2, 3, 3, 3, 3, 3]
+    assert [None if r.volatility is None else str(r.volatility)[:5] for r in got] == [None, None, "nan", "nan", "nan", "nan", "nan", "0.278"]

@@ -33,11 +33,18 @@ def rolling_volume_stream(trades: DataFrame, span: str, slide: str) -> DataFrame
 
 
 def log_returns(candles: DataFrame, chunk_ms: int = 30 * 24 * HOUR_MS) -> DataFrame:
-    """Log return of each candle's close against the previous candle of the instrument."""
+    """Log return of each candle's close against the previous candle of the instrument.
+
+    A close of zero is a return of minus infinity, the next one of plus infinity; from zero to zero it is no number.
+    """
     ticks = candles.select(*KEYS, F.unix_millis("window_start").alias("at_ms"), F.col("close").cast("double").alias("close"))
     linked = running(ticks, KEYS, F.expr(f"at_ms div {chunk_ms}"), ["at_ms"],
                      {"previous_close": Running("last", "close", before=True)})
-    return linked.withColumn("log_return", F.log(F.col("close") / F.col("previous_close")))
+    close, before = F.col("close"), F.col("previous_close")
+    # Division by zero is an error in Spark, and its logarithm of zero is NULL.
+    at_zero = F.when(close > 0, float("inf")).when(before > 0, float("-inf")).otherwise(float("nan"))
+    return linked.withColumn("log_return", F.when((before == 0) | ((close == 0) & (before > 0)), at_zero)
+                             .otherwise(F.log(close / F.when(before != 0, before))))
 
 
 def rolling_volatility(candles: DataFrame, span_ms: int, bucket_ms: int | None = None) -> DataFrame:
