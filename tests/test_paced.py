@@ -95,3 +95,16 @@ def test_stream_over_a_restart(spark, tmp_path):
     write(folder, "1.parquet", 27, 13)
     run(40)
     assert sorted(seen) == list(range(40)) and max(sizes) == 10 and [n for n in sizes if n] == [10, 10, 7, 10, 3]
+
+
+def test_full_batches_that_wait_come_many_at_a_time(tmp_path):
+    for k in range(3):
+        write(tmp_path / "in", f"{k}.parquet", 15 * k, 15)
+    source = PacedReader({"path": str(tmp_path / "in"), "cursor": str(tmp_path / "cursor"), "maxrows": "4", "maxagems": "0", "maxbatches": "6", "batchcolumn": "started"})
+    ends = [0]
+    for _ in range(3):
+        ends.append(source.latestOffset()["rows"])
+        at, end = ends[-2:]
+        got = [r for part in source.partitions({"rows": at}, {"rows": end}) for batch in source.read(part) for r in batch.to_pylist()]
+        assert got == [{"n": n, "started": n // 4 * 4} for n in range(at, end)]
+    assert ends == [0, 24, 44, 45]
