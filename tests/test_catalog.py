@@ -48,3 +48,12 @@ def test_final_candles_read_the_log_twice_and_join_nothing(spark):
     assert plan.count("FileScan") == 2 and "Join" not in plan
     # The summary scan reads only what it summarises.
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
+
+
+def test_silence_of_books_needs_no_replay(spark):
+    """The stale alert reads the log's times alone, and the messages are numbered on narrow rows."""
+    plan = entry.queries()["alert_stale_book"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan
+    narrow = catalog.views.book_messages(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    below = narrow[narrow.index("MapInArrow"):]
+    assert "FlatMapGroups" not in narrow and "bids" not in below and "decimal" not in below

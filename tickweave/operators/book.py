@@ -255,7 +255,9 @@ def apply_deltas(numbered: DataFrame, depth: int = CHECKSUM_LEVELS) -> DataFrame
           for side, name in (("BID", "bids"), ("ASK", "asks"))]).select(
         "*", F.lit(_OPENING).alias("type"), *[F.lit(-1).cast(fields[c].dataType).alias(c) for c in POSITION])
 
-    return numbered.unionByName(opening, allowMissingColumns=True).groupBy(*_SCOPE).applyInArrow(
+    # A fixed number of partitions: Spark joins small ones by their bytes, but the rebuild costs Python's time.
+    partitions = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return numbered.unionByName(opening, allowMissingColumns=True).repartition(partitions, *_SCOPE).groupBy(*_SCOPE).applyInArrow(
         _rebuilder(kept, POSITION, depth), out)
 
 

@@ -8,6 +8,7 @@ a wider load.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.decimals import DECIMAL
 from ..functions.ids import trade_event_id
 from ..functions.keys import instrument_key
-from ..operators.prefix import Running, offset_chunk, running
+from ..operators.prefix import CHUNK_ROWS, Running, running
 
 EXCHANGE = "KRAKEN"
 
@@ -184,25 +185,25 @@ BOOK_PRICES = {"BID": (50, 45, 200), "ASK": (110, 155, 10)}
 SILENT_FROM = "2024-01-28 00:00:00"
 
 
-def book_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """One book message per event, with the checksum of the true book.
+def book_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What the events say of each book message, without levels, numbers and checksums: one message per event.
 
-    Every 211th is a snapshot, some are resets. Some checksums are wrong or missing, some messages are lost (a gap in the
-    sequence), cross the book or carry a negative quantity. ``signup`` falls silent before the end.
+    Every 211th is a snapshot, some are resets. Some messages are lost (a gap in the sequence), cross the book or carry a negative
+    quantity. ``signup`` falls silent before the end.
     """
-    event_id, shift = F.col("event_id"), F.col("user_id") % BOOK_SHIFTS
-    k = F.get_json_object("props", "$.k").cast("int")
+    event_id = F.col("event_id")
     at = F.col("ts").cast("timestamp")
     kind = F.when(event_id % 1999 == 7, "RESET").when(event_id % 211 == 0, "SNAPSHOT").otherwise("UPDATE")
     late = (F.col("event_type") == "signup") & (at >= F.lit(SILENT_FROM).cast("timestamp"))
-    coded = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.lit(EXCHANGE).alias("exchange"), F.when(late, "purchase").otherwise(F.col("event_type")).alias("instrument"), kind.alias("type"),
-        at.alias("event_time"), (at + F.expr("INTERVAL 50 MILLISECONDS")).alias("ingestion_time"), event_id.alias("src_offset"),
-        F.lit(0).alias("src_partition"), F.lit(0).alias("ordinal"), F.concat(F.lit("t-"), event_id.cast("string")).alias("trace_id"),
-        shift.alias("shift"), k.alias("k"), (event_id % 953 == 11).alias("crosses"), (event_id % 877 == 5).alias("negative"),
-        ((event_id % 401 == 0) | (event_id % 633 == 0)).alias("wrong"), (event_id % 769 == 3).alias("unchecked"),
-        (1 + (event_id % 1201 == 13).cast("long")).alias("step"))
+        at.alias("event_time"), event_id.alias("src_offset"), (F.col("user_id") % BOOK_SHIFTS).alias("shift"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"), (event_id % 953 == 11).alias("crosses"), (event_id % 877 == 5).alias("negative"))
 
+
+def book_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`book_log` with its levels and the checksum of the true book; some checksums are wrong or missing."""
+    number = F.col("src_offset")
     none = F.array().cast("array<struct<price:decimal(38,18),quantity:decimal(38,18)>>")
 
     def level(price: Column, quantity: Column) -> Column:
@@ -214,37 +215,56 @@ def book_messages(spark: SparkSession, sf: str) -> DataFrame:
                    .when(F.col("negative"), level(F.col("shift") + base_price, F.lit(-2))).otherwise(level(F.col("shift") + base_price, F.col("k") % 10)))
         return (F.when(F.col("type") == "SNAPSHOT", F.array(level(F.col("shift") + base_price, 1 + F.col("k") % 9), level(F.lit(deep_price), F.lit(3))))
                 .when((F.col("type") == "UPDATE") & own, F.array(changed)).otherwise(none))
-    buy = F.col("src_offset") % 2 == 0
-    sent = coded.withColumns({"bids": side("BID", buy), "asks": side("ASK", ~buy), "starts": (F.col("type") != "UPDATE").cast("long")})
-    # Numbered without sorting an instrument in one task.
-    numbered = running(sent, ["exchange", "instrument"], offset_chunk(), ["src_partition", "src_offset"], {
+    buy = number % 2 == 0
+    # Numbered without sorting an instrument in one task; levels and texts are made last, so that they are not moved.
+    coded = book_log(spark, sf).withColumns({"step": 1 + (number % 1201 == 13).cast("long"), "starts": (F.col("type") != "UPDATE").cast("long")})
+    numbered = running(coded, ["exchange", "instrument"], F.expr(f"src_offset div {CHUNK_ROWS}"), ["src_offset"], {
         "sequence": Running("sum", "step"), "epoch": Running("sum", "starts")})
+    epoch = ["exchange", "instrument", "epoch"]
     told = T.StructType([*numbered.schema.fields, T.StructField("true_checksum", T.LongType())])
-    true = numbered.groupBy("exchange", "instrument", "epoch").applyInArrow(_true_checksums, told)
-    checksum = F.when(F.col("wrong"), F.pmod(F.col("true_checksum") + 1, F.lit(1 << 32))).otherwise(F.col("true_checksum"))
-    return true.select("exchange", "instrument", "type", "event_time", "ingestion_time", "bids", "asks",
-                       F.when(~F.col("unchecked") & (F.col("type") != "RESET"), checksum).alias("checksum"),
-                       "sequence", "trace_id", "src_partition", "src_offset", "ordinal")
-
-
-def _true_checksums(epoch: pa.Table) -> pa.Table:
-    """Replay an epoch, a bounded run of messages, from the events' own numbers: what the exchange would send."""
-    epoch = epoch.sort_by("src_offset")
-    books: dict[str, dict[int, int]] = {"BID": {}, "ASK": {}}
-    sums = []
-    for kind, n, shift, k, crosses, negative in zip(*(epoch[c].to_pylist() for c in ("type", "src_offset", "shift", "k", "crosses", "negative"))):
-        for name, (base_price, deep_price, crossing) in BOOK_PRICES.items():
-            if kind != "UPDATE":
-                books[name] = {base_price + shift: 1 + k % 9, deep_price: 3} if kind == "SNAPSHOT" else {}
-            elif (n % 2 == 0) == (name == "BID"):
+    # A fixed number of partitions: Spark joins small ones by their bytes, but these cost Python's time.
+    true = numbered.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *epoch).sortWithinPartitions(*epoch, "src_offset").mapInArrow(_true_checksums, told)
+    wrong, unchecked = (number % 401 == 0) | (number % 633 == 0), number % 769 == 3
+    checksum = F.when(wrong, F.pmod(F.col("true_checksum") + 1, F.lit(1 << 32))).otherwise(F.col("true_checksum"))
+    return true.select("exchange", "instrument", "type", "event_time", (F.col("event_time") + F.expr("INTERVAL 50 MILLISECONDS")).alias("ingestion_time"),
+                       side("BID", buy).alias("bids"), side("ASK", ~buy).alias("asks"),
+                       F.when(~unchecked & (F.col("type") != "RESET"), checksum).alias("checksum"),
+                       "sequence", F.concat(F.lit("t-"), number.cast("string")).alias("trace_id"), F.lit(0).alias("src_partition"), "src_offset",
+                       F.lit(0).alias("ordinal"))
+
+
+def _true_checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replay epochs, which lie whole and in order in a task, from the events' own numbers: what the exchange would send."""
+    books: dict[str, dict[int, int]] = {}
+    # Of asks, then bids, the best levels first: two decimals of the price and three of the quantity, without points.
+    texts: dict[str, str] = {}
+    now = None
+
+    def show(name: str) -> None:
+        best = sorted(books[name].items(), reverse=name == "BID")[:10]
+        texts[name] = "".join([f"{p * 100}{q * 1000}" for p, q in best])
+    for batch in batches:
+        sums = []
+        for exchange, instrument, epoch, kind, n, shift, k, crosses, negative in zip(*(batch.column(c).to_pylist() for c in (
+                "exchange", "instrument", "epoch", "type", "src_offset", "shift", "k", "crosses", "negative"))):
+            if now != (exchange, instrument, epoch):
+                now = exchange, instrument, epoch
+                books, texts = {"BID": {}, "ASK": {}}, {"BID": "", "ASK": ""}
+            if kind == "UPDATE":
+                name = "BID" if n % 2 == 0 else "ASK"
+                base_price, _, crossing = BOOK_PRICES[name]
                 price, quantity = (crossing, 5) if crosses else (base_price + shift, -2 if negative else k % 10)
-                books[name][price] = quantity
-                if quantity <= 0:
-                    del books[name][price]
-        # Asks, then bids, best first: two decimals of the price and three of the quantity, without points.
-        best = sorted(books["ASK"].items())[:10] + sorted(books["BID"].items(), reverse=True)[:10]
-        sums.append(zlib.crc32("".join(f"{p * 100}{q * 1000}" for p, q in best).encode()))
-    return epoch.append_column("true_checksum", pa.array(sums, pa.int64()))
+                if quantity > 0:
+                    books[name][price] = quantity
+                else:
+                    books[name].pop(price, None)
+                show(name)
+            else:
+                for name, (base_price, deep_price, _) in BOOK_PRICES.items():
+                    books[name] = {base_price + shift: 1 + k % 9, deep_price: 3} if kind == "SNAPSHOT" else {}
+                    show(name)
+            sums.append(zlib.crc32((texts["ASK"] + texts["BID"]).encode()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=[*batch.schema.names, "true_checksum"])
 
 
 def book_frames(spark: SparkSession, sf: str) -> DataFrame:
