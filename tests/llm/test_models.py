@@ -89,6 +89,15 @@ def test_classifier_thresholds_come_from_all_trusted_documents(spark):
     assert limits["xx"].kept == 50 and limits["xx"].limit != limits["zz"].limit  # zz has none and takes that of all
 
 
+def test_classifier_is_fitted_on_all_trusted_documents(spark):
+    labels = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 10 == 0).cast("int").alias("toxic"))
+    trusted = quality_classifier.trusted_ids(labels)
+    assert quality_classifier.fitting_ids(trusted).count() == trusted.where("clean and not held").count() > 40_000
+    table = quality_classifier.character_classes([ord(c) for c in "abcdefgh"])
+    texts = spark.createDataFrame([("abc abd",)] * 500, "text string")
+    assert [r.c for r in quality_classifier.gram_counts(texts, table).collect()] == [500] * 7
+
+
 def test_kneser_ney_adds_up(spark):
     table = quality_classifier.character_classes([ord(c) for c in "abcdefgh"])
     counts = quality_classifier.gram_counts(spark.createDataFrame([("abc abd",), ("hgf",), (None,)], "text string"), table)
