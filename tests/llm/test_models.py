@@ -98,6 +98,14 @@ def test_classifier_is_fitted_on_all_trusted_documents(spark):
     assert [r.c for r in quality_classifier.gram_counts(texts, table).collect()] == [500] * 7
 
 
+def test_texts_of_trusted_documents_are_whole(spark, monkeypatch):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")).union(spark.createDataFrame([(None, "none")], "doc_id long, text string"))
+    ids = spark.range(0, 4_000, 7).select(F.col("id").alias("trusted_id"))
+    for bits in (quality_classifier.FILTER_BITS, 256):
+        monkeypatch.setattr(quality_classifier, "FILTER_BITS", bits)
+        assert sorted(int(r.text) for r in quality_classifier.texts_of(docs, ids).collect()) == list(range(0, 3_000, 7))
+
+
 def test_kneser_ney_adds_up(spark):
     table = quality_classifier.character_classes([ord(c) for c in "abcdefgh"])
     counts = quality_classifier.gram_counts(spark.createDataFrame([("abc abd",), ("hgf",), (None,)], "text string"), table)
