@@ -299,3 +299,22 @@ def test_stream_with_timers_equals_batch(spark, tmp_path):
             == sorted(map(repr, book.book_metrics(judged).select(*shown).collect())))
     asked = spark.read.parquet(str(tmp_path / "out" / "control.book.resync"))
     assert {r.event_id for r in asked.collect()} == {r.event_id for r in book.resync_requests(want).collect()}
+
+
+def test_digests_equal_books_shown_in_full(spark):
+    """Checksums and depths worked out in the rebuild, over several epochs a chunk, equal those of the ten levels shown."""
+    random.seed(5)
+    feeds = [Feed("A"), Feed("B")]
+    for second in range(60):
+        feed = feeds[second % 2]
+        if second % 14 < 2:
+            feed.snapshot(second, [(99 - i, i + 0.125) for i in range(1, 13)], [(101 + i, i + 20) for i in range(12)])
+        else:
+            feed.update(second, bids=[(random.randint(80, 99), random.randint(1, 4))], asks=[(random.randint(101, 115), 10 ** random.randint(0, 15))])
+    numbered, text = book.number(messages(spark, *feeds), 8), book.plain_digits(*TEXT)
+    rebuilt = book.apply_deltas(numbered, text=text)
+    full = book.checksum_verify(book.apply_deltas(numbered), text)
+    shown = [F.slice(side, 1, 1).alias(side) for side in ("book_bids", "book_asks")]
+    want = full.select("src_offset", "negative", "computed_checksum", *shown, book.depth_of(F.col("book_bids"), 10), book.depth_of(F.col("book_asks"), 10))
+    got = rebuilt.select("src_offset", "negative", "computed_checksum", "book_bids", "book_asks", "bid_depth", "ask_depth")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 60
