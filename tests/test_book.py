@@ -318,3 +318,23 @@ def test_digests_equal_books_shown_in_full(spark):
     want = full.select("src_offset", "negative", "computed_checksum", *shown, book.depth_of(F.col("book_bids"), 10), book.depth_of(F.col("book_asks"), 10))
     got = rebuilt.select("src_offset", "negative", "computed_checksum", "book_bids", "book_asks", "bid_depth", "ask_depth")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 60
+
+
+def test_machine_makes_a_text_once_for_each_level_set():
+    """A message costs the levels it sets, not the twenty levels shown."""
+    from pyspark.sql import Row
+    from tickweave.streaming import book as stream
+    made = []
+
+    class Counted(stream.PlainText):
+        def level(self, price, quantity):
+            made.append(price)
+            return super().level(price, quantity)
+    feed = Feed().snapshot(0, [(99 - i, i + 1) for i in range(12)], [(101 + i, i + 1) for i in range(12)])
+    for second in range(1, 50):
+        feed.update(second, bids=[(99 - second % 13, second % 3)])
+    machine, verified = stream.Machine(book.Limits(), Counted(*TEXT), 10), set()
+    for n, (_, kind, seconds, bids, asks, value, sequence, *_) in enumerate(feed.rows):
+        levels = [[Row(price=Decimal(str(p)), quantity=Decimal(str(q))) for p, q in side] for side in (bids, asks)]
+        verified.add(machine.message(Row(type=kind, event_time=at(seconds), bids=levels[0], asks=levels[1], checksum=value, sequence=sequence))[1]["checksum_verified"])
+    assert verified == {True} and len(made) == 24 + sum(second % 3 > 0 for second in range(1, 50))

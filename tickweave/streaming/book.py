@@ -8,7 +8,9 @@ per instrument stands at the next moment at which a book turns stale, is given u
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from decimal import ROUND_HALF_UP, Decimal
 from typing import Any
@@ -34,15 +36,27 @@ _NAMES = [part.split()[0] for part in OUTPUT.split(", ")]
 MOVE, BOOK = "MOVE", "BOOK"
 
 
-def plain_text(price_precision: int, quantity_precision: int) -> Text:
-    """:func:`tickweave.operators.book.plain_digits` for one book."""
-    def digits(value: Decimal, places: int) -> str:
-        return f"{value.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP):f}".replace(".", "").lstrip("0")
+def _digits(value: Decimal, places: int) -> str:
+    return f"{value.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP):f}".replace(".", "").lstrip("0")
+
+
+@dataclass(frozen=True)
+class PlainText:
+    """Asks' levels, then bids', each a text of its own that is made when the level is set."""
 
-    def text(bids: list[Level], asks: list[Level]) -> str:
-        return "".join(digits(p, price_precision) + digits(q, quantity_precision)
-                       for side in (asks, bids) for p, q in side[:book.CHECKSUM_LEVELS])
-    return text
+    price_precision: int
+    quantity_precision: int
+
+    def level(self, price: Decimal, quantity: Decimal) -> str:
+        return _digits(price, self.price_precision) + _digits(quantity, self.quantity_precision)
+
+    def __call__(self, bids: list[Level], asks: list[Level]) -> str:
+        return "".join(self.level(p, q) for side in (asks, bids) for p, q in side[:book.CHECKSUM_LEVELS])
+
+
+def plain_text(price_precision: int, quantity_precision: int) -> PlainText:
+    """:func:`tickweave.operators.book.plain_digits` for one book."""
+    return PlainText(price_precision, quantity_precision)
 
 
 def _millis(at: datetime) -> int:
@@ -61,6 +75,10 @@ class Machine:
         self.asked_ms: int | None = None
         self.failed = self.tries = 0
         self.sequence: int | None = None
+        # Of each side its prices in order and, beside each, the level and its text.
+        self.sorted: dict[str, tuple[list[Decimal], list[tuple[Level, str]]]] = {}
+        # Of each side its best levels, their depth and text, until a message changes it.
+        self.shown: dict[str, tuple[list[Level], Decimal, str]] = {}
 
     def deadline(self) -> int | None:
         """When silence next moves the book."""
@@ -93,8 +111,37 @@ class Machine:
     def _ask(self, at_ms: int) -> None:
         self.asked_ms, self.failed = at_ms, 0
 
-    def best(self) -> tuple[list[Level], list[Level]]:
-        return (sorted(self.levels["BID"].items(), reverse=True)[:self.depth], sorted(self.levels["ASK"].items())[:self.depth])
+    def _level(self, price: Decimal, quantity: Decimal) -> tuple[Level, str]:
+        return (price, quantity), self.text.level(price, quantity) if isinstance(self.text, PlainText) else ""
+
+    def _ordered(self, side: str) -> tuple[list[Decimal], list[tuple[Level, str]]]:
+        if side not in self.sorted:
+            held = sorted(self.levels[side].items())
+            self.sorted[side] = [price for price, _ in held], [self._level(*level) for level in held]
+        return self.sorted[side]
+
+    def _set(self, side: str, price: Decimal, quantity: Decimal) -> None:
+        prices, levels = self._ordered(side)
+        k = bisect_left(prices, price)
+        held = k < len(prices) and prices[k] == price
+        if quantity > 0:
+            self.levels[side][price] = quantity
+            if held:
+                levels[k] = self._level(price, quantity)
+            else:
+                prices.insert(k, price)
+                levels.insert(k, self._level(price, quantity))
+        elif held:
+            del self.levels[side][price], prices[k], levels[k]
+        self.shown.pop(side, None)
+
+    def best(self, side: str) -> tuple[list[Level], Decimal, str]:
+        if side not in self.shown:
+            levels = self._ordered(side)[1]
+            best = levels[-self.depth:][::-1] if side == "BID" else levels[:self.depth]
+            self.shown[side] = ([level for level, _ in best], sum([level[1] for level, _ in best], Decimal(0)),
+                                "".join([text for _, text in best[:book.CHECKSUM_LEVELS]]))
+        return self.shown[side]
 
     def message(self, row: Row) -> tuple[list[tuple[int, str, str, str]], dict[str, Any]]:
         """Moves that a message brings, those of the silence before it first, and the book it leaves."""
@@ -105,17 +152,18 @@ class Machine:
         moves = list(self.silence(now))
         self.clock_ms = now
         if row.type in (SNAPSHOT, RESET):
-            self.levels = {"BID": {}, "ASK": {}}
+            self.levels, self.sorted, self.shown = {"BID": {}, "ASK": {}}, {}, {}
         negative = False
         for side, changes in (("BID", row.bids), ("ASK", row.asks)):
             for level in changes or ():
-                negative |= level["quantity"] < 0
-                if level["quantity"] > 0:
-                    self.levels[side][level["price"]] = level["quantity"]
-                else:
-                    self.levels[side].pop(level["price"], None)
-        bids, asks = self.best()
-        verified = None if row.checksum is None else zlib.crc32(self.text(bids, asks).encode()) == row.checksum
+                price, quantity = level["price"], level["quantity"]
+                negative |= quantity < 0
+                self._set(side, price, quantity)
+        (bids, bid_depth, bid_text), (asks, ask_depth, ask_text) = self.best("BID"), self.best("ASK")
+        verified = None
+        if row.checksum is not None:
+            text = ask_text + bid_text if isinstance(self.text, PlainText) else self.text(bids, asks)
+            verified = zlib.crc32(text.encode()) == row.checksum
         skipped = (self.limits.use_sequence and row.type == UPDATE and None not in (row.sequence, self.sequence) and row.sequence > self.sequence + 1)
         if row.sequence is not None:
             self.sequence = row.sequence
@@ -157,7 +205,7 @@ class Machine:
             moves.append(self._move(now, RESYNCHRONISING, told))
         best = {f"{name}{part}": side[0][k] if side else None for name, side in (("bid", bids), ("ask", asks)) for k, part in enumerate(("", "_quantity"))}
         return moves, {"checksum_verified": verified, "previous_state": was, "book_state": shown, "fault": told, **best,
-                       "bid_depth": sum((q for _, q in bids), Decimal(0)), "ask_depth": sum((q for _, q in asks), Decimal(0)), "depth_levels": self.depth}
+                       "bid_depth": bid_depth, "ask_depth": ask_depth, "depth_levels": self.depth}
 
 
 class BookProcessor(StatefulProcessor):
@@ -222,8 +270,11 @@ class BookProcessor(StatefulProcessor):
         pass
 
 
+_output = Row(*_NAMES)
+
+
 def _row(**values) -> Row:
-    return Row(**{name: values.get(name) for name in _NAMES})
+    return _output(*[values.get(name) for name in _NAMES])
 
 
 def book_stream(messages: DataFrame, text: Text, limits: Limits = Limits(), depth: int = book.CHECKSUM_LEVELS, delay: str = "0 seconds") -> DataFrame:
