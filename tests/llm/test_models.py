@@ -11,6 +11,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tickweave import session
 from tickweave.llm import html, jaccard, lm, quality_classifier
 from tickweave.llm.html_pages import labelled_pages
 
@@ -227,6 +228,47 @@ def test_meetings_do_not_depend_on_pairs_at_a_time(monkeypatch):
     assert len(seen) == 1 and len(next(iter(seen))) > 100
 
 
+def near_copies(seed, copies, size, most):
+    """Texts that differ from one original in up to ``most`` places."""
+    rng = np.random.default_rng(seed)
+    original = ["w" + str(x) for x in rng.integers(0, 10**6, size)]
+    for i in range(copies):
+        copy = list(original)
+        for at in rng.choice(size, rng.integers(0, most + 1), replace=False):
+            copy[at] = "x" + str(rng.integers(0, 10**6))
+        yield " ".join(copy)
+
+
+def test_large_group_of_near_copies_leaves_few_pairs(spark, monkeypatch):
+    """Most of a group is one component before all its rows meet, so that the pairs looked at do not grow with its square."""
+    texts = dict(enumerate(near_copies(4, 400, 100, 6)))
+    stored = {}
+
+    def materialise(df, name, folder=None):
+        stored[name] = table = session.materialise(df, name, folder)
+        if name == "rest":
+            stored["pairs"] = table.count()
+        return table
+    monkeypatch.setattr(jaccard, "materialise", materialise)
+    out = jaccard.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute(texts)
+    assert stored["pairs"] <= 2 * len(texts)
+
+
+def test_rest_meets_though_no_row_has_a_new_nearest(spark, monkeypatch):
+    """The last meeting does not hang on what the nearest partners bring."""
+    texts = dict(enumerate(near_copies(6, 60, 80, 5)))
+    meetings = jaccard.meetings
+    monkeypatch.setattr(jaccard, "meetings", lambda members, *more, nearest=False, **named: meetings(members, *more, **named).where(F.lit(not nearest)))
+    out = jaccard.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute(texts)
+
+
+def test_nearest_partners_are_the_least_unlike():
+    pairs = pd.DataFrame([(1, 2, 5), (1, 3, 4), (2, 3, 5), (4, 5, 0), (2, 5, 6)], columns=["a", "b", "unlike"])
+    assert sorted(map(tuple, jaccard._nearest(pairs)[["a", "b", "unlike"]].to_numpy().tolist())) == [(1, 3, 4), (2, 1, 5), (3, 1, 4), (4, 5, 0), (5, 4, 0)]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

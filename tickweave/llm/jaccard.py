@@ -8,8 +8,10 @@ the parity of how many fall there, and as many bits as two rows differ in, so ma
 overlap counts are accumulated over blocks of columns and held against the bound from the two sizes.
 
 Groups of near copies do not fill a square of the product. Each column first meets only two of its rows, those with the
-smallest and the largest number; linked rows become one component. Then all cells between *different* components that share
-such a column are worked out too, so that no component is missed, and cells inside a component, which could join nothing, are not.
+smallest and the largest number; linked rows become one component. Then each row meets, of the rows of *other* components that share
+a column with it, the one that its parities say is nearest, which joins most of a large group of near copies that its columns' two rows
+did not. Last, all cells between components that are still different and share such a column are worked out too, so that no component is
+missed, and cells inside a component, which could join nothing, are not.
 These meet block by block in numpy, so that only cells leave a task whose bounds hold: a column at place ``i`` of a row leaves it ``n - i``
 shingles that can still be shared, and that is the most if no column before was; and parities, as above. A column of many rows is cut into
 tiles of bounded size, and each pair of tiles is a block of its own.
@@ -253,7 +255,8 @@ def _folded(parities: list[bytes]) -> dict[int, np.ndarray]:
 
 
 def _met(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """``a, b`` of a run of whole blocks: pairs of rows of different components in one block whose bounds leave the similarity within reach."""
+    """``a, b, unlike`` (bits of parities) of a run of whole blocks: pairs of rows of different components in one block whose bounds leave the
+    similarity within reach."""
     column, i, j, own, row, root, n, place = (frame[c].to_numpy(np.int64) for c in ("column", "i", "j", "own", "row", "root", "n", "place"))
     turns = np.flatnonzero((column[1:] != column[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
     ends = np.append(turns, len(frame))
@@ -276,21 +279,31 @@ def _met(frame: pd.DataFrame, percent: int) -> pd.DataFrame:
         least = np.minimum(words[a], words[b])
         for size, bits in parities.items():
             x, y, bound = (v[least == size] for v in (a, b, most))
-            near = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64) <= bound
-            found.append(np.column_stack([row[x[near]], row[y[near]]]))
-    pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+            unlike = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            near = unlike <= bound
+            found.append(np.column_stack([row[x[near]], row[y[near]], unlike[near]]))
+    pairs = np.concatenate([np.empty((0, 3), np.int64), *found])
+    return pd.DataFrame({"a": pairs[:, :2].min(axis=1), "b": pairs[:, :2].max(axis=1), "unlike": pairs[:, 2]}).drop_duplicates(["a", "b"])
 
 
-def meetings(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
+def _nearest(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Of pairs ``a, b, unlike``, for each row the one whose parities differ least (ties: the smallest partner)."""
+    ends = pd.concat([pairs, pairs.rename(columns={"a": "b", "b": "a"})], ignore_index=True)
+    return ends.sort_values(["a", "unlike", "b"]).drop_duplicates("a")
+
+
+def meetings(members: DataFrame, percent: int = PERCENT, tile: int = TILE, nearest: bool = False) -> DataFrame:
     """Distinct ``a < b`` of ``members`` (``column, row, root, n, place, short`` and ``rows``, how many the column has): rows of different roots that
-    share a column and, by place and parities, may reach the similarity. A task holds a batch and one block of two tiles."""
+    share a column and, by place and parities, may reach the similarity. A task holds a batch and one block of two tiles. With ``nearest`` each
+    row brings only the pair whose parities differ least, so that there are no more pairs than rows."""
     tiles = F.greatest(F.lit(1), F.ceil(F.col("rows") / tile)).cast("int")
     seated = members.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int")) \
         .select("column", "own", "row", "root", "n", "place", "short", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")) \
         .select("column", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "row", "root", "n", "place", "short") \
         .repartition("column", "i", "j").sortWithinPartitions("column", "i", "j")
 
+    kept = ["a", "b", "unlike"] if nearest else ["a", "b"]
+
     def meet(frames):
         held = None
         for frame in frames:
@@ -301,12 +314,34 @@ def meetings(members: DataFrame, percent: int = PERCENT, tile: int = TILE) -> Da
             key = held[["column", "i", "j"]].to_numpy(np.int64)
             whole = len(held) - int(np.argmax(np.append((key != key[-1]).any(axis=1)[::-1], True)))
             if whole:
-                yield _met(held.iloc[:whole], percent)
+                yield told(held.iloc[:whole])
                 held = held.iloc[whole:].reset_index(drop=True)
         if held is not None and len(held):
-            yield _met(held, percent)
+            yield told(held)
+
+    def told(blocks):
+        pairs = _met(blocks, percent)
+        return (_nearest(pairs) if nearest else pairs)[kept]
 
-    return seated.mapInPandas(meet, "a long, b long").distinct()
+    met = seated.mapInPandas(meet, ", ".join(f"{c} long" for c in kept))
+    if nearest:
+        best = met.groupBy("a").agg(F.min(F.struct("unlike", "b")).alias("m"))
+        met = best.select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b"))
+    return met.distinct()
+
+
+def unsettled(members: DataFrame, roots: DataFrame, name: str, folder: str) -> DataFrame:
+    """``column, row, n, place, root, rows`` of the columns that hold different components, ``rows`` in all; stored in ``folder``."""
+    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", "place", F.coalesce("root", "row").alias("root")), "labelled", folder)
+    mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows")).where("x <> y").select("column", "rows")
+    found = materialise(labelled.join(mixed, "column"), name, folder)
+    _discard(members.sparkSession, folder, "labelled")
+    return found
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """Components of ``roots`` after more links."""
+    return components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
 
 
 def _hubs(pairs: DataFrame) -> DataFrame:
@@ -406,19 +441,28 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = materialise(links(narrow, stars, folder, words, percent), "links", folder)
     _discard(spark, folder, "matrix")
     roots = components(linked)
-    # Columns that still hold different components: their rows meet, those of one component never.
-    labelled = materialise(members.join(roots, "row", "left").select("column", "row", "n", "place", F.coalesce("root", "row").alias("root")), "labelled", folder)
+    # Columns that still hold different components: their rows meet, those of one component never. First each row and its nearest.
+    open_rows = unsettled(members, roots, "open", folder)
     _discard(spark, folder, "members")
-    mixed = labelled.groupBy("column").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows")).where("x <> y").select("column", "rows")
-    open_rows = materialise(labelled.join(mixed, "column"), "open", folder)
-    _discard(spark, folder, "labelled")
-    rest = meetings(open_rows.join(nodes.select("row", "short"), "row"), percent).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    short = nodes.select("row", "short")
+    near = meetings(open_rows.join(short, "row"), percent, nearest=True).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    near = materialise(possible(near, nodes, percent), "near", folder)
+    if not near.isEmpty():
+        more = materialise(links(narrow, near, folder, words, percent), "nearest", folder)
+        _discard(spark, folder, "matrix")
+        if not more.isEmpty():
+            roots = _joined(roots, more)
+            open_rows = unsettled(open_rows.drop("root", "rows"), roots, "still", folder)
+            _discard(spark, folder, "open")
+    # A row whose nearest was tried before, or surely misses, may still have others.
+    tried = stars.select("a", "b").union(near.select("a", "b"))
+    rest = meetings(open_rows.join(short, "row"), percent).join(tried, ["a", "b"], "left_anti")
     rest = materialise(possible(rest, nodes, percent), "rest", folder)
     if not rest.isEmpty():
         more = materialise(links(narrow, rest, folder, words, percent), "more", folder)
         _discard(spark, folder, "matrix")
         if not more.isEmpty():
-            roots = components(roots.where("row <> root").select(F.col("row").alias("a"), F.col("root").alias("b")).union(more))
+            roots = _joined(roots, more)
     named = nodes.join(roots, "row", "left").select("row", "first", F.coalesce("root", "row").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     owner = materialise(named.join(smallest, "root").select("row", "component_id"), "owner", folder)
