@@ -22,6 +22,7 @@ result.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,8 @@ WORDS, PERCENT = 5, 75
 #: Texts of the sample for frequent shingles; most shingles that it, and the count over all texts after it, each put last in the common
 #: order; and the number of texts from which all count alike when they are chosen.
 SAMPLE_TEXTS, MOST_FREQUENT, LEVELS = 16_000, 400_000, 1024
+#: Passes over the first columns, each with a share of them, so that one share's shuffle is on disk at a time.
+COLUMN_PASSES = 2
 #: Blocks of columns in which overlaps are counted, and bits of a column's number that name it in the candidate search.
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 #: Rows of a tile of a column on average, most places of the parities that rows meet with, and pairs looked at together.
@@ -430,11 +433,14 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     nodes = materialise(nodes, "nodes", folder)
     cells = rows.where("n > 0 and doc_id is not null").select("row", "n", F.posexplode("prefix").alias("place", "column"))
     # Columns of at least two different rows, with the two that the others meet first.
-    centres = materialise(cells.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), "centres", folder)
+    shares = [cells.where(F.pmod("column", F.lit(COLUMN_PASSES)) == k) for k in range(COLUMN_PASSES)]
+    centres = [materialise(share.groupBy("column").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high"), f"centres{k}", folder)
+               for k, share in enumerate(shares)]
+    centres = reduce(DataFrame.union, centres)
     members = materialise(cells.join(centres, "column").select("column", "row", "n", "place", "low", "high").distinct(), "members", folder)
     # The first columns are most of what is stored; what comes later goes by these rows alone.
     rows = materialise(rows.select("doc_id", "n", "row"), "rows", folder)
-    _discard(spark, folder, "profiles", "centres")
+    _discard(spark, folder, "profiles", *(f"centres{k}" for k in range(COLUMN_PASSES)))
     stars = members.select("row", F.explode(F.array("low", "high")).alias("centre")).where("row <> centre") \
         .select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
     stars = materialise(_hubs(materialise(possible(stars, nodes, percent), "possible", folder)), "stars", folder)
