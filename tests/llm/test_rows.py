@@ -150,6 +150,26 @@ def test_packing_spreads_repeated_rows(spark):
     assert len(blocks) == 10 and max(blocks.values()) < 400 and sum(blocks.values()) == 3000
 
 
+def test_tokens_are_words_and_an_end(spark):
+    texts = ["", None, " ", "\t\n ", "a", " a", "a ", " a ", "a b", "\x0ba\r\nb  c\x0c", "\u00a0", "a\u2003b c", "\x1c", "x " * 3000]
+    docs = spark.createDataFrame([(i, t, None, "s") for i, t in enumerate(texts)], DOC)
+    for r in docs.withColumn("n", packing.n_tokens(F.col("text"))).collect():
+        assert r.n == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) + 1, repr(r.text)
+
+
+def test_packing_does_not_work_out_copies_that_the_join_gives(spark, tmp_path):
+    """Every text with words has a component, and the others no cluster: no text is hashed to find its copies again."""
+    spark.createDataFrame([(1, "a b c", None, "s"), (2, "A  b c", None, "s"), (3, " ", None, "s"), (4, None, None, "s")], DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    hashed = []
+    before, packing.copy_cluster = packing.copy_cluster, lambda text: hashed.append(text) or before(text)
+    try:
+        out = queries.QUERIES["op10_packing"](spark, str(tmp_path)).collect()
+    finally:
+        packing.copy_cluster = before
+    assert not hashed and {r.doc_id for r in out} == {1, 2, 3, 4}
+    assert len({r.bin for r in out if r.doc_id in (1, 2)}) == 2
+
+
 def test_packing_keeps_near_copies_apart(spark, tmp_path):
     rng = np.random.default_rng(9)
     base_words = ["w" + str(x) for x in rng.integers(0, 10**6, 60)]

@@ -100,8 +100,9 @@ def pack(docs: DataFrame, tokens: Column, cluster: Column, source: Column, capac
 
 def n_tokens(text: Column) -> Column:
     """Words of a text and its end."""
-    text = F.coalesce(text, F.lit(""))
-    return F.size(F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")) + 1
+    parts = F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+")
+    # Only the first and the last part can be empty; a text without words may have one part, which is both.
+    return F.size(parts) + 1 - (F.get(parts, F.lit(0)) == "").cast("int") - ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
 
 
 def copy_cluster(text: Column) -> Column:
@@ -117,9 +118,8 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     key = F.xxhash64(F.col("text").isNull(), "text").alias("near_key")
-    # The near-duplicate join goes by texts, whatever their ids; texts without words have no component.
+    # The near-duplicate join goes by texts, whatever their ids; texts without words have no component, and are no copies either.
     near = jaccard.near_duplicates(docs.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(key.alias("doc_id"), "text")) \
         .select(F.col("doc_id").alias("near_key"), F.col("component_id").cast("string").alias("component")).distinct()
-    rows = docs.select("doc_id", n_tokens(F.col("text")).alias("n"), copy_cluster(F.col("text")).alias("copy"), "source", key) \
-        .join(near, "near_key", "left").select("doc_id", "n", F.coalesce("component", "copy").alias("cluster"), "source")
-    return pack(rows, F.col("n"), F.col("cluster"), F.col("source"))
+    rows = docs.select("doc_id", n_tokens(F.col("text")).alias("n"), "source", key).join(near, "near_key", "left")
+    return pack(rows, F.col("n"), F.col("component"), F.col("source"))
