@@ -9,7 +9,7 @@ overlap counts are accumulated over blocks of columns and held against the bound
 
 Groups of near copies do not fill a square of the product. Each column first meets only two of its rows, those with the
 smallest and the largest number; linked rows become one component. Then each row meets, of the rows of *other* components that share
-a column with it, the one that its parities say is nearest, which joins most of a large group of near copies that its columns' two rows
+a column of many rows with it, the one that its parities say is nearest, which joins most of a large group of near copies that its columns' two rows
 did not. Last, all cells between components that are still different and share such a column are worked out too, so that no component is
 missed, and cells inside a component, which could join nothing, are not.
 These meet block by block in numpy, so that only cells leave a task whose bounds hold: a column at place ``i`` of a row leaves it ``n - i``
@@ -43,6 +43,8 @@ COLUMN_PASSES = 2
 COLUMN_BLOCKS, COLUMN_BITS = 4, 44
 #: Rows of a tile of a column on average, most places of the parities that rows meet with, and pairs looked at together.
 TILE, SHORT_PARITIES, PAIRS = 512, 1024, 1 << 17
+#: Rows of a column up to which all its pairs are few: its rows do not meet their nearest ones first. And rows that Python takes at a time.
+FEW, BATCH_ROWS = 8, 2000
 #: Most bits of the filter that keeps unwanted texts out of a pass. Beyond it more texts pass, and the joins drop them.
 FILTER_BITS = 1 << 27
 
@@ -413,14 +415,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     shingle. Rows with a null id come back with a null component and link nothing. Rows that repeat an id stay rows of their own;
     an empty table gives an empty result.
     """
-    conf, key = docs.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, "false")
-    # Each step reads stored tables alone, so the shuffle files that made them can go at once.
-    conf.set(key, "true")
+    conf = docs.sparkSession.conf
+    # Each step reads stored tables alone, so the shuffle files that made them can go at once. Whole texts come in small batches, for memory.
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}
+    before = {key: conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        conf.set(key, value)
     try:
         return _near_duplicates(docs, words, percent)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -447,11 +452,11 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = materialise(links(narrow, stars, folder, words, percent), "links", folder)
     _discard(spark, folder, "matrix")
     roots = components(linked)
-    # Columns that still hold different components: their rows meet, those of one component never. First each row and its nearest.
+    # Columns that still hold different components: their rows meet, those of one component never. In columns of many, first each row and its nearest.
     open_rows = unsettled(members, roots, "open", folder)
     _discard(spark, folder, "members")
     short = nodes.select("row", "short")
-    near = meetings(open_rows.join(short, "row"), percent, nearest=True).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    near = meetings(open_rows.where(F.col("rows") > FEW).join(short, "row"), percent, nearest=True).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     near = materialise(possible(near, nodes, percent), "near", folder)
     if not near.isEmpty():
         more = materialise(links(narrow, near, folder, words, percent), "nearest", folder)
