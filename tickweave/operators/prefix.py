@@ -32,11 +32,14 @@ class Running:
 
 
 def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[str],
-            values: dict[str, Running], whole: dict[str, str] | None = None) -> DataFrame:
+            values: dict[str, Running], whole: dict[str, str] | None = None, within: Column | None = None,
+            carried: DataFrame | None = None) -> DataFrame:
     """Add running values per ``scope`` in ``order``; ``chunk`` must not decrease along it.
 
     ``whole`` adds the maximum or sum over the whole scope, by result name and a source that
     has a running maximum or sum; it rides on the same carry-ins, so it costs no further pass.
+    ``within`` is one number that orders a chunk's rows as ``order`` does: with it the summaries are hash aggregates.
+    ``carried`` holds, per scope, the sources' values from before ``df``, by source name.
 
     One partial aggregate summarises each chunk, a window over those few summary rows makes
     the carry-in of every chunk, and the carry-ins join the data as rows that sort first.
@@ -44,7 +47,7 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
     """
     rows = df.withColumn(_CHUNK, chunk)
     sources = {v.source for v in values.values()}
-    summary_order = F.struct(*order)
+    summary_order = F.struct(*order) if within is None else within
     summaries = {
         "max": lambda c: F.max(c),
         "sum": lambda c: F.sum(c),
@@ -60,6 +63,9 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
 
     chunks = rows.groupBy(*scope, _CHUNK).agg(
         *[summaries[kind_of[s]](s).alias(s) for s in sorted(sources)])
+    if carried is not None:
+        # A null chunk sorts first.
+        chunks = chunks.unionByName(carried.select(*scope, F.lit(None).cast(chunks.schema[_CHUNK].dataType).alias(_CHUNK), *sorted(sources)))
     over_chunks = (Window.partitionBy(*scope).orderBy(_CHUNK)
                    .rowsBetween(Window.unboundedPreceding, -1))
     combine = {
@@ -74,6 +80,8 @@ def running(df: DataFrame, scope: Sequence[str], chunk: Column, order: Sequence[
         *[(F.max(s) if kind_of[s] == "max" else F.sum(s)).over(all_chunks).alias(f"__whole_{name}")
           for name, s in whole.items()],
         F.lit(0).alias(_CARRY))
+    if carried is not None:
+        carry = carry.where(F.col(_CHUNK).isNotNull())
 
     window = Window.partitionBy(*scope, _CHUNK).orderBy(_CARRY, *order)
     frame = {

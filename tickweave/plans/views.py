@@ -219,7 +219,7 @@ def book_messages(spark: SparkSession, sf: str) -> DataFrame:
     # Numbered without sorting an instrument in one task; levels and texts are made last, so that they are not moved.
     coded = book_log(spark, sf).withColumns({"step": 1 + (number % 1201 == 13).cast("long"), "starts": (F.col("type") != "UPDATE").cast("long")})
     numbered = running(coded, ["exchange", "instrument"], F.expr(f"src_offset div {CHUNK_ROWS}"), ["src_offset"], {
-        "sequence": Running("sum", "step"), "epoch": Running("sum", "starts")})
+        "sequence": Running("sum", "step"), "epoch": Running("sum", "starts")}).drop("step", "starts")
     epoch = ["exchange", "instrument", "epoch"]
     told = T.StructType([*numbered.schema.fields, T.StructField("true_checksum", T.LongType())])
     # A fixed number of partitions: Spark joins small ones by their bytes, but these cost Python's time.
@@ -235,34 +235,51 @@ def book_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def _true_checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replay epochs, which lie whole and in order in a task, from the events' own numbers: what the exchange would send."""
-    books: dict[str, dict[int, int]] = {}
+    # All prices a side can have, best first, and the place of each: a book is the text of each place, empty without a level.
+    prices = {name: sorted({*range(base_price, base_price + BOOK_SHIFTS), deep_price, crossing}, reverse=name == "BID")
+              for name, (base_price, deep_price, crossing) in BOOK_PRICES.items()}
+    places = {name: {price: k for k, price in enumerate(held)} for name, held in prices.items()}
+    books: dict[str, list[str]] = {}
     # Of asks, then bids, the best levels first: two decimals of the price and three of the quantity, without points.
     texts: dict[str, str] = {}
     now = None
 
-    def show(name: str) -> None:
-        best = sorted(books[name].items(), reverse=name == "BID")[:10]
-        texts[name] = "".join([f"{p * 100}{q * 1000}" for p, q in best])
+    def clear(name: str) -> None:
+        books[name], texts[name] = [""] * len(prices[name]), ""
+
+    def put(name: str, price: int, quantity: int) -> None:
+        held = books[name]
+        held[places[name][price]] = f"{price * 100}{quantity * 1000}" if quantity > 0 else ""
+        texts[name] = "".join(held if len(held) - held.count("") <= 10 else [text for text in held if text][:10])
+
+    def listed(column: pa.Array) -> list:
+        if column.null_count:
+            return column.to_pylist()
+        if not pa.types.is_string(column.type):
+            return column.to_numpy(zero_copy_only=False).tolist()
+        coded = column.dictionary_encode()
+        return list(map(coded.dictionary.to_pylist().__getitem__, coded.indices.to_numpy().tolist()))
     for batch in batches:
         sums = []
-        for exchange, instrument, epoch, kind, n, shift, k, crosses, negative in zip(*(batch.column(c).to_pylist() for c in (
+        for exchange, instrument, epoch, kind, n, shift, k, crosses, negative in zip(*(listed(batch.column(c)) for c in (
                 "exchange", "instrument", "epoch", "type", "src_offset", "shift", "k", "crosses", "negative"))):
             if now != (exchange, instrument, epoch):
                 now = exchange, instrument, epoch
-                books, texts = {"BID": {}, "ASK": {}}, {"BID": "", "ASK": ""}
+                clear("BID")
+                clear("ASK")
             if kind == "UPDATE":
                 name = "BID" if n % 2 == 0 else "ASK"
                 base_price, _, crossing = BOOK_PRICES[name]
-                price, quantity = (crossing, 5) if crosses else (base_price + shift, -2 if negative else k % 10)
-                if quantity > 0:
-                    books[name][price] = quantity
+                if crosses:
+                    put(name, crossing, 5)
                 else:
-                    books[name].pop(price, None)
-                show(name)
+                    put(name, base_price + shift, -2 if negative else k % 10)
             else:
                 for name, (base_price, deep_price, _) in BOOK_PRICES.items():
-                    books[name] = {base_price + shift: 1 + k % 9, deep_price: 3} if kind == "SNAPSHOT" else {}
-                    show(name)
+                    clear(name)
+                    if kind == "SNAPSHOT":
+                        put(name, base_price + shift, 1 + k % 9)
+                        put(name, deep_price, 3)
             sums.append(zlib.crc32((texts["ASK"] + texts["BID"]).encode()))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names=[*batch.schema.names, "true_checksum"])
 
