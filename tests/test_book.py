@@ -338,3 +338,40 @@ def test_machine_makes_a_text_once_for_each_level_set():
         levels = [[Row(price=Decimal(str(p)), quantity=Decimal(str(q))) for p, q in side] for side in (bids, asks)]
         verified.add(machine.message(Row(type=kind, event_time=at(seconds), bids=levels[0], asks=levels[1], checksum=value, sequence=sequence))[1]["checksum_verified"])
     assert verified == {True} and len(made) == 24 + sum(second % 3 > 0 for second in range(1, 50))
+
+
+def exact_parts(spark, root, log, cuts, limits):
+    from tickweave.streaming import book as stream
+    job = stream.ExactBooks(str(root), book.plain_digits(*TEXT), limits, chunk_messages=4)
+    for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        job.process(log.where(F.col("src_offset").between(low, high - 1)), number)
+    # A batch that is run again gives the same.
+    job.process(log.where(F.col("src_offset").between(cuts[-2], cuts[-1] - 1)), len(cuts) - 2)
+    return job
+
+
+@pytest.mark.parametrize("seed", [None, 1])
+def test_exact_stream_of_books_equals_batch(spark, tmp_path, seed):
+    """Batches cut epochs, chunks, silences and waits for a snapshot; one brings no message of some instruments."""
+    limits = book.Limits(stale_ms=10_000, resync_ms=60_000, answer_ms=45_000, requests=2, use_sequence=True)
+    log = messages(spark, *(stream_feeds() if seed is None else random_feeds(seed)))
+    log = log.withColumn("sequence", F.when(F.col("src_offset") % 5 != 0, F.col("src_offset") + F.col("src_offset").cast("int") % 3))
+    job = exact_parts(spark, tmp_path, log, [0, 5, 6, 13, 19, 160], limits)
+    judged = book.reconstruct(log, book.plain_digits(*TEXT), limits=limits)
+    end = log.agg(F.max("event_time")).first()[0]
+    moved = ["instrument", "at", "from_state", "to_state", "reason"]
+    want = sorted(map(tuple, book.transitions(judged, limits, F.lit(end)).select(*moved).collect()))
+    assert sorted(map(tuple, job.moves(spark, F.lit(end)).select(*moved).collect())) == want
+    shown = ["src_offset", "epoch", "message_no", "clock", "book_state", "settled_state", "previous_state", "fault", "asked_ms", "book_bids", "book_asks", "bid_depth", "ask_depth"]
+    assert sorted(map(repr, job.states(spark).select(*shown).collect())) == sorted(map(repr, judged.select(*shown).collect()))
+
+
+def test_exact_stream_loses_no_message_where_times_run_back(spark, tmp_path):
+    log = messages(spark, Feed().snapshot(1000).update(1001, bids=[(98, 1)]).update(1, bids=[(97, 1)]).update(2, bids=[(96, 1)]), Feed("B").snapshot(3).update(4, bids=[(98, 1)]))
+    job = exact_parts(spark, tmp_path, log, [0, 2, 4, 6], book.Limits())
+    assert sorted(r.src_offset for r in job.states(spark).where("book_state = 'LIVE'").collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_states_name_the_last_message(spark):
+    states = run(spark, Feed().snapshot(0).update(1, bids=[(98, 1)]).update(2), Feed("B").snapshot(3))
+    assert sorted((r.instrument, r.message_no) for r in states.where("is_last").collect()) == [("A", 3), ("B", 1)]

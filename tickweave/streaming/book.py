@@ -1,8 +1,12 @@
-"""Streaming order books: one keyed state per instrument, moved on by messages and by timers.
+"""Streaming order books.
 
-The state machine is written once more here, message by message, beside the batch form of
+Two modes. *Timed* (:func:`book_stream`) is one keyed state per instrument, moved on by messages and by timers. The state
+machine is written once more here, message by message, beside the batch form of
 :mod:`tickweave.operators.book`; both give the same rows. Silence needs no later message: an event-time timer
-per instrument stands at the next moment at which a book turns stale, is given up, or a request has failed.
+per instrument stands at the next moment at which a book turns stale, is given up, or a request has failed. An instrument
+is one sequence in one task, and messages older than the watermark are lost. *Exact* (:class:`ExactBooks`) runs the batch
+operators per micro-batch on what the one before left, so that a hot instrument is cut into chunks and no message is lost;
+it needs micro-batches in log order, and silence is told when the next message comes or when it is asked for.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from datetime import datetime, timezone
 from decimal import ROUND_HALF_UP, Decimal
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -312,3 +316,54 @@ def write_books(stream: DataFrame, batch_id: int, root: str, processor_version:
 def start(stream: DataFrame, root: str, checkpoint: str, processor_version: str = "dev", **trigger) -> StreamingQuery:
     return (stream.writeStream.foreachBatch(lambda batch, batch_id: write_books(batch, batch_id, root, processor_version))
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(**(trigger or {"processingTime": "2 seconds"})).start())
+
+
+@dataclass
+class ExactBooks:
+    """Exact book job over micro-batches, which must come in log order.
+
+    Below ``root``: ``moves/batch=N``, ``states/batch=N`` and two alternating state slots. Batch N reads the slot of N-1 and
+    overwrites its own, so running a batch again gives the same files.
+    """
+
+    root: str
+    text: Callable[[Column, Column], Column]
+    limits: Limits = Limits()
+    depth: int = book.CHECKSUM_LEVELS
+    chunk_messages: int = book.CHUNK_MESSAGES
+
+    def _slot(self, batch_id: int, part: str) -> str:
+        return f"{self.root}/state/{batch_id % 2}/{part}"
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        """The ``foreachBatch`` body."""
+        spark = batch.sparkSession
+        carried = None
+        if batch_id > 0:
+            carried = book.Carried(*[spark.read.parquet(self._slot(batch_id - 1, part)) for part in ("ends", "levels")])
+        numbered = book.number(batch, self.chunk_messages, f"{self.root}/work", carried)
+        verified = book.verify(numbered, self.text, self.depth, f"{self.root}/work", carried)
+        path = f"{self.root}/states/batch={batch_id}"
+        judged = book.book_states(verified, self.limits, carried)
+        judged.write.mode("overwrite").parquet(path)
+        stored = spark.read.schema(judged.schema).parquet(path)
+        book.transitions(stored, self.limits).write.mode("overwrite").parquet(f"{self.root}/moves/batch={batch_id}")
+        book.closing_ends(verified, stored, self.limits, carried).write.mode("overwrite").parquet(self._slot(batch_id, "ends"))
+        book.closing_levels(numbered, carried).write.mode("overwrite").parquet(self._slot(batch_id, "levels"))
+        spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").parquet(f"{self.root}/state/newest")
+
+    def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
+        return (messages.select(*BOOK_EVENT.names).writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"processingTime": "2 seconds"})).start())
+
+    def states(self, spark: SparkSession) -> DataFrame:
+        """Books after every message so far, with their ``batch``."""
+        return spark.read.parquet(f"{self.root}/states")
+
+    def moves(self, spark: SparkSession, as_of: Column | None = None) -> DataFrame:
+        """Moves so far, with ``as_of`` those too that silence has brought since each instrument's last message."""
+        told = spark.read.parquet(f"{self.root}/moves").drop("batch")
+        if as_of is None:
+            return told
+        newest = spark.read.parquet(f"{self.root}/state/newest").first()[0]
+        return told.unionByName(book.silence(spark.read.parquet(self._slot(newest, "ends")), as_of, self.limits))
