@@ -302,12 +302,15 @@ def _rebuilder(kept: list[str], position: tuple[str, ...], depth: int, digested:
 
 def closing_levels(numbered: DataFrame, carried: Carried | None = None) -> DataFrame:
     """Levels alive at the end of each instrument's last epoch."""
-    epochs, changes = numbered.select(*KEYS, "epoch"), level_changes(numbered).drop("chunk")
+    epochs = numbered.select(*KEYS, "epoch")
     if carried is not None:
         epochs = epochs.unionByName(carried.ends.select(*KEYS, "epoch"))
-        changes = changes.unionByName(carried.levels.withColumn("set_order", F.lit(0).cast("long")))
     last = epochs.groupBy(*KEYS).agg(F.max("epoch").alias("epoch"))
-    final = changes.join(last, [*KEYS, "epoch"], "left_semi").groupBy(*KEYS, "epoch", "side", "price").agg(F.max_by("quantity", "set_order").alias("quantity"))
+    changes = level_changes(numbered.join(last, [*KEYS, "epoch"], "left_semi")).drop("chunk")
+    if carried is not None:
+        held = carried.levels.join(last, [*KEYS, "epoch"], "left_semi")
+        changes = changes.unionByName(held.withColumn("set_order", F.lit(0).cast("long")))
+    final = changes.groupBy(*KEYS, "epoch", "side", "price").agg(F.max_by("quantity", "set_order").alias("quantity"))
     return final.where(F.col("quantity") > 0)
 
 
@@ -424,24 +427,18 @@ def _marked(verified: DataFrame, limits: Limits) -> DataFrame:
         "__good": F.when((kind == SNAPSHOT) & F.col("__fault").isNull(), F.col("snapshot_no"))})
 
 
-def closing_ends(verified: DataFrame, states: DataFrame, limits: Limits = Limits(), carried: Carried | None = None) -> DataFrame:
+def closing_ends(states: DataFrame, carried: Carried | None = None) -> DataFrame:
     """Per instrument the running values after its last message, and the state that left it in."""
-    ends = _marked(verified, limits).groupBy(*KEYS).agg(
-        *[F.max(c).alias(c) for c in ("epoch", "snapshot_no", "message_no", "clock")],
-        F.max_by("sequence", F.when(F.col("sequence").isNotNull(), F.col("message_no"))).alias("sequence"),
-        F.max("__break").alias("broke"), F.max("__good").alias("last_good"))
-    left = states.where("is_last").select(*KEYS, "message_no", F.struct("settled_state", "asked_ms").alias("left"))
-    rows = ends.unionByName(left, allowMissingColumns=True)
-    if carried is not None:
-        rows = rows.unionByName(carried.ends)
-    return rows.groupBy(*KEYS).agg(
-        *[F.max(c).alias(c) for c in ("epoch", "snapshot_no", "message_no", "clock")],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("message_no"))).alias(c) for c in ("sequence", "left")],
-        F.max("broke").alias("broke"), F.max("last_good").alias("last_good"))
+    ends = states.where("is_last").select(*KEYS, "epoch", "snapshot_no", "message_no", "clock", F.coalesce("sequence", "previous_sequence").alias("sequence"),
+                                          F.struct("settled_state", "asked_ms").alias("left"), "broke", "last_good")
+    # An instrument's newest row counts; most have one alone.
+    rows = ends if carried is None else ends.unionByName(carried.ends)
+    return first_per_key(rows, KEYS, F.desc("message_no"))
 
 
 def book_states(verified: DataFrame, limits: Limits = Limits(), carried: Carried | None = None) -> DataFrame:
-    """Add ``book_state``, ``previous_state``, ``settled_state``, ``fault``, ``asked_ms``, ``previous_asked_ms``, ``gap_ms`` and ``is_last`` to each message.
+    """Add ``book_state``, ``previous_state``, ``settled_state``, ``fault``, ``asked_ms``, ``previous_asked_ms``, ``gap_ms``, ``is_last``,
+    ``broke`` and ``last_good`` to each message.
 
     Inside an epoch only the first break counts: after it the book is not trusted until the
     next snapshot, so later rows need no faults of their own. So the state at a row follows
@@ -449,7 +446,8 @@ def book_states(verified: DataFrame, limits: Limits = Limits(), carried: Carried
     ``stale_ms`` is STALE in between and recovers with the next verified update; above ``resync_ms``
     it is a break. ``settled_state`` is the state once the message took full effect: an INVALID
     book has already asked for a snapshot, at ``asked_ms``. ``previous_state`` and
-    ``previous_asked_ms`` are the same of the message before. ``is_last`` marks an instrument's last message.
+    ``previous_asked_ms`` are the same of the message before. ``is_last`` marks an instrument's last message, ``broke`` and
+    ``last_good`` are the latest break and trusted snapshot so far.
     """
     kind = F.col("type")
     now_ms, before_ms = F.unix_millis("clock"), F.unix_millis("previous_time")
@@ -490,6 +488,8 @@ def book_states(verified: DataFrame, limits: Limits = Limits(), carried: Carried
         "previous_asked_ms": F.when((earlier_epoch > 0) & was_broken & asks(before["kind"], earlier_tries), before["at_ms"]),
         "fault": F.when(first_break & (F.col("__as") != STALE), F.col("__fault")),
         "is_last": F.col("message_no") == F.col("__end"),
+        # What later messages have to know of these.
+        "broke": F.greatest("__before", "__break"), "last_good": F.greatest("__last_good", "__good"),
     })
     return result.drop(*[c for c in result.columns if c.startswith("__")])
 

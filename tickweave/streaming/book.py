@@ -348,7 +348,7 @@ class ExactBooks:
         judged.write.mode("overwrite").parquet(path)
         stored = spark.read.schema(judged.schema).parquet(path)
         book.transitions(stored, self.limits).write.mode("overwrite").parquet(f"{self.root}/moves/batch={batch_id}")
-        book.closing_ends(verified, stored, self.limits, carried).write.mode("overwrite").parquet(self._slot(batch_id, "ends"))
+        book.closing_ends(stored, carried).write.mode("overwrite").parquet(self._slot(batch_id, "ends"))
         book.closing_levels(numbered, carried).write.mode("overwrite").parquet(self._slot(batch_id, "levels"))
         spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").parquet(f"{self.root}/state/newest")
 
