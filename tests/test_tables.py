@@ -213,3 +213,12 @@ def test_lineage_shows_orphans(spark):
     sources = spark.createDataFrame([("e1", "x1", "c0", 4)], "event_id string, trace_id string, source_connection_id string, ingest_sequence long")
     got = {r.trade_id: (r.source_trace_id, r.orphan) for r in serving.lineage(derived, sources).collect()}
     assert got == {"t1": ("x1", False), "t2": (None, True), "t3": (None, True)}
+
+
+def test_intermediate_tables_take_a_codec(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tickweave.session import materialise
+    materialise(spark.range(10), "small", str(tmp_path), codec="zstd")
+    [file, *_] = (tmp_path / "small").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"

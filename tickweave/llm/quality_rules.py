@@ -165,7 +165,7 @@ def judge(docs: DataFrame, columns: list[str] | None = None, cut: float = CUT) -
     counted = with_statistics(given).withColumns(
         {g: F.coalesce(F.col(c), F.lit("\x00")) for g, c in zip(GROUP, ("lang", "source"), strict=True)})
     # Texts are parsed once; the steps then read the statistics alone.
-    counted = materialise(counted.select(*own, *COUNTS, *GROUP, *STATS), "counted")
+    counted = materialise(counted.select(*own, *COUNTS, *GROUP, *STATS), "counted", codec="zstd")
     estimate = mcd(counted.where(~F.col("base_failed")).select(*GROUP, *STATS))
     out = _distance(counted, estimate, "left")
     # A group without estimate has base failures only.
